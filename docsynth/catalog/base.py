@@ -25,11 +25,16 @@ class Tables:
         return self.spark.read.parquet(f"{self.path}/{name}.parquet")
 
 
+def widen(df: DataFrame) -> DataFrame:
+    """32-bit counters of Spark functions as BIGINT, as SQL engines return them."""
+    return df.select(*[F.col(f.name).cast("bigint") if f.dataType.typeName() == "integer" else F.col(f.name) for f in df.schema])
+
+
 def query(sql: str | None = None) -> Callable:
     """Register a function of :class:`Tables` under its own name."""
 
     def register(fn: Callable[[Tables], DataFrame]) -> Callable[[Tables], DataFrame]:
-        QUERIES[fn.__name__] = lambda spark, path: fn(Tables(spark, path))
+        QUERIES[fn.__name__] = lambda spark, path: widen(fn(Tables(spark, path)))
         MODULE_OF[fn.__name__] = fn.__module__.rsplit(".", 1)[-1]
         if sql is not None:
             ORACLE[fn.__name__] = with_inputs(sql)

@@ -183,7 +183,7 @@ def money_text(t: Tables) -> DataFrame:
 
 
 @query(
-    """WITH d AS (SELECT o_orderkey, c, lpad(CAST(c AS VARCHAR), greatest(length(CAST(c AS VARCHAR)), 3), '0') AS s FROM
+    """WITH d AS (SELECT o_orderkey, c, lpad(CAST(c AS VARCHAR), CAST(greatest(length(CAST(c AS VARCHAR)), 3) AS INTEGER), '0') AS s FROM
       (SELECT o_orderkey, CAST(round(o_totalprice * 100) AS BIGINT) AS c FROM orders)),
     p AS (SELECT o_orderkey, c, array_to_string(list_transform(string_split(s, ''), lambda x, i:
       ('零壹贰叁肆伍陆柒捌玖')[CAST(x AS INTEGER) + 1] || ('分角元拾百千万拾百千亿拾百千万拾百千兆')[length(s) - i + 1]), '') AS w FROM d),

@@ -14,6 +14,7 @@ def local_session(cores: str = "*", shuffle: int = 8) -> SparkSession:
         SparkSession.builder.master(f"local[{cores}]")
         .appName("docsynth")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "12g")
         .config("spark.sql.shuffle.partitions", str(shuffle))
         .config("spark.sql.adaptive.enabled", "true")
