@@ -101,15 +101,42 @@ INPUTS: dict[str, str] = {
         40 * (n // 4) + l_partkey % 5 + 16 + l_partkey % 5 AS b,
         l_returnflag || l_linenumber AS content
         FROM (SELECT *, (l_orderkey % 10) * 7 + l_linenumber - 1 AS n FROM lineitem)""",
-    "line_boxes": """SELECT *, sum(CASE WHEN pt IS NOT NULL AND
+    "line_boxes": """SELECT image_id, ann_id, l, t, r, b, content, CAST(sum(CASE WHEN pt IS NOT NULL AND
           ((pt <= (t + b) // 2 AND (t + b) // 2 <= pb) OR (t <= (pt + pb) // 2 AND (pt + pb) // 2 <= b))
-          THEN 0 ELSE 1 END) OVER (PARTITION BY image_id ORDER BY t, l, ann_id) AS row_no
+          THEN 0 ELSE 1 END) OVER (PARTITION BY image_id ORDER BY t, l, ann_id) AS BIGINT) AS row_no
         FROM (SELECT *, lag(t) OVER w AS pt, lag(b) OVER w AS pb FROM boxes
               WINDOW w AS (PARTITION BY image_id ORDER BY t, l, ann_id))""",
-    "grid_rows": "SELECT image_id, row_no, min(t) AS t, max(b) AS b FROM line_boxes GROUP BY ALL",
-    "grid_cols": "SELECT image_id, l // 100 AS col_no, min(l) AS l, max(r) AS r FROM boxes GROUP BY ALL",
-    "grid": """SELECT g.image_id, row_no, col_no, l, t, r, b FROM grid_rows g JOIN grid_cols c
-        ON g.image_id = c.image_id""",
+    "line_sizes": "SELECT image_id, row_no, count(*) AS n FROM line_boxes GROUP BY ALL",
+    "col_max": """SELECT image_id, max(n) AS cols_max FROM (SELECT image_id, n FROM line_sizes GROUP BY image_id, n
+        HAVING count(*) > 2) GROUP BY image_id""",
+    "full_rows": """SELECT s.image_id, s.row_no FROM line_sizes s JOIN col_max c
+        ON s.image_id = c.image_id AND s.n = c.cols_max""",
+    "normal": """SELECT x.* FROM line_boxes x JOIN full_rows f ON x.image_id = f.image_id AND x.row_no = f.row_no""",
+    "col_boxes": """SELECT image_id, ann_id, l, t, r, b, CAST(sum(CASE WHEN pl IS NOT NULL AND
+          ((pl <= (l + r) // 2 AND (l + r) // 2 <= pr) OR (l <= (pl + pr) // 2 AND (pl + pr) // 2 <= r))
+          THEN 0 ELSE 1 END) OVER (PARTITION BY image_id ORDER BY l, t, ann_id) AS BIGINT) AS col_no
+        FROM (SELECT *, lag(l) OVER w AS pl, lag(r) OVER w AS pr FROM normal
+              WINDOW w AS (PARTITION BY image_id ORDER BY l, t, ann_id))""",
+    "table_cols": """SELECT image_id, col_no, min(l) AS l, min(t) AS t, max(r) AS r, max(b) AS b FROM col_boxes
+        GROUP BY image_id, col_no""",
+    "page_edges": "SELECT image_id, min(l) AS left_min, max(r) AS right_max FROM boxes GROUP BY image_id",
+    "row_ext": """SELECT g.image_id, row_no, left_min AS l, t, right_max AS r, t + h AS b FROM
+        (SELECT image_id, row_no, arg_min(t, (t, l, ann_id)) AS t, max(b - t) AS h FROM line_boxes GROUP BY image_id, row_no) g
+        JOIN page_edges e ON g.image_id = e.image_id""",
+    "padded": """SELECT image_id, col_no, l - CASE WHEN no = 2 THEN least(lp, rp) ELSE lp END AS l, t,
+        r + rp + CASE WHEN no = 1 THEN greatest(coalesce(n_lp - n_rp, 0), 0) ELSE 0 END AS r, b FROM
+        (SELECT *, lead(lp) OVER w AS n_lp, lead(rp) OVER w AS n_rp, row_number() OVER w AS no FROM
+          (SELECT c.*, coalesce(CAST(floor((l - lag(r) OVER v) / 2) AS BIGINT), l - left_min) AS lp,
+             coalesce(CAST(floor((lead(l) OVER v - r) / 2) AS BIGINT), right_max - r) AS rp
+           FROM table_cols c JOIN page_edges e ON c.image_id = e.image_id
+           WINDOW v AS (PARTITION BY c.image_id ORDER BY col_no))
+         WINDOW w AS (PARTITION BY image_id ORDER BY col_no))""",
+    "grid": """SELECT g.image_id, g.row_no, c.col_no, c.l, g.t, c.r, g.b FROM row_ext g JOIN full_rows f
+        ON g.image_id = f.image_id AND g.row_no = f.row_no JOIN padded c ON g.image_id = c.image_id""",
+    "assigned": """SELECT image_id, ann_id, content, row_no, col_no FROM (SELECT x.image_id, x.ann_id, x.content, c.row_no, c.col_no,
+        row_number() OVER (PARTITION BY x.image_id, x.ann_id ORDER BY c.row_no, c.col_no) AS k FROM boxes x JOIN grid c
+        ON x.image_id = c.image_id AND (x.l + x.r) // 2 BETWEEN c.l AND c.r AND (x.t + x.b) // 2 BETWEEN c.t AND c.b)
+        WHERE k = 1""",
     "words": """SELECT doc_id, lang, pos, word FROM (SELECT doc_id, lang,
         unnest(regexp_extract_all(text, '[A-Za-z]+')) AS word,
         generate_subscripts(regexp_extract_all(text, '[A-Za-z]+'), 1) AS pos FROM documents)""",
@@ -124,13 +151,6 @@ INPUTS: dict[str, str] = {
     "pixels": """SELECT image_id, y, x, max(v) FILTER (ch = 0) AS red, max(v) FILTER (ch = 1) AS green,
         max(v) FILTER (ch = 2) AS blue, max(v) FILTER (ch = 3) AS alpha FROM px GROUP BY ALL""",
 }
-NEEDS = {
-    "line_boxes": ["boxes"],
-    "grid_rows": ["line_boxes"],
-    "grid_cols": ["boxes"],
-    "grid": ["grid_rows", "grid_cols"],
-    "pixels": ["px"],
-}
 
 
 def with_inputs(sql: str) -> str:

@@ -22,24 +22,33 @@ def scan(
     sums: Mapping[str, Column] | None = None,
     prev: Mapping[str, Column] | None = None,
     next: Mapping[str, Column] | None = None,
+    highs: Mapping[str, Column] | None = None,
+    lows: Mapping[str, Column] | None = None,
 ) -> DataFrame:
     """Add running totals (``sums``, own row included) and values of the row before / after (``prev`` / ``next``).
 
+    ``highs`` is the running maximum up to a row, ``lows`` the minimum from a row to the end; nulls are passed over.
+
     ``order`` must be unique inside a group; keys must not be null.
     """
     sums, prev, next = dict(sums or {}), dict(prev or {}), dict(next or {})
+    highs, lows = dict(highs or {}), dict(lows or {})
     keys, parts = list(group), [f"__c_{c}" for c in chunk]
     src = df.withColumns({f"__c_{c}": e for c, e in chunk.items()})
     src = src.withColumns(
         {f"__s_{k}": v for k, v in sums.items()}
         | {f"__p_{k}": v for k, v in prev.items()}
         | {f"__n_{k}": v for k, v in next.items()}
+        | {f"__h_{k}": v for k, v in highs.items()}
+        | {f"__l_{k}": v for k, v in lows.items()}
     )
     at = F.struct(*order)
     p_row = F.struct(*[F.col(f"__p_{k}") for k in prev]) if prev else None
     n_row = F.struct(*[F.col(f"__n_{k}") for k in next]) if next else None
 
     reduced = [F.sum(f"__s_{k}").alias(f"__s_{k}") for k in sums]
+    reduced += [F.max(f"__h_{k}").alias(f"__h_{k}") for k in highs]
+    reduced += [F.min(f"__l_{k}").alias(f"__l_{k}") for k in lows]
     if prev:
         reduced.append(F.max_by(p_row, at).alias("__last"))
     if next:
@@ -48,6 +57,10 @@ def scan(
     carried = [
         F.sum(f"__s_{k}").over(over.rowsBetween(Window.unboundedPreceding, -1)).alias(f"__b_{k}") for k in sums
     ]
+    carried += [
+        F.max(f"__h_{k}").over(over.rowsBetween(Window.unboundedPreceding, -1)).alias(f"__bh_{k}") for k in highs
+    ]
+    carried += [F.min(f"__l_{k}").over(over.rowsBetween(1, Window.unboundedFollowing)).alias(f"__bl_{k}") for k in lows]
     if prev:
         carried.append(F.lag("__last").over(over).alias("__before"))
     if next:
@@ -60,6 +73,9 @@ def scan(
     new: dict[str, Column] = {
         k: F.sum(f"__s_{k}").over(upto) + F.coalesce(F.col(f"__b_{k}"), F.lit(0)) for k in sums
     }
+    down = inside.rowsBetween(0, Window.unboundedFollowing)
+    new |= {k: F.greatest(F.max(f"__h_{k}").over(upto), F.col(f"__bh_{k}")) for k in highs}
+    new |= {k: F.least(F.min(f"__l_{k}").over(down), F.col(f"__bl_{k}")) for k in lows}
     if prev:
         got = F.coalesce(F.lag(p_row).over(inside), F.col("__before"))
         new |= {k: got[f"__p_{k}"] for k in prev}
