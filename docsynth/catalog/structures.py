@@ -8,27 +8,11 @@ from pyspark.sql import functions as F
 from docsynth.catalog.base import Tables, boxes, query
 from docsynth.operators import overlap, structure
 from docsynth.operators.ordered import number_rows
+from docsynth.plans.recovery import Recovery
 
 
-def normal(t: Tables) -> DataFrame:
-    return structure.normal_rows(structure.row_clusters(boxes(t)))
-
-
-def table_columns(t: Tables) -> DataFrame:
-    return structure.bounding_union(structure.column_clusters(normal(t)), "image_id", "col_no")
-
-
-def padded_columns(t: Tables) -> DataFrame:
-    return structure.column_padding(table_columns(t), structure.page_edges(boxes(t)))
-
-
-def grid(t: Tables) -> DataFrame:
-    """Cells of the full rows of every image."""
-    rows = structure.row_clusters(boxes(t))
-    sizes = structure.line_sizes(rows)
-    full = sizes.join(structure.column_count(sizes).withColumnRenamed("cols_max", "n"), ["image_id", "n"])
-    extents = structure.row_extents(rows).join(full, ["image_id", "row_no"], "left_semi")
-    return structure.grid_cells(extents, padded_columns(t))
+def recovered(t: Tables) -> Recovery:
+    return Recovery(boxes(t))
 
 
 @query("SELECT image_id, ann_id, row_number() OVER (PARTITION BY image_id ORDER BY t, l, ann_id) AS seq FROM boxes")
@@ -43,22 +27,22 @@ def row_clusters(t: Tables) -> DataFrame:
 
 @query("SELECT image_id, cols_max FROM col_max")
 def column_count(t: Tables) -> DataFrame:
-    return structure.column_count(structure.line_sizes(structure.row_clusters(boxes(t))))
+    return structure.column_count(recovered(t).sizes)
 
 
 @query("SELECT image_id, ann_id, col_no FROM col_boxes")
 def column_clusters(t: Tables) -> DataFrame:
-    return structure.column_clusters(normal(t)).select("image_id", "ann_id", "col_no")
+    return recovered(t).column_texts.select("image_id", "ann_id", "col_no")
 
 
 @query("SELECT * FROM padded")
 def column_padding(t: Tables) -> DataFrame:
-    return padded_columns(t)
+    return recovered(t).padded_columns
 
 
 @query("SELECT * FROM row_ext")
 def row_extents(t: Tables) -> DataFrame:
-    return structure.row_extents(structure.row_clusters(boxes(t)))
+    return recovered(t).extents
 
 
 HIDDEN = """(SELECT image_id, row_no, l, top AS t, r, top + avg_h AS b FROM (SELECT x.image_id, row_no, l, r, avg_h, t - pb AS gap,
@@ -69,37 +53,28 @@ HIDDEN = """(SELECT image_id, row_no, l, top AS t, r, top + avg_h AS b FROM (SEL
 
 @query(f"SELECT * FROM {HIDDEN}")
 def hidden_rows(t: Tables) -> DataFrame:
-    return structure.hidden_rows(structure.row_extents(structure.row_clusters(boxes(t))))
+    return structure.hidden_rows(recovered(t).extents)
 
 
 ADDED = f"(SELECT *, 0 AS inserted FROM row_ext UNION ALL SELECT *, 1 AS inserted FROM {HIDDEN})"
 
 
 @query(
-    f"""SELECT image_id, row_no, inserted, t, b, row_number() OVER (PARTITION BY image_id ORDER BY t, inserted, row_no) AS seq
+    f"""SELECT image_id, row_no, CAST(inserted AS BIGINT) AS inserted, t, b, row_number() OVER (PARTITION BY image_id ORDER BY t, inserted, row_no) AS seq
     FROM {ADDED}"""
 )
 def add_rows(t: Tables) -> DataFrame:
-    rows = structure.row_extents(structure.row_clusters(boxes(t)))
-    both = structure.add_rows(rows, structure.hidden_rows(rows))
-    placed = number_rows(both, ["image_id"], structure.band("t"), ["t", "inserted", "row_no"], "seq")
+    placed = number_rows(recovered(t).all_rows, ["image_id"], structure.band("t"), ["t", "inserted", "row_no"], "seq")
     return placed.select("image_id", "row_no", "inserted", "t", "b", "seq")
 
 
-TRIMMED = f"""(SELECT image_id, row_no, l, t, r, b, inserted FROM (SELECT *, row_number() OVER (PARTITION BY image_id
+TRIMMED = f"""(SELECT image_id, row_no, l, t, r, b, CAST(inserted AS BIGINT) AS inserted FROM (SELECT *, row_number() OVER (PARTITION BY image_id
     ORDER BY inserted, row_no) AS k, count(*) OVER (PARTITION BY image_id) AS n FROM {ADDED}) WHERE k > 2 AND k <= n - 1)"""
 
 
-def trimmed(t: Tables) -> DataFrame:
-    rows = structure.row_extents(structure.row_clusters(boxes(t)))
-    both = structure.add_rows(rows, structure.hidden_rows(rows))
-    chunk = {"inserted": F.col("inserted"), "block": F.floor(F.col("row_no") / 256)}
-    return structure.trim_rows(both, ["image_id"], chunk, ["inserted", "row_no"], 2, 1)
-
-
 @query(f"SELECT * FROM {TRIMMED}")
 def trim_rows(t: Tables) -> DataFrame:
-    return trimmed(t)
+    return recovered(t).trimmed
 
 
 HEIGHTS = f"""(SELECT image_id, seq, l, t2 AS t, r, coalesce(lead(t2) OVER (PARTITION BY image_id ORDER BY seq), b2) AS b FROM
@@ -111,26 +86,24 @@ HEIGHTS = f"""(SELECT image_id, seq, l, t2 AS t, r, coalesce(lead(t2) OVER (PART
 
 @query(f"SELECT * FROM {HEIGHTS}")
 def row_heights(t: Tables) -> DataFrame:
-    return structure.row_heights(trimmed(t))
+    return recovered(t).final_rows
 
 
 @query("SELECT * FROM grid")
 def grid_cells(t: Tables) -> DataFrame:
-    return grid(t).select("image_id", "row_no", "col_no", "l", "t", "r", "b")
+    return recovered(t).full_cells.select("image_id", "row_no", "col_no", "l", "t", "r", "b")
 
 
 @query("SELECT * FROM assigned")
 def assign_text_to_cell(t: Tables) -> DataFrame:
-    return structure.assign_text_to_cell(boxes(t), grid(t))
+    return structure.assign_text_to_cell(boxes(t), recovered(t).full_cells)
 
 
 @query(
-    "SELECT image_id, ann_id FROM boxes WHERE (image_id, ann_id) NOT IN (SELECT (image_id, ann_id) FROM assigned)".replace(
-        "(image_id, ann_id) NOT IN (SELECT (image_id, ann_id) FROM assigned)", "ann_id NOT IN (SELECT ann_id FROM assigned)"
-    )
+    "SELECT image_id, ann_id FROM boxes WHERE ann_id NOT IN (SELECT ann_id FROM assigned)"
 )
 def texts_outside_cells(t: Tables) -> DataFrame:
-    return structure.texts_outside_cells(boxes(t), grid(t)).select("image_id", "ann_id")
+    return structure.texts_outside_cells(boxes(t), recovered(t).full_cells).select("image_id", "ann_id")
 
 
 @query(
@@ -201,7 +174,7 @@ def cells_to_rows(t: Tables) -> DataFrame:
     ORDER BY x.t, x.l, x.ann_id) AS line_no FROM assigned a JOIN boxes x ON a.ann_id = x.ann_id"""
 )
 def cell_texts(t: Tables) -> DataFrame:
-    out = structure.cell_texts(structure.assign_text_to_cell(boxes(t), grid(t)), boxes(t))
+    out = structure.cell_texts(recovered(t).assigned, boxes(t))
     return out.select("image_id", "row_no", "col_no", "content", "line_no")
 
 
@@ -212,8 +185,8 @@ def cell_texts(t: Tables) -> DataFrame:
       ON g.image_id = f.image_id AND g.row_no = f.row_no AND g.col_no = f.col_no GROUP BY g.image_id, g.row_no"""
 )
 def cells_to_rows_text(t: Tables) -> DataFrame:
-    cells = grid(t)
-    return structure.cells_to_rows_text(cells, structure.assign_text_to_cell(boxes(t), cells), boxes(t))
+    table = recovered(t)
+    return structure.cells_to_rows_text(table.full_cells, table.assigned, boxes(t))
 
 
 @query(
@@ -241,7 +214,7 @@ def table_extent(t: Tables) -> DataFrame:
     max(r) AS r, max(b) AS b, count(*) AS n_texts FROM grid GROUP BY ALL"""
 )
 def merge_cells(t: Tables) -> DataFrame:
-    return structure.merge_cells(grid(t), "col_no", 2, 3, F.count(F.lit(1)))
+    return structure.merge_cells(recovered(t).full_cells, "col_no", 2, 3, F.count(F.lit(1)))
 
 
 @query(
@@ -249,9 +222,9 @@ def merge_cells(t: Tables) -> DataFrame:
     SELECT c.image_id, c.col_no, c.l, r.top AS t, c.r, r.bottom AS b FROM table_cols c JOIN rows_ r ON c.image_id = r.image_id"""
 )
 def column_extents(t: Tables) -> DataFrame:
-    rows = structure.row_extents(structure.row_clusters(boxes(t)))
-    span = rows.groupBy("image_id").agg(F.min("t").alias("t"), F.max("b").alias("b"))
-    return table_columns(t).drop("t", "b").join(span, "image_id").select("image_id", "col_no", "l", "t", "r", "b")
+    table = recovered(t)
+    span = table.extents.groupBy("image_id").agg(F.min("t").alias("t"), F.max("b").alias("b"))
+    return table.columns.drop("t", "b").join(span, "image_id").select("image_id", "col_no", "l", "t", "r", "b")
 
 
 # ---------------------------------------------------------------- collisions
@@ -303,3 +276,16 @@ ORDER_BOXES = """(SELECT DISTINCT split_part(ann_id, '-', 1) AS image_id, l, t,
 def largest_gap(t: Tables) -> DataFrame:
     by_order = boxes(t).withColumn("image_id", F.substring_index("ann_id", "-", 1))
     return overlap.largest_gap(by_order)
+
+
+@query(
+    f"""WITH cells AS (SELECT h.image_id, h.seq AS row_no, c.col_no, c.l, h.t, c.r, h.b FROM {HEIGHTS} h JOIN padded c
+      ON h.image_id = c.image_id),
+    a AS (SELECT x.image_id, x.ann_id, x.content, c.row_no, c.col_no FROM boxes x JOIN cells c ON x.image_id = c.image_id
+      AND (x.l + x.r) // 2 BETWEEN c.l AND c.r AND (x.t + x.b) // 2 BETWEEN c.t AND c.b
+      QUALIFY row_number() OVER (PARTITION BY x.ann_id ORDER BY c.row_no, c.col_no) = 1)
+    SELECT c.*, a.ann_id, a.content FROM cells c LEFT JOIN a ON c.image_id = a.image_id AND c.row_no = a.row_no
+      AND c.col_no = a.col_no"""
+)
+def table_recovery(t: Tables) -> DataFrame:
+    return recovered(t).table.select("image_id", "row_no", "col_no", "l", "t", "r", "b", "ann_id", "content")

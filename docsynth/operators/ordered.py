@@ -8,7 +8,7 @@ runs inside (group, chunk). The rows are shuffled once, on (group, chunk), for b
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -99,11 +99,29 @@ def islands(
     chunk: Mapping[str, Column],
     order: Sequence[str],
     carry: Mapping[str, Column],
-    joined: Column,
+    joined: Callable[[Column, Column], Column],
     name: str,
 ) -> DataFrame:
-    """Number runs of rows: a row opens a new run unless ``joined`` (an expression over the carried values) holds."""
-    seen = scan(df, group, chunk, order, prev=dict(carry))
-    opens = F.when(joined, 0).otherwise(1).cast("bigint")
-    out = scan(seen.withColumn("__opens", opens), group, chunk, order, sums={name: F.col("__opens")})
-    return out.drop("__opens", *carry)
+    """Number runs of rows from 1: a row opens a new run unless ``joined(previous, own)`` holds.
+
+    ``carry`` names the values compared; both arguments of ``joined`` are structs of them. Runs are counted inside
+    each chunk, and the first row of a chunk is compared with the last row of the chunk before it.
+    """
+    keys, parts = list(group), [f"__c_{c}" for c in chunk]
+    src = df.withColumns({f"__c_{c}": e for c, e in chunk.items()} | {"__own": F.struct(*[v.alias(k) for k, v in carry.items()])})
+    inside = Window.partitionBy(*keys, *parts).orderBy(*order)
+    before = F.lag("__own").over(inside)
+    opens = F.when(before.isNull() | joined(before, F.col("__own")), 0).otherwise(1).cast("bigint")
+    flagged = src.withColumn("__opens", opens)
+    at = F.struct(*order)
+    over = Window.partitionBy(*keys).orderBy(*parts)
+    per_chunk = (
+        flagged.groupBy(*keys, *parts)
+        .agg(F.sum("__opens").alias("__n"), F.min_by("__own", at).alias("__first"), F.max_by("__own", at).alias("__last"))
+        .withColumn("__left", F.lag("__last").over(over))
+        .withColumn("__head", F.when(joined(F.col("__left"), F.col("__first")), 0).otherwise(1).cast("bigint"))
+        .withColumn("__upto", F.sum(F.col("__n") + F.col("__head")).over(over) - F.col("__n"))
+        .select(*keys, *parts, "__upto")
+    )
+    run = F.sum("__opens").over(inside.rowsBetween(Window.unboundedPreceding, 0)) + F.col("__upto")
+    return flagged.join(per_chunk, keys + parts).select(*[c for c in df.columns if c != name], run.alias(name))

@@ -29,11 +29,18 @@ def reading_order(boxes: DataFrame, name: str = "seq") -> DataFrame:
     return number_rows(boxes, ["image_id"], band("t"), READING, name)
 
 
+def same_row(p: Column, q: Column) -> Column:
+    return centre_inside(p["t"], p["b"], q["t"], q["b"])
+
+
+def same_col(p: Column, q: Column) -> Column:
+    return centre_inside(p["l"], p["r"], q["l"], q["r"])
+
+
 def row_clusters(boxes: DataFrame) -> DataFrame:
     """``row_no``: same row as the previous text in reading order if either middle lies in the other's height."""
-    same = centre_inside(F.col("t"), F.col("b"), F.col("__pt"), F.col("__pb"))
-    carry = {"__pt": F.col("t"), "__pb": F.col("b")}
-    return islands(boxes, ["image_id"], band("t"), READING, carry, same, "row_no")
+    carry = {"t": F.col("t"), "b": F.col("b")}
+    return islands(boxes, ["image_id"], band("t"), READING, carry, same_row, "row_no")
 
 
 def line_sizes(rows: DataFrame) -> DataFrame:
@@ -48,16 +55,18 @@ def column_count(sizes: DataFrame) -> DataFrame:
 
 def normal_rows(rows: DataFrame) -> DataFrame:
     """Texts of the rows that have the full number of columns."""
-    sizes = line_sizes(rows)
-    full = sizes.join(column_count(sizes).withColumnRenamed("cols_max", "n"), ["image_id", "n"]).select("image_id", "row_no")
-    return rows.join(full, ["image_id", "row_no"], "left_semi")
+    return rows.join(full_rows(line_sizes(rows)), ["image_id", "row_no"], "left_semi")
+
+
+def full_rows(sizes: DataFrame) -> DataFrame:
+    most = column_count(sizes).withColumnRenamed("cols_max", "n")
+    return sizes.join(most, ["image_id", "n"]).select("image_id", "row_no")
 
 
 def column_clusters(texts: DataFrame) -> DataFrame:
     """``col_no`` by the row rule turned sideways, after sorting by the left edge."""
-    same = centre_inside(F.col("l"), F.col("r"), F.col("__pl"), F.col("__pr"))
-    carry = {"__pl": F.col("l"), "__pr": F.col("r")}
-    return islands(texts, ["image_id"], band("l"), ["l", "t", "ann_id"], carry, same, "col_no")
+    carry = {"l": F.col("l"), "r": F.col("r")}
+    return islands(texts, ["image_id"], band("l"), ["l", "t", "ann_id"], carry, same_col, "col_no")
 
 
 def bounding_union(df: DataFrame, *keys: str) -> DataFrame:
