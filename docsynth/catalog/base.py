@@ -95,7 +95,8 @@ INPUTS: dict[str, str] = {
         CASE WHEN event_type IN ('purchase', 'error') THEN -1 ELSE 1 END * CAST(round(value * 100) AS BIGINT) AS cents
         FROM events""",
     "boxes": """SELECT l_orderkey // 10 AS image_id,
-        l_orderkey || '-' || l_linenumber || '-' || l_partkey || '-' || l_suppkey AS ann_id,
+        l_orderkey || '-' || l_linenumber || '-' || l_partkey || '-' || l_suppkey || '-' ||
+          CAST(round(l_extendedprice * 100) AS BIGINT) AS ann_id,
         100 * (n % 4) + l_suppkey % 7 AS l, 40 * (n // 4) + l_partkey % 5 AS t,
         100 * (n % 4) + l_suppkey % 7 + 40 + CAST(l_quantity AS BIGINT) AS r,
         40 * (n // 4) + l_partkey % 5 + 16 + l_partkey % 5 AS b,
@@ -190,12 +191,13 @@ def ledger(t: Tables) -> DataFrame:
 
 def boxes(t: Tables) -> DataFrame:
     """Every line item as a text box; an image holds ten orders in four columns of slots."""
+    cents = F.round(F.col("l_extendedprice") * 100).cast("bigint")
     n = F.col("l_orderkey") % 10 * 7 + F.col("l_linenumber") - 1
     left = 100 * (n % 4) + F.col("l_suppkey") % 7
     top = 40 * F.floor(n / 4) + F.col("l_partkey") % 5
     return t.lineitem.select(
         F.floor(F.col("l_orderkey") / 10).alias("image_id"),
-        F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").alias("ann_id"),
+        F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", cents).alias("ann_id"),
         left.alias("l"),
         top.alias("t"),
         (left + 40 + F.col("l_quantity").cast("bigint")).alias("r"),

@@ -101,32 +101,21 @@ def fit_scale(w: Column, h: Column, box_w: Column, box_h: Column, keep_ratio: bo
     return (F.least(sx, sy), F.least(sx, sy)) if keep_ratio else (sx, sy)
 
 
-def arc_polygon(n: Column, size: Column, radius: Column, ratio: float = 0.7, clockwise: bool = True, degrees=None) -> Column:
-    """Outline of n letters set on an arc that starts at the origin: outer edge forward, inner edge back.
+def arc_angle(size: Column, radius: Column, ratio: float = 0.7) -> Column:
+    """Angle one letter takes on an arc."""
+    return 2 * F.asin(ratio * size * 2**0.5 / 2 / radius)
 
-    Angles run over -d/2, 0, d, .., (n-1)d, (n-1)d + d/2 with d the angle of one letter; ``degrees=None`` turns the arc
-    so that its chord is level.
-    """
-    d = 2 * F.asin(ratio * size * 2**0.5 / 2 / radius)
-    sign = 1 if clockwise else -1
-    turn = -d * (n - 1) * sign / 2 if degrees is None else F.radians(degrees)
-    steps = F.concat(
-        F.array(-d / 2),
-        F.transform(F.sequence(F.lit(0), n - 1), lambda i: i * d),
-        F.array((n - 1) * d + d / 2),
-    )
 
-    def vertex(theta: Column, off: Column) -> Column:
-        # (dx, dy) turned about the origin; a point straight above or below it stays.
-        dx = (radius + off) * F.sin(theta)
-        dy = sign * (radius - (radius + off) * F.cos(theta))
-        x = F.when(dx == 0, F.lit(0.0)).otherwise(dx * F.cos(turn) - dy * F.sin(turn))
-        y = F.when(dx == 0, dy).otherwise(dx * F.sin(turn) + dy * F.cos(turn))
-        return point(x.cast("bigint"), y.cast("bigint"))
-
-    outer = F.transform(steps, lambda a: vertex(a, size / 2))
-    inner = F.transform(steps, lambda a: vertex(a, -size / 2))
-    return F.concat(outer, F.reverse(inner))
+def arc_vertex(theta: Column, off: Column, radius: Column, turn: Column, sign: int = 1) -> Column:
+    """Point at an angle of the arc, pushed outwards by ``off`` and turned about the start.
+
+    A point straight above or below the start stays where it is.
+    """
+    dx = (radius + off) * F.sin(theta)
+    dy = sign * (radius - (radius + off) * F.cos(theta))
+    x = F.when(dx == 0, F.lit(0.0)).otherwise(dx * F.cos(turn) - dy * F.sin(turn))
+    y = F.when(dx == 0, dy).otherwise(dx * F.sin(turn) + dy * F.cos(turn))
+    return point(x.cast("bigint"), y.cast("bigint"))
 
 
 def to_origin(q: Column) -> Column:

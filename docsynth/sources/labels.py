@@ -84,13 +84,21 @@ def corpus_entries(df: DataFrame, value: str = "value") -> DataFrame:
     return df.select(F.substring_index(value, "@", -1).alias("word")).where(F.length("word") > 1)
 
 
-def read_corpus(spark: SparkSession, path: str, charset: str = "GBK") -> DataFrame:
-    """Label files in a legacy charset. Bytes are decoded file by file, so the charset need not be line-safe."""
+def allow_charset(spark: SparkSession) -> None:
+    """Let ``decode`` take charsets beyond the Unicode ones and pass over bad bytes."""
     spark.conf.set("spark.sql.legacy.javaCharsets", "true")
     spark.conf.set("spark.sql.legacy.codingErrorAction", "true")
-    files = spark.read.format("binaryFile").load(path)
-    lines = files.select(F.explode(F.split(F.decode("content", charset), r"\r?\n")).alias("value"))
-    return corpus_entries(lines)
+
+
+def decode_corpus(files: DataFrame, charset: str) -> DataFrame:
+    """Entries of label files held as bytes in ``content``."""
+    return corpus_entries(files.select(F.explode(F.split(F.decode("content", charset), r"\r?\n")).alias("value")))
+
+
+def read_corpus(spark: SparkSession, path: str, charset: str = "GBK") -> DataFrame:
+    """Label files in a legacy charset, decoded file by file, so the charset need not be line-safe."""
+    allow_charset(spark)
+    return decode_corpus(spark.read.format("binaryFile").load(path), charset)
 
 
 def slots_of(df: DataFrame) -> DataFrame:

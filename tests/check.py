@@ -69,6 +69,7 @@ def compare(spark, name, query, sql, path):
 
 
 def type_notes(df, sql, path):
+    """Columns whose type differs; asks the query again, so only with ``types`` on the command line."""
     cols, types, _ = oracle_rows(f"SELECT * FROM ({sql}) LIMIT 0", path)
     want = dict(zip(cols, types))
     have = {f.name: KIND.get(f.dataType.typeName(), f.dataType.typeName()) for f in df.schema}
@@ -81,6 +82,8 @@ if __name__ == "__main__":
     from docsynth.session import local_session
 
     scale, wanted = (sys.argv[1] if len(sys.argv) > 1 else "0.001"), sys.argv[2:]
+    types = "types" in wanted
+    wanted = [w for w in wanted if w != "types"]
     spark = local_session("8")
     spark.sparkContext.setLogLevel("ERROR")
     qs, oracle = entry.queries(), entry.oracle_sql()
@@ -93,7 +96,7 @@ if __name__ == "__main__":
         start = time.time()
         try:
             diff = compare(spark, name, q, oracle.get(name), f"{ROOT}/sf{scale}")
-            notes = type_notes(q(spark, f"{ROOT}/sf{scale}"), oracle[name], f"{ROOT}/sf{scale}") if name in oracle else ["no sql"]
+            notes = type_notes(q(spark, f"{ROOT}/sf{scale}"), oracle[name], f"{ROOT}/sf{scale}") if types and name in oracle else ([] if name in oracle else ["no sql"])
         except Exception as e:  # noqa: BLE001 - report and go on
             diff, notes = f"{type(e).__name__}: {str(e)[:1500]}", []
         fails += bool(diff)
