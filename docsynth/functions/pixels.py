@@ -71,8 +71,12 @@ def blend(a: Column, b: Column, mode: str) -> Column:
     raise ValueError(mode)
 
 
-def fold_shade(v: Column, at: Column, pos: int, size: int) -> Column:
+def _num(pos: Column | int) -> Column:
+    return pos if isinstance(pos, Column) else F.lit(pos)
+
+
+def fold_shade(v: Column, at: Column, pos: Column | int, size: int) -> Column:
     """Crease at ``pos``: two gains, one more, and on each side a ramp from 50 to 0, the right one weaker; 0..255."""
-    left = F.floor(clamp(v * 0.8 + 1, 0.0, 255.0)) + F.floor(F.lit(50.0) - at * (50.0 / pos))
-    right = F.floor(clamp(v * 0.85 + 1, 0.0, 255.0)) + F.floor(F.lit(50.0) - (at - pos) * (50.0 / (size - pos))) * 0.8
+    left = F.floor(clamp(v * 0.8 + 1, 0.0, 255.0)) + F.floor(F.lit(50.0) - at * (50.0 / _num(pos)))
+    right = F.floor(clamp(v * 0.85 + 1, 0.0, 255.0)) + F.floor(F.lit(50.0) - (at - pos) * (50.0 / (size - _num(pos)))) * 0.8
     return clamp(F.rint(F.when(at < pos, left).otherwise(right)), 0.0, 255.0).cast("bigint")

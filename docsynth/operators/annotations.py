@@ -79,10 +79,11 @@ def arc_outlines(df: DataFrame, n: str, size: str, radius: str, clockwise: bool
     letter = g.arc_angle(F.col(size), F.col(radius))
     d, last = F.col("__d"), F.col("__d") * (F.col(n) - 1)
     steps = F.concat(F.array(-d / 2), F.transform(F.sequence(F.lit(0), F.col(n) - 1), lambda i: i * d), F.array(last + d / 2))
-    edges = {
-        f"__{k}": F.transform("__steps", lambda a, s=s: g.arc_vertex(a, F.col(size) * s, F.col(radius), F.col("__turn"), sign))
-        for k, s in (("outer", 0.5), ("inner", -0.5))
-    }
+
+    def edge(share: float) -> Column:
+        return F.transform("__steps", lambda a: g.arc_vertex(a, F.col(size) * share, F.col(radius), F.col("__turn"), sign))
+
+    edges = {"__outer": edge(0.5), "__inner": edge(-0.5)}
     return (
         df.withColumn("__d", letter)
         .withColumns({"__turn": -last * sign / 2 if degrees is None else F.radians(degrees), "__steps": steps})

@@ -23,18 +23,18 @@ def form_blocks(forms: DataFrame) -> DataFrame:
     ``half`` says on which side of a two-part form the block goes. A form's blocks are made and ordered in its own row.
     """
     i = F.col("id")
-    lists = []
-    for k, (kind, ratio, low, high) in enumerate(BLOCKS):
-        times = rng.integer(i, 410 + k, low, high)
-        copies = F.transform(
-            F.sequence(F.lit(1).cast("bigint"), times),
-            lambda c, k=k, kind=kind: F.struct(
-                rng.draw(i * 1009 + c * 11 + k, 430).alias("order"), F.lit(kind).alias("kind"), c.alias("copy")
-            ),
+    none = F.array().cast("array<struct<order:bigint,kind:string,copy:bigint>>")
+
+    def copies(k: int, kind: str, ratio: float, low: int, high: int) -> Column:
+        made = F.transform(
+            F.sequence(F.lit(1).cast("bigint"), rng.integer(i, 410 + k, low, high)),
+            lambda c: F.struct(rng.draw(i * 1009 + c * 11 + k, 430).alias("order"), F.lit(kind).alias("kind"), c.alias("copy")),
         )
-        shown = rng.uniform(i, 400 + k) < ratio
-        lists.append(F.when(shown, copies).otherwise(F.array().cast("array<struct<order:bigint,kind:string,copy:bigint>>")))
-    rows = forms.select("id", F.posexplode(F.array_sort(F.concat(*lists))).alias("i", "b"), F.size(F.concat(*lists)).alias("n"))
+        return F.when(rng.uniform(i, 400 + k) < ratio, made).otherwise(none)
+
+    lists = [copies(k, *spec) for k, spec in enumerate(BLOCKS)]
+    rows = forms.select("id", F.concat(*lists).alias("blocks"))
+    rows = rows.select("id", F.size("blocks").alias("n"), F.posexplode(F.array_sort("blocks")).alias("i", "b"))
     return rows.select(
         "id",
         (F.col("i") + 1).alias("pos"),
@@ -47,16 +47,17 @@ def form_blocks(forms: DataFrame) -> DataFrame:
 def block_lines(blocks: DataFrame) -> DataFrame:
     """Text lines of every block of :func:`form_blocks`."""
     ident = F.col("id") * 1009 + F.col("pos")
-    n = rng.integer(ident, 440, 2, 5)
+    seeded = blocks.withColumns({f"s{k}": rng.draw(ident, k) for k in (441, 442, 443, 445)} | {"n": rng.integer(ident, 440, 2, 5)})
 
     def word(j: Column, salt: int) -> Column:
-        seed = rng.draw(ident, salt)
-        return F.concat(*[F.char((F.shiftright(seed, 5 * m) + j * (m + 3)) % 26 + 97) for m in range(5)])
+        """Five letters that vary with j."""
+        letters = [F.char((F.shiftright(F.col(f"s{salt}"), 5 * m) + j * (m + 3)) % 26 + 97) for m in range(5)]
+        return F.concat(*letters)
 
-    rows = F.sequence(F.lit(1).cast("bigint"), n)
+    rows = F.sequence(F.lit(1).cast("bigint"), F.col("n"))
 
     def value(j: Column) -> Column:
-        return F.when((rng.draw(ident, 445) + j * 7) % 10 < 2, F.lit(" ")).otherwise(word(j, 442))
+        return F.when((F.col("s445") + j * 7) % 10 < 2, F.lit(" ")).otherwise(word(j, 442))
 
     grid = F.transform(rows, lambda j: F.concat_ws("|", word(j, 441), value(j), value(j + 100), value(j + 200)))
     head = F.array(F.concat_ws("|", F.lit(""), word(F.lit(301), 443), word(F.lit(302), 443), word(F.lit(303), 443)))
@@ -75,7 +76,7 @@ def block_lines(blocks: DataFrame) -> DataFrame:
     chosen = F.lit(None).cast("array<string>")
     for kind, lines in by_kind.items():
         chosen = F.when(F.col("kind") == kind, lines).otherwise(chosen)
-    return blocks.select("id", "pos", "kind", F.posexplode(chosen).alias("line_no", "line"))
+    return seeded.select("id", "pos", "kind", F.posexplode(chosen).alias("line_no", "line"))
 
 
 # Slots of one template, label with rectangle in signs.
@@ -119,19 +120,20 @@ def page_layout(pages: DataFrame) -> DataFrame:
     A column holds at most as many blocks as fit a page, so it is folded in the page's own row.
     """
     i = F.col("id")
-    cols = []
     most = PAGE_HEIGHT // (30 + PAGE_GAP) + 1
-    for mode, columns in enumerate(PAGES):
-        for c, kinds in enumerate(columns):
-            names = F.array(*[F.lit(k) for k in kinds])
-            blocks = F.transform(
-                F.sequence(F.lit(0), F.lit(most)),
-                lambda j, names=names, kinds=kinds, c=c: F.struct(
-                    F.element_at(names, (j % len(kinds) + 1).cast("int")).alias("kind"),
-                    ((rng.draw(i, 450 + c) + j * 7919) % 5 * 20).alias("extra"),
-                ),
-            )
-            cols.append(F.struct(F.lit(mode).alias("mode"), F.lit(c).alias("col_no"), blocks.alias("blocks")))
+
+    def column(mode: int, c: int, kinds: list[str]) -> Column:
+        names = F.array(*[F.lit(k) for k in kinds])
+        blocks = F.transform(
+            F.sequence(F.lit(0), F.lit(most)),
+            lambda j: F.struct(
+                F.element_at(names, (j % len(kinds) + 1).cast("int")).alias("kind"),
+                ((rng.draw(i, 450 + c) + j * 7919) % 5 * 20).alias("extra"),
+            ),
+        )
+        return F.struct(F.lit(mode).alias("mode"), F.lit(c).alias("col_no"), blocks.alias("blocks"))
+
+    cols = [column(mode, c, kinds) for mode, columns in enumerate(PAGES) for c, kinds in enumerate(columns)]
     rows = pages.select("id", F.explode(F.filter(F.array(*cols), lambda s: s["mode"] == i % 5)).alias("s")).select("id", "s.*")
 
     def height(b: Column) -> Column:
