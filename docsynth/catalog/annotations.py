@@ -11,7 +11,7 @@ from docsynth.operators import annotations as ann
 from docsynth.operators import structure
 from docsynth.rng import draw, integer, pick
 from docsynth.session import work_path
-from docsynth.sources import labels, markup
+from docsynth.sources import hierarchy, labels, markup
 
 C = F.col
 CORNERS = [("l", "t"), ("r", "t"), ("r", "b"), ("l", "b")]
@@ -162,6 +162,22 @@ def write_articles(t: Tables) -> DataFrame:
     return t.spark.read.schema(dataset.ARTICLE).json(path).select("url", "content", F.size("image_urls").alias("n_images"))
 
 
+@query(
+    """SELECT s_suppkey AS statement_no, s_name AS statement, CAST(section_no AS BIGINT) AS section_no, section, CAST(item_no AS BIGINT) AS item_no,
+    CASE WHEN section_no = 0 AND item_no = 0 THEN s_name WHEN section_no = 0 THEN 'nation ' || s_nationkey WHEN section_no = 1 THEN
+    'balance' END AS item FROM supplier, (VALUES (0, 'identity', 0), (0, 'identity', 1), (1, 'money', 0), (2, 'empty', NULL))
+    AS v(section_no, section, item_no)"""
+)
+def read_hierarchy(t: Tables) -> DataFrame:
+    def section(name: str, *items: Column) -> Column:
+        return F.struct(F.lit(name).alias("section"), (F.array(*items) if items else F.array().cast("array<string>")).alias("items"))
+
+    nation = F.concat(F.lit("nation "), C("s_nationkey").cast("string"))
+    sections = F.array(section("identity", C("s_name"), nation), section("money", F.lit("balance")), section("empty"))
+    nested = t.supplier.select(C("s_suppkey").alias("statement_no"), C("s_name").alias("statement"), sections.alias("sections"))
+    return hierarchy.explode_hierarchy(nested)
+
+
 @query(
     f"""SELECT doc_id AS "index", l.lang, printf('%s_%s_%08d_%d', 'doc', l.lang, doc_id, 0) AS name,
     {draw_sql('doc_id', 50)} AS seed FROM documents, (VALUES ('en'), ('fr'), ('km')) AS l(lang)"""
