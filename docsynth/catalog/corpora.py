@@ -119,8 +119,8 @@ def longest_word_that_fits(t: Tables) -> DataFrame:
     s AS (SELECT c_custkey AS slot_id, {pick_sql('c_custkey', 40, LANGS)} AS lang, {integer_sql('c_custkey', 42, 4, 40)} AS chars
       FROM customer),
     k AS (SELECT s.*, k FROM s, range(0, 21) AS r(k) WHERE k <= chars // 2),
-    p AS (SELECT k.slot_id, k.chars, k.k, v.word, v.n_chars FROM k JOIN z ON k.lang = z.lang
-      JOIN v ON v.lang = k.lang AND v.idx = {draw_sql('k.slot_id * 1009 + k.k', 34)} % z.size),
+    i AS MATERIALIZED (SELECT k.*, {draw_sql('k.slot_id * 1009 + k.k', 34)} % z.size AS idx FROM k JOIN z ON k.lang = z.lang),
+    p AS (SELECT i.slot_id, i.chars, i.k, v.word, v.n_chars FROM i JOIN v ON v.lang = i.lang AND v.idx = i.idx),
     l AS (SELECT *, chars - coalesce(sum(n_chars + 1) OVER (PARTITION BY slot_id ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING
       AND 1 PRECEDING), 0) AS lft FROM p)
     SELECT slot_id, string_agg(substr(word, 1, CAST(lft AS BIGINT)), ' ' ORDER BY k) AS text FROM l

@@ -171,8 +171,8 @@ SLOT_ROWS = ", ".join(f"({k}, '{s}', {x}, {y}, {n})" for k, (s, x, y, n) in enum
     s(slot_no, slot, l, t, chars) AS (VALUES {SLOT_ROWS}),
     x AS (SELECT c_custkey AS id, {pick_sql('c_custkey', 40, LANGS)} AS lang, s.*, c_custkey * 100 + slot_no AS slot_id FROM customer, s),
     k AS (SELECT x.slot_id, x.lang, chars, k FROM x, range(0, 16) AS r(k) WHERE slot = 'text' AND k <= chars // 2),
-    p AS (SELECT k.slot_id, k.chars, k.k, v.word, v.n_chars FROM k JOIN z ON k.lang = z.lang
-      JOIN v ON v.lang = k.lang AND v.idx = {draw_sql('k.slot_id * 1009 + k.k', 34)} % z.size),
+    i AS MATERIALIZED (SELECT k.*, {draw_sql('k.slot_id * 1009 + k.k', 34)} % z.size AS idx FROM k JOIN z ON k.lang = z.lang),
+    p AS (SELECT i.slot_id, i.chars, i.k, v.word, v.n_chars FROM i JOIN v ON v.lang = i.lang AND v.idx = i.idx),
     f AS (SELECT *, chars - coalesce(sum(n_chars + 1) OVER (PARTITION BY slot_id ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING
       AND 1 PRECEDING), 0) AS lft FROM p),
     w AS (SELECT slot_id, string_agg(substr(word, 1, CAST(lft AS BIGINT)), ' ' ORDER BY k) AS text FROM f

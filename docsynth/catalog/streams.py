@@ -11,7 +11,9 @@ from docsynth.streaming import jobs
 
 
 def stream(t: Tables, table: str) -> DataFrame:
-    return t.spark.readStream.schema(getattr(t, table).schema).parquet(f"{t.path}/{table}.parquet")
+    """The files of a table as they arrive in its folder."""
+    source = t.spark.readStream.schema(getattr(t, table).schema).option("pathGlobFilter", f"{table}.parquet")
+    return source.parquet(t.path)
 
 
 @query(f"""SELECT doc_id AS "index", printf('%s_%s_%08d_%d', 'docs', 'en', doc_id, 0) AS name, {draw_sql('doc_id', 50)} AS seed FROM documents""")

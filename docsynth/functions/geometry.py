@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from docsynth.functions.binding import let
+
 
 def point(x: Column, y: Column) -> Column:
     return F.struct(x.cast("double").alias("x"), y.cast("double").alias("y"))
@@ -38,26 +40,49 @@ def canvas_after_rotation(w: Column, h: Column, degrees: Column) -> tuple[Column
 
 def rotate_points(q: Column, w: Column, h: Column, degrees: Column) -> Column:
     """Rotation about the middle of a w x h picture whose canvas grows to hold it."""
-    c, s = F.cos(F.radians(degrees)), F.sin(F.radians(degrees))
-    cx, cy = F.floor(w / 2), F.floor(h / 2)
     new_w, new_h = canvas_after_rotation(w, h, degrees)
-    dx = (1 - c) * cx - s * cy + new_w / 2 - cx
-    dy = s * cx + (1 - c) * cy + new_h / 2 - cy
-    return map_points(q, lambda x, y: c * x + s * y + dx, lambda x, y: -s * x + c * y + dy)
+    angle = F.struct(
+        F.cos(F.radians(degrees)).alias("c"),
+        F.sin(F.radians(degrees)).alias("s"),
+        F.floor(w / 2).alias("cx"),
+        F.floor(h / 2).alias("cy"),
+        new_w.alias("w"),
+        new_h.alias("h"),
+    )
+
+    def move(a: Column) -> Column:
+        c, s, cx, cy = a["c"], a["s"], a["cx"], a["cy"]
+        dx = (1 - c) * cx - s * cy + a["w"] / 2 - cx
+        dy = s * cx + (1 - c) * cy + a["h"] / 2 - cy
+        return F.struct(c.alias("c"), s.alias("s"), dx.alias("dx"), dy.alias("dy"))
+
+    def turn(k: Column) -> Column:
+        return map_points(
+            q,
+            lambda x, y: k["c"] * x + k["s"] * y + k["dx"],
+            lambda x, y: -k["s"] * x + k["c"] * y + k["dy"],
+        )
+
+    return let(angle, lambda a: let(move(a), turn))
 
 
 def perspective_points(q: Column, w: Column, h: Column, left: Column, right: Column) -> Column:
     """Trapezoid: the upper edge is pulled in by the shares ``left`` and ``right`` of the width."""
-    k = 1 - left - right
+    args = F.struct(
+        (1 - left - right).alias("k"), (left + right).alias("lr"), (w * left).alias("wl"), h.alias("h")
+    )
 
-    def depth(y: Column) -> Column:
-        return 1 - (left + right) * y / h
+    def warp(a: Column) -> Column:
+        def depth(y: Column) -> Column:
+            return 1 - a["lr"] * y / a["h"]
 
-    return map_points(
-        q,
-        lambda x, y: F.floor((k * x - w * left * y / h + w * left) / depth(y)),
-        lambda x, y: F.floor(k * y / depth(y)),
-    )
+        return map_points(
+            q,
+            lambda x, y: F.floor((a["k"] * x - a["wl"] * y / a["h"] + a["wl"]) / depth(y)),
+            lambda x, y: F.floor(a["k"] * y / depth(y)),
+        )
+
+    return let(args, warp)
 
 
 def order_clockwise(q: Column) -> Column:
@@ -119,8 +144,7 @@ def arc_vertex(theta: Column, off: Column, radius: Column, turn: Column, sign: i
 
 
 def to_origin(q: Column) -> Column:
-    box = quad_to_box(q)
-    return shift_points(q, -box["l"], -box["t"])
+    return let(quad_to_box(q), lambda box: shift_points(q, -box["l"], -box["t"]))
 
 
 def css_colour(parts: Column) -> Column:
@@ -167,9 +191,11 @@ def warp_points(q: Column, m: list[Column]) -> Column:
 
 def inflate_quad(q: Column, offset: Column) -> Column:
     """Push every vertex away from the middle of the quad's box."""
-    box = quad_to_box(q)
-    mx, my = (box["l"] + box["r"]) / 2, (box["t"] + box["b"]) / 2
-    return map_points(q, lambda x, y: x + F.signum(x - mx) * offset, lambda x, y: y + F.signum(y - my) * offset)
+    def push(box: Column) -> Column:
+        mx, my = (box["l"] + box["r"]) / 2, (box["t"] + box["b"]) / 2
+        return map_points(q, lambda x, y: x + F.signum(x - mx) * offset, lambda x, y: y + F.signum(y - my) * offset)
+
+    return let(quad_to_box(q), push)
 
 
 def align_anchor(align: Column, l: Column, t: Column, r: Column, b: Column, pad: int) -> tuple[Column, Column]:

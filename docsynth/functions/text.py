@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from docsynth.functions.binding import let
 from docsynth.rng import draw
 
 # Character classes and signs of the text-table format.
@@ -84,38 +85,50 @@ def wrap_words(line: Column, width: int) -> Column:
     return F.when(line.rlike(WIDE), wrap_chars(line, width)).otherwise(F.transform(pieces, lambda p: F.rtrim(p)))
 
 
-def gap_share(free: Column, gaps: Column, i: Column) -> Column:
-    """Free space of gap ``i`` (0-based): equal shares, the first ``free % gaps`` gaps get one more."""
-    return F.floor(free / gaps) + F.when(i < F.pmod(free, gaps), 1).otherwise(0)
-
-
 def justify_words(line: Column, slot: int, char_width: int) -> Column:
     """Word start positions in pixels so that the first and last word touch the slot: ARRAY<STRUCT<word, x>>."""
     words = F.filter(F.split(line, " +"), lambda w: w != "")
-    gaps = F.size(words) - 1
-    free = F.lit(slot) - F.length(F.array_join(words, "")) * char_width
-    share = F.when(gaps > 0, F.floor(free / gaps)).otherwise(0)
-    extra = F.when(gaps > 0, F.pmod(free, gaps)).otherwise(0)
 
-    def place(w: Column, i: Column) -> Column:
-        before = F.length(F.array_join(F.slice(words, F.lit(1), i), "")) * char_width
-        return F.struct(w.alias("word"), (before + i * share + F.least(i, extra)).cast("bigint").alias("x"))
+    def measure(ws: Column) -> Column:
+        gaps = F.size(ws) - 1
+        free = F.lit(slot) - F.length(F.array_join(ws, "")) * char_width
+        share = F.when(gaps > 0, F.floor(free / gaps)).otherwise(0)
+        extra = F.when(gaps > 0, F.pmod(free, gaps)).otherwise(0)
+        sizes = F.transform(ws, lambda w: F.length(w))
+        return F.struct(ws.alias("ws"), share.alias("share"), extra.alias("extra"), sizes.alias("sizes"))
+
+    def place(m: Column) -> Column:
+        def at(w: Column, i: Column) -> Column:
+            before = F.aggregate(F.slice(m["sizes"], F.lit(1), i), F.lit(0), lambda a, n: a + n) * char_width
+            return F.struct(w.alias("word"), (before + i * m["share"] + F.least(i, m["extra"])).cast("bigint").alias("x"))
 
-    return F.transform(words, place)
+        return F.transform(m["ws"], at)
+
+    return let(words, lambda ws: let(measure(ws), place))
 
 
 def justify_line(line: Column, width: int, last: Column) -> Column:
     """Share the spaces of a line over its gaps; the last line and single words stay."""
     words = F.filter(F.split(line, r"\s+"), lambda w: w != "")
-    gaps = F.size(words) - 1
-    free = F.lit(width) - F.length(F.array_join(words, ""))
-    spread = F.transform(
-        words,
-        lambda w, i: F.concat(
-            w, F.when(i < gaps, F.repeat(F.lit(" "), gap_share(free, gaps, i).cast("int"))).otherwise("")
-        ),
-    )
-    return F.when(last, line).when(gaps > 0, F.array_join(spread, "")).otherwise(F.array_join(words, ""))
+
+    def measure(ws: Column) -> Column:
+        gaps = F.size(ws) - 1
+        free = F.lit(width) - F.length(F.array_join(ws, ""))
+        return F.struct(
+            ws.alias("ws"),
+            gaps.alias("gaps"),
+            F.when(gaps > 0, F.floor(free / gaps)).otherwise(0).cast("int").alias("share"),
+            F.when(gaps > 0, F.pmod(free, gaps)).otherwise(0).alias("extra"),
+        )
+
+    def spread(m: Column) -> Column:
+        def pad(w: Column, i: Column) -> Column:
+            n = m["share"] + F.when(i < m["extra"], 1).otherwise(0)
+            return F.when(i < m["gaps"], F.concat(w, F.repeat(F.lit(" "), n))).otherwise(w)
+
+        return F.array_join(F.transform(m["ws"], pad), "")
+
+    return F.when(last, line).otherwise(let(words, lambda ws: let(measure(ws), spread)))
 
 
 def date_like_digits(c: Column, ident: Column, salt: int = 10) -> Column:
@@ -127,15 +140,15 @@ def date_like_digits(c: Column, ident: Column, salt: int = 10) -> Column:
 
 def scramble_digits(c: Column, ident: Column, salt: int = 11) -> Column:
     """Every digit is replaced, seeded by the row and its position; everything else stays."""
-    seed = draw(ident, salt)
-    return F.array_join(
-        F.transform(
-            F.split(c, ""),
-            lambda ch, i: F.when(ch.rlike("^[0-9]$"), (F.pmod(seed + i * i * 31 + i * 17, F.lit(10))).cast("string"))
-            .otherwise(ch),
-        ),
-        "",
-    )
+
+    def scramble(seed: Column) -> Column:
+        def digit(ch: Column, i: Column) -> Column:
+            fresh = F.pmod(seed + i * i * 31 + i * 17, F.lit(10)).cast("string")
+            return F.when(ch.rlike("^[0-9]$"), fresh).otherwise(ch)
+
+        return F.array_join(F.transform(F.split(c, ""), digit), "")
+
+    return let(draw(ident, salt), scramble)
 
 
 def minimal_period(c: Column) -> Column:
@@ -228,11 +241,14 @@ def indent_item(item: Column, unit: str = "  ") -> Column:
 def split_on_gaps(line: Column) -> Column:
     """Pieces parted by two or more spaces with their start column: ARRAY<STRUCT<piece, x>>."""
     runs = F.regexp_extract_all(line, F.lit(r"(\S(?:\S| (?=\S))*)|( +)"), F.lit(0))
-    placed = F.transform(
-        runs,
-        lambda p, i: F.struct(p.alias("piece"), display_width(F.array_join(F.slice(runs, F.lit(1), i), "")).alias("x")),
-    )
-    return F.filter(placed, lambda s: F.trim(s["piece"]) != "")
+
+    def place(rs: Column) -> Column:
+        def at(p: Column, i: Column) -> Column:
+            return F.struct(p.alias("piece"), display_width(F.array_join(F.slice(rs, F.lit(1), i), "")).alias("x"))
+
+        return F.filter(F.transform(rs, at), lambda s: F.trim(s["piece"]) != "")
+
+    return let(runs, place)
 
 
 def shuangpin(syllable: Column) -> Column:
