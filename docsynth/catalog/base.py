@@ -49,9 +49,9 @@ def query(sql: str | None = None) -> Callable:
 def draw_sql(ident: str, salt: int) -> str:
     """The pseudo-random definition of ``docsynth.rng`` spelled in SQL."""
     i = f"CAST({ident} AS BIGINT)"
-    x1 = f"(({i} % {M} * 48271 + ({i} // {M}) % 1000003 * 7919 + {salt * 69621 + 11}) % {M})"
-    x2 = f"(({x1} * {x1} + {x1} * 12345 + {salt}) % {M})"
-    return f"(({x2} * {x2} + {x2} * 54321 + 7) % {M})"
+    x1 = f"(({i} % {M} * 48271 + ({i} >> 31) % 1000003 * 7919 + {salt * 69621 + 11}) % {M})"
+    x2 = f"(({x1} * ({x1} + 12345) + {salt}) % {M})"
+    return f"(({x2} * ({x2} + 54321) + 7) % {M})"
 
 
 def uniform_sql(ident: str, salt: int) -> str:

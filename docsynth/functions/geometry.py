@@ -40,15 +40,11 @@ def canvas_after_rotation(w: Column, h: Column, degrees: Column) -> tuple[Column
 
 def rotate_points(q: Column, w: Column, h: Column, degrees: Column) -> Column:
     """Rotation about the middle of a w x h picture whose canvas grows to hold it."""
-    new_w, new_h = canvas_after_rotation(w, h, degrees)
-    angle = F.struct(
-        F.cos(F.radians(degrees)).alias("c"),
-        F.sin(F.radians(degrees)).alias("s"),
-        F.floor(w / 2).alias("cx"),
-        F.floor(h / 2).alias("cy"),
-        new_w.alias("w"),
-        new_h.alias("h"),
-    )
+
+    def angle(d: Column) -> Column:
+        new_w, new_h = canvas_after_rotation(w, h, d)
+        parts = {"c": F.cos(F.radians(d)), "s": F.sin(F.radians(d)), "cx": F.floor(w / 2), "cy": F.floor(h / 2), "w": new_w, "h": new_h}
+        return F.struct(*[v.alias(k) for k, v in parts.items()])
 
     def move(a: Column) -> Column:
         c, s, cx, cy = a["c"], a["s"], a["cx"], a["cy"]
@@ -63,7 +59,7 @@ def rotate_points(q: Column, w: Column, h: Column, degrees: Column) -> Column:
             lambda x, y: -k["s"] * x + k["c"] * y + k["dy"],
         )
 
-    return let(angle, lambda a: let(move(a), turn))
+    return let(degrees, lambda d: let(angle(d), lambda a: let(move(a), turn)))
 
 
 def perspective_points(q: Column, w: Column, h: Column, left: Column, right: Column) -> Column:

@@ -44,7 +44,10 @@ def plan_stages(df: DataFrame, stages: list[Stage] = STAGES) -> DataFrame:
     i = F.col("image_id")
     cols: dict[str, Column] = {}
     for k, s in enumerate(stages):
-        cols[f"a_{s.name}"] = uniform(i, 200 + 7 * k) < s.ratio
+        if s.ratio >= 1 or s.ratio <= 0:
+            cols[f"a_{s.name}"] = F.lit(s.ratio >= 1)
+        else:
+            cols[f"a_{s.name}"] = uniform(i, 200 + 7 * k) < s.ratio
         cols[f"p_{s.name}"] = s.low + uniform(i, 201 + 7 * k) * (s.high - s.low)
         cols[f"q_{s.name}"] = s.low + uniform(i, 202 + 7 * k) * (s.high - s.low)
     return df.withColumns(cols)

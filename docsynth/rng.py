@@ -15,10 +15,10 @@ M = 2147483647
 def draw(ident: Column, salt: int) -> Column:
     """Integer in [0, 2^31-1) for a row id and a salt. Ids beyond 2^31 keep their high part."""
     ident = ident.cast("bigint")
-    high = F.floor(ident / F.lit(float(M))) % 1000003
+    high = F.shiftright(ident, 31) % 1000003
     x1 = ((ident % M) * 48271 + high * 7919 + (salt * 69621 + 11)) % M
-    x2 = (x1 * x1 + x1 * 12345 + salt) % M
-    return (x2 * x2 + x2 * 54321 + 7) % M
+    x2 = (x1 * (x1 + 12345) + salt) % M
+    return (x2 * (x2 + 54321) + 7) % M
 
 
 def uniform(ident: Column, salt: int) -> Column:
