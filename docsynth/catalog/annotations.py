@@ -185,7 +185,7 @@ def read_hierarchy(t: Tables) -> DataFrame:
 def synth_source(t: Tables) -> DataFrame:
     from docsynth.sources import dataset
 
-    langs = F.explode(F.array(*[F.lit(x) for x in ("en", "fr", "km")])).alias("lang")
+    langs = F.explode_outer(F.array(*[F.lit(x) for x in ("en", "fr", "km")])).alias("lang")
     samples = t.documents.select(C("doc_id").alias("index"), langs)
     name = dataset.sample_name(F.lit("doc"), C("lang"), C("index"), F.lit(0))
     return samples.select("index", "lang", name.alias("name"), draw(C("index"), 50).alias("seed"))
@@ -319,7 +319,7 @@ def encode_labels(t: Tables) -> DataFrame:
     label = F.concat(F.lit("text@"), "content")
     rows = quads(t).select("ann_id", F.array(label, label).alias("labels"), two.alias("points"))
     enc = ann.encode_labels(rows)
-    zipped = F.posexplode(F.arrays_zip("polys", "texts", "ignore_tags")).alias("poly_no", "z")
+    zipped = F.posexplode_outer(F.arrays_zip("polys", "texts", "ignore_tags")).alias("poly_no", "z")
     coords = F.transform("z.polys", lambda p: F.concat_ws(",", p["x"].cast("bigint").cast("string"), p["y"].cast("bigint").cast("string")))
     return enc.select("ann_id", zipped).select(
         "ann_id", "poly_no", C("z.texts").alias("text"), C("z.ignore_tags").alias("ignore_tag"), F.array_join(coords, ";").alias("poly")

@@ -208,13 +208,12 @@ def boxes(t: Tables) -> DataFrame:
 
 def words(t: Tables) -> DataFrame:
     found = F.regexp_extract_all("text", F.lit("[A-Za-z]+"), F.lit(0))
-    return t.documents.select("doc_id", "lang", F.posexplode(found).alias("pos", "word")).withColumn(
-        "pos", F.col("pos") + 1
-    )
+    rows = t.documents.select("doc_id", "lang", F.posexplode_outer(found).alias("pos", "word"))
+    return rows.where(F.col("pos").isNotNull()).withColumn("pos", F.col("pos") + 1)
 
 
 def lines(t: Tables) -> DataFrame:
-    return t.documents.select("doc_id", F.posexplode(F.split("text", "\n")).alias("line_no", "line")).withColumn(
+    return t.documents.select("doc_id", F.posexplode_outer(F.split("text", "\n")).alias("line_no", "line")).withColumn(
         "line_no", F.col("line_no") + 1
     )
 
@@ -245,7 +244,7 @@ def pixels(t: Tables) -> DataFrame:
     quads = F.transform(F.sequence(F.lit(0), F.lit(15)), lambda i: F.slice(F.col("v"), i * 4 + 1, F.lit(4)))
     return (
         t.embeddings.select(F.col("vec_id").alias("image_id"), byte.alias("v"))
-        .select("image_id", F.posexplode(quads).alias("pos", "q"))
+        .select("image_id", F.posexplode_outer(quads).alias("pos", "q"))
         .select(
             "image_id",
             F.floor(F.col("pos") / 4).alias("y"),

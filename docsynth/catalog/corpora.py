@@ -25,7 +25,7 @@ def token_counts(t: Tables) -> DataFrame:
     WHEN regexp_matches(word, '[0-9]') THEN 'value' WHEN length(word) > 10 THEN 'text' ELSE 'value' END AS kind FROM c"""
 )
 def classify_corpus(t: Tables) -> DataFrame:
-    tokens = t.documents.select(F.explode(F.split("text", r"\s+")).alias("word")).where(F.length("word") > 1)
+    tokens = t.documents.select(F.explode_outer(F.split("text", r"\s+")).alias("word")).where(F.length("word") > 1)
     return corpus.classify_corpus(corpus.token_counts(tokens, "word"))
 
 
@@ -47,7 +47,7 @@ def vocab_by_length(t: Tables) -> DataFrame:
     WHERE regexp_matches(word, '^\p{L}+$') AND length(word) > 7"""
 )
 def long_words(t: Tables) -> DataFrame:
-    tokens = t.documents.select("doc_id", F.explode(F.split("text", r"\s+")).alias("word"))
+    tokens = t.documents.select("doc_id", F.explode_outer(F.split("text", r"\s+")).alias("word"))
     return tokens.where(F.col("word").rlike(r"^\p{L}+$") & (F.length("word") > 7))
 
 
@@ -192,7 +192,7 @@ def drop_empty_content(t: Tables) -> DataFrame:
     WHERE regexp_matches(host, 'example\.(com|org)$') AND regexp_matches(link, '^/[A-Za-z]+$')"""
 )
 def link_filter(t: Tables) -> DataFrame:
-    found = t.pages.select(web.host(F.col("url")).alias("host"), F.explode(web.links(F.col("html"))).alias("link"))
+    found = t.pages.select(web.host(F.col("url")).alias("host"), F.explode_outer(web.links(F.col("html"))).alias("link"))
     kept = found.where(web.allowed(F.col("host"), r"example\.(com|org)$") & web.allowed(F.col("link"), "^/[A-Za-z]+$"))
     return kept.distinct()
 
@@ -213,7 +213,7 @@ def per_site_cap(t: Tables) -> DataFrame:
 def extract_ids(t: Tables) -> DataFrame:
     found = F.regexp_extract_all("html", F.lit(r'href="/([^"]+)"'), F.lit(1))
     rest = F.slice(found, F.lit(2), F.greatest(F.size(found) - 1, F.lit(0)))
-    return t.pages.select("page_id", F.explode(F.array_distinct(F.transform(rest, F.lower))).alias("ident"))
+    return t.pages.select("page_id", F.explode_outer(F.array_distinct(F.transform(rest, F.lower))).alias("ident")).where(F.col("ident").isNotNull())
 
 
 @query(

@@ -337,7 +337,7 @@ def augment_chain(t: Tables) -> DataFrame:
     quad = box_to_quad(C("l"), C("t"), C("r"), C("b"))
     rows = boxes(t).select("image_id", "ann_id", quad.alias("quad"), *[F.lit(v).cast("bigint").alias(k) for k, v in (("w", 420), ("h", 760))])
     done = augment.augment_points(rows, STAGES)
-    corners = done.select("ann_id", F.posexplode("quad").alias("corner", "p"))
+    corners = done.select("ann_id", F.posexplode_outer("quad").alias("corner", "p"))
     return corners.select("ann_id", "corner", r4(C("p.x")).alias("x"), r4(C("p.y")).alias("y"))
 
 

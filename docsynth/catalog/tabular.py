@@ -159,7 +159,7 @@ def multi_line_cells(t: Tables) -> DataFrame:
 )
 def spread_chars(t: Tables) -> DataFrame:
     gap = F.floor((400 - F.length("c_name") * 10) / F.length("c_name"))
-    chars = F.posexplode(F.split("c_name", "")).alias("i", "ch")
+    chars = F.posexplode_outer(F.split("c_name", "")).alias("i", "ch")
     return t.customer.select("c_custkey", chars, gap.alias("gap")).select(
         "c_custkey", (C("i") + 1).alias("pos"), "ch", (C("i") * (10 + C("gap"))).alias("x")
     )
@@ -366,7 +366,7 @@ def zip_by_position(t: Tables) -> DataFrame:
     trimmed = lines(t).withColumn("line", F.trim("line")).where(C("line") != "")
     checked = F.when(F.size(words) == F.size(gaps), words).otherwise(F.raise_error(F.lit("words and gaps differ")).cast("array<string>"))
     zipped = trimmed.withColumn("n", F.size(words)).select(
-        "doc_id", "line_no", "n", F.posexplode(F.arrays_zip(checked.alias("w"), gaps.alias("g"))).alias("i", "z")
+        "doc_id", "line_no", "n", F.posexplode_outer(F.arrays_zip(checked.alias("w"), gaps.alias("g"))).alias("i", "z")
     )
     return zipped.select("doc_id", "line_no", C("z.w").alias("word"), (C("i") + 1).alias("pos"), "n")
 
@@ -392,7 +392,7 @@ SLOTS = ["name", "segment", "key@title", "image@photo", "height"]
 )
 def fill_from_record(t: Tables) -> DataFrame:
     record = F.create_map(F.lit("name"), C("c_name"), F.lit("segment"), C("c_mktsegment"))
-    slots = t.customer.select("c_custkey", record.alias("record"), F.explode(F.array(*[F.lit(s) for s in SLOTS])).alias("slot"))
+    slots = t.customer.select("c_custkey", record.alias("record"), F.explode_outer(F.array(*[F.lit(s) for s in SLOTS])).alias("slot"))
     fixed = C("slot").startswith("key@") | C("slot").startswith("image@")
     value = F.when(fixed, C("slot")).otherwise(F.coalesce(F.element_at("record", C("slot")), F.lit("")))
     return slots.select("c_custkey", "slot", value.alias("filled"))
@@ -465,7 +465,7 @@ def advancing_sql(table: str, ident: str, salt: int, n: int, start: str, low: in
 )
 def section_starts(t: Tables) -> DataFrame:
     starts = records.advancing(C("s_suppkey"), 70, 20, F.lit(0), 2, 5)
-    return t.supplier.select("s_suppkey", F.explode(starts).alias("row_no")).where(C("row_no") < 39)
+    return t.supplier.select("s_suppkey", F.explode_outer(starts).alias("row_no")).where(C("row_no") < 39)
 
 
 @query(
@@ -473,7 +473,7 @@ def section_starts(t: Tables) -> DataFrame:
 )
 def running_page_no(t: Tables) -> DataFrame:
     pages = records.advancing(C("s_suppkey"), 71, 10, integer(C("s_suppkey"), 72, 1, 200), 1, 10)
-    return t.supplier.select("s_suppkey", F.posexplode(pages).alias("i", "page")).select(
+    return t.supplier.select("s_suppkey", F.posexplode_outer(pages).alias("i", "page")).select(
         "s_suppkey", (C("i") + 1).alias("line_no"), "page"
     )
 

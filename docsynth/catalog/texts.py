@@ -56,8 +56,9 @@ def text_size(t: Tables) -> DataFrame:
     FROM lines, range(1, 100000) AS s(i) WHERE (i - 1) * 40 < length(line)"""
 )
 def wrap_chars(t: Tables) -> DataFrame:
-    pieces = F.posexplode(text.wrap_chars(F.col("line"), 40)).alias("i", "piece")
-    return lines(t).select("doc_id", "line_no", pieces).select("doc_id", "line_no", (F.col("i") + 1).alias("piece_no"), "piece")
+    pieces = F.posexplode_outer(text.wrap_chars(F.col("line"), 40)).alias("i", "piece")
+    found = lines(t).select("doc_id", "line_no", pieces).where(F.col("i").isNotNull())
+    return found.select("doc_id", "line_no", (F.col("i") + 1).alias("piece_no"), "piece")
 
 
 WRAPPED = r"""(SELECT doc_id, line_no, unnest(list_transform(regexp_extract_all(line, '(.{1,60})(?: +|$)|(.{60})'),
@@ -67,8 +68,9 @@ WRAPPED = r"""(SELECT doc_id, line_no, unnest(list_transform(regexp_extract_all(
 
 @query(f"SELECT doc_id, line_no, piece_no, piece FROM {WRAPPED}")
 def wrap_words(t: Tables) -> DataFrame:
-    pieces = F.posexplode(text.wrap_words(F.col("line"), 60)).alias("i", "piece")
-    return lines(t).select("doc_id", "line_no", pieces).select("doc_id", "line_no", (F.col("i") + 1).alias("piece_no"), "piece")
+    pieces = F.posexplode_outer(text.wrap_words(F.col("line"), 60)).alias("i", "piece")
+    found = lines(t).select("doc_id", "line_no", pieces).where(F.col("i").isNotNull())
+    return found.select("doc_id", "line_no", (F.col("i") + 1).alias("piece_no"), "piece")
 
 
 @query(
@@ -82,12 +84,14 @@ def wrap_words(t: Tables) -> DataFrame:
       (i - 1) * ((600 - total * 8) // gaps) + least(i - 1, (600 - total * 8) % gaps) ELSE 0 END AS BIGINT) AS x FROM s"""
 )
 def justify_stretch(t: Tables) -> DataFrame:
-    pieces = F.posexplode(text.wrap_words(F.col("line"), 60)).alias("i", "piece")
-    placed = F.posexplode(text.justify_words(F.col("piece"), 600, 8)).alias("j", "w")
+    pieces = F.posexplode_outer(text.wrap_words(F.col("line"), 60)).alias("i", "piece")
+    placed = F.posexplode_outer(text.justify_words(F.col("piece"), 600, 8)).alias("j", "w")
     return (
         lines(t)
         .select("doc_id", "line_no", pieces)
+        .where(F.col("i").isNotNull())
         .select("doc_id", "line_no", (F.col("i") + 1).alias("piece_no"), placed)
+        .where(F.col("j").isNotNull())
         .select("doc_id", "line_no", "piece_no", (F.col("j") + 1).alias("word_no"), "w.word", "w.x")
     )
 
@@ -105,7 +109,8 @@ def justify_lines(t: Tables) -> DataFrame:
     wrapped = text.wrap_words(F.col("line"), 60)
     return (
         lines(t)
-        .select("doc_id", "line_no", F.size(wrapped).alias("n"), F.posexplode(wrapped).alias("i", "piece"))
+        .select("doc_id", "line_no", F.size(wrapped).alias("n"), F.posexplode_outer(wrapped).alias("i", "piece"))
+        .where(F.col("i").isNotNull())
         .select(
             "doc_id",
             "line_no",
@@ -270,7 +275,7 @@ def split_on_gaps(t: Tables) -> DataFrame:
     )
     return (
         t.customer.withColumn("line", line)
-        .select("c_custkey", F.explode(text.split_on_gaps(F.col("line"))).alias("s"))
+        .select("c_custkey", F.explode_outer(text.split_on_gaps(F.col("line"))).alias("s"))
         .select("c_custkey", "s.piece", "s.x")
     )
 
@@ -316,7 +321,7 @@ def upper_header(t: Tables) -> DataFrame:
 def month_end_series(t: Tables) -> DataFrame:
     n = integer(F.col("o_orderkey"), 20, 10, 20).cast("int")
     ends = dates.month_ends(F.col("o_orderdate").cast("date"), n)
-    return t.orders.select("o_orderkey", F.posexplode(ends).alias("i", "d")).select(
+    return t.orders.select("o_orderkey", F.posexplode_outer(ends).alias("i", "d")).select(
         "o_orderkey", (F.col("i") + 1).alias("seq"), F.col("d").cast("string").alias("day")
     )
 

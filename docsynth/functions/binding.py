@@ -1,4 +1,9 @@
-"""Naming an intermediate value inside one Column expression."""
+"""Naming an intermediate value inside one Column expression.
+
+A note on lists: the library explodes computed lists with the ``_outer`` generators and drops the null row of an empty
+list afterwards. The inner ones make the optimizer add a "list is not empty" filter below the projection, which works
+the whole list out a second time.
+"""
 
 from __future__ import annotations
 

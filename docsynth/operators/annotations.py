@@ -66,7 +66,7 @@ def rule_segments(boxes: DataFrame, mode: Column) -> DataFrame:
         edge("h", "l", "t", "r", "t"), edge("h", "l", "b", "r", "b"), edge("v", "l", "t", "l", "b"), edge("v", "r", "t", "r", "b")
     )
     wanted = F.filter(edges, lambda e: (mode == "all") | ((mode == "rows") & (e["axis"] == "h")) | ((mode == "cols") & (e["axis"] == "v")))
-    return boxes.select("image_id", F.explode(wanted).alias("e")).select("image_id", "e.*").distinct()
+    return boxes.select("image_id", F.explode_outer(wanted).alias("e")).where(F.col("e").isNotNull()).select("image_id", "e.*").distinct()
 
 
 def arc_outlines(df: DataFrame, n: str, size: str, radius: str, clockwise: bool = True, degrees: Column | None = None) -> DataFrame:

@@ -77,7 +77,7 @@ def word_like(tokens: DataFrame, vocab: DataFrame, ident: Column, salt: int = 30
     want = want.join(sizes, ["lang", "n_chars"], "left").withColumns(
         {"idx": F.coalesce(F.col("__draw") % F.col("__size"), F.lit(-1)), "__salt": F.col("__draw") % 997 % SALTS}
     )
-    copies = F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(SALTS - 1).cast("bigint"))).alias("__salt")
+    copies = F.explode_outer(F.sequence(F.lit(0).cast("bigint"), F.lit(SALTS - 1).cast("bigint"))).alias("__salt")
     offered = vocab.select("lang", "n_chars", "idx", F.col("word").alias("__word"), copies)
     out = want.join(offered, ["lang", "n_chars", "idx", "__salt"], "left")
     fake = F.coalesce(match_case(F.col("__word"), F.col("word")), F.col("word"))
@@ -90,7 +90,7 @@ def sentence_like(docs: DataFrame, vocab: DataFrame, keep_ascii: bool = False) -
     ``docs(doc_id, lang, text)``; one document is one group again at the end, never more than it was as a row.
     """
     runs = F.regexp_extract_all("text", F.lit("[A-Za-z]+|[0-9]+|[^A-Za-z0-9]+"), F.lit(0))
-    tokens = docs.select("doc_id", "lang", F.posexplode(runs).alias("pos", "word"))
+    tokens = docs.select("doc_id", "lang", F.posexplode_outer(runs).alias("pos", "word")).where(F.col("pos").isNotNull())
     ident = F.col("doc_id") * 100003 + F.col("pos")
     is_word = F.col("word").rlike("^[A-Za-z]") & F.lit(not keep_ascii)
     changed = word_like(tokens.where(is_word), vocab, ident)
@@ -120,7 +120,7 @@ def fill_width(slots: DataFrame, numbered: DataFrame, salt: int = 34) -> DataFra
     window is bounded by the slot.
     """
     sizes = numbered.groupBy("lang").agg(F.count(F.lit(1)).alias("size"))
-    tries = slots.select("slot_id", "lang", "chars", F.explode(F.sequence(F.lit(0), F.floor(F.col("chars") / 2).cast("int"))).alias("k"))
+    tries = slots.select("slot_id", "lang", "chars", F.explode_outer(F.sequence(F.lit(0), F.floor(F.col("chars") / 2).cast("int"))).alias("k"))
     picked = (
         tries.join(sizes, "lang")
         .withColumn("idx", draw(F.col("slot_id") * 1009 + F.col("k"), salt) % F.col("size"))
@@ -154,7 +154,7 @@ def sample_with_replacement(df: DataFrame, group: str, ident: str, n: int, salt:
     """n draws per group; a row may come more than once."""
     placed = number_rows(df, [group], {"band": F.floor(F.col(ident) / 4096)}, [ident], "idx")
     sizes = df.groupBy(group).agg(F.count(F.lit(1)).alias("size"), F.min(ident).alias("__seed"))
-    k = F.explode(F.sequence(F.lit(1), F.lit(n))).alias("draw_no")
+    k = F.explode_outer(F.sequence(F.lit(1), F.lit(n))).alias("draw_no")
     draws = sizes.select(group, "size", "__seed", k).withColumn(
         "idx", draw(F.col("__seed") * 101 + F.col("draw_no"), salt) % F.col("size") + 1
     )

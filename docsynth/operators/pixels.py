@@ -173,7 +173,7 @@ def grey_to_colour_map(df: DataFrame) -> DataFrame:
     """
     at = F.struct("y", "x")
     seen = df.groupBy("image_id", grey(df).alias("level")).agg(F.max_by(F.struct(*RGB), at).alias("c"))
-    full = df.select("image_id").distinct().select("image_id", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(255).cast("bigint"))).alias("level"))
+    full = df.select("image_id").distinct().select("image_id", F.explode_outer(F.sequence(F.lit(0).cast("bigint"), F.lit(255).cast("bigint"))).alias("level"))
     up = Window.partitionBy("image_id").orderBy("level").rowsBetween(Window.unboundedPreceding, 0)
     rest = Window.partitionBy("image_id").orderBy("level").rowsBetween(0, Window.unboundedFollowing)
     joined = full.join(seen, ["image_id", "level"], "left")

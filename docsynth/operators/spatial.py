@@ -20,8 +20,8 @@ def tile_of(x: Column, size: int = TILE) -> Column:
 
 def cover(df: DataFrame, l: str, t: str, r: str, b: str, size: int = TILE) -> DataFrame:
     """One row per touched tile, columns ``tx`` and ``ty``; the far edges count."""
-    across = F.explode(F.sequence(tile_of(F.col(l), size), tile_of(F.col(r), size))).alias("tx")
-    down = F.explode(F.sequence(tile_of(F.col(t), size), tile_of(F.col(b), size))).alias("ty")
+    across = F.explode_outer(F.sequence(tile_of(F.col(l), size), tile_of(F.col(r), size))).alias("tx")
+    down = F.explode_outer(F.sequence(tile_of(F.col(t), size), tile_of(F.col(b), size))).alias("ty")
     return df.select("*", across).select("*", down)
 
 

@@ -72,7 +72,7 @@ def render(rows: DataFrame, widths: DataFrame) -> DataFrame:
         F.struct((F.col("row_no") * 2 - 1).alias("line_no"), above.alias("line")),
         F.struct((F.col("row_no") * 2).alias("line_no"), body_line(F.col("cells"), F.col("widths")).alias("line")),
     )
-    lines = drawn.select("table_id", F.explode(two).alias("s")).select("table_id", "s.*")
+    lines = drawn.select("table_id", F.explode_outer(two).alias("s")).select("table_id", "s.*")
     sizes = rows.groupBy("table_id").agg((F.max("row_no") * 2 + 1).alias("line_no"))
     last = sizes.join(arrays, "table_id").select("table_id", "line_no", rule(F.col("widths"), "╚", "╩", "╝").alias("line"))
     return lines.unionByName(last)
@@ -100,8 +100,8 @@ def parse_text_table(lines: DataFrame) -> DataFrame:
     pieces = F.split("line", BODY_SPLIT)
     inner = F.slice(pieces, F.lit(2), F.size(pieces) - 2)
     return lines.where(F.col("line").startswith("║")).select(
-        "table_id", "line_no", F.posexplode(inner).alias("col_no", "text")
-    )
+        "table_id", "line_no", F.posexplode_outer(inner).alias("col_no", "text")
+    ).where(F.col("col_no").isNotNull())
 
 
 def cell_positions(lines: DataFrame, font: int, line_height: int) -> DataFrame:
@@ -129,7 +129,7 @@ def cell_positions(lines: DataFrame, font: int, line_height: int) -> DataFrame:
             ((before + width) * (font // 2)).cast("bigint").alias("r"),
         )
 
-    placed = near.select("table_id", "line_no", "above", "below", F.explode(F.transform("cells", box)).alias("c"))
+    placed = near.select("table_id", "line_no", "above", "below", F.explode_outer(F.transform("cells", box)).alias("c")).where(F.col("c").isNotNull())
     half = line_height // 2
     return placed.select(
         "table_id",
@@ -176,7 +176,7 @@ def paginate(records: DataFrame, limit: int) -> DataFrame:
 
     none = F.array().cast("array<struct<block:bigint,fill:int,pages:bigint>>")
     zero = F.struct(F.lit(0).alias("fill"), F.lit(0).cast("bigint").alias("pages"), none.alias("seen"))
-    starts = per_doc.select("table_id", F.explode(F.aggregate("all", zero, chain, lambda s: s["seen"])).alias("s"))
+    starts = per_doc.select("table_id", F.explode_outer(F.aggregate("all", zero, chain, lambda s: s["seen"])).alias("s"))
     starts = starts.select("table_id", "s.*")
 
     def number(s: Column, r: Column) -> Column:
@@ -188,7 +188,7 @@ def paginate(records: DataFrame, limit: int) -> DataFrame:
     first = F.struct(F.struct(F.col("fill").alias("fill"), F.col("pages").alias("pages")).alias("at"), blank.alias("out"))
     numbered = blocks.join(starts, ["table_id", "block"])
     marks = F.aggregate("recs", first, number, lambda s: s["out"])
-    return numbered.select("table_id", F.explode(marks).alias("m")).select("table_id", "m.row_no", (F.col("m.page") + 1).alias("page"))
+    return numbered.select("table_id", F.explode_outer(marks).alias("m")).select("table_id", "m.row_no", (F.col("m.page") + 1).alias("page"))
 
 
 def page_fill(blocks: DataFrame, budget: int, gap: int, text_height: int) -> DataFrame:
@@ -242,7 +242,7 @@ def stack(*blocks: DataFrame) -> DataFrame:
 def flatten_header(leaves: DataFrame, table: str, path: str, chunk: dict[str, Column], order: list[str]) -> DataFrame:
     """Nested header as spans: each node's level, first leaf (from 1) and number of leaves; leaves hold their path."""
     placed = number_rows(leaves, [table], chunk, order, "leaf_no")
-    levels = F.explode(F.sequence(F.lit(1), F.size(path))).alias("level")
+    levels = F.explode_outer(F.sequence(F.lit(1), F.size(path))).alias("level")
     nodes = placed.select(table, "leaf_no", path, levels).withColumn(
         "node", F.array_join(F.slice(F.col(path), F.lit(1), F.col("level")), "/")
     )
@@ -257,7 +257,7 @@ def key_value_rows(df: DataFrame, keep: list[str], entries: Column, per_row: int
             F.transform(F.slice(entries, i * per_row + 1, F.lit(per_row)), lambda e: F.concat_ws(":", e["key"], e["value"])), "|"
         ),
     )
-    return df.select(*keep, F.posexplode(rows).alias("line_no", "line"))
+    return df.select(*keep, F.posexplode_outer(rows).alias("line_no", "line"))
 
 
 def fold_wide_rows(df: DataFrame, keep: list[str], cells: Column, max_cols: int) -> DataFrame:
@@ -270,7 +270,7 @@ def fold_wide_rows(df: DataFrame, keep: list[str], cells: Column, max_cols: int)
         F.size(cells) > max_cols,
         F.transform(lines, lambda a: F.concat(a, F.array_repeat(F.lit(" "), F.lit(max_cols) - F.size(a)))),
     ).otherwise(lines)
-    return df.select(*keep, F.posexplode(padded).alias("part", "cells"))
+    return df.select(*keep, F.posexplode_outer(padded).alias("part", "cells"))
 
 
 def merge_row(line: Column) -> Column:

@@ -56,7 +56,7 @@ def plan_stages(df: DataFrame, stages: list[Stage] = STAGES) -> DataFrame:
 def stage_lineage(planned: DataFrame, stages: list[Stage] = STAGES) -> DataFrame:
     """The stages each picture went through, in order."""
     names = F.array_compact(F.array(*[F.when(F.col(f"a_{s.name}"), F.lit(s.name)) for s in stages]))
-    return planned.select("image_id", F.posexplode(names).alias("i", "stage")).select(
+    return planned.select("image_id", F.posexplode_outer(names).alias("i", "stage")).where(F.col("i").isNotNull()).select(
         "image_id", (F.col("i") + 1).alias("step"), "stage"
     )
 

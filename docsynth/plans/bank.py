@@ -57,7 +57,7 @@ def bank_statement(accounts: DataFrame) -> DataFrame:
     cents = F.transform(seq, lambda i: (F.col("seed") + i * 7919 + i * i * 104729) % 200001 - 100000)
     made = base.withColumns({"days": month_ends(F.col("start"), F.col("n")), "cents": cents})
     made = made.withColumn("balances", running(F.col("opening"), F.col("cents")))
-    rows = made.select("acct", "start", F.posexplode(F.arrays_zip("days", "cents", "balances")).alias("i", "z"))
+    rows = made.select("acct", "start", F.posexplode_outer(F.arrays_zip("days", "cents", "balances")).alias("i", "z"))
     ident = acct * 101 + F.col("i")
     amount = F.col("z.cents")
     return rows.select(

@@ -34,7 +34,8 @@ def form_blocks(forms: DataFrame) -> DataFrame:
 
     lists = [copies(k, *spec) for k, spec in enumerate(BLOCKS)]
     rows = forms.select("id", F.concat(*lists).alias("blocks"))
-    rows = rows.select("id", F.size("blocks").alias("n"), F.posexplode(F.array_sort("blocks")).alias("i", "b"))
+    rows = rows.select("id", F.size("blocks").alias("n"), F.posexplode_outer(F.array_sort("blocks")).alias("i", "b"))
+    rows = rows.where(F.col("i").isNotNull())
     return rows.select(
         "id",
         (F.col("i") + 1).alias("pos"),
@@ -76,7 +77,7 @@ def block_lines(blocks: DataFrame) -> DataFrame:
     chosen = F.lit(None).cast("array<string>")
     for kind, lines in by_kind.items():
         chosen = F.when(F.col("kind") == kind, lines).otherwise(chosen)
-    return seeded.select("id", "pos", "kind", F.posexplode(chosen).alias("line_no", "line"))
+    return seeded.select("id", "pos", "kind", F.posexplode_outer(chosen).alias("line_no", "line"))
 
 
 # Slots of one template, label with rectangle in signs.
@@ -91,7 +92,7 @@ def template_fill(ids: DataFrame, numbered: DataFrame) -> DataFrame:
             for k, (label, x, y, c) in enumerate(SLOTS, 1)
         ]
     )
-    rows = ids.select("id", "lang", F.explode(slots).alias("s")).select("id", "lang", "s.*")
+    rows = ids.select("id", "lang", F.explode_outer(slots).alias("s")).select("id", "lang", "s.*")
     rows = rows.withColumns({"action": slot_action(F.col("slot")), "slot_id": F.col("id") * 100 + F.col("slot_no")})
     filled = corpus.fill_width(rows.where(F.col("action") == "replace").select("slot_id", "lang", "chars"), numbered)
     out = rows.join(filled, "slot_id", "left")
@@ -134,7 +135,7 @@ def page_layout(pages: DataFrame) -> DataFrame:
         return F.struct(F.lit(mode).alias("mode"), F.lit(c).alias("col_no"), blocks.alias("blocks"))
 
     cols = [column(mode, c, kinds) for mode, columns in enumerate(PAGES) for c, kinds in enumerate(columns)]
-    rows = pages.select("id", F.explode(F.filter(F.array(*cols), lambda s: s["mode"] == i % 5)).alias("s")).select("id", "s.*")
+    rows = pages.select("id", F.explode_outer(F.filter(F.array(*cols), lambda s: s["mode"] == i % 5)).alias("s")).select("id", "s.*")
 
     def height(b: Column) -> Column:
         return F.when(b["kind"] == "title", 30).when(b["kind"] == "text", TEXT_HEIGHT).otherwise(120 + b["extra"]).cast("bigint")
@@ -166,7 +167,7 @@ def page_layout(pages: DataFrame) -> DataFrame:
             ),
         ),
     ).otherwise(none)
-    return rows.select("id", "col_no", F.posexplode(F.concat("kept", texts)).alias("pos", "b")).select("id", "col_no", "pos", "b.*")
+    return rows.select("id", "col_no", F.posexplode_outer(F.concat("kept", texts)).alias("pos", "b")).where(F.col("pos").isNotNull()).select("id", "col_no", "pos", "b.*")
 
 
 def waybill_extras(bills: DataFrame) -> DataFrame:
@@ -180,14 +181,14 @@ def waybill_extras(bills: DataFrame) -> DataFrame:
             F.when(F.col("titled"), F.concat(F.col("title_no").cast("string"), F.lit(". TITLE"))).otherwise(F.lit("")).alias("text"),
         ),
     )
-    return counted.select("id", "sender", F.explode(slots).alias("s")).select("id", "sender", "s.*")
+    return counted.select("id", "sender", F.explode_outer(slots).alias("s")).select("id", "sender", "s.*")
 
 
 def report_table(ids: DataFrame, n_rows: int = 16, subtitles: tuple[int, int] = (3, 6)) -> DataFrame:
     """Index rows and price columns: section rows in capitals with blanks, ``$`` column, line number, second index, dashes."""
     i = F.col("id")
     starts = advancing(i, 470, n_rows // subtitles[0] + 1, F.lit(0), *subtitles)
-    rows = ids.select("id", starts.alias("starts"), F.explode(F.sequence(F.lit(0), F.lit(n_rows - 1))).alias("row_no"))
+    rows = ids.select("id", starts.alias("starts"), F.explode_outer(F.sequence(F.lit(0), F.lit(n_rows - 1))).alias("row_no"))
     ident = i * 1009 + F.col("row_no")
     section = F.array_contains("starts", F.col("row_no").cast("bigint")) & (F.col("row_no") < n_rows - 1)
     name = F.concat(F.lit("index "), rng.letters(ident, 480, 6))
@@ -215,7 +216,7 @@ def listing_table(ids: DataFrame) -> DataFrame:
     exhibit = rng.uniform(i, 520) < 0.5
     first = rng.integer(i, 521, 100, 900)
     pages = advancing(i, 522, 11, rng.integer(i, 523, 1, 200), 1, 10)
-    rows = ids.select("id", exhibit.alias("exhibit"), first.alias("first"), F.posexplode(F.slice(pages, 2, 10)).alias("k", "page"))
+    rows = ids.select("id", exhibit.alias("exhibit"), first.alias("first"), F.posexplode_outer(F.slice(pages, 2, 10)).alias("k", "page"))
     ident = i * 101 + F.col("k")
     letter = F.lower(F.char(rng.draw(ident, 524) % 6 + 65))
     number = F.concat((F.col("first") + F.col("k") + 1).cast("string"), F.lit("."), rng.integer(ident, 525, 1, 4).cast("string"), letter)

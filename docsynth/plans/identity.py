@@ -122,5 +122,5 @@ def card_records(people: DataFrame) -> DataFrame:
             for part, x, y, w, h in CARD_PARTS
         ]
     )
-    rows = people.select("id", F.explode(parts).alias("p")).select("id", "p.*")
+    rows = people.select("id", F.explode_outer(parts).alias("p")).select("id", "p.*")
     return rows.withColumn("label", F.concat_ws("@", "part", "text"))

@@ -68,7 +68,7 @@ def word_set(df: DataFrame, value: str = "value") -> DataFrame:
     """Distinct lower-case alphabetic words behind the first ``@``."""
     rest = F.regexp_replace(value, "^[^@]*@", "")
     return (
-        df.select(F.explode(F.split(rest, r"\s+")).alias("word"))
+        df.select(F.explode_outer(F.split(rest, r"\s+")).alias("word"))
         .where(F.col("word").rlike(r"^\p{L}+$"))
         .select(F.lower("word").alias("word"))
         .distinct()
@@ -92,7 +92,7 @@ def allow_charset(spark: SparkSession) -> None:
 
 def decode_corpus(files: DataFrame, charset: str) -> DataFrame:
     """Entries of label files held as bytes in ``content``."""
-    return corpus_entries(files.select(F.explode(F.split(F.decode("content", charset), r"\r?\n")).alias("value")))
+    return corpus_entries(files.select(F.explode_outer(F.split(F.decode("content", charset), r"\r?\n")).alias("value")))
 
 
 def read_corpus(spark: SparkSession, path: str, charset: str = "GBK") -> DataFrame:

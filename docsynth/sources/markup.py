@@ -28,7 +28,7 @@ def slice_html(df: DataFrame, html: str) -> DataFrame:
     )
     zipped = F.arrays_zip(checked.alias("name"), *[f.alias(k) for f, k in zip(found, ("width", "height", "alt"))])
     rest = [c for c in df.columns if c != html]
-    rows = df.select(*rest, F.posexplode(zipped).alias("i", "z"))
+    rows = df.select(*rest, F.posexplode_outer(zipped).alias("i", "z")).where(F.col("i").isNotNull())
     alt = F.split("z.alt", ",")
     font = F.split(alt[2], "#")
     return rows.select(
