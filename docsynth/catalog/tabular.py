@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docsynth.catalog.base import Tables, boxes, draw_sql, hierarchy, integer_sql, pick_sql, query, uniform_sql
+from docsynth.functions.binding import let
 from docsynth.operators import records, tables
 from docsynth.operators.ordered import number_rows
 from docsynth.operators.records import BOLD, OPTIONAL, SHADED, SYNONYMS
@@ -365,10 +366,12 @@ def zip_by_position(t: Tables) -> DataFrame:
     gaps = F.regexp_extract_all("line", F.lit(" +|$"), F.lit(0))
     trimmed = lines(t).withColumn("line", F.trim("line")).where(C("line") != "")
     checked = F.when(F.size(words) == F.size(gaps), words).otherwise(F.raise_error(F.lit("words and gaps differ")).cast("array<string>"))
-    zipped = trimmed.withColumn("n", F.size(words)).select(
-        "doc_id", "line_no", "n", F.posexplode_outer(F.arrays_zip(checked.alias("w"), gaps.alias("g"))).alias("i", "z")
+    pairs = let(
+        F.arrays_zip(checked.alias("w"), gaps.alias("g")),
+        lambda zs: F.transform(zs, lambda z: F.struct(z["w"].alias("word"), F.size(zs).alias("n"))),
     )
-    return zipped.select("doc_id", "line_no", C("z.w").alias("word"), (C("i") + 1).alias("pos"), "n")
+    rows = trimmed.select("doc_id", "line_no", F.posexplode_outer(pairs).alias("i", "z"))
+    return rows.select("doc_id", "line_no", "z.word", (C("i") + 1).alias("pos"), "z.n")
 
 
 @query(

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from docsynth.catalog.base import Tables, draw_sql, integer_sql, lines, pick_sql, query, words
 from docsynth.functions import dates, text
+from docsynth.functions.binding import let
 from docsynth.rng import integer, pick
 
 INVIS_SQL = (
@@ -106,18 +107,14 @@ def justify_stretch(t: Tables) -> DataFrame:
       ELSE '' END), '') ELSE array_to_string(ws, '') END AS line FROM g"""
 )
 def justify_lines(t: Tables) -> DataFrame:
-    wrapped = text.wrap_words(F.col("line"), 60)
-    return (
-        lines(t)
-        .select("doc_id", "line_no", F.size(wrapped).alias("n"), F.posexplode_outer(wrapped).alias("i", "piece"))
-        .where(F.col("i").isNotNull())
-        .select(
-            "doc_id",
-            "line_no",
-            (F.col("i") + 1).alias("piece_no"),
-            text.justify_line(F.col("piece"), 64, F.col("i") + 1 == F.col("n")).alias("line"),
-        )
+    # The last-piece mark travels inside the list: a size beside the generator would be worked out again for every piece.
+    marked = let(
+        text.wrap_words(F.col("line"), 60),
+        lambda ps: F.transform(ps, lambda p, i: F.struct(p.alias("piece"), (i + 1 == F.size(ps)).alias("last"))),
     )
+    pieces = lines(t).select("doc_id", "line_no", F.posexplode_outer(marked).alias("i", "p")).where(F.col("i").isNotNull())
+    justified = text.justify_line(F.col("p.piece"), 64, F.col("p.last"))
+    return pieces.select("doc_id", "line_no", (F.col("i") + 1).alias("piece_no"), justified.alias("line"))
 
 
 @query(

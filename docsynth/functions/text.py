@@ -108,25 +108,22 @@ def justify_words(line: Column, slot: int, char_width: int) -> Column:
 
 
 def justify_line(line: Column, width: int, last: Column) -> Column:
-    """Share the spaces of a line over its gaps; the last line and single words stay."""
-    words = F.filter(F.split(line, r"\s+"), lambda w: w != "")
+    """Share the spaces of a line over its gaps, the first gaps taking the rest; the last line and single words stay."""
+    words = F.split(F.regexp_replace(line, r"^\s+|\s+$", ""), r"\s+")
 
     def measure(ws: Column) -> Column:
         gaps = F.size(ws) - 1
         free = F.lit(width) - F.length(F.array_join(ws, ""))
+        share = F.when(gaps > 0, F.floor(free / gaps)).otherwise(0).cast("int")
+        extra = F.when(gaps > 0, F.pmod(free, gaps)).otherwise(0)
         return F.struct(
-            ws.alias("ws"),
-            gaps.alias("gaps"),
-            F.when(gaps > 0, F.floor(free / gaps)).otherwise(0).cast("int").alias("share"),
-            F.when(gaps > 0, F.pmod(free, gaps)).otherwise(0).alias("extra"),
+            ws.alias("ws"), F.repeat(F.lit(" "), share).alias("gap"), F.repeat(F.lit(" "), share + 1).alias("wide"), extra.alias("extra")
         )
 
     def spread(m: Column) -> Column:
-        def pad(w: Column, i: Column) -> Column:
-            n = m["share"] + F.when(i < m["extra"], 1).otherwise(0)
-            return F.when(i < m["gaps"], F.concat(w, F.repeat(F.lit(" "), n))).otherwise(w)
-
-        return F.array_join(F.transform(m["ws"], pad), "")
+        head = F.call_function("array_join", F.slice(m["ws"], F.lit(1), m["extra"] + 1), m["wide"])
+        tail = F.call_function("array_join", F.slice(m["ws"], m["extra"] + 2, F.size(m["ws"])), m["gap"])
+        return F.when(F.size(m["ws"]) > 1, F.concat(head, m["gap"], tail)).otherwise(head)
 
     return F.when(last, line).otherwise(let(words, lambda ws: let(measure(ws), spread)))
 

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docsynth import rng
+from docsynth.functions.binding import let
 from docsynth.operators import corpus
 from docsynth.operators.ordered import scan
 from docsynth.operators.records import advancing, slot_action
@@ -34,14 +35,24 @@ def form_blocks(forms: DataFrame) -> DataFrame:
 
     lists = [copies(k, *spec) for k, spec in enumerate(BLOCKS)]
     rows = forms.select("id", F.concat(*lists).alias("blocks"))
-    rows = rows.select("id", F.size("blocks").alias("n"), F.posexplode_outer(F.array_sort("blocks")).alias("i", "b"))
-    rows = rows.where(F.col("i").isNotNull())
+    halved = let(
+        F.array_sort("blocks"),
+        lambda bs: F.transform(
+            bs,
+            lambda b, i: F.struct(
+                b["kind"].alias("kind"),
+                b["copy"].alias("copy"),
+                F.when(i * 2 < F.size(bs), "first").otherwise("second").alias("half"),
+            ),
+        ),
+    )
+    rows = rows.select("id", F.posexplode_outer(halved).alias("i", "b")).where(F.col("i").isNotNull())
     return rows.select(
         "id",
         (F.col("i") + 1).alias("pos"),
         "b.kind",
         "b.copy",
-        F.when(F.col("i") * 2 < F.col("n"), "first").otherwise("second").alias("half"),
+        "b.half",
     )
 
 
