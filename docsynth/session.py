@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -24,13 +25,23 @@ def local_session(cores: str = "*", shuffle: int = 8) -> SparkSession:
     )
 
 
+_LOCAL: list[str] = []
+
+
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's shared folder (``spark.checkpoint.dir``); a fresh folder only where none is named, as in tests."""
+    """The folder named by ``spark.checkpoint.dir``, which driver and executors share.
+
+    Only a local session, as in tests, may leave it unnamed and gets one fresh folder for the process; on a cluster a
+    folder of one machine would lose the tables of the others, so that is an error.
+    """
     named = spark.conf.get("spark.checkpoint.dir", None)
-    if not named:
-        named = tempfile.mkdtemp(prefix="docsynth-")
-        spark.conf.set("spark.checkpoint.dir", named)
-    return named
+    if named:
+        return named
+    if not re.match(r"local(\[|$)", spark.sparkContext.master):
+        raise ValueError("name a shared folder in spark.checkpoint.dir")
+    if not _LOCAL:
+        _LOCAL.append(tempfile.mkdtemp(prefix="docsynth-"))
+    return _LOCAL[0]
 
 
 def work_path(spark: SparkSession, name: str) -> str:
