@@ -11,6 +11,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
@@ -44,7 +45,7 @@ def slices(batches: Iterable[pa.RecordBatch], text: str, most: int = SLICE) -> I
     """Cut batches so that each piece holds about ``most`` bytes of text; a longer text stands alone."""
     for batch in batches:
         col = batch.column(batch.schema.get_field_index(text))
-        size = pa.compute.binary_length(col).fill_null(0).to_numpy(zero_copy_only=False)
+        size = pc.binary_length(col).fill_null(0).to_numpy(zero_copy_only=False)
         ends, start = np.cumsum(size), 0
         while start < len(batch):
             before = int(ends[start - 1]) if start else 0
