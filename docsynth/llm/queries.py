@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from docsynth.llm import bpe, langid
+from docsynth.llm import bpe, langid, mixing, secrets
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -30,3 +30,37 @@ def op1_bpe(spark: SparkSession, path: str) -> DataFrame:
 @query
 def op2_language_id(spark: SparkSession, path: str) -> DataFrame:
     return langid.predict(table(spark, path, "documents"))
+
+
+@query
+def op3_secret_scan(spark: SparkSession, path: str) -> DataFrame:
+    return secrets.report(table(spark, path, "documents"))
+
+
+@query
+def op8_mixing(spark: SparkSession, path: str) -> DataFrame:
+    return mixing.report(table(spark, path, "documents"))
+
+
+ORACLE["op8_mixing"] = r"""
+WITH d AS (
+  SELECT doc_id, source, md5(CAST(doc_id AS VARCHAR)) AS digest,
+         CAST(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS BIGINT) AS size
+  FROM documents),
+s AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS place FROM d GROUP BY source),
+w AS (SELECT *, CAST([5, 2, 1][CAST(place % 3 + 1 AS INTEGER)] AS BIGINT) AS weight, CAST(3 * source_size AS BIGINT) AS most FROM s),
+r AS (SELECT *, row_number() OVER o AS rank,
+        (CAST(sum(source_size) OVER () AS BIGINT) - CAST(coalesce(sum(most) OVER b, 0) AS BIGINT))
+        / (CAST(sum(weight) OVER () AS BIGINT) - CAST(coalesce(sum(weight) OVER b, 0) AS BIGINT)) AS level
+      FROM w WINDOW o AS (ORDER BY CAST(most AS DOUBLE) / weight, place), b AS (ORDER BY CAST(most AS DOUBLE) / weight, place ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+f AS (SELECT min(rank) AS open FROM r WHERE most > weight * level),
+t AS (SELECT source, source_size, place, CASE WHEN open IS NULL OR rank < open THEN CAST(most AS DOUBLE) ELSE weight * (SELECT level FROM r WHERE rank = open) END AS target FROM r, f),
+p AS (SELECT d.*, source_size, place, target, CAST(floor(target + 0.5) AS BIGINT) AS total,
+        CAST(coalesce(sum(size) OVER (PARTITION BY d.source ORDER BY digest, doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS start
+      FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source),
+q AS (SELECT *, CASE WHEN source_size > 0 THEN total // source_size ELSE 0 END AS rounds, [-0.5, 0.5, 0.0][CAST(place % 3 + 1 AS INTEGER)]::DOUBLE AS slope FROM p),
+k AS (SELECT *, CAST(rounds * size + greatest(0, least(size, total - rounds * source_size - start)) AS BIGINT) AS taken,
+        least(1.0::DOUBLE, start / total) AS share FROM q)
+SELECT doc_id, size, source_size, target, taken,
+  CASE WHEN taken > 0 THEN CASE WHEN slope = 0 THEN share ELSE (sqrt((1 - slope) * (1 - slope) + 4 * slope * share) - (1 - slope)) / (2 * slope) END END AS position
+FROM k"""

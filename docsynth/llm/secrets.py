@@ -1,0 +1,250 @@
+"""Secret scan with a worklist of nested encodings.
+
+Every layer of a text is scanned for three kinds of secrets. Encoded passages of the layer (percent escapes, Unicode
+escapes, base64, and compressed bytes inside base64) are unwrapped into further layers, until nothing new appears; a
+layer seen before in the same text is not entered again, so cycles end. Spans are code points of the original text: a
+layer keeps, for each of its characters, the stretch of the original text it came from.
+
+Defined cases: a null or empty text has no spans. Equal spans of one kind are listed once. Bytes that are no UTF-8 are
+no layer; a compressed layer of any length is read in whole.
+"""
+
+from __future__ import annotations
+
+import base64
+import binascii
+import bz2
+import lzma
+import re
+import zlib
+from dataclasses import dataclass
+
+import numpy as np
+import pyarrow as pa
+import zstandard
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from docsynth.llm.arrays import fresh, map_text
+
+KINDS = ("assign", "access", "hex")
+ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.IGNORECASE | re.ASCII)
+#: Any match of the first pattern holds one of these.
+HINT = re.compile(r"passw|secret|token|api_?key", re.IGNORECASE | re.ASCII)
+#: Maximal runs, so the least length can be part of the pattern.
+ACCESS = re.compile(r"AKIA[A-Z0-9]{16,}")
+HEX = re.compile(r"[0-9a-f]{24,}")
+LEAST_VALUE = 6
+
+PERCENT = re.compile(r"[^\s%]*(?:%[0-9A-Fa-f]{2}[^\s%]*)+")
+ESCAPED = re.compile(r"[^\s\\]*(?:(?:\\u[0-9A-Fa-f]{4}|\\U[0-9A-Fa-f]{8}|\\x[0-9A-Fa-f]{2})[^\s\\]*)+")
+ONE_ESCAPE = re.compile(r"\\u([0-9A-Fa-f]{4})|\\U([0-9A-Fa-f]{8})|\\x([0-9A-Fa-f]{2})")
+BASE64 = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
+ONE_PERCENT = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
+
+
+@dataclass(frozen=True)
+class Layer:
+    """Text of a layer; character i comes from the original's code points low[i] to high[i]. None: the original."""
+
+    text: str
+    low: np.ndarray | None = None
+    high: np.ndarray | None = None
+
+    def span(self, start: int, end: int) -> tuple[int, int]:
+        return (start, end) if self.low is None else (int(self.low[start:end].min()), int(self.high[start:end].max()))
+
+
+def base_spans(text: str) -> list[tuple[int, int, int]]:
+    """(start, kind, end) of the secrets that stand in the text as it is."""
+    found = [(m.start(), 1, m.end()) for m in ACCESS.finditer(text)] + [(m.start(), 2, m.end()) for m in HEX.finditer(text)]
+    if HINT.search(text):
+        found += [(m.start(), 0, m.end()) for m in ASSIGN.finditer(text) if len(m[2]) >= LEAST_VALUE]
+    return sorted(found)
+
+
+def from_pieces(layer: Layer, pieces: list[tuple[str, int, int]]) -> Layer:
+    """Layer of pieces of text, each from the layer's characters start to end; equal lengths map one to one."""
+    text, low, high = [], [], []
+    for piece, start, end in pieces:
+        text.append(piece)
+        if len(piece) == end - start:
+            at = np.arange(start, end)
+            low.append(at if layer.low is None else layer.low[start:end])
+            high.append(at + 1 if layer.low is None else layer.high[start:end])
+        else:
+            a, b = layer.span(start, end)
+            low.append(np.full(len(piece), a))
+            high.append(np.full(len(piece), b))
+    return Layer("".join(text), np.concatenate(low), np.concatenate(high))
+
+
+def utf8(data: bytes) -> str | None:
+    """Text of the bytes if they are UTF-8 without control characters other than white space."""
+    try:
+        text = data.decode()
+    except UnicodeDecodeError:
+        return None
+    return text if text and not re.search(r"[\x00-\x08\x0e-\x1f\x7f]", text) else None
+
+
+def swapped(layer: Layer, start: int, end: int, one: re.Pattern, value) -> Layer | None:
+    """The stretch with each escape replaced by what it stands for."""
+    pieces, at = [], start
+    for m in one.finditer(layer.text, start, end):
+        got = value(m)
+        if got is None:
+            continue
+        if m.start() > at:
+            pieces.append((layer.text[at : m.start()], at, m.start()))
+        pieces.append((got, m.start(), m.end()))
+        at = m.end()
+    if at == start:
+        return None
+    if at < end:
+        pieces.append((layer.text[at:end], at, end))
+    return from_pieces(layer, [p for p in pieces if p[0]])
+
+
+def percent_value(m: re.Match) -> str | None:
+    return utf8(bytes.fromhex(m[0].replace("%", "")))
+
+
+def escape_value(m: re.Match) -> str | None:
+    code = int(m[1] or m[2] or m[3], 16)
+    return None if code > 0x10FFFF or 0xD800 <= code < 0xE000 else chr(code)
+
+
+def inflated(data: bytes) -> bytes | None:
+    """What the bytes hold if they begin like gzip, zlib, zstd, bzip2 or xz data."""
+    try:
+        if data[:2] == b"\x1f\x8b" or (data[:1] == b"\x78" and data[1:2] in (b"\x01", b"\x5e", b"\x9c", b"\xda")):
+            return zlib.decompress(data, 47)
+        if data[:4] == b"\x28\xb5\x2f\xfd":
+            return zstandard.ZstdDecompressor().decompressobj().decompress(data)
+        if data[:3] == b"BZh":
+            return bz2.decompress(data)
+        if data[:6] == b"\xfd7zXZ\x00":
+            return lzma.decompress(data)
+    except (zlib.error, zstandard.ZstdError, OSError, lzma.LZMAError, ValueError, EOFError):
+        return None
+    return None
+
+
+def from_base64(layer: Layer, start: int, end: int) -> Layer | None:
+    """Bytes of a base64 stretch as text; every byte comes from its group of four, compressed ones from the whole."""
+    body = layer.text[start:end].rstrip("=")
+    if len(body) % 4 == 1:
+        return None
+    try:
+        data = base64.b64decode(body.replace("-", "+").replace("_", "/") + "=" * (-len(body) % 4), validate=True)
+    except (binascii.Error, ValueError):
+        return None
+    text = utf8(data)
+    if text is None:
+        unpacked = inflated(data)
+        text = utf8(unpacked) if unpacked else None
+        return None if text is None else from_pieces(layer, [(text, start, end)] if len(text) != end - start else [(text[:1], start, end), (text[1:], start, end)])
+    pieces, byte = [], 0
+    for group in range(0, len(text), 3) if text.isascii() else range(0):
+        pieces.append((text[group : group + 3], start + byte // 3 * 4, min(end, start + byte // 3 * 4 + 4)))
+        byte += 3
+    if not pieces:
+        for c in text:
+            n = len(c.encode())
+            pieces.append((c, start + byte // 3 * 4, min(end, start + (byte + n - 1) // 3 * 4 + 4)))
+            byte += n
+    return from_pieces(layer, pieces)
+
+
+def unwrapped(layer: Layer) -> list[Layer]:
+    """Layers directly inside this one."""
+    text, out = layer.text, []
+    if "%" in text:
+        out += [swapped(layer, *m.span(), ONE_PERCENT, percent_value) for m in PERCENT.finditer(text)]
+    if "\\" in text:
+        out += [swapped(layer, *m.span(), ONE_ESCAPE, escape_value) for m in ESCAPED.finditer(text)]
+    out += [from_base64(layer, *m.span()) for m in BASE64.finditer(text)]
+    return [x for x in out if x is not None]
+
+
+def scan(text: str) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, int]]]:
+    """Spans of the text as it is, and these with the ones of all nested layers."""
+    base = base_spans(text)
+    found, seen, todo = set(base), {text}, unwrapped(Layer(text))
+    while todo:
+        layer = todo.pop()
+        if layer.text in seen:
+            # Another copy of a layer: its secrets lie elsewhere in the text, but entering it again finds nothing new.
+            if layer.text != text:
+                found.update(place(layer, nested) for nested in base_spans(layer.text))
+                todo += [x for x in unwrapped(layer) if len(x.text) < len(layer.text)]
+            continue
+        seen.add(layer.text)
+        found.update(place(layer, nested) for nested in base_spans(layer.text))
+        todo += unwrapped(layer)
+    return base, sorted(found)
+
+
+def place(layer: Layer, nested: tuple[int, int, int]) -> tuple[int, int, int]:
+    start, kind, end = nested
+    low, high = layer.span(start, end)
+    return low, kind, high
+
+
+SPAN = T.StructType([T.StructField("kind", T.StringType()), T.StructField("start", T.LongType()), T.StructField("end", T.LongType())])
+
+
+def find(docs: DataFrame, text: str = "text", base: str = "base", spans: str = "spans") -> DataFrame:
+    """Adds the secrets that stand in each whole text and all spans, nested ones included, by start and kind."""
+
+    def work(col: pa.Array) -> list:
+        both = [scan(t) for t in col.to_pylist()]
+        return [[[{"kind": KINDS[k], "start": a, "end": b} for a, k, b in row] for row in side] for side in ([b for b, _ in both], [s for _, s in both])]
+
+    return map_text(docs, text, [T.StructField(base, T.ArrayType(SPAN)), T.StructField(spans, T.ArrayType(SPAN))], work)
+
+
+def joined(spans: str) -> Column:
+    """kind:start:end, comma-joined."""
+    return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
+
+
+def report(docs: DataFrame) -> DataFrame:
+    """One row per document: number of secrets of each kind in the text as it is, their digest, and all spans."""
+    found = find(docs.select("doc_id", "text"))
+    counts = [F.size(F.filter("base", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in KINDS]
+    return found.select("doc_id", *counts, F.sha2(joined("base").cast("binary"), 256).alias("base_sha256"), joined("spans").alias("spans"))
+
+
+def redact(docs: DataFrame, text: str = "text", chars: str | None = None) -> DataFrame:
+    """The same rows with every span, nested ones included, replaced by its kind in brackets; null stays null.
+
+    ``chars``: name of a column that holds the number of characters and is set anew.
+    """
+    new = fresh(docs, "clean")
+
+    def work(col: pa.Array) -> list:
+        return [[covered(t) for t in col.to_pylist()]]
+
+    out = map_text(docs, text, [T.StructField(new, T.StringType())], work)
+    clean = F.when(F.col(text).isNotNull(), F.col(new))
+    length = {chars: F.when(F.col(text).isNotNull(), F.length(F.col(new))).otherwise(F.col(chars)).cast(docs.schema[chars].dataType)} if chars in docs.columns else {}
+    return out.withColumns({**length, text: clean}).drop(new)
+
+
+def covered(text: str) -> str:
+    """The text with overlapping spans merged and replaced; the first kind names the merged span."""
+    _, spans = scan(text)
+    out, at = [], 0
+    merged: list[list[int]] = []
+    for a, k, b in spans:
+        if merged and a < merged[-1][2]:
+            merged[-1][2] = max(merged[-1][2], b)
+        else:
+            merged.append([a, k, b])
+    for a, k, b in merged:
+        out += [text[at:a], f"[{KINDS[k].upper()}]"]
+        at = b
+    return "".join([*out, text[at:]])
