@@ -15,9 +15,11 @@ import base64
 import binascii
 import bz2
 import lzma
+import operator
 import re
 import zlib
 from dataclasses import dataclass
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -214,7 +216,7 @@ def joined(spans: str) -> Column:
 def report(docs: DataFrame) -> DataFrame:
     """One row per document: number of secrets of each kind in the text as it is, their digest, and all spans."""
     found = find(docs.select("doc_id", "text"))
-    counts = [F.size(F.filter("base", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in KINDS]
+    counts = [F.size(F.filter(F.col("base.kind"), partial(operator.eq, F.lit(k)))).cast("long").alias(f"n_{k}") for k in KINDS]
     return found.select("doc_id", *counts, F.sha2(joined("base").cast("binary"), 256).alias("base_sha256"), joined("spans").alias("spans"))
 
 
