@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from docsynth.llm import bpe, langid, mixing, secrets
+from docsynth.llm import bpe, langid, mixing, quality, secrets
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -64,3 +64,8 @@ k AS (SELECT *, CAST(rounds * size + greatest(0, least(size, total - rounds * so
 SELECT doc_id, size, source_size, target, taken,
   CASE WHEN taken > 0 THEN CASE WHEN slope = 0 THEN share ELSE (sqrt((1 - slope) * (1 - slope) + 4 * slope * share) - (1 - slope)) / (2 * slope) END END AS position
 FROM k"""
+
+
+@query
+def op9_quality_rules(spark: SparkSession, path: str) -> DataFrame:
+    return quality.rules(table(spark, path, "documents"), table(spark, path, "labels"))
