@@ -54,19 +54,24 @@ def slices(batches: Iterable[pa.RecordBatch], text: str, most: int = SLICE) -> I
             start = stop
 
 
-def map_text(df: DataFrame, text: str, fields: list[T.StructField], work: Callable[[pa.Array], list], most: int = SLICE) -> DataFrame:
-    """Every row of ``df`` with new columns that ``work`` makes from slices of its text column (nulls become empty)."""
-    schema = T.StructType([*df.schema.fields, *fields])
+def map_text(df: DataFrame, text: str, fields: list[T.StructField], work: Callable[[pa.Array], list], keep: bool = True) -> DataFrame:
+    """Every row of ``df`` with new columns that ``work`` makes from slices of its text column (nulls become empty).
+
+    Without ``keep`` the text itself is left out of the result.
+    """
+    kept = [f for f in df.schema.fields if keep or f.name != text]
+    schema = T.StructType([*kept, *fields])
 
     def task(batches):
         from pyspark.sql.pandas.types import to_arrow_schema
 
         kinds = [to_arrow_schema(T.StructType([f])).field(0).type for f in fields]
         names = schema.fieldNames()
-        for part in slices(batches, text, most):
+        for part in slices(batches, text):
             col = part.column(part.schema.get_field_index(text)).fill_null("")
             made = [x if isinstance(x, pa.Array) else pa.array(x, kind) for x, kind in zip(work(col), kinds, strict=True)]
-            yield pa.RecordBatch.from_arrays([*part.columns, *made], names)
+            old = [c for c, f in zip(part.columns, part.schema, strict=True) if keep or f.name != text]
+            yield pa.RecordBatch.from_arrays([*old, *made], names)
 
     return df.mapInArrow(task, schema)
 

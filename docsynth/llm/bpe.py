@@ -155,7 +155,7 @@ def encode(docs: DataFrame, path: str, text: str = "text", ids: str = "ids", cou
     return map_text(docs, text, [T.StructField(ids, T.BinaryType()), T.StructField(count, T.LongType())], work)
 
 
-def encode_decode(docs: DataFrame, path: str, text: str = "text", ids: str = "ids", count: str = "n_tokens", decoded: str = "decoded") -> DataFrame:
+def encode_decode(docs: DataFrame, path: str, text: str = "text", ids: str = "ids", count: str = "n_tokens", decoded: str = "decoded", keep: bool = True) -> DataFrame:
     """As :func:`encode`, with the text that the ids decode to, in one pass over the texts."""
 
     def work(col: pa.Array) -> list:
@@ -164,7 +164,7 @@ def encode_decode(docs: DataFrame, path: str, text: str = "text", ids: str = "id
         return [pa.array(made, pa.binary()), np.fromiter((len(m) // 4 for m in made), np.int64, len(made)), [bpe.decode(m) for m in made]]
 
     fields = [T.StructField(ids, T.BinaryType()), T.StructField(count, T.LongType()), T.StructField(decoded, T.StringType())]
-    return map_text(docs, text, fields, work)
+    return map_text(docs, text, fields, work, keep)
 
 
 def decode(coded: DataFrame, path: str, ids: str = "ids", decoded: str = "decoded") -> DataFrame:
@@ -180,7 +180,7 @@ def decode(coded: DataFrame, path: str, ids: str = "ids", decoded: str = "decode
 
 def digest(docs: DataFrame, path: str) -> DataFrame:
     """One row per document: number of ids and digests of the ids and of the decoded text."""
-    made = encode_decode(docs.select("doc_id", "text"), path)
+    made = encode_decode(docs.select("doc_id", "text"), path, keep=False)
     return made.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
 
 

@@ -87,7 +87,7 @@ def judge(text: str, model: Model) -> tuple[str, float, bool]:
     return model.languages[best], score, score < MARGIN
 
 
-def classify(docs: DataFrame, model: Model, text: str = "text", names: tuple[str, str, str] = ("lang_pred", "score", "rejected")) -> DataFrame:
+def classify(docs: DataFrame, model: Model, text: str = "text", names: tuple[str, str, str] = ("lang_pred", "score", "rejected"), keep: bool = True) -> DataFrame:
     """Adds predicted language, score and rejection; reads nothing but the text."""
     shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded, see Model
 
@@ -96,7 +96,7 @@ def classify(docs: DataFrame, model: Model, text: str = "text", names: tuple[str
         return list(zip(*(judge(t, model) for t in col.to_pylist()), strict=True)) or [[], [], []]
 
     fields = [T.StructField(names[0], T.StringType()), T.StructField(names[1], T.DoubleType()), T.StructField(names[2], T.BooleanType())]
-    return map_text(docs, text, fields, work)
+    return map_text(docs, text, fields, work, keep)
 
 
 def held_out(ident: str = "doc_id") -> Column:
@@ -107,5 +107,5 @@ def held_out(ident: str = "doc_id") -> Column:
 def predict(docs: DataFrame) -> DataFrame:
     """One row per document: held out or not, language and score by a model of the rows that are not."""
     model = fit(docs.where(~held_out()))
-    made = classify(docs.select("doc_id", held_out().alias("held_out"), "text"), model)
+    made = classify(docs.select("doc_id", held_out().alias("held_out"), "text"), model, keep=False)
     return made.select("doc_id", "held_out", "lang_pred", "score", "rejected")

@@ -64,7 +64,7 @@ def repeated_words(hashes: np.ndarray) -> int:
     return int((np.cumsum(step)[:-1] > 0).sum())
 
 
-def measure(docs: DataFrame, text: str = "text") -> DataFrame:
+def measure(docs: DataFrame, text: str = "text", keep: bool = True) -> DataFrame:
     """Adds the counts of COUNTS for each whole text."""
 
     def work(col: pa.Array) -> list:
@@ -78,7 +78,7 @@ def measure(docs: DataFrame, text: str = "text") -> DataFrame:
         repeats = [repeated_words(hashes[a:b]) for a, b in zip(w.first[:-1], w.first[1:], strict=True)]
         return [w.counts().astype(np.int64), chars, np.diff(signs[w.offsets]).astype(np.int64), [d for _, d in lines], repeats, [k for k, _ in lines]]
 
-    return map_text(docs, text, [T.StructField(c, T.LongType()) for c in COUNTS], work)
+    return map_text(docs, text, [T.StructField(c, T.LongType()) for c in COUNTS], work, keep)
 
 
 def failed() -> Column:
@@ -144,6 +144,6 @@ def verdict(chosen: dict[str, dict[str, int]]) -> Column:
 def rules(docs: DataFrame, labels: DataFrame, alpha: float = ALPHA, delta: float = DELTA) -> DataFrame:
     """One row per document: counts, base rules, and whether it is kept."""
     # Read twice, by the choice of cutoffs and by the verdict: written once, a few numbers a row.
-    measured = materialise(measure(docs.select("doc_id", "lang", "text")).drop("text"), "measured")
+    measured = materialise(measure(docs.select("doc_id", "lang", "text"), keep=False), "measured")
     chosen = choose(holdout(measured, labels), alpha, delta)
     return measured.select("doc_id", *COUNTS[:5], failed().alias("base_failed"), (~failed() & verdict(chosen)).alias("kept"))

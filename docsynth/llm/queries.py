@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from docsynth.llm import bpe, langid, mixing, quality, secrets
+from docsynth.llm import bpe, jaccard, langid, mixing, quality, secrets
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -69,3 +69,8 @@ FROM k"""
 @query
 def op9_quality_rules(spark: SparkSession, path: str) -> DataFrame:
     return quality.rules(table(spark, path, "documents"), table(spark, path, "labels"))
+
+
+@query
+def op4_jaccard_join(spark: SparkSession, path: str) -> DataFrame:
+    return jaccard.join(table(spark, path, "documents")).drop("row")

@@ -198,14 +198,14 @@ def place(layer: Layer, nested: tuple[int, int, int]) -> tuple[int, int, int]:
 SPAN = T.StructType([T.StructField("kind", T.StringType()), T.StructField("start", T.LongType()), T.StructField("end", T.LongType())])
 
 
-def find(docs: DataFrame, text: str = "text", base: str = "base", spans: str = "spans") -> DataFrame:
+def find(docs: DataFrame, text: str = "text", base: str = "base", spans: str = "spans", keep: bool = True) -> DataFrame:
     """Adds the secrets that stand in each whole text and all spans, nested ones included, by start and kind."""
 
     def work(col: pa.Array) -> list:
         both = [scan(t) for t in col.to_pylist()]
         return [[[{"kind": KINDS[k], "start": a, "end": b} for a, k, b in row] for row in side] for side in ([b for b, _ in both], [s for _, s in both])]
 
-    return map_text(docs, text, [T.StructField(base, T.ArrayType(SPAN)), T.StructField(spans, T.ArrayType(SPAN))], work)
+    return map_text(docs, text, [T.StructField(base, T.ArrayType(SPAN)), T.StructField(spans, T.ArrayType(SPAN))], work, keep)
 
 
 def joined(spans: str) -> Column:
@@ -215,7 +215,7 @@ def joined(spans: str) -> Column:
 
 def report(docs: DataFrame) -> DataFrame:
     """One row per document: number of secrets of each kind in the text as it is, their digest, and all spans."""
-    found = find(docs.select("doc_id", "text"))
+    found = find(docs.select("doc_id", "text"), keep=False)
     counts = [F.size(F.filter(F.col("base.kind"), partial(operator.eq, F.lit(k)))).cast("long").alias(f"n_{k}") for k in KINDS]
     return found.select("doc_id", *counts, F.sha2(joined("base").cast("binary"), 256).alias("base_sha256"), joined("spans").alias("spans"))
 
