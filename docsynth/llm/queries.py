@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from docsynth.llm import bpe, jaccard, langid, mixing, quality, secrets
+from docsynth.llm import bpe, jaccard, langid, mixing, quality, secrets, substring
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -74,3 +74,8 @@ def op9_quality_rules(spark: SparkSession, path: str) -> DataFrame:
 @query
 def op4_jaccard_join(spark: SparkSession, path: str) -> DataFrame:
     return jaccard.join(table(spark, path, "documents")).drop("row")
+
+
+@query
+def op5_substring_dedup(spark: SparkSession, path: str) -> DataFrame:
+    return substring.report(table(spark, path, "documents"))
