@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from docsynth.llm import bpe, jaccard, langid, mixing, quality, secrets, substring
+from docsynth.llm import bpe, jaccard, langid, mixing, neighbours, quality, secretscan, substring
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -34,7 +35,7 @@ def op2_language_id(spark: SparkSession, path: str) -> DataFrame:
 
 @query
 def op3_secret_scan(spark: SparkSession, path: str) -> DataFrame:
-    return secrets.report(table(spark, path, "documents"))
+    return secretscan.report(table(spark, path, "documents"))
 
 
 @query
@@ -79,3 +80,20 @@ def op4_jaccard_join(spark: SparkSession, path: str) -> DataFrame:
 @query
 def op5_substring_dedup(spark: SparkSession, path: str) -> DataFrame:
     return substring.report(table(spark, path, "documents"))
+
+
+@query
+def op6_nearest_neighbours(spark: SparkSession, path: str) -> DataFrame:
+    return neighbours.search(table(spark, path, "embeddings"), F.col("id") % 20 == 0)
+
+
+ORACLE["op6_nearest_neighbours"] = """
+WITH v AS (
+  SELECT CAST(vec_id AS BIGINT) AS id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, x -> x <> 0)) > 0),
+p AS (
+  SELECT q.id AS query_id, c.id AS vec_id, list_inner_product(q.v, c.v) AS score
+  FROM v q JOIN v c ON q.id % 20 = 0 AND q.id <> c.id AND len(q.v) = len(c.v)),
+r AS (SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score FROM p)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20"""
