@@ -91,7 +91,7 @@ ORACLE["op6_nearest_neighbours"] = """
 WITH v AS (
   SELECT CAST(vec_id AS BIGINT) AS id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
   WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
-    AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, x -> x <> 0)) > 0),
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
 p AS (
   SELECT q.id AS query_id, c.id AS vec_id, list_inner_product(q.v, c.v) AS score
   FROM v q JOIN v c ON q.id % 20 = 0 AND q.id <> c.id AND len(q.v) = len(c.v)),
