@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docsynth.llm import bpe, jaccard, langid, mixing, neighbours, quality, secretscan, substring
+from docsynth.llm import bpe, jaccard, langid, mixing, neighbours, quality, secretscan, substring, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -97,3 +97,30 @@ p AS (
   FROM v q JOIN v c ON q.id % 20 = 0 AND q.id <> c.id AND len(q.v) = len(c.v)),
 r AS (SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score FROM p)
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20"""
+
+
+@query
+def op7_warc_fixity(spark: SparkSession, path: str) -> DataFrame:
+    """The replica is the pages with rot in some: a byte changed at a place set by the id, or the end of the body lost."""
+    pages = table(spark, path, "pages")
+    html, ident = F.col("html"), F.col("page_id")
+    at = (ident % 50 + 1).cast("int")
+    changed = F.overlay(html, F.lit("\x01"), at)
+    lost = html.substr(F.lit(1), F.length(html) - 7)
+    return warc.report(pages, F.when((ident % 97 == 5) & (F.length(html) >= 60), changed).when((ident % 131 == 7) & (F.length(html) >= 60), lost).otherwise(F.coalesce(html, F.lit(""))))
+
+
+ORACLE["op7_warc_fixity"] = r"""
+WITH k AS (SELECT *, md5(CAST(page_id AS VARCHAR) || ' ' || url) AS m FROM pages),
+r AS (SELECT page_id, url, html, page_id // 1000 AS file,
+        'WARC/1.0' || chr(13) || chr(10) || 'WARC-Type: resource' || chr(13) || chr(10) || 'WARC-Record-ID: <urn:uuid:'
+        || m[1:8] || '-' || m[9:12] || '-' || m[13:16] || '-' || m[17:20] || '-' || m[21:32] || '>' || chr(13) || chr(10)
+        || 'WARC-Date: 2024-01-01T00:00:00Z' || chr(13) || chr(10) || 'WARC-Target-URI: ' || url || chr(13) || chr(10)
+        || 'Content-Type: text/html' || chr(13) || chr(10) || 'Content-Length: ' || CAST(strlen(html) AS VARCHAR)
+        || chr(13) || chr(10) || chr(13) || chr(10) || html || chr(13) || chr(10) || chr(13) || chr(10) AS bytes
+      FROM k)
+SELECT page_id, file,
+  CAST(coalesce(sum(strlen(bytes)) OVER (PARTITION BY file ORDER BY page_id, url ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS "offset",
+  CAST(strlen(bytes) AS BIGINT) AS length, sha256(bytes) AS digest,
+  length(html) >= 60 AND (page_id % 97 = 5 OR page_id % 131 = 7) AS damaged
+FROM r"""
