@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docsynth.llm import bpe, jaccard, langid, mixing, neighbours, quality, secretscan, substring, warc
+from docsynth.llm import bpe, jaccard, langid, mixing, neighbours, packing, quality, secretscan, substring, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -124,3 +124,8 @@ SELECT page_id, file,
   CAST(strlen(bytes) AS BIGINT) AS length, sha256(bytes) AS digest,
   length(html) >= 60 AND (page_id % 97 = 5 OR page_id % 131 = 7) AS damaged
 FROM r"""
+
+
+@query
+def op10_packing(spark: SparkSession, path: str) -> DataFrame:
+    return packing.pack(table(spark, path, "documents"), public_tokenizers.path("word_bpe_49k.json"))
