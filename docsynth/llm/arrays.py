@@ -6,13 +6,15 @@ the slice (a few MB of text, or one text if that is longer), never the partition
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 #: Bytes of text handled at once.
@@ -20,6 +22,9 @@ SLICE = 2_000_000
 #: Bytes hashed at once; sized for the processor's cache.
 BLOCK = 1 << 17
 
+#: Folder of the package.
+ROOT = str(Path(__file__).resolve().parent.parent.parent)
+
 U64 = np.uint64
 _SEED = np.random.Generator(np.random.PCG64(20_240_607))
 _CODES = _SEED.integers(1, 1 << 64, 256, dtype=U64)
@@ -33,6 +38,14 @@ SPACE[[32, 9, 10, 11, 12, 13]] = True
 NO_HASH = np.empty(0, U64)
 
 
+def reachable(spark: SparkSession) -> SparkSession:
+    """Let Python workers import this package where they share the driver's file system but not its search path."""
+    known = spark.sparkContext.environment
+    if ROOT not in known.get("PYTHONPATH", "").split(os.pathsep):
+        known["PYTHONPATH"] = os.pathsep.join(filter(None, [ROOT, known.get("PYTHONPATH", "")]))
+    return spark
+
+
 def fresh(df: DataFrame, name: str) -> str:
     """A column name that the frame does not use yet."""
     taken = {c.lower() for c in df.columns}

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docsynth.llm import bpe, jaccard, langid, mixing, neighbours, packing, quality, secretscan, substring, warc
+from docsynth.llm.arrays import reachable
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -20,7 +21,7 @@ def query(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSessio
 
 
 def table(spark: SparkSession, path: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{path}/{name}.parquet")
+    return reachable(spark).read.parquet(f"{path}/{name}.parquet")
 
 
 @query
