@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docsynth.llm import bpe, jaccard, langid, mixing, secretscan
-from docsynth.llm.arrays import fresh
+from docsynth.llm.arrays import fresh, reachable
 from docsynth.session import materialise
 
 
@@ -53,7 +53,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the documents; each result is written and read again before the next stage."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = reachable(spark).read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
         docs = materialise(stage(spark, docs, sf_dir), name)
     return STAGES[-1][1](spark, docs, sf_dir)
