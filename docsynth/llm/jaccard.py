@@ -1,8 +1,8 @@
 """Exact Jaccard join of word n-grams.
 
 A document is the set of the hashes of its n-grams. Equal sets are one class. Two classes can only reach the least
-similarity if they share several n-grams among the first of each, in an order that puts n-grams known to be frequent
-last: those first n-grams are dealt out by value, and classes that share enough of them form tiles. A tile is read
+similarity if they share several n-grams among the first of each, in an order that puts n-grams of common words and
+n-grams known to be frequent last: those first n-grams are dealt out by value, and classes that share enough of them form tiles. A tile is read
 by size: a class is held against those whose size allows a link, first by bitmaps of hashed n-grams, whose bit counts
 bound the overlap from above, then by intersection of the sorted arrays. A large tile is split into blocks of bounded
 size within bands of set size, and only pairs of blocks from the same or neighbouring bands are compared. Links are
@@ -19,6 +19,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -30,28 +31,53 @@ from docsynth.session import materialise
 WORDS = 5
 #: Least similarity as a fraction.
 OVER, UNDER = 3, 4
+#: A word is common if it makes up this share of all words, so the list has at most 1 / COMMON words.
+COMMON = 1 / 4000
+#: Bits of the table in which common words are looked up.
+TABLE = 20
 #: n-grams found so often within slices of text count as frequent; at most so many are listed (8 bytes each).
 FREQUENT, MOST_FREQUENT = 8, 1 << 20
 #: Classes sharing one n-gram, up to which pairs are counted; more become one tile.
-FEW = 16
+FEW = 48
 #: n-grams of a block, and of a task's read of small tiles.
 BLOCK_GRAMS = 1_500_000
 #: Rows of the sorted exchange handled at once.
 ROWS = 200_000
 
 
-def gram_sets(col: pa.Array) -> list[np.ndarray]:
-    """Sorted distinct hashes of the n-grams of each text."""
+def common_words(docs: DataFrame) -> np.ndarray:
+    """Table over the low bits of word hashes, true for common words; counted over all texts."""
+
+    def task(batches):
+        for part in slices(batches, "text"):
+            words, times = np.unique(words_of(part.column("text").fill_null("")).hashes(lower=True), return_counts=True)
+            # What is rare in a slice adds up to its total only.
+            often = times >= COMMON / 4 * times.sum()
+            words, times = np.append(words[often], U64(0)), np.append(times[often], times[~often].sum())
+            yield pa.RecordBatch.from_arrays([pa.array(as_long(words)), pa.array(times)], ["word", "times"])
+
+    counts = materialise(docs.select("text").mapInArrow(task, "word long, times long").groupBy("word").agg(F.sum("times").alias("times")), "words")
+    total = counts.agg(F.sum("times")).first()[0] or 0
+    listed = counts.where((F.col("word") != 0) & (F.col("times") >= COMMON * total)).select("word").toArrow()
+    table = np.zeros(1 << TABLE, bool)
+    table[(listed.column("word").to_numpy().view(U64) & U64((1 << TABLE) - 1)).astype(np.int64)] = True
+    return table
+
+
+def gram_sets(col: pa.Array, common: np.ndarray) -> list[np.ndarray]:
+    """Sorted distinct hashes of the n-grams of each text; their top three bits say how many words are common."""
     w = words_of(col)
     hashes = w.hashes(lower=True)
+    flags = np.concatenate([[0], np.cumsum(common[(hashes & U64((1 << TABLE) - 1)).astype(np.int64)])])
     out = []
     for a, b in zip(w.first[:-1].tolist(), w.first[1:].tolist(), strict=True):
-        if b - a >= WORDS:
-            grams = windows(hashes[a:b], WORDS)
-        elif b > a:
-            grams = stir(windows(hashes[a:b], b - a) + U64(b - a))
-        else:
-            grams = hashes[:0]
+        k = min(WORDS, b - a)
+        grams = windows(hashes[a:b], k) if k else hashes[:0]
+        if 0 < k < WORDS:
+            grams = stir(grams + U64(k))
+        if k:
+            rank = (flags[a + k : b + 1] - flags[a : b - k + 1]).astype(U64)
+            grams = (grams >> U64(3)) | (rank << U64(61))
         out.append(np.unique(grams))
     return out
 
@@ -70,17 +96,17 @@ def first_grams(n: np.ndarray) -> np.ndarray:
     return np.minimum(n, n - (OVER * n + UNDER - 1) // UNDER + 1 + more(n))
 
 
-def sets(docs: DataFrame) -> DataFrame:
+def sets(docs: DataFrame, common: Broadcast) -> DataFrame:
     """(row, doc_id, n, set): number of n-grams and identity of the set of each row of ``docs`` (row, doc_id, text)."""
 
     def work(col: pa.Array) -> list:
-        found = gram_sets(col)
+        found = gram_sets(col, common.value)
         return [np.array([len(g) for g in found], np.int64), np.array([set_id(g) for g in found], np.int64)]
 
     return map_text(docs, "text", [T.StructField("n", T.LongType()), T.StructField("set", T.LongType())], work, keep=False)
 
 
-def frequent(docs: DataFrame) -> np.ndarray:
+def frequent(docs: DataFrame, common: Broadcast) -> np.ndarray:
     """Hashes of frequent n-grams, sorted: counted over all texts, from those that a slice of texts has at least twice.
 
     They only steer the order of n-grams, on which the result does not depend.
@@ -88,7 +114,7 @@ def frequent(docs: DataFrame) -> np.ndarray:
 
     def task(batches):
         for part in slices(batches, "text", 8_000_000):
-            seen = {g.tobytes(): g for g in gram_sets(part.column("text").fill_null(""))}
+            seen = {g.tobytes(): g for g in gram_sets(part.column("text").fill_null(""), common.value)}
             if seen:
                 grams, times = np.unique(np.concatenate(list(seen.values())), return_counts=True)
                 often = times > 1
@@ -99,7 +125,7 @@ def frequent(docs: DataFrame) -> np.ndarray:
     return np.sort(listed.column("gram").to_numpy().view(U64))
 
 
-def postings(docs: DataFrame, often: np.ndarray) -> DataFrame:
+def postings(docs: DataFrame, common: Broadcast, often: np.ndarray) -> DataFrame:
     """(gram, set, n) for the first n-grams of each set; a task gives each set once."""
     shared = docs.sparkSession.sparkContext.broadcast(often)  # MOST_FREQUENT at most
 
@@ -107,7 +133,7 @@ def postings(docs: DataFrame, often: np.ndarray) -> DataFrame:
         often, seen = shared.value, set()
         for part in slices(batches, "text"):
             grams, ids, sizes = [], [], []
-            for g in gram_sets(part.column("text").fill_null("")):
+            for g in gram_sets(part.column("text").fill_null(""), common.value):
                 if not len(g) or (ident := set_id(g)) in seen:
                     continue
                 if len(seen) < 1_000_000:
@@ -230,17 +256,17 @@ def linked(a: np.ndarray, others: list[np.ndarray]) -> np.ndarray:
     return UNDER * common >= OVER * (len(a) + sizes - common)
 
 
-def tile_links(docs: DataFrame, members: DataFrame) -> DataFrame:
+def tile_links(docs: DataFrame, common: Broadcast, members: DataFrame) -> DataFrame:
     """(a, b, links): for every class found linked within a tile, its tree's root and the linked rows it has there.
 
-    ``members``: (row, set, cluster, copies, blocks) of the row that stands for a class, where blocks holds the keys of the tiles it goes
-    to and on which side of each it stands (0 left, 1 right, 2 both).
+    ``members``: (row, set, copies, blocks) of the row that stands for a class, where blocks holds the keys of the tiles
+    it goes to and on which side of each it stands (0 left, 1 right, 2 both).
     """
     joined = docs.join(members, "row")
 
     def read(batches):
         for part in slices(batches, "text"):
-            found = [g.tobytes() for g in gram_sets(part.column("text").fill_null(""))]
+            found = [g.tobytes() for g in gram_sets(part.column("text").fill_null(""), common.value)]
             yield pa.RecordBatch.from_arrays([part.column("set"), part.column("copies"), part.column("blocks"), pa.array(found, pa.binary())], ["set", "copies", "blocks", "grams"])
 
     block = "array<struct<tile:long,side:int>>"
@@ -311,12 +337,13 @@ def blocks(clustered: DataFrame) -> DataFrame:
 def join(docs: DataFrame) -> DataFrame:
     """One row per row of ``docs`` (read from a table): row, doc_id, n_shingles, component_id, n_links."""
     docs = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", "text")
-    rows = materialise(sets(docs), "sets")
+    common = docs.sparkSession.sparkContext.broadcast(common_words(docs))  # 2**TABLE bytes
+    rows = materialise(sets(docs, common), "sets")
     classes = rows.where("n > 0").groupBy("set").agg(F.min("row").alias("row"), F.first("n").alias("n"), F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("copies"))
-    pairs = candidates(postings(docs, frequent(docs)))
+    pairs = candidates(postings(docs, common, frequent(docs, common)))
     clusters = components(pairs).select(F.col("node").alias("set"), F.col("root").alias("cluster"))
     members = blocks(classes.join(clusters, "set")).select("row", "set", "copies", "blocks")
-    found = materialise(tile_links(docs, materialise(members, "members")), "found")
+    found = materialise(tile_links(docs, common, materialise(members, "members")), "found")
     roots = components(found.select("a", "b")).select(F.col("node").alias("set"), "root")
     degrees = found.groupBy(F.col("a").alias("set")).agg(F.sum("links").alias("links"))
     classes = classes.join(roots, "set", "left").join(degrees, "set", "left").withColumn("root", F.coalesce("root", "set"))
