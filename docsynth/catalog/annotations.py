@@ -134,8 +134,7 @@ def read_slot_labels(t: Tables) -> DataFrame:
 def read_corpus(t: Tables) -> DataFrame:
     joined = t.customer.join(t.nation, C("c_nationkey") == C("n_nationkey"))
     line = F.concat(F.lit("a.jpg;0;0;1;0;1;1;0;1;text@"), F.concat(F.lit("户名"), "n_name"))
-    labels.allow_charset(t.spark)
-    return labels.decode_corpus(joined.select(F.encode(line, "GBK").alias("content")), "GBK")
+    return labels.decode_corpus(joined.select(labels.encode_text(line, "GBK").alias("content")), "GBK")
 
 
 @query(
@@ -191,13 +190,6 @@ def synth_source(t: Tables) -> DataFrame:
     return samples.select("index", "lang", name.alias("name"), draw(C("index"), 50).alias("seed"))
 
 
-@query()
-def list_by_extension(t: Tables) -> DataFrame:
-    from docsynth.sources import dataset
-
-    return dataset.list_by_extension(t.spark, t.path, "parquet").select("stem", "ext", "length")
-
-
 # ---------------------------------------------------------------- geometry
 
 

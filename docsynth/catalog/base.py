@@ -8,6 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from docsynth.operators.corpus import WORD
 from docsynth.rng import M
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -138,9 +139,9 @@ INPUTS: dict[str, str] = {
         row_number() OVER (PARTITION BY x.image_id, x.ann_id ORDER BY c.row_no, c.col_no) AS k FROM boxes x JOIN grid c
         ON x.image_id = c.image_id AND (x.l + x.r) // 2 BETWEEN c.l AND c.r AND (x.t + x.b) // 2 BETWEEN c.t AND c.b)
         WHERE k = 1""",
-    "words": """SELECT doc_id, lang, pos, word FROM (SELECT doc_id, lang,
-        unnest(regexp_extract_all(text, '[A-Za-z]+')) AS word,
-        generate_subscripts(regexp_extract_all(text, '[A-Za-z]+'), 1) AS pos FROM documents)""",
+    "words": r"""SELECT doc_id, lang, pos, word FROM (SELECT doc_id, lang,
+        unnest(regexp_extract_all(text, '\p{L}[\p{L}\p{M}]*')) AS word,
+        generate_subscripts(regexp_extract_all(text, '\p{L}[\p{L}\p{M}]*'), 1) AS pos FROM documents)""",
     "lines": """SELECT doc_id, unnest(string_split(text, chr(10))) AS line,
         generate_subscripts(string_split(text, chr(10)), 1) AS line_no FROM documents""",
     "hierarchy": """SELECT r_regionkey AS statement_no, r_name AS statement, n_nationkey AS section_no,
@@ -207,7 +208,7 @@ def boxes(t: Tables) -> DataFrame:
 
 
 def words(t: Tables) -> DataFrame:
-    found = F.regexp_extract_all("text", F.lit("[A-Za-z]+"), F.lit(0))
+    found = F.regexp_extract_all("text", F.lit(WORD), F.lit(0))
     rows = t.documents.select("doc_id", "lang", F.posexplode_outer(found).alias("pos", "word"))
     return rows.where(F.col("pos").isNotNull()).withColumn("pos", F.col("pos") + 1)
 

@@ -33,8 +33,10 @@ VOCAB = """(SELECT lang, word, length(word) AS n_chars, row_number() OVER (PARTI
     FROM (SELECT DISTINCT lang, word FROM words))"""
 NUMBERED = """(SELECT lang, word, length(word) AS n_chars, row_number() OVER (PARTITION BY lang ORDER BY length(word), word) - 1 AS idx
     FROM (SELECT DISTINCT lang, word FROM words))"""
-CASED = """CASE WHEN regexp_matches(word, '^[A-Z][a-z]*$') THEN upper(w[1]) || lower(w[2:]) WHEN upper(word) = word THEN upper(w)
-    WHEN lower(word) = word THEN lower(w) ELSE w END"""
+# A sharp s becomes SS in capitals, as in Unicode's full mapping.
+CASED = """CASE WHEN upper(replace(word[1], 'ß', 'ss')) = word[1] AND upper(word[1]) <> lower(word[1]) AND lower(word[2:]) = word[2:]
+    THEN upper(replace(w[1], 'ß', 'ss')) || lower(w[2:]) WHEN upper(replace(word, 'ß', 'ss')) = word AND upper(word) <> lower(word)
+    THEN upper(replace(w, 'ß', 'ss')) WHEN lower(word) = word AND upper(word) <> lower(word) THEN lower(w) ELSE w END"""
 
 
 @query(f"SELECT * FROM {VOCAB}")
@@ -84,13 +86,13 @@ def word_like(t: Tables) -> DataFrame:
 
 @query(
     f"""WITH v AS {VOCAB}, z AS (SELECT lang, n_chars, count(*) AS size FROM v GROUP BY ALL),
-    r AS (SELECT doc_id, lang, unnest(regexp_extract_all(text, '[A-Za-z]+|[0-9]+|[^A-Za-z0-9]+')) AS word,
-      generate_subscripts(regexp_extract_all(text, '[A-Za-z]+|[0-9]+|[^A-Za-z0-9]+'), 1) - 1 AS pos FROM documents),
+    r AS (SELECT doc_id, lang, unnest(x) AS word, generate_subscripts(x, 1) - 1 AS pos FROM (SELECT doc_id, lang,
+      regexp_extract_all(text, '\\p{{L}}[\\p{{L}}\\p{{M}}]*|[0-9]+|[^\\p{{L}}0-9]+') AS x FROM documents)),
     k AS (SELECT r.*, length(word) AS n, {draw_sql('doc_id * 100003 + pos', 30)} AS d,
       CAST({draw_sql('doc_id * 100003 + pos', 10)} % 6 AS INTEGER) AS s FROM r),
-    m AS (SELECT k.*, v.word AS w FROM k LEFT JOIN z ON k.lang = z.lang AND k.n = z.n_chars AND regexp_matches(k.word, '^[A-Za-z]')
+    m AS (SELECT k.*, v.word AS w FROM k LEFT JOIN z ON k.lang = z.lang AND k.n = z.n_chars AND regexp_matches(k.word, '^\\p{{L}}')
       LEFT JOIN v ON v.lang = k.lang AND v.n_chars = k.n AND v.idx = k.d % z.size)
-    SELECT doc_id, string_agg(CASE WHEN regexp_matches(word, '^[A-Za-z]') THEN {CASED}
+    SELECT doc_id, string_agg(CASE WHEN regexp_matches(word, '^\\p{{L}}') THEN {CASED}
       WHEN regexp_matches(word, '^[0-9]') THEN translate(word, '345678', ('345678345678')[s + 1 : s + 6]) ELSE word END, ''
       ORDER BY pos) AS text FROM m GROUP BY doc_id"""
 )
@@ -168,19 +170,36 @@ def read_word_sets(t: Tables) -> DataFrame:
 
 # ---------------------------------------------------------------- pages
 
-ARTICLE = r"""trim(regexp_replace(regexp_replace(regexp_replace(regexp_extract(html, '<article[^>]*>(.*)</article>', 1, 's'),
+TEXT = r"""trim(regexp_replace(regexp_replace(regexp_replace(PART,
     '<(script|style)[^>]*>.*?</(script|style)>', ' ', 'gs'), '<[^>]*>', ' ', 'gs'), '\s+', ' ', 'g'))"""
 
 
+ENTITIES = [("lt", "<"), ("gt", ">"), ("quot", '"'), ("apos", "''"), ("nbsp", "\u00a0"), ("amp", "&")]
+
+
+def plain_sql(part: str) -> str:
+    """Text of a part of a page, without tags, entities decoded."""
+    out = TEXT.replace("PART", part)
+    for name, sign in ENTITIES:
+        out = f"replace({out}, '&{name};', '{sign}')"
+    return out
+
+
+PARTS = """(SELECT page_id, url, regexp_extract(html, '<article[^>]*>(.*)</article>', 1, 's') AS article,
+    regexp_extract(html, '<body[^>]*>(.*)</body>', 1, 's') AS body FROM pages)"""
+CONTENT = rf"""coalesce(nullif(array_to_string(list_filter(list_transform(string_split_regex(article, '<[pP](?:\s[^>]*)?>')[2:],
+    lambda p: {plain_sql("regexp_replace(p, '</[pP]>.*', '', 's')")}), lambda p: p <> ''), chr(10)), ''),
+    nullif({plain_sql("article")}, ''), {plain_sql("body")})"""
+
+
 @query(
-    rf"""SELECT page_id, url, CASE WHEN a = '' THEN b ELSE a END AS content FROM (SELECT page_id, url, {ARTICLE} AS a,
-    {ARTICLE.replace('article', 'body')} AS b FROM pages)"""
+    f"SELECT page_id, url, {CONTENT} AS content FROM {PARTS}"
 )
 def article_text(t: Tables) -> DataFrame:
     return t.pages.select("page_id", "url", web.article_text(F.col("html")).alias("content"))
 
 
-@query(f"SELECT page_id FROM (SELECT page_id, {ARTICLE} AS content FROM pages) WHERE length(content) > 0")
+@query(f"SELECT page_id FROM (SELECT page_id, {CONTENT} AS content FROM {PARTS}) WHERE length(content) > 0")
 def drop_empty_content(t: Tables) -> DataFrame:
     articles = t.pages.select("page_id", web.article_text(F.col("html")).alias("content"))
     return articles.where(F.length("content") > 0).select("page_id")
@@ -199,10 +218,10 @@ def link_filter(t: Tables) -> DataFrame:
 
 @query(
     r"""SELECT site, page_id, row_number() OVER (PARTITION BY site ORDER BY page_id) AS rn FROM (SELECT page_id,
-    regexp_extract(url, '(example\.[a-z]+)', 1) AS site FROM pages) QUALIFY rn <= 10"""
+    regexp_extract(url, '^[a-z]+://([^/?#:]+)', 1) AS site FROM pages) QUALIFY rn <= 10"""
 )
 def per_site_cap(t: Tables) -> DataFrame:
-    sites = t.pages.select(F.regexp_extract("url", r"(example\.[a-z]+)", 1).alias("site"), "page_id")
+    sites = t.pages.select(web.host(F.col("url")).alias("site"), "page_id")
     return corpus.top_n(sites, ["site"], [F.col("page_id")], 10, F.col("page_id"))
 
 

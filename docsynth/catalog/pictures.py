@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -170,9 +172,18 @@ def salt_pepper(t: Tables) -> DataFrame:
     return px.salt_pepper(pixels(t).withColumn("u", u), C("u"), 0.05).select(*KEY, *RGB)
 
 
-@query()
+@query(
+    f"SELECT {', '.join(KEY)}, "
+    + ", ".join(
+        f"""CAST(floor(least(greatest({c} / {D(255.0)} + sqrt(-2 * ln(1 - {uniform_sql('id', 84 + 2 * i)})) * cos({D(2 * math.pi)} * {uniform_sql('id', 85 + 2 * i)})
+        * {D(0.001**0.5)} + {D(0.0)}, 0), 1) * 255) AS BIGINT) AS {c}"""
+        for i, c in enumerate(RGB)
+    )
+    + " FROM (SELECT *, image_id * 16 + y * 4 + x AS id FROM pixels)"
+)
 def gauss_noise(t: Tables) -> DataFrame:
-    return px.gauss_noise(pixels(t), 0.0, 0.001, 5).select(*KEY, *RGB)
+    ident = C("image_id") * 16 + C("y") * 4 + C("x")
+    return px.gauss_noise(pixels(t), 0.0, 0.001, ident, 84).select(*KEY, *RGB)
 
 
 GREY = "CAST(floor(red * CAST(0.299 AS DOUBLE) + green * CAST(0.587 AS DOUBLE) + blue * CAST(0.114 AS DOUBLE) + CAST(0.5 AS DOUBLE)) AS BIGINT)"

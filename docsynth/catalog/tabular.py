@@ -204,24 +204,25 @@ def stack_tables(t: Tables) -> DataFrame:
 
 
 @query(
-    f"""WITH a AS (SELECT table_id, row_no AS line_no, rpad(a, 20, ' ') AS line FROM {ROWS}),
-    b AS (SELECT n_regionkey * 1 AS k, n_nationkey AS table_id, s_name AS line, row_number() OVER (PARTITION BY n_nationkey
-      ORDER BY s_suppkey) AS line_no FROM supplier JOIN nation ON s_nationkey = n_nationkey)
-    SELECT CAST(coalesce(a.table_id, b.table_id) AS BIGINT) AS table_id, coalesce(a.line_no, b.line_no) AS line_no,
-      coalesce(a.line, repeat(' ', 20)) || coalesce(rpad(b.line, 20, ' '), repeat(' ', 20)) AS line
-    FROM a FULL JOIN b ON a.table_id = b.table_id AND a.line_no = b.line_no"""
+    f"""WITH a AS (SELECT table_id, row_no AS line_no, a AS line FROM {ROWS}),
+    b AS (SELECT s_nationkey AS table_id, s_name AS line, row_number() OVER (PARTITION BY s_nationkey ORDER BY s_suppkey) AS line_no FROM supplier),
+    w AS (SELECT table_id, max(length(line)) AS n FROM a GROUP BY table_id), v AS (SELECT table_id, max(length(line)) AS n FROM b GROUP BY table_id),
+    f AS (SELECT coalesce(a.table_id, b.table_id) AS table_id, coalesce(a.line_no, b.line_no) AS line_no, coalesce(a.line, '') AS x,
+      coalesce(b.line, '') AS y FROM a FULL JOIN b ON a.table_id = b.table_id AND a.line_no = b.line_no)
+    SELECT CAST(f.table_id AS BIGINT) AS table_id, line_no, x || repeat(' ', coalesce(w.n, 0) - length(x)) || y ||
+      repeat(' ', coalesce(v.n, 0) - length(y)) AS line FROM f LEFT JOIN w ON f.table_id = w.table_id LEFT JOIN v ON f.table_id = v.table_id"""
 )
 def side_by_side(t: Tables) -> DataFrame:
-    left = customer_rows(t).select("table_id", C("row_no").alias("line_no"), F.rpad(C("cells")[0], 20, " ").alias("line"))
-    base = t.supplier.select(C("s_nationkey").cast("bigint").alias("table_id"), "s_suppkey", F.rpad("s_name", 20, " ").alias("line"))
+    left = customer_rows(t).select("table_id", C("row_no").alias("line_no"), C("cells")[0].alias("line"))
+    base = t.supplier.select(C("s_nationkey").cast("bigint").alias("table_id"), "s_suppkey", C("s_name").alias("line"))
     right = number_rows(base, ["table_id"], {"block": F.floor(C("s_suppkey") / 4096)}, ["s_suppkey"], "line_no")
-    return tables.side_by_side(left, right.drop("s_suppkey"), 20)
+    return tables.side_by_side(left, right.drop("s_suppkey"))
 
 
 @query(
-    f"""WITH m AS (SELECT *, count(*) OVER (PARTITION BY table_id) // 2 AS mid FROM {ROWS})
+    f"""WITH m AS (SELECT *, (count(*) OVER (PARTITION BY table_id) + 1) // 2 AS mid FROM {ROWS})
     SELECT x.table_id, x.row_no AS rn, x.a AS "left", y.a AS "right" FROM m x LEFT JOIN m y ON x.table_id = y.table_id
-      AND y.row_no = x.row_no + x.mid WHERE x.row_no < x.mid"""
+      AND y.row_no = x.row_no + x.mid WHERE x.row_no <= x.mid"""
 )
 def double_column(t: Tables) -> DataFrame:
     rows = customer_rows(t).select("table_id", C("row_no").alias("rn"), C("cells")[0].alias("item"))

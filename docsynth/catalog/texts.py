@@ -62,9 +62,9 @@ def wrap_chars(t: Tables) -> DataFrame:
     return found.select("doc_id", "line_no", (F.col("i") + 1).alias("piece_no"), "piece")
 
 
-WRAPPED = r"""(SELECT doc_id, line_no, unnest(list_transform(regexp_extract_all(line, '(.{1,60})(?: +|$)|(.{60})'),
+WRAPPED = r"""(SELECT doc_id, line_no, unnest(list_transform(regexp_extract_all(line, '(?s)(.{1,60})(?: +|\z)|(.{60})'),
     lambda x: rtrim(x))) AS piece,
-    generate_subscripts(regexp_extract_all(line, '(.{1,60})(?: +|$)|(.{60})'), 1) AS piece_no FROM lines)"""
+    generate_subscripts(regexp_extract_all(line, '(?s)(.{1,60})(?: +|\z)|(.{60})'), 1) AS piece_no FROM lines)"""
 
 
 @query(f"SELECT doc_id, line_no, piece_no, piece FROM {WRAPPED}")
@@ -268,7 +268,7 @@ def indent_item(t: Tables) -> DataFrame:
 )
 def split_on_gaps(t: Tables) -> DataFrame:
     line = F.concat(
-        F.lit("  "), F.rpad("c_name", 25, " "), F.rpad("c_mktsegment", 15, " "), F.col("c_acctbal").cast("string")
+        F.lit("  "), text.pad_right(F.col("c_name"), 25, " "), text.pad_right(F.col("c_mktsegment"), 15, " "), F.col("c_acctbal").cast("string")
     )
     return (
         t.customer.withColumn("line", line)

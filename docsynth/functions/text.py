@@ -60,7 +60,7 @@ def text_size(c: Column) -> Column:
 
 def wrap_chars(line: Column, width: int) -> Column:
     """Pieces of at most ``width`` columns; a wide sign that would overflow starts the next piece."""
-    plain = F.regexp_extract_all(line, F.lit(f".{{1,{width}}}"), F.lit(0))
+    plain = F.regexp_extract_all(line, F.lit(f"(?s).{{1,{width}}}"), F.lit(0))
     start = F.struct(F.array().cast("array<string>").alias("done"), F.lit("").alias("cur"), F.lit(0).alias("used"))
 
     def step(s: Column, ch: Column) -> Column:
@@ -81,7 +81,7 @@ def wrap_chars(line: Column, width: int) -> Column:
 
 def wrap_words(line: Column, width: int) -> Column:
     """Greedy word wrap; a word longer than the box is cut; text with wide signs wraps by character."""
-    pieces = F.regexp_extract_all(line, F.lit(f"(.{{1,{width}}})(?: +|$)|(.{{{width}}})"), F.lit(0))
+    pieces = F.regexp_extract_all(line, F.lit(f"(?s)(.{{1,{width}}})(?: +|\\z)|(.{{{width}}})"), F.lit(0))
     return F.when(line.rlike(WIDE), wrap_chars(line, width)).otherwise(F.transform(pieces, lambda p: F.rtrim(p)))
 
 

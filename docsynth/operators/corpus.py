@@ -10,6 +10,8 @@ from docsynth.operators.ordered import number_rows, scan
 from docsynth.rng import draw
 
 SALTS = 16
+#: A word in any script: letters with their marks.
+WORD = r"\p{L}[\p{L}\p{M}]*"
 
 
 def token_counts(tokens: DataFrame, *keys: str) -> DataFrame:
@@ -66,22 +68,28 @@ def word_like(tokens: DataFrame, vocab: DataFrame, ident: Column, salt: int = 30
     """Add ``fake``: a vocabulary word of the same language, length and letter case.
 
     ``exact=False`` lets words longer than four be replaced by one up to two letters shorter. A bucket with no words
-    leaves the word. The few words of a short bucket are wanted by very many tokens, so the picked word is joined on a
+    takes any word of the language. The few words of a short bucket are wanted by very many tokens, so the picked word is joined on a
     salted key; bucket sizes are one row per (language, length).
     """
+    # Length 0 stands for the whole language, for lengths that have no word.
+    anywhere = number_rows(vocab.select("lang", "word", "n_chars"), ["lang"], {"n": F.col("n_chars"), "head": F.substring("word", 1, 2)}, ["n_chars", "word"], "idx")
+    anywhere = anywhere.select("lang", F.lit(0).cast("bigint").alias("n_chars"), "word", (F.col("idx") - 1).alias("idx"))
+    vocab = vocab.select("lang", "n_chars", "word", "idx").unionByName(anywhere)
     sizes = vocab.groupBy("lang", "n_chars").agg(F.count(F.lit(1)).alias("__size"))
+    by_lang = sizes.groupBy("lang").agg(F.map_from_entries(F.collect_list(F.struct("n_chars", "__size"))).alias("__sizes"))
     n = F.length("word").cast("bigint")
     if not exact:
         n = F.when(n <= 4, n).otherwise(n - draw(ident, salt + 1) % 3)
-    want = tokens.withColumns({"n_chars": n, "__draw": draw(ident, salt)})
-    want = want.join(sizes, ["lang", "n_chars"], "left").withColumns(
-        {"idx": F.coalesce(F.col("__draw") % F.col("__size"), F.lit(-1)), "__salt": F.col("__draw") % 997 % SALTS}
-    )
+    want = tokens.withColumns({"n_chars": n, "__draw": draw(ident, salt)}).join(by_lang, ["lang"], "left")
+    known = F.coalesce(F.array_contains(F.map_keys("__sizes"), F.col("n_chars")), F.lit(False))
+    want = want.withColumn("n_chars", F.when(known, F.col("n_chars")).otherwise(0))
+    size = F.try_element_at("__sizes", F.col("n_chars"))
+    want = want.withColumns({"idx": F.coalesce(F.col("__draw") % size, F.lit(-1)), "__salt": F.col("__draw") % 997 % SALTS}).drop("__sizes")
     copies = F.explode_outer(F.sequence(F.lit(0).cast("bigint"), F.lit(SALTS - 1).cast("bigint"))).alias("__salt")
     offered = vocab.select("lang", "n_chars", "idx", F.col("word").alias("__word"), copies)
     out = want.join(offered, ["lang", "n_chars", "idx", "__salt"], "left")
     fake = F.coalesce(match_case(F.col("__word"), F.col("word")), F.col("word"))
-    return out.withColumn("fake", fake).drop("n_chars", "idx", "__salt", "__size", "__draw", "__word")
+    return out.withColumn("fake", fake).drop("n_chars", "idx", "__salt", "__draw", "__word")
 
 
 def sentence_like(docs: DataFrame, vocab: DataFrame, keep_ascii: bool = False) -> DataFrame:
@@ -89,10 +97,12 @@ def sentence_like(docs: DataFrame, vocab: DataFrame, keep_ascii: bool = False) -
 
     ``docs(doc_id, lang, text)``; one document is one group again at the end, never more than it was as a row.
     """
-    runs = F.regexp_extract_all("text", F.lit("[A-Za-z]+|[0-9]+|[^A-Za-z0-9]+"), F.lit(0))
-    tokens = docs.select("doc_id", "lang", F.posexplode_outer(runs).alias("pos", "word")).where(F.col("pos").isNotNull())
+    runs = F.regexp_extract_all("text", F.lit(WORD + r"|[0-9]+|[^\p{L}0-9]+"), F.lit(0))
+    tokens = docs.select("doc_id", "lang", F.posexplode_outer(runs).alias("pos", "word"))
+    # A document without text is one empty run, so it stays.
+    tokens = tokens.withColumns({"pos": F.coalesce("pos", F.lit(0)), "word": F.coalesce("word", F.lit(""))})
     ident = F.col("doc_id") * 100003 + F.col("pos")
-    is_word = F.col("word").rlike("^[A-Za-z]") & F.lit(not keep_ascii)
+    is_word = F.col("word").rlike(r"^\p{L}") & F.lit(not keep_ascii)
     changed = word_like(tokens.where(is_word), vocab, ident)
     kept = tokens.where(~is_word).withColumn(
         "fake", F.when(F.col("word").rlike("^[0-9]"), date_like_digits(F.col("word"), ident)).otherwise(F.col("word"))

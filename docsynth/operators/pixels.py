@@ -5,12 +5,14 @@ Image statistics are grouped aggregates joined back, so a single huge image is r
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from docsynth.functions import pixels as fx
+from docsynth.rng import uniform
 
 RGB = ["red", "green", "blue"]
 
@@ -92,12 +94,15 @@ def salt_pepper(df: DataFrame, u: Column, p: float) -> DataFrame:
     return each(df, lambda v, c: F.when(u < p, F.lit(0)).when(u > 1 - p, F.lit(255)).otherwise(v).cast("bigint"))
 
 
-def gauss_noise(df: DataFrame, mean: float, var: float, seed: int) -> DataFrame:
-    """Normal noise on [0, 1] values, clipped, back to 0..255."""
+def normal(ident: Column, salt: int) -> Column:
+    """Standard normal draw from two uniform ones of the same id (Box-Muller)."""
+    return F.sqrt(-2 * F.log(1 - uniform(ident, salt))) * F.cos(2 * math.pi * uniform(ident, salt + 1))
+
+
+def gauss_noise(df: DataFrame, mean: float, var: float, ident: Column, salt: int) -> DataFrame:
+    """Normal noise on [0, 1] values, clipped, back to 0..255; drawn from the pixel's id, so it repeats in every order."""
     sd = var**0.5
-    noisy = {
-        c: F.floor(fx.clamp(F.col(c) / 255.0 + F.randn(seed + i) * sd + mean) * 255).cast("bigint") for i, c in enumerate(RGB)
-    }
+    noisy = {c: F.floor(fx.clamp(F.col(c) / 255.0 + normal(ident, salt + 2 * i) * sd + mean) * 255).cast("bigint") for i, c in enumerate(RGB)}
     return df.withColumns(noisy)
 
 

@@ -9,10 +9,18 @@ from docsynth.rng import draw, pick, uniform
 
 # Synonyms of ledger headings, and the order in which optional columns go.
 SYNONYMS = {
+    "工作日期": ["日期", "交易日期", "交易时间", "入账日期", "记账日期", "交易日"],
+    "账号": ["卡号", "主卡卡号", "账号/卡号", "借记卡卡号"],
+    "注释": ["摘要", "交易摘要", "交易种类", "摘要代码", "交易名称", "交易描述", "备注"],
+    "钞汇": ["现转"],
     "余额": ["账户余额", "交易余额", "账号余额", "联机余额", "活存账户余额"],
-    "发生额": ["交易金额"],
-    "币种": ["货币"],
+    "应用号": ["产品大类", "存款种类", "产品子类"],
+    "网点号": ["网点", "交易网点"],
+    "操作员": ["交易柜员", "柜员", "柜员流水号", "授权柜员号", "柜员号"],
     "地区号": ["交易地点"],
+    "币种": ["货币"],
+    "通知种类": ["发行代码"],
+    "发生额": ["交易金额"],
 }
 OPTIONAL = ["应用号", "序号", "存期", "通知种类", "利息税", "操作员", "界面", "起息日", "利息", "约转期", "地区号", "止息日", "钞汇", "币种"]
 

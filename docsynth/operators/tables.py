@@ -19,10 +19,11 @@ def block(c: str) -> dict[str, Column]:
     return {"block": F.floor(F.col(c) / LINE_BLOCK)}
 
 
-def column_widths(rows: DataFrame, low: int = 0, high: int = 1000) -> DataFrame:
-    """Greatest display width per column, at most ``high`` and at least ``low``."""
+def column_widths(rows: DataFrame, low: int = 0, high: int | None = None) -> DataFrame:
+    """Greatest display width per column, at least ``low``; with ``high`` at most that, for cells that will be wrapped or cut."""
     cells = rows.select("table_id", F.posexplode("cells").alias("col_no", "text"))
-    width = F.greatest(F.least(F.max(display_width(F.col("text"))), F.lit(high)), F.lit(low))
+    widest = F.max(display_width(F.col("text")))
+    width = F.greatest(widest if high is None else F.least(widest, F.lit(high)), F.lit(low))
     return cells.groupBy("table_id", "col_no").agg(width.cast("bigint").alias("width"))
 
 
@@ -204,11 +205,10 @@ def page_fill(blocks: DataFrame, budget: int, gap: int, text_height: int) -> Dat
     return kept.select("page_id", "rn", (F.col("end") - gap - F.col("height")).alias("top"), room.alias("n_texts"))
 
 
-def double_column(rows: DataFrame, lossless: bool = False) -> DataFrame:
-    """Row i beside row i + mid of the same table (``table_id, rn, item``).
+def double_column(rows: DataFrame, lossless: bool = True) -> DataFrame:
+    """Row i beside row i + mid of the same table (``table_id, rn, item``); mid is half the body rounded up.
 
-    As it is, mid is half the body rounded down and rows ``mid`` and from ``2 mid`` on are left out; ``lossless`` rounds
-    up and keeps every row.
+    Without ``lossless`` mid is rounded down, and rows ``mid`` and from ``2 mid`` on are left out.
     """
     n = rows.groupBy("table_id").agg(F.count(F.lit(1)).alias("n"))
     mid = F.ceil(F.col("n") / 2) if lossless else F.floor(F.col("n") / 2)
@@ -220,14 +220,17 @@ def double_column(rows: DataFrame, lossless: bool = False) -> DataFrame:
     return left.join(right, ["table_id", "rn"], "left")
 
 
-def side_by_side(a: DataFrame, b: DataFrame, blank: int) -> DataFrame:
-    """Join two line blocks line by line; the shorter one is continued with blank lines."""
-    fill = F.lit(" " * blank)
-    return (
-        a.select("table_id", "line_no", F.col("line").alias("__a"))
-        .join(b.select("table_id", "line_no", F.col("line").alias("__b")), ["table_id", "line_no"], "full")
-        .select("table_id", "line_no", F.concat(F.coalesce("__a", fill), F.coalesce("__b", fill)).alias("line"))
-    )
+def side_by_side(a: DataFrame, b: DataFrame) -> DataFrame:
+    """Join two line blocks line by line; each is as wide as its widest line, the shorter one goes on with blank lines."""
+    widths = [x.groupBy("table_id").agg(F.max(display_width(F.col("line"))).alias(w)) for x, w in ((a, "__wa"), (b, "__wb"))]
+    both = a.select("table_id", "line_no", F.col("line").alias("__a")).join(b.select("table_id", "line_no", F.col("line").alias("__b")), ["table_id", "line_no"], "full")
+    both = both.join(widths[0], "table_id", "left").join(widths[1], "table_id", "left")
+
+    def filled(line: str, width: str) -> Column:
+        text, wide = F.coalesce(line, F.lit("")), F.coalesce(width, F.lit(0))
+        return F.concat(text, F.repeat(F.lit(" "), (wide - display_width(text)).cast("int")))
+
+    return both.select("table_id", "line_no", F.concat(filled("__a", "__wa"), filled("__b", "__wb")).alias("line"))
 
 
 def stack(*blocks: DataFrame) -> DataFrame:

@@ -6,6 +6,10 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+# Named entities besides the ampersand.
+ENTITIES = {"lt": "<", "gt": ">", "quot": '"', "apos": "'", "nbsp": "\u00a0"}
+
+
 def host(url: Column) -> Column:
     return F.regexp_extract(url, r"^[a-z]+://([^/?#:]+)", 1)
 
@@ -24,11 +28,35 @@ def strip_markup(html: Column) -> Column:
     return F.trim(F.regexp_replace(F.regexp_replace(bare, r"(?s)<[^>]*>", " "), r"\s+", " "))
 
 
+def unescape(text: Column) -> Column:
+    """Named entities of markup and numeric ones of the basic plane; ``&amp;`` last, so that nothing is decoded twice."""
+    for name, sign in ENTITIES.items():
+        text = F.replace(text, F.lit(f"&{name};"), F.lit(sign))
+    numbers = F.array_distinct(F.regexp_extract_all(text, F.lit("&#(?:[0-9]{1,5}|[xX][0-9A-Fa-f]{1,4});"), F.lit(0)))
+
+    def decoded(acc: Column, one: Column) -> Column:
+        body = F.regexp_extract(one, "([0-9A-Fa-f]+);", 1)
+        code = F.when(one.rlike("[xX]"), body).otherwise(F.hex(body.cast("bigint")))
+        return F.replace(acc, one, F.decode(F.unhex(F.lpad(code, 4, "0")), "UTF-16BE"))
+
+    text = F.when(F.contains(text, F.lit("&#")), F.aggregate(numbers, text, decoded)).otherwise(text)
+    return F.replace(text, F.lit("&amp;"), F.lit("&"))
+
+
+def paragraphs(html: Column) -> Column:
+    """Texts of the paragraphs, one a line; a paragraph ends where its end tag or the next one stands."""
+    parts = F.split(html, r"<[pP](?:\s[^>]*)?>")
+    rest = F.slice(parts, F.lit(2), F.greatest(F.size(parts) - 1, F.lit(0)))
+    texts = F.transform(rest, lambda p: unescape(strip_markup(F.split(p, "</[pP]>")[0])))
+    return F.array_join(F.filter(texts, lambda x: x != ""), "\n")
+
+
 def article_text(html: Column) -> Column:
-    """Text of the article element; the whole body where that is missing or empty."""
-    primary = strip_markup(F.regexp_extract(html, r"(?s)<article[^>]*>(.*)</article>", 1))
-    fallback = strip_markup(F.regexp_extract(html, r"(?s)<body[^>]*>(.*)</body>", 1))
-    return F.coalesce(F.nullif(primary, F.lit("")), fallback)
+    """Paragraphs of the article element; where it has none, all its text, and without an article that of the body."""
+    article = F.regexp_extract(html, r"(?s)<article[^>]*>(.*)</article>", 1)
+    body = F.regexp_extract(html, r"(?s)<body[^>]*>(.*)</body>", 1)
+    tries = (paragraphs(article), unescape(strip_markup(article)))
+    return F.coalesce(*[F.nullif(x, F.lit("")) for x in tries], unescape(strip_markup(body)))
 
 
 def allowed(link: Column, pattern: str) -> Column:

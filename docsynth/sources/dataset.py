@@ -19,12 +19,11 @@ def write_dataset(df: DataFrame, path: str) -> None:
 
 
 def list_by_extension(spark: SparkSession, path: str, ext: str) -> DataFrame:
-    """Files under a folder; unreadable ones are passed over. File bodies are not read."""
+    """Files under a folder; one that cannot be listed stops the job. File bodies are not read."""
     files = (
         spark.read.format("binaryFile")
         .option("pathGlobFilter", f"*.{ext}")
         .option("recursiveFileLookup", "true")
-        .option("ignoreCorruptFiles", "true")
         .load(path)
     )
     base = F.substring_index("path", "/", -1)

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docsynth.functions.geometry import point
 
 # Fixed value: the four-point line. Name, eight coordinates, kind and content.
-LINE = r"^([^;]*)" + r";(-?[0-9.]+)" * 8 + r";([^@;]*)@(.*)$"
+LINE = r"(?s)^([^;]*)" + r";(-?[0-9.]+)" * 8 + r";([^@;]*)@(.*)\z"
 TABLE_KINDS = ("table", "row", "column", "cell")
 
 
@@ -84,20 +85,24 @@ def corpus_entries(df: DataFrame, value: str = "value") -> DataFrame:
     return df.select(F.substring_index(value, "@", -1).alias("word")).where(F.length("word") > 1)
 
 
-def allow_charset(spark: SparkSession) -> None:
-    """Let ``decode`` take charsets beyond the Unicode ones and pass over bad bytes."""
-    spark.conf.set("spark.sql.legacy.javaCharsets", "true")
-    spark.conf.set("spark.sql.legacy.codingErrorAction", "true")
+def encode_text(text: Column, charset: str) -> Column:
+    """Bytes of a text in any charset; SQL's own function takes the Unicode ones only."""
+    return F.pandas_udf(lambda s: s.map(lambda t: None if t is None else t.encode(charset, "replace")), "binary")(text)
 
 
 def decode_corpus(files: DataFrame, charset: str) -> DataFrame:
     """Entries of label files held as bytes in ``content``."""
-    return corpus_entries(files.select(F.explode_outer(F.split(F.decode("content", charset), r"\r?\n")).alias("value")))
+
+    @F.pandas_udf("string")
+    def text(content: pd.Series) -> pd.Series:
+        # Charsets beyond the Unicode ones need a switch of the whole session in SQL; bad bytes become the replacement sign.
+        return content.map(lambda b: None if b is None else bytes(b).decode(charset, "replace"))
+
+    return corpus_entries(files.select(F.explode_outer(F.split(text("content"), r"\r?\n")).alias("value")))
 
 
 def read_corpus(spark: SparkSession, path: str, charset: str = "GBK") -> DataFrame:
     """Label files in a legacy charset, decoded file by file, so the charset need not be line-safe."""
-    allow_charset(spark)
     return decode_corpus(spark.read.format("binaryFile").load(path), charset)
 
 

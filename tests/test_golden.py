@@ -3,6 +3,7 @@
 import itertools
 import math
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -11,7 +12,7 @@ from docsynth import rng
 from docsynth.functions import geometry as g
 from docsynth.functions import text
 from docsynth.operators import annotations as ann
-from docsynth.operators import corpus, curate, overlap, pixels, records, structure, tables
+from docsynth.operators import corpus, curate, overlap, pixels, records, structure, tables, web
 from docsynth.operators.ordered import scan
 from docsynth.plans import forms
 from docsynth.sources import dataset, labels, markup
@@ -209,9 +210,9 @@ def test_paginate_many_blocks(spark, monkeypatch):
 
 def test_double_column(spark):
     df = spark.createDataFrame([(1, i, f"r{i}") for i in range(1, 7)], "table_id BIGINT, rn BIGINT, item STRING")
-    pairs = sorted((r["left"], r["right"]) for r in tables.double_column(df).collect())
+    pairs = sorted((r["left"], r["right"]) for r in tables.double_column(df, lossless=False).collect())
     assert pairs == [("r1", "r4"), ("r2", "r5")]
-    kept = sorted((r["left"], r["right"]) for r in tables.double_column(df, lossless=True).collect())
+    kept = sorted((r["left"], r["right"]) for r in tables.double_column(df).collect())
     assert kept == [("r1", "r4"), ("r2", "r5"), ("r3", "r6")]
 
 
@@ -337,7 +338,8 @@ def test_kmeans_palette(spark):
 
 def test_gauss_noise_bounds(spark):
     df = spark.createDataFrame([(1, 0, i, 0, 128, 255) for i in range(500)], "image_id BIGINT, y BIGINT, x BIGINT, red BIGINT, green BIGINT, blue BIGINT")
-    got = pixels.gauss_noise(df, 0.0, 0.01, 3).collect()
+    got = pixels.gauss_noise(df, 0.0, 0.01, F.col("x"), 3).collect()
+    assert sorted(got) == sorted(pixels.gauss_noise(df.repartition(7), 0.0, 0.01, F.col("x"), 3).collect())
     assert all(0 <= r[c] <= 255 for r in got for c in ("red", "green", "blue"))
     assert abs(sum(r["green"] for r in got) / 500 - 128) < 5
 
@@ -387,3 +389,48 @@ def test_resume(spark, tmp_path):
     assert run() == ["a", "b"]
     spark.createDataFrame([("b",), ("c",)], ["name"]).write.mode("append").parquet(src)
     assert run() == ["a", "b", "c"]
+
+
+def test_words_of_every_script_keep_their_shape(spark):
+    docs = spark.createDataFrame([(1, "de", "für die Straße im Café, 12!"), (2, "de", None), (3, "de", ""), (4, "el", "καλημέρα κόσμε"), (5, "ne", "नमस्ते संसार")], "doc_id BIGINT, lang STRING, text STRING")
+    tokens = docs.select("lang", F.explode(F.regexp_extract_all("text", F.lit(corpus.WORD), F.lit(0))).alias("word"))
+    got = {r["doc_id"]: r["text"] for r in corpus.sentence_like(docs, corpus.vocab_by_length(tokens)).collect()}
+    assert got[2] == got[3] == "" and len(got) == 5
+    shape = re.compile(r"[^\W\d_]+")
+    assert [len(w) for w in shape.findall(got[1])] == [3, 3, 6, 2, 4] and shape.sub("", got[1])[:8] == "    , " + got[1][-3:-1]
+    assert [len(w) for w in shape.findall(got[4])] == [8, 5]
+
+
+def test_word_without_bucket_takes_any_word(spark):
+    tokens = spark.createDataFrame([("en", "abcdefgh", 1), ("xx", "abc", 2)], "lang STRING, word STRING, i BIGINT")
+    vocab = corpus.vocab_by_length(spark.createDataFrame([("en", "one")], "lang STRING, word STRING"))
+    assert {r["word"]: r["fake"] for r in corpus.word_like(tokens, vocab, F.col("i")).collect()} == {"abcdefgh": "one", "abc": "abc"}
+
+
+def test_wrapping_keeps_other_line_ends(spark):
+    line = "ab\rcd\u2028ef\x85gh"
+    row = spark.createDataFrame([(line,)], "line STRING").select(text.wrap_chars(F.col("line"), 40).alias("c"), text.wrap_words(F.col("line"), 40).alias("w")).first()
+    assert row["c"] == [line] and row["w"] == [line]
+
+
+def test_label_with_line_separator_is_read(spark):
+    df = spark.createDataFrame([("a;0;0;1;0;1;1;0;1;text@x\u2028y",)], "value STRING")
+    assert labels.parse_label_lines(df).first()["content"] == "x\u2028y"
+
+
+def test_wide_cells_are_drawn_whole(spark):
+    rows = spark.createDataFrame([(1, 1, ["x" * 1500, "b"])], "table_id BIGINT, row_no BIGINT, cells ARRAY<STRING>")
+    assert sorted(r["width"] for r in tables.column_widths(rows).collect()) == [1, 1500]
+
+
+def test_side_by_side_keeps_long_lines(spark):
+    a = spark.createDataFrame([(1, 1, "n" * 30), (1, 2, "m")], "table_id BIGINT, line_no BIGINT, line STRING")
+    b = spark.createDataFrame([(1, 1, "xy")], "table_id BIGINT, line_no BIGINT, line STRING")
+    assert sorted(r["line"] for r in tables.side_by_side(a, b).collect()) == ["m" + " " * 31, "n" * 30 + "xy"]
+
+
+def test_article_paragraphs_and_entities(spark):
+    html = "<body>nav<article><h1>Head</h1><p>a &amp; <b>b</b>&lt;x&gt;<p class='q'>c&#233;&#x4e2d;</p><div>ad</div></article></body>"
+    pages = [(html,), ("<article><div>only &amp;amp; text</div></article>",), ("<body>plain</body>",)]
+    got = [r[0] for r in spark.createDataFrame(pages, "html STRING").select(web.article_text(F.col("html"))).collect()]
+    assert got == ["a & b <x>\nc\u00e9\u4e2d", "only &amp; text", "plain"]
