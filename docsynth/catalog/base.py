@@ -168,7 +168,7 @@ def with_inputs(sql: str) -> str:
     visit(sql)
     if not found:
         return sql
-    parts = ", ".join(f"{n} AS ({INPUTS[n]})" for n in found)
+    parts = ", ".join(f"{n} AS MATERIALIZED ({INPUTS[n]})" for n in found)
     body = sql.strip()
     if body.upper().startswith("WITH "):
         return f"WITH {parts}, {body[5:]}"

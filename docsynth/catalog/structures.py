@@ -279,9 +279,10 @@ def largest_gap(t: Tables) -> DataFrame:
 
 
 @query(
-    f"""WITH cells AS (SELECT h.image_id, h.seq AS row_no, c.col_no, c.l, h.t, c.r, h.b FROM {HEIGHTS} h JOIN padded c
+    f"""WITH heights AS MATERIALIZED (SELECT * FROM {HEIGHTS}),
+    cells AS MATERIALIZED (SELECT h.image_id, h.seq AS row_no, c.col_no, c.l, h.t, c.r, h.b FROM heights h JOIN padded c
       ON h.image_id = c.image_id),
-    a AS (SELECT x.image_id, x.ann_id, x.content, c.row_no, c.col_no FROM boxes x JOIN cells c ON x.image_id = c.image_id
+    a AS MATERIALIZED (SELECT x.image_id, x.ann_id, x.content, c.row_no, c.col_no FROM boxes x JOIN cells c ON x.image_id = c.image_id
       AND (x.l + x.r) // 2 BETWEEN c.l AND c.r AND (x.t + x.b) // 2 BETWEEN c.t AND c.b
       QUALIFY row_number() OVER (PARTITION BY x.ann_id ORDER BY c.row_no, c.col_no) = 1)
     SELECT c.*, a.ann_id, a.content FROM cells c LEFT JOIN a ON c.image_id = a.image_id AND c.row_no = a.row_no
