@@ -9,6 +9,7 @@ from docsynth.catalog.base import Tables, boxes, draw_sql, integer_sql, pick_sql
 from docsynth.functions import geometry as g
 from docsynth.operators import annotations as ann
 from docsynth.operators import structure
+from docsynth.operators.ordered import scan
 from docsynth.rng import draw, integer, pick
 from docsynth.session import work_path
 from docsynth.sources import hierarchy, labels, markup
@@ -366,3 +367,96 @@ def layout_offsets(t: Tables) -> DataFrame:
     placed = ann.layout_offsets(blocks, "image_id", structure.band("t"), structure.READING, "w", 12)
     size = ann.container_size(blocks, "image_id", "w", "h", 12)
     return placed.join(size, "image_id").select("image_id", "ann_id", "offset", "along", "across")
+
+
+MODES = ["all", "rows", "cols", "header", "border"]
+
+
+@query(
+    f"""WITH m AS (SELECT image_id, l, t, r, b, {pick_sql('image_id', 90, MODES)} AS mode, min(t) OVER (PARTITION BY image_id) AS t0,
+      max(b) OVER (PARTITION BY image_id) AS b0 FROM boxes)
+    SELECT image_id, 'h' AS axis, l AS x1, t AS y1, r AS x2, t AS y2 FROM m WHERE mode IN ('all', 'rows') OR (mode IN ('header', 'border') AND t = t0)
+    UNION SELECT image_id, 'h', l, b, r, b FROM m WHERE mode IN ('all', 'rows') OR (mode = 'header' AND t = t0) OR (mode = 'border' AND b = b0)
+    UNION SELECT image_id, 'v', l, t, l, b FROM m WHERE mode IN ('all', 'cols')
+    UNION SELECT image_id, 'v', r, t, r, b FROM m WHERE mode IN ('all', 'cols')"""
+)
+def rule_segments(t: Tables) -> DataFrame:
+    return ann.rule_segments(boxes(t), pick(C("image_id"), 90, MODES))
+
+
+ALIGNS = [across + down for across in "lmr" for down in "tmb"]
+
+
+@query(
+    f"""WITH c AS (SELECT ann_id, l, t, r + 60 AS r, b + 30 AS b, '  ' || content || ' ' AS s, {pick_sql('l + t', 91, ALIGNS)} AS a FROM boxes),
+    p AS (SELECT *, CASE a[1] WHEN 'l' THEN l + 2 WHEN 'r' THEN r - 6 ELSE (l + r) // 2 END AS x,
+      CASE a[2] WHEN 't' THEN t + 4 WHEN 'b' THEN b - 8 ELSE (t + b) // 2 END AS y, length(s) * 8 AS w FROM c),
+    q AS (SELECT *, CASE a[1] WHEN 'l' THEN x WHEN 'r' THEN x - w ELSE x - w // 2 END AS l0,
+      CASE a[2] WHEN 't' THEN y WHEN 'b' THEN y - 12 ELSE y - 6 END AS t0 FROM p)
+    SELECT ann_id, a AS align, x, y, l0 + 16 AS l, t0 AS t, l0 + w - 8 AS r, t0 + 12 AS b FROM q"""
+)
+def align_in_cell(t: Tables) -> DataFrame:
+    cells = boxes(t).select("ann_id", "l", "t", (C("r") + 60).alias("r"), (C("b") + 30).alias("b"), F.concat(F.lit("  "), "content", F.lit(" ")).alias("s"), pick(C("l") + C("t"), 91, ALIGNS).alias("align"))
+    x, y = g.align_in_cell(C("align"), C("l"), C("t"), C("r"), C("b"), [2, 4, 6, 8])
+    placed = cells.select("ann_id", "s", "align", x.alias("x"), y.alias("y"))
+    box = g.text_in_cell(C("s"), 8, C("align"), C("x"), C("y"), F.lit(12))
+    return placed.select("ann_id", "align", "x", "y", *[v.cast("bigint").alias(k) for k, v in zip("ltrb", box, strict=True)])
+
+
+@query(
+    f"""WITH w AS (SELECT ann_id, l, t, r, b, {draw_sql('image_id * 100 + l + t', 92)} % (greatest(l - 3, 0) + 1) AS wl,
+      {draw_sql('image_id * 100 + l + t', 93)} % (greatest(t - 3, 0) + 1) AS wt,
+      r + 3 + {draw_sql('image_id * 100 + l + t', 94)} % (greatest(499 - r - 3, 0) + 1) AS wr,
+      b + 3 + {draw_sql('image_id * 100 + l + t', 95)} % (greatest(899 - b - 3, 0) + 1) AS wb FROM boxes)
+    SELECT ann_id, wl, wt, wr, wb, l - wl AS x1, t - wt AS y1, r - wl AS x2, t - wt AS y2, r - wl AS x3, b - wt AS y3, l - wl AS x4,
+      b - wt AS y4 FROM w"""
+)
+def crop_points(t: Tables) -> DataFrame:
+    window = g.crop_window(C("quad"), 500, 900, 3, C("image_id") * 100 + C("l") + C("t"), 92)
+    cut = quads(t).withColumn("w", window).withColumn("q", g.shift_points(C("quad"), -C("w.l"), -C("w.t")))
+    names = ["wl", "wt", "wr", "wb"]
+    return spread(cut.select("ann_id", "q", *[C(f"w.{n[1]}").alias(n) for n in names]), C("q"), "ann_id", *names, digits=False)
+
+
+@query(
+    f"""WITH p AS (SELECT p_partkey, {integer_sql('p_partkey', 96, 0, 300)} AS x, {integer_sql('p_partkey', 97, 0, 600)} AS y, 60 + p_size AS w,
+      40 + p_size % 7 AS h, {integer_sql('p_partkey', 98, 0, 45)} AS a, p_partkey % 2 = 0 AS o FROM part),
+    q AS (SELECT *, CAST(trunc(h * abs(sin(radians(a))) + w * abs(cos(radians(a)))) AS BIGINT) AS cw,
+      CAST(trunc(h * abs(cos(radians(a))) + w * abs(sin(radians(a)))) AS BIGINT) AS ch FROM p)
+    SELECT p_partkey, x + CASE WHEN o THEN (cw - w) // 2 ELSE 0 END AS l, y + CASE WHEN o THEN CAST(floor((ch - h) / 2) AS BIGINT) ELSE 0 END AS t,
+      x + CASE WHEN o THEN (cw - w) // 2 + w ELSE cw END AS r, y + CASE WHEN o THEN CAST(floor((ch - h) / 2) AS BIGINT) + h ELSE ch END AS b FROM q"""
+)
+def stamp_box(t: Tables) -> DataFrame:
+    key, size = C("p_partkey"), C("p_size").cast("bigint")
+    box = g.stamp_box(integer(key, 96, 0, 300), integer(key, 97, 0, 600), 60 + size, 40 + size % 7, integer(key, 98, 0, 45), key % 2 == 0)
+    return t.part.select("p_partkey", *[v.cast("bigint").alias(k) for k, v in zip("ltrb", box, strict=True)])
+
+
+@query(
+    """WITH p AS (SELECT ann_id, l, t, r, b, lead(l) OVER w AS l2, lead(t) OVER w AS t2, lead(r) OVER w AS r2, lead(b) OVER w AS b2 FROM boxes
+      WINDOW w AS (PARTITION BY image_id ORDER BY t, l, ann_id))
+    SELECT ann_id, (t2 <= (t + b) // 2 AND (t + b) // 2 <= b2) OR (t <= (t2 + b2) // 2 AND (t2 + b2) // 2 <= b) AS same_row,
+      (l2 <= (l + r) // 2 AND (l + r) // 2 <= r2) OR (l <= (l2 + r2) // 2 AND (l2 + r2) // 2 <= r) AS same_col,
+      (l + r) // 2 BETWEEN l2 AND r2 AND (t + b) // 2 BETWEEN t2 AND b2 AS inside FROM p WHERE l2 IS NOT NULL"""
+)
+def centre_overlap(t: Tables) -> DataFrame:
+    """Each box against the next one in reading order."""
+    after = scan(boxes(t), ["image_id"], structure.band("t"), ["t", "l", "ann_id"], next={f"{k}2": C(k) for k in "ltrb"}).where(C("l2").isNotNull())
+    x, y = F.floor((C("l") + C("r")) / 2), F.floor((C("t") + C("b")) / 2)
+    inside = x.between(C("l2"), C("r2")) & y.between(C("t2"), C("b2"))
+    row, col = (g.centre_inside(C(a), C(b), C(f"{a}2"), C(f"{b}2")) for a, b in ("tb", "lr"))
+    return after.select("ann_id", row.alias("same_row"), col.alias("same_col"), inside.alias("inside"))
+
+
+@query(
+    """WITH v AS (SELECT vec_id, label % 4 AS k, list_transform(embedding[1:4], lambda x: least(abs(CAST(x AS DOUBLE)) / 2, 0.5)) AS e FROM embeddings)
+    SELECT vec_id, CAST(CASE k WHEN 1 THEN trunc(e[1] * 255) WHEN 2 THEN trunc(e[1] * 255) WHEN 3 THEN trunc((1 - (e[1] + e[4])) * 255) ELSE 0 END AS BIGINT) AS red,
+      CAST(CASE k WHEN 1 THEN trunc(e[1] * 255) WHEN 2 THEN trunc(e[2] * 255) WHEN 3 THEN trunc((1 - (e[2] + e[4])) * 255) ELSE 0 END AS BIGINT) AS green,
+      CAST(CASE k WHEN 1 THEN trunc(e[1] * 255) WHEN 2 THEN trunc(e[3] * 255) WHEN 3 THEN trunc((1 - (e[3] + e[4])) * 255) ELSE 0 END AS BIGINT) AS blue FROM v"""
+)
+def css_colour(t: Tables) -> DataFrame:
+    """Grey, rgb and cmyk colours from the first numbers of a vector; no number is black."""
+    size = F.element_at(F.array(*map(F.lit, (0, 1, 3, 4))), (C("label") % 4 + 1).cast("int"))
+    parts = F.slice(F.transform("embedding", lambda x: F.least(F.abs(x.cast("double")) / 2, F.lit(0.5))), F.lit(1), size)
+    colour = g.css_colour(F.when(size > 0, parts))
+    return t.embeddings.select("vec_id", *[colour[i].cast("bigint").alias(c) for i, c in enumerate(("red", "green", "blue"))])

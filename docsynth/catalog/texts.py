@@ -357,3 +357,20 @@ def bilingual_date(t: Tables) -> DataFrame:
         dates.bilingual_date(d, "nl", "replace").alias("nl"),
         dates.passport_date(d).alias("en"),
     )
+
+
+@query(
+    """SELECT p_partkey, repeat('_', room // unit) || p_name || repeat('_', (900 - room - width) // unit) AS filled FROM (SELECT *, width // length(p_name) AS unit
+    FROM (SELECT p_partkey, p_name, p_partkey % 97 + 3 AS room, length(p_name) * 8 + p_partkey % 5 AS width FROM part))"""
+)
+def pad_to_cell(t: Tables) -> DataFrame:
+    left = F.col("p_partkey") % 97 + 3
+    right = left + F.length("p_name") * 8 + F.col("p_partkey") % 5
+    filled = text.pad_to_cell(F.col("p_name"), left, right, F.lit(0), F.lit(900))
+    return t.part.select("p_partkey", filled.alias("filled"))
+
+
+@query("SELECT p_partkey, CAST(least(12 + p_size % 20, 2 * (80 + p_size * 3) // length(p_name)) AS BIGINT) AS font_size FROM part")
+def fit_font_size(t: Tables) -> DataFrame:
+    size, width = 12 + F.col("p_size") % 20, 80 + F.col("p_size") * 3
+    return t.part.select("p_partkey", text.fit_font_size(F.col("p_name"), size, width).alias("font_size"))

@@ -8,6 +8,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from docsynth.functions.binding import let
+from docsynth.rng import draw
 
 
 def point(x: Column, y: Column) -> Column:
@@ -208,3 +209,53 @@ def anchored_box(align: Column, x: Column, y: Column, w: Column, h: Column) -> t
     l = F.when(across == "l", x).when(across == "r", x - w).otherwise(x - F.floor(w / 2))
     t = F.when(down == "t", y).when(down == "b", y - h).otherwise(y - F.floor(h / 2))
     return l, t, l + w, t + h
+
+
+def crop_window(q: Column, width: int, height: int, offset: int, ident: Column, salt: int) -> Column:
+    """STRUCT<l, t, r, b>: a window that holds the quad with ``offset`` around it, drawn between it and the picture's edges."""
+
+    def between(low: Column, high: Column, k: int) -> Column:
+        return low + draw(ident, salt + k) % (F.greatest(high - low, F.lit(0)) + 1)
+
+    def window(box: Column) -> Column:
+        l, t, r, b = (box[k].cast("bigint") for k in "ltrb")
+        zero = F.lit(0).cast("bigint")
+        return F.struct(
+            between(zero, l - offset, 0).alias("l"), between(zero, t - offset, 1).alias("t"),
+            between(r + offset, F.lit(width - 1), 2).alias("r"), between(b + offset, F.lit(height - 1), 3).alias("b"),
+        )
+
+    return let(quad_to_box(q), window)
+
+
+def turned_size(w: Column, h: Column, degrees: Column) -> tuple[Column, Column]:
+    """Whole-pixel canvas that holds a picture turned by an angle."""
+    s, c = F.abs(F.sin(F.radians(degrees))), F.abs(F.cos(F.radians(degrees)))
+    return (h * s + w * c).cast("bigint"), (h * c + w * s).cast("bigint")
+
+
+def stamp_box(x: Column, y: Column, w: Column, h: Column, degrees: Column, is_round: Column) -> tuple[Column, Column, Column, Column]:
+    """Label box of a turned stamp put at (x, y): a round one keeps its size in the middle of the canvas."""
+    cw, ch = turned_size(w, h, degrees)
+    l = x + F.when(is_round, F.floor((cw - w) / 2)).otherwise(0)
+    t = y + F.when(is_round, F.floor((ch - h) / 2)).otherwise(0)
+    return l, t, l + F.when(is_round, w).otherwise(cw), t + F.when(is_round, h).otherwise(ch)
+
+
+def align_in_cell(align: Column, l: Column, t: Column, r: Column, b: Column, pads: list[int]) -> tuple[Column, Column]:
+    """Anchor point of ``lt`` .. ``rb`` in a cell with one padding, two (across, down) or four (left, top, right, bottom)."""
+    pl, pt, pr, pb = pads * 4 if len(pads) == 1 else pads * 2 if len(pads) == 2 else pads
+    across, down = F.substring(align, 1, 1), F.substring(align, 2, 1)
+    x = F.when(across == "l", l + pl).when(across == "r", r - pr).otherwise(F.floor((l + r) / 2))
+    y = F.when(down == "t", t + pt).when(down == "b", b - pb).otherwise(F.floor((t + b) / 2))
+    return x, y
+
+
+def text_in_cell(c: Column, char: int, align: Column, x: Column, y: Column, height: Column) -> tuple[Column, Column, Column, Column]:
+    """Tight box of a text anchored at (x, y): spaces at its ends take room but are not in the box."""
+    from docsynth.functions.text import display_width
+
+    l, t, r, b = anchored_box(align, x, y, display_width(c) * char, height)
+    lead = (F.length(c) - F.length(F.ltrim(c))) * char
+    tail = (F.length(c) - F.length(F.rtrim(c))) * char
+    return l + lead, t, F.greatest(r - tail, l + lead), b

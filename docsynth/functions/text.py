@@ -271,3 +271,22 @@ def shuangpin(syllable: Column) -> Column:
 
 def upper_header(c: Column, role: Column) -> Column:
     return F.when(role == "section", F.upper(c)).when(role == "title", F.initcap(c)).otherwise(c)
+
+
+def pad_to_cell(c: Column, left: Column, right: Column, cell_left: Column, cell_right: Column) -> Column:
+    """Fill the room beside a text in its cell with underscores, as many as whole units of its letters fit."""
+
+    def filled(unit: Column) -> Column:
+        def bar(room: Column) -> Column:
+            return F.repeat(F.lit("_"), F.greatest(F.floor(room / unit), F.lit(0)).cast("int"))
+
+        return F.when(unit > 0, F.concat(bar(left - cell_left), c, bar(cell_right - right))).otherwise(c)
+
+    width = display_width(c)
+    return let(F.when(width > 0, F.floor((right - left) / width)).otherwise(0), filled)
+
+
+def fit_font_size(c: Column, size: Column, width: Column) -> Column:
+    """Greatest size up to ``size`` at which the text fits: a display column is half a size wide."""
+    columns = display_width(c)
+    return F.when(columns > 0, F.least(size, F.floor(2 * width / columns))).otherwise(size).cast("bigint")

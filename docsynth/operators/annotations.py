@@ -57,7 +57,14 @@ def container_size(blocks: DataFrame, group: str, along: str, across: str, gap:
 
 
 def rule_segments(boxes: DataFrame, mode: Column) -> DataFrame:
-    """Lines drawn around boxes: ``all`` four edges, ``rows`` top and bottom, ``cols`` left and right; equal lines once."""
+    """Lines drawn around boxes; equal lines once.
+
+    ``all`` four edges, ``rows`` top and bottom, ``cols`` left and right, ``header`` top and bottom of the first row,
+    ``border`` the upper edge of the first row and the lower edge of the last one.
+    """
+    ends = boxes.groupBy("image_id").agg(F.min("t").alias("__first"), F.max("b").alias("__last"))
+    boxes = boxes.withColumn("__mode", mode).join(ends, "image_id")
+    mode, first, last = F.col("__mode"), F.col("t") == F.col("__first"), F.col("b") == F.col("__last")
 
     def edge(kind: str, x1: str, y1: str, x2: str, y2: str) -> Column:
         return F.struct(F.lit(kind).alias("axis"), *[F.col(c).alias(n) for c, n in ((x1, "x1"), (y1, "y1"), (x2, "x2"), (y2, "y2"))])
@@ -65,7 +72,13 @@ def rule_segments(boxes: DataFrame, mode: Column) -> DataFrame:
     edges = F.array(
         edge("h", "l", "t", "r", "t"), edge("h", "l", "b", "r", "b"), edge("v", "l", "t", "l", "b"), edge("v", "r", "t", "r", "b")
     )
-    wanted = F.filter(edges, lambda e: (mode == "all") | ((mode == "rows") & (e["axis"] == "h")) | ((mode == "cols") & (e["axis"] == "v")))
+
+    def drawn(e: Column) -> Column:
+        across, top = e["axis"] == "h", e["y1"] == F.col("t")
+        border = across & ((first & top) | (last & ~top))
+        return (mode == "all") | ((mode == "rows") & across) | ((mode == "cols") & ~across) | ((mode == "header") & first & across) | ((mode == "border") & border)
+
+    wanted = F.filter(edges, drawn)
     return boxes.select("image_id", F.explode_outer(wanted).alias("e")).where(F.col("e").isNotNull()).select("image_id", "e.*").distinct()
 
 
