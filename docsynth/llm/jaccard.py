@@ -26,6 +26,7 @@ from pyspark.sql import types as T
 
 from docsynth.llm.arrays import U64, as_long, map_text, runs, slices, stir, windows, words_of
 from docsynth.llm.components import components
+from docsynth.llm.sift import sifted
 from docsynth.session import materialise
 
 WORDS = 5
@@ -262,7 +263,7 @@ def tile_links(docs: DataFrame, common: Broadcast, members: DataFrame) -> DataFr
     ``members``: (row, set, copies, blocks) of the row that stands for a class, where blocks holds the keys of the tiles
     it goes to and on which side of each it stands (0 left, 1 right, 2 both).
     """
-    joined = docs.join(members, "row")
+    joined = sifted(docs, members, "row").join(members, "row")
 
     def read(batches):
         for part in slices(batches, "text"):
