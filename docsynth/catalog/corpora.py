@@ -9,6 +9,7 @@ from docsynth.catalog.base import Tables, draw_sql, integer_sql, lines, pick_sql
 from docsynth.functions import text
 from docsynth.operators import corpus, curate, web
 from docsynth.rng import draw, integer, pick
+from docsynth.session import materialise
 
 LANGS = ["de", "en", "es", "fr"]
 
@@ -39,6 +40,11 @@ CASED = """CASE WHEN upper(replace(word[1], 'ß', 'ss')) = word[1] AND upper(wor
     THEN upper(replace(w, 'ß', 'ss')) WHEN lower(word) = word AND upper(word) <> lower(word) THEN lower(w) ELSE w END"""
 
 
+def vocabulary(t: Tables) -> DataFrame:
+    """The words of the documents by language and length, written once."""
+    return materialise(corpus.vocab_by_length(words(t)), "vocabulary")
+
+
 @query(f"SELECT * FROM {VOCAB}")
 def vocab_by_length(t: Tables) -> DataFrame:
     return corpus.vocab_by_length(words(t))
@@ -81,7 +87,7 @@ def min_rows_filter(t: Tables) -> DataFrame:
 def word_like(t: Tables) -> DataFrame:
     tokens = words(t)
     ident = F.col("doc_id") * 100003 + F.col("pos")
-    return corpus.word_like(tokens, corpus.vocab_by_length(tokens), ident).select("doc_id", "pos", "word", "fake")
+    return corpus.word_like(tokens, vocabulary(t), ident).select("doc_id", "pos", "word", "fake")
 
 
 @query(
@@ -97,7 +103,7 @@ def word_like(t: Tables) -> DataFrame:
       ORDER BY pos) AS text FROM m GROUP BY doc_id"""
 )
 def sentence_like(t: Tables) -> DataFrame:
-    return corpus.sentence_like(t.documents, corpus.vocab_by_length(words(t)))
+    return corpus.sentence_like(t.documents, vocabulary(t))
 
 
 @query(
@@ -112,8 +118,7 @@ def sentence_like(t: Tables) -> DataFrame:
 def longest_word_that_fits(t: Tables) -> DataFrame:
     key = F.col("c_custkey")
     slots = t.customer.select(key.alias("slot_id"), pick(key, 40, LANGS).alias("lang"), integer(key, 41, 4, 160).alias("budget"))
-    vocab = corpus.vocab_by_length(words(t))
-    return corpus.longest_word_that_fits(slots, vocab, 8, F.col("slot_id")).select("slot_id", "budget", "word")
+    return corpus.longest_word_that_fits(slots, vocabulary(t), 8, F.col("slot_id")).select("slot_id", "budget", "word")
 
 
 @query(
@@ -131,7 +136,7 @@ def longest_word_that_fits(t: Tables) -> DataFrame:
 def fill_width(t: Tables) -> DataFrame:
     key = F.col("c_custkey")
     slots = t.customer.select(key.alias("slot_id"), pick(key, 40, LANGS).alias("lang"), integer(key, 42, 4, 40).alias("chars"))
-    return corpus.fill_width(slots, corpus.number_words(words(t)))
+    return corpus.fill_width(slots, materialise(corpus.number_words(words(t)), "numbered"))
 
 
 @query(f"SELECT doc_id, row_number() OVER (ORDER BY {draw_sql('doc_id', 36)}, doc_id) AS position FROM documents")

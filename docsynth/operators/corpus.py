@@ -64,12 +64,13 @@ def match_case(word: Column, like: Column) -> Column:
     )
 
 
-def word_like(tokens: DataFrame, vocab: DataFrame, ident: Column, salt: int = 30, exact: bool = True) -> DataFrame:
+def word_like(tokens: DataFrame, vocab: DataFrame, ident: Column, salt: int = 30, exact: bool = True, only: Column | None = None) -> DataFrame:
     """Add ``fake``: a vocabulary word of the same language, length and letter case.
 
     ``exact=False`` lets words longer than four be replaced by one up to two letters shorter. A bucket with no words
     takes any word of the language. The few words of a short bucket are wanted by very many tokens, so the picked word is joined on a
-    salted key; bucket sizes are one row per (language, length).
+    salted key; bucket sizes are one short map per language. Tokens for which ``only`` does not hold stay as they are.
+    ``vocab`` is read three times: write it once where it is dear.
     """
     # Length 0 stands for the whole language, for lengths that have no word.
     anywhere = number_rows(vocab.select("lang", "word", "n_chars"), ["lang"], {"n": F.col("n_chars"), "head": F.substring("word", 1, 2)}, ["n_chars", "word"], "idx")
@@ -84,7 +85,9 @@ def word_like(tokens: DataFrame, vocab: DataFrame, ident: Column, salt: int = 30
     known = F.coalesce(F.array_contains(F.map_keys("__sizes"), F.col("n_chars")), F.lit(False))
     want = want.withColumn("n_chars", F.when(known, F.col("n_chars")).otherwise(0))
     size = F.try_element_at("__sizes", F.col("n_chars"))
-    want = want.withColumns({"idx": F.coalesce(F.col("__draw") % size, F.lit(-1)), "__salt": F.col("__draw") % 997 % SALTS}).drop("__sizes")
+    # What is not to be replaced has no key, and its salt spreads it over all partitions.
+    chosen = F.lit(True) if only is None else only
+    want = want.withColumns({"idx": F.when(chosen, F.col("__draw") % size), "__salt": F.when(chosen, F.col("__draw") % 997 % SALTS).otherwise(F.col("__draw"))}).drop("__sizes")
     copies = F.explode_outer(F.sequence(F.lit(0).cast("bigint"), F.lit(SALTS - 1).cast("bigint"))).alias("__salt")
     offered = vocab.select("lang", "n_chars", "idx", F.col("word").alias("__word"), copies)
     out = want.join(offered, ["lang", "n_chars", "idx", "__salt"], "left")
@@ -103,11 +106,9 @@ def sentence_like(docs: DataFrame, vocab: DataFrame, keep_ascii: bool = False) -
     tokens = tokens.withColumns({"pos": F.coalesce("pos", F.lit(0)), "word": F.coalesce("word", F.lit(""))})
     ident = F.col("doc_id") * 100003 + F.col("pos")
     is_word = F.col("word").rlike(r"^\p{L}") & F.lit(not keep_ascii)
-    changed = word_like(tokens.where(is_word), vocab, ident)
-    kept = tokens.where(~is_word).withColumn(
-        "fake", F.when(F.col("word").rlike("^[0-9]"), date_like_digits(F.col("word"), ident)).otherwise(F.col("word"))
-    )
-    parts = changed.select("doc_id", "pos", "fake").unionByName(kept.select("doc_id", "pos", "fake"))
+    changed = word_like(tokens, vocab, ident, only=is_word)
+    digits = F.when(F.col("word").rlike("^[0-9]"), date_like_digits(F.col("word"), ident)).otherwise(F.col("fake"))
+    parts = changed.select("doc_id", "pos", digits.alias("fake"))
     ordered = F.array_sort(F.collect_list(F.struct("pos", "fake")))
     return parts.groupBy("doc_id").agg(F.array_join(F.transform(ordered, lambda p: p["fake"]), "").alias("text"))
 
@@ -119,8 +120,12 @@ def longest_word_that_fits(slots: DataFrame, vocab: DataFrame, char_width: int,
     fits = F.array_max(F.filter("__lengths", lambda s: s["n_chars"] * char_width <= F.col("budget")))
     best = F.coalesce(fits, F.array_min("__lengths"))
     want = slots.join(lengths, "lang").withColumn("__b", best)
-    want = want.withColumns({"n_chars": F.col("__b.n_chars"), "idx": draw(ident, salt) % F.col("__b.size")})
-    return want.drop("__lengths", "__b").join(vocab, ["lang", "n_chars", "idx"]).drop("idx")
+    drawn = draw(ident, salt)
+    want = want.withColumns({"n_chars": F.col("__b.n_chars"), "idx": drawn % F.col("__b.size"), "__salt": drawn % 997 % SALTS})
+    # A wide budget always lands in the few longest words, so the pick is salted.
+    copies = F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(SALTS - 1).cast("bigint"))).alias("__salt")
+    offered = vocab.select("*", copies)
+    return want.drop("__lengths", "__b").join(offered, ["lang", "n_chars", "idx", "__salt"]).drop("idx", "__salt")
 
 
 def fill_width(slots: DataFrame, numbered: DataFrame, salt: int = 34) -> DataFrame:
