@@ -227,9 +227,28 @@ def mean_colour(t: Tables) -> DataFrame:
     return out(px.mean_colour(pixels(t)), "image_id")
 
 
-@query()
+def palette_sql(k: int, rounds: int) -> str:
+    mean = ", ".join(f"CAST(sum(n * {c}) AS DOUBLE) / CAST(sum(n) AS DOUBLE) AS {c}" for c in RGB)
+    far = " + ".join(f"(k.{c} - m.{c}) * (k.{c} - m.{c})" for c in RGB)
+    parts = [
+        f"k AS MATERIALIZED (SELECT image_id, red, green, blue, {GREY} AS level, count(*) AS n FROM pixels GROUP BY ALL)",
+        "h AS (SELECT image_id, level, sum(n) AS n FROM k GROUP BY ALL)",
+        f"""p0 AS MATERIALIZED (SELECT k.*, CAST({k} * (2 * b + h.n) // (2 * t) AS BIGINT) AS cluster FROM k JOIN (SELECT *,
+          coalesce(sum(n) OVER (PARTITION BY image_id ORDER BY level ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS b,
+          sum(n) OVER (PARTITION BY image_id) AS t FROM h) h ON k.image_id = h.image_id AND k.level = h.level)""",
+    ]
+    for i in range(rounds):
+        parts.append(f"m{i} AS MATERIALIZED (SELECT image_id, cluster, {mean} FROM p{i} GROUP BY ALL)")
+        parts.append(
+            f"""p{i + 1} AS MATERIALIZED (SELECT k.*, m.cluster FROM k JOIN m{i} m ON k.image_id = m.image_id
+            QUALIFY row_number() OVER (PARTITION BY k.image_id, k.red, k.green, k.blue ORDER BY {far}, m.cluster) = 1)"""
+        )
+    return f"WITH {', '.join(parts)} SELECT image_id, cluster, " + ", ".join(f"{r4_sql(c)} AS {c}" for c in RGB) + f", n FROM (SELECT image_id, cluster, {mean}, CAST(sum(n) AS BIGINT) AS n FROM p{rounds} GROUP BY ALL)"
+
+
+@query(palette_sql(3, 5))
 def dominant_colours(t: Tables) -> DataFrame:
-    return px.dominant_colours(pixels(t), 3)
+    return px.dominant_colours(pixels(t), 3).select("image_id", "cluster", *[r4(C(c)).alias(c) for c in RGB], "n")
 
 
 @query(

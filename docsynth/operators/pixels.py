@@ -157,18 +157,33 @@ def mean_colour(df: DataFrame) -> DataFrame:
     return df.groupBy("image_id").agg(*[F.avg(c).alias(c) for c in RGB])
 
 
-def dominant_colours(df: DataFrame, k: int, seed: int = 7, rounds: int = 20) -> DataFrame:
-    """k colours over all pixels by k-means, with their share of the pixels."""
-    from pyspark.ml.clustering import KMeans
-    from pyspark.ml.feature import VectorAssembler
-
-    colours = df.groupBy(*RGB).agg(F.count(F.lit(1)).cast("double").alias("weight"))
-    points = VectorAssembler(inputCols=RGB, outputCol="features").transform(colours)
-    model = KMeans(k=k, seed=seed, maxIter=rounds, weightCol="weight").fit(points)
-    spark = df.sparkSession
-    centres = spark.createDataFrame([(i, *[float(v) for v in c]) for i, c in enumerate(model.clusterCenters())], ["cluster", *RGB])
-    shares = model.transform(points).groupBy(F.col("prediction").alias("cluster")).agg(F.sum("weight").cast("bigint").alias("n"))
-    return centres.join(shares, "cluster")
+def dominant_colours(df: DataFrame, k: int, rounds: int = 5) -> DataFrame:
+    """k colours of every picture by k-means over its distinct colours, with their pixels (``image_id, cluster, .., n``).
+
+    Colours start in the k shares of the picture's grey levels; then means and nearest means follow each other a fixed
+    number of times, ties to the smaller cluster. Only k means a picture are joined back, so its pixels stay spread out.
+    """
+    colours = df.groupBy("image_id", *RGB).agg(F.count(F.lit(1)).alias("n")).withColumn("level", grey(df))
+    levels = colours.groupBy("image_id", "level").agg(F.sum("n").alias("n"))
+    before = Window.partitionBy("image_id").orderBy("level").rowsBetween(Window.unboundedPreceding, -1)
+    share = {"__b": F.coalesce(F.sum("n").over(before), F.lit(0)), "__t": F.sum("n").over(Window.partitionBy("image_id"))}
+    levels = levels.withColumns(share).select("image_id", "level", F.expr(f"{k} * (2 * __b + n) div (2 * __t)").alias("cluster"))
+    points = colours.join(levels, ["image_id", "level"])
+
+    def means(points: DataFrame) -> DataFrame:
+        total = F.sum("n")
+        return points.groupBy("image_id", "cluster").agg(*[(F.sum(F.col("n") * F.col(c)) / total).alias(c) for c in RGB], total.alias("n"))
+
+    for _ in range(rounds):
+        centres = means(points).groupBy("image_id").agg(F.collect_list(F.struct("cluster", *RGB)).alias("__c"))
+
+        def distance(c: Column) -> Column:
+            d = [(F.col(x) - c[x]) * (F.col(x) - c[x]) for x in RGB]
+            return F.struct((d[0] + d[1] + d[2]).alias("d"), c["cluster"].alias("cluster"))
+
+        nearest = F.array_min(F.transform("__c", distance))["cluster"]
+        points = colours.join(centres, "image_id").withColumn("cluster", nearest).drop("__c")
+    return means(points).select("image_id", "cluster", *RGB, "n")
 
 
 def grey_to_colour_map(df: DataFrame) -> DataFrame:
