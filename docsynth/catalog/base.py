@@ -170,6 +170,8 @@ def with_inputs(sql: str) -> str:
         return sql
     parts = ", ".join(f"{n} AS MATERIALIZED ({INPUTS[n]})" for n in found)
     body = sql.strip()
+    if body.upper().startswith("WITH RECURSIVE "):
+        return f"WITH RECURSIVE {parts}, {body[15:]}"
     if body.upper().startswith("WITH "):
         return f"WITH {parts}, {body[5:]}"
     return f"WITH {parts} {body}"

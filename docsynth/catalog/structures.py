@@ -253,7 +253,22 @@ def distinct_boxes(t: Tables) -> DataFrame:
     return boxes(t).select("image_id", "l", "t", "r", "b").distinct()
 
 
-@query()
+AREA = "({0}.r - {0}.l) * ({0}.b - {0}.t)"
+
+
+@query(
+    f"""WITH RECURSIVE d AS (SELECT image_id, l, t, r, b, min(ann_id) AS ann_id FROM boxes GROUP BY image_id, l, t, r, b),
+    o AS MATERIALIZED (SELECT *, row_number() OVER (PARTITION BY image_id ORDER BY t, l, ann_id) AS k FROM d),
+    s AS (SELECT image_id, CAST(0 AS BIGINT) AS k, CAST([] AS STRUCT(ann_id VARCHAR, l BIGINT, t BIGINT, r BIGINT, b BIGINT)[]) AS kept
+        FROM (SELECT DISTINCT image_id FROM o)
+      UNION ALL SELECT s.image_id, o.k, CASE WHEN len(list_filter(kept, lambda x: x.l < o.r AND o.l < x.r AND x.t < o.b AND o.t < x.b
+        AND abs({AREA.format('x')} - {AREA.format('o')}) <= greatest({AREA.format('x')}, {AREA.format('o')}) * CAST(0.1 AS DOUBLE))) = 0
+        THEN list_append(kept, {{'ann_id': o.ann_id, 'l': o.l, 't': o.t, 'r': o.r, 'b': o.b}}) ELSE kept END
+      FROM s JOIN o ON o.image_id = s.image_id AND o.k = s.k + 1),
+    e AS (SELECT image_id, max(k) AS k FROM o GROUP BY image_id)
+    SELECT image_id, x.ann_id AS ann_id, x.l AS l, x.t AS t, x.r AS r, x.b AS b FROM (SELECT s.image_id, unnest(kept) AS x FROM s
+      JOIN e ON e.image_id = s.image_id AND e.k = s.k)"""
+)
 def dedupe_boxes(t: Tables) -> DataFrame:
     return overlap.dedupe_boxes(boxes(t).drop("content"), ["t", "l"])
 
