@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docsynth.catalog.base import Tables, boxes, draw_sql, integer_sql, pick_sql, query, r4, r4_sql
+from docsynth.catalog.corpora import CONTENT, PARTS
 from docsynth.functions import geometry as g
 from docsynth.operators import annotations as ann
 from docsynth.operators import structure
@@ -151,7 +152,9 @@ def write_dataset(t: Tables) -> DataFrame:
     return t.spark.read.parquet(path)
 
 
-@query()
+@query(
+    f"""SELECT url, {CONTENT} AS content, CAST(len(regexp_extract_all(html, '<img [^>]*src="([^"]*)"', 1)) AS BIGINT) AS n_images FROM {PARTS}"""
+)
 def write_articles(t: Tables) -> DataFrame:
     from docsynth.operators import web
     from docsynth.sources import dataset

@@ -190,7 +190,7 @@ def plain_sql(part: str) -> str:
     return out
 
 
-PARTS = """(SELECT page_id, url, regexp_extract(html, '<article[^>]*>(.*)</article>', 1, 's') AS article,
+PARTS = """(SELECT page_id, url, html, regexp_extract(html, '<article[^>]*>(.*)</article>', 1, 's') AS article,
     regexp_extract(html, '<body[^>]*>(.*)</body>', 1, 's') AS body FROM pages)"""
 CONTENT = rf"""coalesce(nullif(array_to_string(list_filter(list_transform(string_split_regex(article, '<[pP](?:\s[^>]*)?>')[2:],
     lambda p: {plain_sql("regexp_replace(p, '</[pP]>.*', '', 's')")}), lambda p: p <> ''), chr(10)), ''),
