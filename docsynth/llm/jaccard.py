@@ -15,7 +15,7 @@ document without id takes part, but no class is named after it. Repeated rows ar
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -24,9 +24,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from docsynth.llm.arrays import U64, as_long, map_text, runs, slices, stir, windows, words_of
+from docsynth.llm.arrays import U64, as_long, fresh, map_text, runs, slices, stir, windows, words_of
 from docsynth.llm.components import components
-from docsynth.llm.sift import sifted
+from docsynth.llm.sift import sifted, without
 from docsynth.session import materialise
 
 WORDS = 5
@@ -42,8 +42,6 @@ FREQUENT, MOST_FREQUENT = 8, 1 << 20
 FEW = 48
 #: n-grams of a block, and of a task's read of small tiles.
 BLOCK_GRAMS = 1_500_000
-#: Rows of the sorted exchange handled at once.
-ROWS = 200_000
 
 
 def common_words(docs: DataFrame) -> np.ndarray:
@@ -114,7 +112,7 @@ def frequent(docs: DataFrame, common: Broadcast) -> np.ndarray:
     """
 
     def task(batches):
-        for part in slices(batches, "text", 8_000_000):
+        for part in slices(batches, "text", 4_000_000):
             seen = {g.tobytes(): g for g in gram_sets(part.column("text").fill_null(""), common.value)}
             if seen:
                 grams, times = np.unique(np.concatenate(list(seen.values())), return_counts=True)
@@ -137,7 +135,7 @@ def postings(docs: DataFrame, common: Broadcast, often: np.ndarray) -> DataFrame
             for g in gram_sets(part.column("text").fill_null(""), common.value):
                 if not len(g) or (ident := set_id(g)) in seen:
                     continue
-                if len(seen) < 1_000_000:
+                if len(seen) < 200_000:
                     seen.add(ident)
                 if len(often):
                     late = often[np.minimum(np.searchsorted(often, g), len(often) - 1)] == g
@@ -152,36 +150,65 @@ def postings(docs: DataFrame, common: Broadcast, often: np.ndarray) -> DataFrame
     return docs.select("text").mapInArrow(task, "gram long, set long, n int")
 
 
-def candidates(rows: DataFrame) -> DataFrame:
-    """(a, b, few): pairs of sets that share a first n-gram with few others, as often as they do; and for n-grams shared
-    by many the ties of all to one of them (few = null)."""
+PAIRS = ["a", "b", "need", "times"]
+
+
+def tied(center: int, to: np.ndarray) -> pa.RecordBatch:
+    none = pa.nulls(len(to), pa.int64())
+    return pa.RecordBatch.from_arrays([pa.array(np.full(len(to), center)), pa.array(to), none, none], PAIRS)
+
+
+def group_pairs(gram: np.ndarray, ident: np.ndarray, n: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """Pairs of the sets of each n-gram if they are few, ties of all to the first if they are many."""
+    starts = np.flatnonzero(np.concatenate([[True], gram[1:] != gram[:-1]]))
+    sizes = np.diff(np.concatenate([starts, [len(gram)]]))
+    left, right = [], []
+    after = np.repeat(np.where(sizes <= FEW, starts + sizes, 0), sizes) - np.arange(len(gram))
+    for k in range(1, min(FEW, int(after.max()))):
+        # Pairs k apart within a group of few.
+        at = np.flatnonzero(after > k)
+        at = at[OVER * np.maximum(n[at], n[at + k]) <= UNDER * np.minimum(n[at], n[at + k])]
+        left.append(at)
+        right.append(at + k)
+    if any(map(len, left)):
+        left, right = np.concatenate(left), np.concatenate(right)
+        need = (1 + np.minimum(more(n[left]), more(n[right]))).astype(np.int64)
+        yield pa.RecordBatch.from_arrays([pa.array(x) for x in (ident[left], ident[right], need, np.ones(len(left), np.int64))], PAIRS)
+    for start, size in zip(starts[sizes > FEW], sizes[sizes > FEW], strict=True):
+        yield tied(int(ident[start]), ident[start + 1 : start + size])
+
+
+def candidate_batches(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pairs and ties from (gram, set, n) sorted by gram and set. Of an n-gram that runs on over many batches only the
+    set that the others are tied to is remembered."""
+    gram, ident, n = np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.int32)
+    many: tuple[int, int] | None = None
+    for batch in batches:
+        gram, ident, n = (np.concatenate([old, batch.column(c).to_numpy()]) for c, old in zip(("gram", "set", "n"), (gram, ident, n), strict=True))
+        if many is not None:
+            go = int(np.searchsorted(gram, many[0], "right"))
+            if go:
+                yield tied(many[1], ident[:go])
+            gram, ident, n = gram[go:], ident[go:], n[go:]
+        if not len(gram):
+            continue
+        many = None
+        new = np.ones(len(gram), bool)
+        new[1:] = (gram[1:] != gram[:-1]) | (ident[1:] != ident[:-1])
+        gram, ident, n = gram[new], ident[new], n[new]
+        last = int(np.searchsorted(gram, gram[-1]))
+        if len(gram) - last > FEW:
+            many, last = (int(gram[-1]), int(ident[last])), len(gram)
+        if last:
+            yield from group_pairs(gram[:last], ident[:last], n[:last])
+        gram, ident, n = gram[last:], ident[last:], n[last:]
+    if len(gram):
+        yield from group_pairs(gram, ident, n)
 
-    def task(batches):
-        for table in runs(batches, "gram", ROWS):
-            gram, ident, n = (table.column(c).to_numpy() for c in ("gram", "set", "n"))
-            new = np.ones(len(gram), bool)
-            new[1:] = (gram[1:] != gram[:-1]) | (ident[1:] != ident[:-1])
-            gram, ident, n = gram[new], ident[new], n[new]
-            starts = np.flatnonzero(np.concatenate([[True], gram[1:] != gram[:-1]]))
-            sizes = np.diff(np.concatenate([starts, [len(gram)]]))
-            left, right = [], []
-            for k in range(1, FEW):
-                # Pairs k apart within a group of few.
-                at = np.flatnonzero(np.repeat(np.where(sizes <= FEW, starts + sizes, 0), sizes)[: len(gram)] > np.arange(len(gram)) + k)
-                at = at[OVER * np.maximum(n[at], n[at + k]) <= UNDER * np.minimum(n[at], n[at + k])]
-                left.append(at)
-                right.append(at + k)
-            left, right = np.concatenate(left), np.concatenate(right)
-            if len(left):
-                need = 1 + np.minimum(more(n[left]), more(n[right]))
-                pairs, times = np.unique(np.stack([ident[left], ident[right], need.astype(np.int64)]), axis=1, return_counts=True) if len(left) < 50_000 else (np.stack([ident[left], ident[right], need.astype(np.int64)]), np.ones(len(left), np.int64))
-                yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(x)) for x in (*pairs, times)], ["a", "b", "need", "times"])
-            for start, size in zip(starts[sizes > FEW], sizes[sizes > FEW], strict=True):
-                to = ident[start + 1 : start + size]
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(size - 1, ident[start])), pa.array(to), pa.nulls(size - 1, pa.int64()), pa.nulls(size - 1, pa.int64())], ["a", "b", "need", "times"])
-
-    found = rows.repartition("gram").sortWithinPartitions("gram", "set").mapInArrow(task, "a long, b long, need long, times long")
-    # Ties are few: many n-grams give the same ones.
+
+def candidates(rows: DataFrame) -> DataFrame:
+    """(a, b): sets that share enough first n-grams that few others hold, and ties of all sets that share one with many."""
+    found = rows.repartition("gram").sortWithinPartitions("gram", "set").mapInArrow(candidate_batches, "a long, b long, need long, times long")
     found = found.groupBy("a", "b").agg(F.min("need").alias("need"), F.sum("times").alias("times"), F.max(F.col("need").isNull()).alias("tie"))
     return found.where("tie OR times >= need").select("a", "b")
 
@@ -356,9 +383,8 @@ def join(docs: DataFrame) -> DataFrame:
 
 def representatives(docs: DataFrame) -> DataFrame:
     """The documents with one of each linked group: the row of smallest id, and of these the first."""
-    found = join(docs).withColumn("one", F.coalesce("component_id", F.lit(None).cast("long")))
-    lone = found.where("n_shingles = 0").select("row")
-    first = found.where("n_shingles > 0").groupBy("one").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row")).alias("x")).select("x.row")
-    keep = materialise(lone.union(first).select(F.col("row").alias("_row")), "keep")
-    marked = docs.withColumn("_row", F.monotonically_increasing_id())
-    return marked.join(keep, "_row", "left_semi").drop("_row")
+    found = materialise(join(docs).where("n_shingles > 0").select("row", "doc_id", "component_id"), "joined")
+    first = found.groupBy("component_id").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row")).alias("x")).select("x.row")
+    key = fresh(docs, "row_key")
+    gone = materialise(found.join(first, "row", "left_anti").select(F.col("row").alias(key)), "gone")
+    return without(docs.withColumn(key, F.monotonically_increasing_id()), gone, key).drop(key)

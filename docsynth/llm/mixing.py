@@ -16,6 +16,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from docsynth.llm.arrays import fresh
+
 WEIGHTS = (5, 2, 1)
 REPEATS = 3
 #: Change of a source's weight from start to end of training, by its place in the order of sources.
@@ -112,11 +114,12 @@ def curriculum(docs: DataFrame, position: str | None = None) -> DataFrame:
     rows = rows.withColumn("round", F.explode(F.sequence(F.lit(0).cast("long"), last)))
     rows = rows.withColumn("position", time_of(F.col("start") + F.col("round") * F.col("source_size")))
     part = F.when((F.col("round") == F.col("rounds")) & (F.col("part") < F.col("size")), F.col("part")).cast("int")
-    rows = rows.select(F.col("_row").alias("_mix_row"), F.struct("position", "round", part.alias("part")).alias("_mix"))
-    taken = numbered(docs).join(rows, F.col("_row") == F.col("_mix_row"))
-    taken = taken.repartitionByRange(F.col("_mix.position"), F.col("_row")).sortWithinPartitions("_mix.position", "_row", "_mix.round")
-    words = F.slice(F.regexp_extract_all("text", F.lit(f"({WORD})")), F.lit(1), F.col("_mix.part"))
+    key, other, mix = (fresh(docs, c) for c in ("row_key", "mix_row", "mix"))
+    rows = rows.select(F.col("_row").alias(other), F.struct("position", "round", part.alias("part")).alias(mix))
+    taken = docs.withColumn(key, F.monotonically_increasing_id()).join(rows, F.col(key) == F.col(other))
+    taken = taken.repartitionByRange(F.col(f"{mix}.position"), F.col(key)).sortWithinPartitions(f"{mix}.position", key, f"{mix}.round")
+    words = F.slice(F.regexp_extract_all("text", F.lit(f"({WORD})")), F.lit(1), F.col(f"{mix}.part"))
     first = F.array_join(words, " ")
     new = {"text": first, "n_chars": F.length(first)}
-    columns = [F.when(F.col("_mix.part").isNotNull(), new[c]).otherwise(F.col(c)).cast(docs.schema[c].dataType).alias(c) if c in new else F.col(f"`{c}`") for c in docs.columns]
-    return taken.select(*columns, *([F.col("_mix.position").alias(position)] if position else []))
+    columns = [F.when(F.col(f"{mix}.part").isNotNull(), new[c]).otherwise(F.col(c)).cast(docs.schema[c].dataType).alias(c) if c in new else F.col(f"`{c}`") for c in docs.columns]
+    return taken.select(*columns, *([F.col(f"{mix}.position").alias(position)] if position else []))
