@@ -65,6 +65,8 @@ def slices(batches: Iterable[pa.RecordBatch], text: str, most: int = SLICE) -> I
             stop = max(start + 1, int(np.searchsorted(ends, before + most, "right")))
             yield batch.slice(start, stop - start)
             start = stop
+    # Workers are used again: what the texts of this task took goes back to the machine.
+    pa.default_memory_pool().release_unused()
 
 
 def map_text(df: DataFrame, text: str, fields: list[T.StructField], work: Callable[[pa.Array], list], keep: bool = True) -> DataFrame:

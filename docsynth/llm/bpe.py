@@ -28,8 +28,8 @@ from tokenizers import models
 
 from docsynth.llm.arrays import map_text
 
-#: Words and fragments kept by a task, twice at most.
-KEPT = 200_000
+#: Words kept by a task, twice at most: about 170 bytes each.
+KEPT = 150_000
 
 # Fixed values of the file format: white space of Unicode, words as the pre-tokenizer splits them, letters for bytes.
 _BLANK = r"\t-\r \x85\xa0  -     　"
@@ -71,7 +71,7 @@ class Kept(dict):
 class Bpe:
     """Encoder and decoder of one vocabulary file."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, kept: int = KEPT):
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         model = spec["model"]
@@ -94,8 +94,8 @@ class Bpe:
         alphabet = "abcdefghijklmnopqrstuvwxyz"
         apart = [x + y for x in alphabet for y in alphabet if x + y not in side_by_side]
         self.apart = re.compile("|".join(apart) or "(?!)").search
-        self.inner = Kept(lambda f: self.merge(f, self.inner_model), KEPT // 8)
-        self.words = Kept(self.encode_word, KEPT)
+        self.inner = Kept(lambda f: self.merge(f, self.inner_model), kept // 8)
+        self.words = Kept(self.encode_word, kept)
 
     def normal(self, text: str) -> str:
         """NFC, then lower case letter by letter (no rule for a sigma at a word's end)."""
@@ -139,9 +139,9 @@ class Bpe:
 
 
 @lru_cache(maxsize=2)
-def loaded(path: str) -> Bpe:
+def loaded(path: str, kept: int = KEPT) -> Bpe:
     """One encoder for a worker process."""
-    return Bpe(path)
+    return Bpe(path, kept)
 
 
 def encode(docs: DataFrame, path: str, text: str = "text", ids: str = "ids", count: str = "n_tokens") -> DataFrame:

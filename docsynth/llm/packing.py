@@ -23,6 +23,8 @@ from docsynth.llm.arrays import slices
 
 ROW_TOKENS = 2048
 SHARD_TOKENS = 4_000_000
+#: Words kept by a task; nothing else runs beside the packing, so it may keep more.
+KEPT = 400_000
 #: Fixed value of the vocabulary: the end-of-text token fills what is left of a row.
 PAD = 49_407
 
@@ -107,7 +109,7 @@ def pack(docs: DataFrame, path: str, row: int = ROW_TOKENS, shard: int = SHARD_T
     """
 
     def task(batches):
-        coder, held, tokens, number, at = bpe.loaded(path), [], 0, 0, TaskContext.get().partitionId()
+        coder, held, tokens, number, at = bpe.loaded(path, KEPT), [], 0, 0, TaskContext.get().partitionId()
 
         def flush() -> Iterator[pa.RecordBatch]:
             nonlocal held, tokens, number
