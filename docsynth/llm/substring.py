@@ -15,6 +15,8 @@ Other columns are ignored.
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Iterator
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -22,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from docsynth.llm.arrays import U64, as_long, map_text, runs, slices, stir, windows, words_of
+from docsynth.llm.arrays import U64, as_long, map_text, slices, stir, windows, words_of
 from docsynth.session import materialise
 
 LENGTH = 35
@@ -30,7 +32,6 @@ PERIOD = 21
 #: Perfect difference set: every residue modulo PERIOD is a difference of two of these.
 COVER = (0, 1, 4, 14, 16)
 ANCHOR = LENGTH - PERIOD + 1
-ROWS = 200_000
 _IN_COVER = np.zeros(PERIOD, bool)
 _IN_COVER[list(COVER)] = True
 
@@ -71,23 +72,32 @@ def places(value: np.ndarray, check: np.ndarray, row: np.ndarray, at: np.ndarray
     return pa.RecordBatch.from_arrays(columns, ["way", "value", "check", "row", "at", "twice"])
 
 
+def repeated_batches(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Places of values that stand twice, from rows sorted by value. Of a value that runs on over many batches only the
+    value itself is remembered, of one seen once its row."""
+    held = {c: np.empty(0, t) for c, t in (("way", np.int64), ("value", np.int64), ("check", np.int32), ("row", np.int64), ("at", np.int32), ("twice", bool))}
+    for batch in batches:
+        if not len(batch):
+            continue
+        new = {c: batch.column(c).fill_null(-1).to_numpy(zero_copy_only=False) if c == "row" else batch.column(c).to_numpy(zero_copy_only=False) for c in held}
+        x = {c: np.concatenate([held[c], new[c]]) for c in held}
+        first = np.ones(len(x["way"]), bool)
+        first[1:] = (x["way"][1:] != x["way"][:-1]) | (x["value"][1:] != x["value"][:-1]) | (x["check"][1:] != x["check"][:-1])
+        group = np.cumsum(first) - 1
+        size = np.bincount(group)
+        good = (size > 1) | (np.bincount(group, x["twice"]) > 0)
+        out = np.flatnonzero(good[group] & (x["row"] >= 0))
+        if len(out):
+            yield pa.RecordBatch.from_arrays([pa.array(x["row"][out]), pa.array(x["at"][out])], ["row", "at"])
+        # One row of the last value goes on: itself if it is alone so far, else a mark without a place.
+        held = {c: v[-1:].copy() for c, v in x.items()}
+        if good[-1]:
+            held["row"][0], held["twice"][0] = -1, True
+
+
 def repeated(rows: DataFrame) -> DataFrame:
     """(row, at) of all places whose value stands at another place too."""
-
-    def task(batches):
-        for table in runs(batches, "way", ROWS):
-            way, value, check, at, twice = (table.column(c).to_numpy() for c in ("way", "value", "check", "at", "twice"))
-            row = table.column("row").fill_null(-1).to_numpy()
-            first = np.ones(len(way), bool)
-            first[1:] = (way[1:] != way[:-1]) | (value[1:] != value[:-1]) | (check[1:] != check[:-1])
-            group = np.cumsum(first) - 1
-            several = np.bincount(group) > 1
-            marked = np.bincount(group, twice) > 0
-            good = np.flatnonzero((several | marked)[group] & (row >= 0))
-            if len(good):
-                yield pa.RecordBatch.from_arrays([pa.array(row[good]), pa.array(at[good])], ["row", "at"])
-
-    return rows.repartition("way").sortWithinPartitions("way", "value", "check").mapInArrow(task, "row long, at int")
+    return rows.repartition("way").sortWithinPartitions("way", "value", "check").mapInArrow(repeated_batches, "row long, at int")
 
 
 def anchors(docs: DataFrame) -> DataFrame:

@@ -5,12 +5,12 @@ import hashlib
 import re
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
-DOCS = "doc_id long, text string, lang string, source string, n_chars long, n_words string, row string, hits int"
+DOCS = "doc_id long, text string, lang string, source string, n_chars long, n_words string, row string, hits int, row_key string, place int, maybe string, mix string, _row int"
 
 
 def docs(spark, tmp_path, rows):
     """A documents table with columns of clashing names, read back from a file as the operators expect."""
-    full = [(d, t, lang, source, None if t is None else len(t), "x", "y", 1) for d, t, lang, source in rows]
+    full = [(d, t, lang, source, None if t is None else len(t), "x", "y", 1, "k", 2, "m", "x", 3) for d, t, lang, source in rows]
     path = str(tmp_path / f"docs{len(list(tmp_path.iterdir()))}")
     spark.createDataFrame(full, DOCS).write.parquet(path)
     return spark.read.parquet(path)

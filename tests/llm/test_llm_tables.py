@@ -5,8 +5,9 @@ import random
 
 import helpers
 import numpy as np
+import pyarrow as pa
 import pytest
-from docsynth.llm import components, jaccard, mixing, neighbours, queries, substring, warc
+from docsynth.llm import components, jaccard, mixing, neighbours, queries, sift, substring, warc
 from pyspark.sql import functions as F
 
 import corpus_pipeline
@@ -38,6 +39,36 @@ def test_jaccard_near_copies(spark, tmp_path, monkeypatch, few, grams):
     assert helpers.by_key(got) == helpers.by_key(helpers.jaccard([r[:2] for r in rows]))
 
 
+def test_jaccard_pairs_do_not_depend_on_batches(monkeypatch):
+    monkeypatch.setattr(jaccard, "FEW", 3)
+    rng = np.random.default_rng(3)
+    rows = sorted((int(g), int(i), 20) for g, i in zip(rng.zipf(1.5, 400) % 40 - 5, rng.integers(0, 60, 400), strict=True))
+    want = None
+    for size in (1, 2, 3, 7, 50, 400):
+        cut = [pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows[i : i + size], strict=True), (pa.int64(), pa.int64(), pa.int32()), strict=True)], ["gram", "set", "n"]) for i in range(0, len(rows), size)]
+        got = [r for b in jaccard.candidate_batches(cut) for r in b.to_pylist()]
+        pairs = sorted((r["a"], r["b"]) for r in got if r["need"] is not None)
+        ties = {(r["a"], r["b"]) for r in got if r["need"] is None and r["a"] != r["b"]}
+        assert want is None or want == (pairs, ties)
+        want = (pairs, ties)
+    assert want[0] and want[1]
+
+
+def test_passages_do_not_depend_on_batches():
+    rng = np.random.default_rng(4)
+    value = np.sort(rng.zipf(1.3, 300) % 90)
+    rows = [(int(v), int(v), 0, None if rng.random() < 0.1 else i, i, bool(rng.random() < 0.1)) for i, v in enumerate(value)]
+    rows = [(*r[:3], r[3], r[4], r[5] or r[3] is None) for r in rows]
+    kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.bool_())
+    of = {}
+    for r in rows:
+        of.setdefault(r[0], []).append(r)
+    want = sorted(r[3] for g in of.values() for r in g if r[3] is not None and (len(g) > 1 or g[0][5]))
+    for size in (1, 2, 3, 10, 300):
+        cut = [pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows[i : i + size], strict=True), kinds, strict=True)], ["way", "value", "check", "row", "at", "twice"]) for i in range(0, len(rows), size)]
+        assert sorted(r["row"] for b in substring.repeated_batches(cut) for r in b.to_pylist()) == want
+
+
 def test_jaccard_exactly_at_the_limit(spark, tmp_path):
     words = [str(i) for i in range(104)]  # 100 n-grams
     rows = [(1, " ".join(words), "en", "s"), (2, " ".join(words[:79]), "en", "s"), (3, " ".join(words[:78]), "en", "s")]  # 75 and 74 of them
@@ -78,6 +109,16 @@ def test_components(spark):
     assert got == {x: find(x) for x in linked}
 
 
+def test_sift_keeps_every_row_that_joins(spark):
+    rows = spark.range(50_000).select(F.col("id").alias("row"), F.lit("x").alias("text"))
+    keys = spark.range(0, 50_000, 17).select(F.col("id").alias("row"))
+    left = sift.sifted(rows, keys, "row")
+    assert left.columns == ["row", "text"] and left.join(keys, "row").count() == keys.count() <= left.count() < 4_000
+    assert sift.sifted(rows, keys.limit(0), "row").count() == 0
+    assert sorted(r.row for r in sift.without(rows, keys, "row").collect()) == [i for i in range(50_000) if i % 17]
+    assert sift.without(rows, keys.limit(0), "row").count() == 50_000
+
+
 def test_passages_made(spark, tmp_path):
     rng = random.Random(5)
     vocabulary = [f"w{i}" for i in range(400)]
