@@ -424,10 +424,10 @@ def crop_points(t: Tables) -> DataFrame:
 @query(
     f"""WITH p AS (SELECT p_partkey, {integer_sql('p_partkey', 96, 0, 300)} AS x, {integer_sql('p_partkey', 97, 0, 600)} AS y, 60 + p_size AS w,
       40 + p_size % 7 AS h, {integer_sql('p_partkey', 98, 0, 45)} AS a, p_partkey % 2 = 0 AS o FROM part),
-    q AS (SELECT *, CAST(trunc(h * abs(sin(radians(a))) + w * abs(cos(radians(a)))) AS BIGINT) AS cw,
-      CAST(trunc(h * abs(cos(radians(a))) + w * abs(sin(radians(a)))) AS BIGINT) AS ch FROM p)
-    SELECT p_partkey, x + CASE WHEN o THEN (cw - w) // 2 ELSE 0 END AS l, y + CASE WHEN o THEN CAST(floor((ch - h) / 2) AS BIGINT) ELSE 0 END AS t,
-      x + CASE WHEN o THEN (cw - w) // 2 + w ELSE cw END AS r, y + CASE WHEN o THEN CAST(floor((ch - h) / 2) AS BIGINT) + h ELSE ch END AS b FROM q"""
+    q AS (SELECT *, CAST(trunc(h * abs(sin(radians(a))) + w * abs(cos(radians(a))) + CAST(1e-9 AS DOUBLE)) AS BIGINT) AS cw,
+      CAST(trunc(h * abs(cos(radians(a))) + w * abs(sin(radians(a))) + CAST(1e-9 AS DOUBLE)) AS BIGINT) AS ch FROM p)
+    SELECT p_partkey, x + CASE WHEN o THEN CAST(floor((cw - w) / 2) AS BIGINT) ELSE 0 END AS l, y + CASE WHEN o THEN CAST(floor((ch - h) / 2) AS BIGINT) ELSE 0 END AS t,
+      x + CASE WHEN o THEN CAST(floor((cw - w) / 2) AS BIGINT) + w ELSE cw END AS r, y + CASE WHEN o THEN CAST(floor((ch - h) / 2) AS BIGINT) + h ELSE ch END AS b FROM q"""
 )
 def stamp_box(t: Tables) -> DataFrame:
     key, size = C("p_partkey"), C("p_size").cast("bigint")

@@ -36,7 +36,7 @@ def shift_points(q: Column, dx: Column, dy: Column) -> Column:
 
 def canvas_after_rotation(w: Column, h: Column, degrees: Column) -> tuple[Column, Column]:
     c, s = F.abs(F.cos(F.radians(degrees))), F.abs(F.sin(F.radians(degrees)))
-    return (h * s + w * c).cast("bigint"), (h * c + w * s).cast("bigint")
+    return (h * s + w * c + 1e-9).cast("bigint"), (h * c + w * s + 1e-9).cast("bigint")
 
 
 def rotate_points(q: Column, w: Column, h: Column, degrees: Column) -> Column:
@@ -229,9 +229,9 @@ def crop_window(q: Column, width: int, height: int, offset: int, ident: Column,
 
 
 def turned_size(w: Column, h: Column, degrees: Column) -> tuple[Column, Column]:
-    """Whole-pixel canvas that holds a picture turned by an angle."""
+    """Whole-pixel canvas that holds a picture turned by an angle; the last digits of sine and cosine do not count."""
     s, c = F.abs(F.sin(F.radians(degrees))), F.abs(F.cos(F.radians(degrees)))
-    return (h * s + w * c).cast("bigint"), (h * c + w * s).cast("bigint")
+    return (h * s + w * c + 1e-9).cast("bigint"), (h * c + w * s + 1e-9).cast("bigint")
 
 
 def stamp_box(x: Column, y: Column, w: Column, h: Column, degrees: Column, is_round: Column) -> tuple[Column, Column, Column, Column]:
