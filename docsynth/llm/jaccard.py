@@ -364,6 +364,11 @@ def blocks(clustered: DataFrame) -> DataFrame:
 
 def join(docs: DataFrame) -> DataFrame:
     """One row per row of ``docs`` (read from a table): row, doc_id, n_shingles, component_id, n_links."""
+    return grouped(docs).drop("root")
+
+
+def grouped(docs: DataFrame) -> DataFrame:
+    """Rows of ``join`` with the root of their group, which tells groups apart whatever their ids; null without words."""
     docs = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", "text")
     common = docs.sparkSession.sparkContext.broadcast(common_words(docs))  # 2**TABLE bytes
     rows = materialise(sets(docs, common), "sets")
@@ -376,15 +381,15 @@ def join(docs: DataFrame) -> DataFrame:
     degrees = found.groupBy(F.col("a").alias("set")).agg(F.sum("links").alias("links"))
     classes = classes.join(roots, "set", "left").join(degrees, "set", "left").withColumn("root", F.coalesce("root", "set"))
     names = classes.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = classes.join(names, "root").select("set", "component_id", (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"))
+    named = classes.join(names, "root").select("set", "root", "component_id", (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"))
     out = rows.join(named, "set", "left")
-    return out.select("row", "doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", F.when(F.col("n") == 0, F.col("doc_id"))).alias("component_id"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
+    return out.select("row", "doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", F.when(F.col("n") == 0, F.col("doc_id"))).alias("component_id"), F.coalesce("n_links", F.lit(0)).alias("n_links"), "root")
 
 
 def representatives(docs: DataFrame) -> DataFrame:
     """The documents with one of each linked group: the row of smallest id, and of these the first."""
-    found = materialise(join(docs).where("n_shingles > 0").select("row", "doc_id", "component_id"), "joined")
-    first = found.groupBy("component_id").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row")).alias("x")).select("x.row")
+    found = materialise(grouped(docs).where("n_shingles > 0").select("row", "doc_id", "root"), "joined")
+    first = found.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row")).alias("x")).select("x.row")
     key = fresh(docs, "row_key")
     gone = materialise(found.join(first, "row", "left_anti").select(F.col("row").alias(key)), "gone")
     return without(docs.withColumn(key, F.monotonically_increasing_id()), gone, key).drop(key)

@@ -92,6 +92,13 @@ def test_jaccard_one_of_each_group(spark, tmp_path):
     assert sorted((r.doc_id is None, r.doc_id or 0) for r in kept.collect()) == sorted((d is None, d or 0) for d in want)
 
 
+def test_jaccard_groups_are_not_told_by_ids(spark, tmp_path):
+    rows = [(None, "one text without id", "en", "s"), (None, "another that has none", "en", "s"), (7, "first of id seven", "en", "s"), (7, "second of id seven", "en", "s")]
+    rows += [(None, "copies without id", "en", "s")] * 2 + [(7, "copies of id seven", "en", "s")] * 2
+    kept = jaccard.representatives(helpers.docs(spark, tmp_path, rows)).collect()
+    assert helpers.by_key((r.doc_id, r.text) for r in kept) == helpers.by_key({r[:2] for r in rows})
+
+
 def test_components(spark):
     rng = random.Random(2)
     links = [(i, i + 1) for i in range(40)] + [(100, 100 + i) for i in range(1, 50)] + [(rng.randrange(200, 260), rng.randrange(200, 260)) for _ in range(40)] + [(7, 7)]
