@@ -1,7 +1,7 @@
 """Secret scan with a worklist of nested encodings.
 
-Every layer of a text is scanned for three kinds of secrets. Encoded passages of the layer (percent escapes, Unicode
-escapes, base64, and compressed bytes inside base64) are unwrapped into further layers, until nothing new appears; a
+Every layer of a text is scanned for three kinds of secrets. Percent escapes and Unicode escapes are replaced in the
+whole text of a layer, other encoded passages (base64, and compressed bytes inside base64) are unwrapped into further layers, until nothing new appears; a
 layer seen before in the same text is not entered again, so cycles end. Spans are code points of the original text: a
 layer keeps, for each of its characters, the stretch of the original text it came from.
 
@@ -39,11 +39,9 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]{16,}")
 HEX = re.compile(r"[0-9a-f]{24,}")
 LEAST_VALUE = 6
 
-PERCENT = re.compile(r"[^\s%]*(?:%[0-9A-Fa-f]{2}[^\s%]*)+")
-ESCAPED = re.compile(r"[^\s\\]*(?:(?:\\u[0-9A-Fa-f]{4}|\\U[0-9A-Fa-f]{8}|\\x[0-9A-Fa-f]{2})[^\s\\]*)+")
-ONE_ESCAPE = re.compile(r"\\u([0-9A-Fa-f]{4})|\\U([0-9A-Fa-f]{8})|\\x([0-9A-Fa-f]{2})")
+PERCENT = re.compile(r"%([0-9A-Fa-f]{2})")
+ESCAPED = re.compile(r"\\u([0-9A-Fa-f]{4})|\\U([0-9A-Fa-f]{8})|\\x([0-9A-Fa-f]{2})")
 BASE64 = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
-ONE_PERCENT = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
 
 
 @dataclass(frozen=True)
@@ -57,6 +55,12 @@ class Layer:
     def span(self, start: int, end: int) -> tuple[int, int]:
         return (start, end) if self.low is None else (int(self.low[start:end].min()), int(self.high[start:end].max()))
 
+    def places(self) -> tuple[np.ndarray, np.ndarray]:
+        if self.low is None:
+            at = np.arange(len(self.text) + 1, dtype=np.int32)
+            return at[:-1], at[1:]
+        return self.low, self.high
+
 
 def base_spans(text: str) -> list[tuple[int, int, int]]:
     """(start, kind, end) of the secrets that stand in the text as it is."""
@@ -91,30 +95,37 @@ def utf8(data: bytes) -> str | None:
     return text if text and not re.search(r"[\x00-\x08\x0e-\x1f\x7f]", text) else None
 
 
-def swapped(layer: Layer, start: int, end: int, one: re.Pattern, value) -> Layer | None:
-    """The stretch with each escape replaced by what it stands for."""
-    pieces, at = [], start
-    for m in one.finditer(layer.text, start, end):
+def swapped(layer: Layer, one: re.Pattern, value) -> Layer | None:
+    """The whole text with each escape replaced by the one character it stands for."""
+    first = np.ones(len(layer.text), bool)
+
+    def new(m: re.Match) -> str:
         got = value(m)
-        if got is None:
-            continue
-        if m.start() > at:
-            pieces.append((layer.text[at : m.start()], at, m.start()))
-        pieces.append((got, m.start(), m.end()))
-        at = m.end()
-    if at == start:
+        if got is not None:
+            first[m.start() + 1 : m.end()] = False
+        return m[0] if got is None else got
+
+    text = one.sub(new, layer.text)
+    if first.all():
         return None
-    if at < end:
-        pieces.append((layer.text[at:end], at, end))
-    return from_pieces(layer, [p for p in pieces if p[0]])
+    low, high = layer.places()
+    at = np.flatnonzero(first)
+    return Layer(text, low[at], high[np.append(at[1:], len(first)) - 1])
+
+
+def byte(code: int) -> str:
+    """A byte as a character; those beyond ASCII become lone surrogates, so that the bytes can be had back."""
+    return chr(code if code < 0x80 else 0xDC00 + code)
 
 
-def percent_value(m: re.Match) -> str | None:
-    return utf8(bytes.fromhex(m[0].replace("%", "")))
+def percent_value(m: re.Match) -> str:
+    return byte(int(m[1], 16))
 
 
 def escape_value(m: re.Match) -> str | None:
-    code = int(m[1] or m[2] or m[3], 16)
+    if m[3]:
+        return byte(int(m[3], 16))
+    code = int(m[1] or m[2], 16)
     return None if code > 0x10FFFF or 0xD800 <= code < 0xE000 else chr(code)
 
 
@@ -164,9 +175,9 @@ def unwrapped(layer: Layer) -> list[Layer]:
     """Layers directly inside this one."""
     text, out = layer.text, []
     if "%" in text:
-        out += [swapped(layer, *m.span(), ONE_PERCENT, percent_value) for m in PERCENT.finditer(text)]
+        out.append(swapped(layer, PERCENT, percent_value))
     if "\\" in text:
-        out += [swapped(layer, *m.span(), ONE_ESCAPE, escape_value) for m in ESCAPED.finditer(text)]
+        out.append(swapped(layer, ESCAPED, escape_value))
     out += [from_base64(layer, *m.span()) for m in BASE64.finditer(text)]
     return [x for x in out if x is not None]
 

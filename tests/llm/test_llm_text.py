@@ -119,6 +119,13 @@ def test_secret_repeated_layer_is_found_at_each_place():
     assert len(secretscan.scan(f"{code} and {code}")[1]) == 2
 
 
+@pytest.mark.parametrize("text", ['"api_key": "\\u0061bcdef12"', '"pass\\u0077ord": "hunter22"', "token: %61bcdefgh", "%73ecret = \\x61bcdefgh", "secret%20= abcdefgh"])
+def test_secret_key_and_value_in_two_runs(text):
+    base, spans = secretscan.scan(f"é x {text} y")
+    assert not base and [(k, b) for _, k, b in spans] == [(0, 4 + len(text.rstrip('"')))]
+    assert spans[0][0] == 4 + text.startswith('"')
+
+
 def plain_spans(text):
     found = []
     for kind, pattern, keep in (
