@@ -1,9 +1,10 @@
 """Secret scan with a worklist of nested encodings.
 
 Every layer of a text is scanned for three kinds of secrets. Percent escapes and Unicode escapes are replaced in the
-whole text of a layer, other encoded passages (base64, and compressed bytes inside base64) are unwrapped into further layers, until nothing new appears; a
-layer seen before in the same text is not entered again, so cycles end. Spans are code points of the original text: a
-layer keeps, for each of its characters, the stretch of the original text it came from.
+whole text of a layer, other encoded passages (base64, and compressed bytes inside base64) are unwrapped into further
+layers, until nothing new appears. A layer of the same text from the same places of the original is not entered again,
+so cycles end; other copies of it are. Spans are code points of the original text: a layer keeps, for each of its
+characters, the stretch of the original text it came from.
 
 Defined cases: a null or empty text has no spans. Equal spans of one kind are listed once. Bytes that are no UTF-8 are
 no layer; a compressed layer of any length is read in whole.
@@ -61,6 +62,12 @@ class Layer:
             return at[:-1], at[1:]
         return self.low, self.high
 
+    def key(self) -> tuple:
+        """Equal for layers of equal text from equal places."""
+        if not self.text or (self.low[0] == self.low[-1] and self.high[0] == self.high[-1]):
+            return (self.text, *(int(x[0]) for x in (self.low, self.high) if self.text))
+        return self.text, self.low.astype(np.int32).tobytes(), self.high.astype(np.int32).tobytes()
+
 
 def base_spans(text: str) -> list[tuple[int, int, int]]:
     """(start, kind, end) of the secrets that stand in the text as it is."""
@@ -185,16 +192,13 @@ def unwrapped(layer: Layer) -> list[Layer]:
 def scan(text: str) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, int]]]:
     """Spans of the text as it is, and these with the ones of all nested layers."""
     base = base_spans(text)
-    found, seen, todo = set(base), {text}, unwrapped(Layer(text))
+    found, seen, todo = set(base), set(), unwrapped(Layer(text))
     while todo:
         layer = todo.pop()
-        if layer.text in seen:
-            # Another copy of a layer: its secrets lie elsewhere in the text, but entering it again finds nothing new.
-            if layer.text != text:
-                found.update(place(layer, nested) for nested in base_spans(layer.text))
-                todo += [x for x in unwrapped(layer) if len(x.text) < len(layer.text)]
+        # Another copy of a layer has its places elsewhere and is entered too; the same one again finds nothing new.
+        if (key := layer.key()) in seen:
             continue
-        seen.add(layer.text)
+        seen.add(key)
         found.update(place(layer, nested) for nested in base_spans(layer.text))
         todo += unwrapped(layer)
     return base, sorted(found)

@@ -119,6 +119,14 @@ def test_secret_repeated_layer_is_found_at_each_place():
     assert len(secretscan.scan(f"{code} and {code}")[1]) == 2
 
 
+def test_secret_in_compressed_copies_is_found_at_each_place():
+    inner = base64.b64encode(gzip.compress(b"words and words " * 200 + SECRET.encode())).decode()
+    for code in (inner, urllib.parse.quote(inner, safe=""), base64.b64encode(inner.encode()).decode()):
+        text = f"{code} and {code} and {code}"
+        spans = secretscan.scan(text)[1]
+        assert [(a // (len(code) + 5), b <= a // (len(code) + 5) * (len(code) + 5) + len(code)) for a, _, b in spans] == [(0, True), (1, True), (2, True)]
+
+
 @pytest.mark.parametrize("text", ['"api_key": "\\u0061bcdef12"', '"pass\\u0077ord": "hunter22"', "token: %61bcdefgh", "%73ecret = \\x61bcdefgh", "secret%20= abcdefgh"])
 def test_secret_key_and_value_in_two_runs(text):
     base, spans = secretscan.scan(f"é x {text} y")
