@@ -1,18 +1,17 @@
 """Secret scan with a worklist of nested encodings.
 
 Every layer of a text is scanned for three kinds of secrets. Percent escapes and Unicode escapes are replaced in the
-whole text of a layer, other encoded passages (base64, and compressed bytes inside base64) are unwrapped into further
-layers, until nothing new appears. A layer of the same text from the same places of the original is not entered again,
+whole text of a layer; base64, wrapped lines and parts of longer runs included, and compressed bytes anywhere in a
+decoded layer are unwrapped into further layers, until nothing new appears. A layer of the same text from the same places of the original is not entered again,
 so cycles end; other copies of it are. Spans are code points of the original text: a layer keeps, for each of its
 characters, the stretch of the original text it came from.
 
-Defined cases: a null or empty text has no spans. Equal spans of one kind are listed once. Bytes that are no UTF-8 are
-no layer; a compressed layer of any length is read in whole.
+Defined cases: a null or empty text has no spans. Equal spans of one kind are listed once. Bytes need be
+no text, control characters are kept; a compressed stream that lacks its end is not entered, any other is read in whole.
 """
 
 from __future__ import annotations
 
-import base64
 import binascii
 import bz2
 import lzma
@@ -42,7 +41,15 @@ LEAST_VALUE = 6
 
 PERCENT = re.compile(r"%([0-9A-Fa-f]{2})")
 ESCAPED = re.compile(r"\\u([0-9A-Fa-f]{4})|\\U([0-9A-Fa-f]{8})|\\x([0-9A-Fa-f]{2})")
-BASE64 = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
+#: Base64 letters, also over line ends (written out or as \\n) with the indents and quote marks of mails.
+BREAK = re.compile(r"(?:\r?\n|(?:\\r)?\\n)[ \t>]*")
+BASE64 = re.compile(rf"(?<![A-Za-z0-9+/_-])(?:[A-Za-z0-9+/_-]{{16,}}+(?:{BREAK.pattern}[A-Za-z0-9+/_-]++)*+|[A-Za-z0-9+/_-]{{1,15}}+(?:{BREAK.pattern}[A-Za-z0-9+/_-]++)++)={{0,2}}")
+LEAST_BASE64 = 16
+URL_LETTERS = str.maketrans("-_", "+/")
+#: How gzip, zlib, zstd, bzip2 and xz data begin.
+MAGIC = re.compile(rb"\x1f\x8b\x08|\x78[\x01\x5e\x9c\xda]|\x28\xb5\x2f\xfd|BZh[1-9]|\xfd7zXZ\x00")
+#: Bytes without any of these hold no secret and no further layer.
+TELLING = re.compile(rb"(?i:passw|secret|token|api_?key)|%[0-9A-Fa-f]{2}|\\[uUx]|[A-Za-z0-9+/_-]{16}|[A-Za-z0-9+/_-](?:\r?\n|(?:\\r)?\\n)|" + MAGIC.pattern)
 
 
 @dataclass(frozen=True)
@@ -77,31 +84,6 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(found)
 
 
-def from_pieces(layer: Layer, pieces: list[tuple[str, int, int]]) -> Layer:
-    """Layer of pieces of text, each from the layer's characters start to end; equal lengths map one to one."""
-    text, low, high = [], [], []
-    for piece, start, end in pieces:
-        text.append(piece)
-        if len(piece) == end - start:
-            at = np.arange(start, end)
-            low.append(at if layer.low is None else layer.low[start:end])
-            high.append(at + 1 if layer.low is None else layer.high[start:end])
-        else:
-            a, b = layer.span(start, end)
-            low.append(np.full(len(piece), a))
-            high.append(np.full(len(piece), b))
-    return Layer("".join(text), np.concatenate(low), np.concatenate(high))
-
-
-def utf8(data: bytes) -> str | None:
-    """Text of the bytes if they are UTF-8 without control characters other than white space."""
-    try:
-        text = data.decode()
-    except UnicodeDecodeError:
-        return None
-    return text if text and not re.search(r"[\x00-\x08\x0e-\x1f\x7f]", text) else None
-
-
 def swapped(layer: Layer, one: re.Pattern, value) -> Layer | None:
     """The whole text with each escape replaced by the one character it stands for."""
     first = np.ones(len(layer.text), bool)
@@ -136,63 +118,102 @@ def escape_value(m: re.Match) -> str | None:
     return None if code > 0x10FFFF or 0xD800 <= code < 0xE000 else chr(code)
 
 
-def inflated(data: bytes) -> bytes | None:
-    """What the bytes hold if they begin like gzip, zlib, zstd, bzip2 or xz data."""
-    try:
-        if data[:2] == b"\x1f\x8b" or (data[:1] == b"\x78" and data[1:2] in (b"\x01", b"\x5e", b"\x9c", b"\xda")):
-            return zlib.decompress(data, 47)
-        if data[:4] == b"\x28\xb5\x2f\xfd":
-            return zstandard.ZstdDecompressor().decompressobj().decompress(data)
-        if data[:3] == b"BZh":
-            return bz2.decompress(data)
-        if data[:6] == b"\xfd7zXZ\x00":
-            return lzma.decompress(data)
-    except (zlib.error, zstandard.ZstdError, OSError, lzma.LZMAError, ValueError, EOFError):
-        return None
-    return None
+def inflated(data: bytes) -> tuple[bytes, int] | None:
+    """What the compressed data at the start of the bytes hold, with whole streams right behind, and the bytes these take."""
+    out, rest = [], data
+    while m := MAGIC.match(rest):
+        kind = m[0][:2]
+        reader = {b"\x28\xb5": lambda: zstandard.ZstdDecompressor().decompressobj(), b"BZ": bz2.BZ2Decompressor, b"\xfd7": lzma.LZMADecompressor}.get(kind, partial(zlib.decompressobj, 47))()
+        try:
+            got = reader.decompress(rest)
+        except (zlib.error, zstandard.ZstdError, OSError, lzma.LZMAError, ValueError, EOFError):
+            break
+        if not reader.eof:
+            break
+        out.append(got)
+        rest = reader.unused_data
+    return (b"".join(out), len(data) - len(rest)) if out else None
+
+
+def unpacked(layer: Layer) -> list[Layer]:
+    """What compressed data anywhere in the bytes of a decoded layer hold; all of it comes from the whole data."""
+    data = layer.text.encode("utf-8", "surrogateescape")
+    out, at, ends = [], 0, None
+    while m := MAGIC.search(data, at):
+        got = inflated(data[m.start() :])
+        at = m.start() + 1
+        if got is None:
+            continue
+        if ends is None:
+            code = np.frombuffer(layer.text.encode("utf-32-le", "surrogatepass"), "<u4")
+            # A byte beyond ASCII stands as a lone surrogate.
+            ends = np.cumsum(np.where(code >> 7 == 0xDC80 >> 7, 1, 1 + (code >= 0x80) + (code >= 0x800) + (code >= 0x10000)))
+        held, taken = got
+        first, last = np.searchsorted(ends, [m.start(), m.start() + taken - 1], "right").tolist()
+        a, b = layer.span(first, last + 1)
+        if TELLING.search(held):
+            out.append(Layer(held.decode("ascii", "surrogateescape"), *(np.broadcast_to(np.int32(x), len(held)) for x in (a, b))))
+        at = m.start() + taken
+    return out
+
+
+def from_base64(layer: Layer, start: int, end: int) -> list[Layer]:
+    """Bytes of a stretch of base64 letters from each of its first four letters on, so that whatever stands before, behind
+    or between is no hindrance; every byte comes from its group of four."""
+    text, letter = layer.text[start:end], np.ones(end - start, bool)
+    if "\n" in text or "\\" in text:
+        for m in BREAK.finditer(text):
+            letter[m.start() : m.end()] = False
+        text = BREAK.sub("", text)
+    body, out = text.rstrip("=").translate(URL_LETTERS), []
+    if len(body) < LEAST_BASE64:
+        return out
+    place = None
+    for first in range(4):
+        n = len(body) - first
+        n -= n % 4 == 1
+        data = binascii.a2b_base64(body[first : first + n] + "=" * (-n % 4))
+        if not TELLING.search(data):
+            continue
+        if place is None:
+            low, high = layer.places()
+            place = start + np.flatnonzero(letter)
+        group = first + np.arange(len(data)) // 3 * 4
+        out.append(Layer(data.decode("ascii", "surrogateescape"), low[place[group]], high[place[np.minimum(group + 4, len(text)) - 1]]))
+    return out
 
 
-def from_base64(layer: Layer, start: int, end: int) -> Layer | None:
-    """Bytes of a base64 stretch as text; every byte comes from its group of four, compressed ones from the whole."""
-    body = layer.text[start:end].rstrip("=")
-    if len(body) % 4 == 1:
-        return None
-    try:
-        data = base64.b64decode(body.replace("-", "+").replace("_", "/") + "=" * (-len(body) % 4), validate=True)
-    except (binascii.Error, ValueError):
-        return None
-    text = utf8(data)
-    if text is None:
-        unpacked = inflated(data)
-        text = utf8(unpacked) if unpacked else None
-        return None if text is None else from_pieces(layer, [(text, start, end)] if len(text) != end - start else [(text[:1], start, end), (text[1:], start, end)])
-    pieces, byte = [], 0
-    for group in range(0, len(text), 3) if text.isascii() else range(0):
-        pieces.append((text[group : group + 3], start + byte // 3 * 4, min(end, start + byte // 3 * 4 + 4)))
-        byte += 3
-    if not pieces:
-        for c in text:
-            n = len(c.encode())
-            pieces.append((c, start + byte // 3 * 4, min(end, start + (byte + n - 1) // 3 * 4 + 4)))
-            byte += n
-    return from_pieces(layer, pieces)
-
-
-def unwrapped(layer: Layer) -> list[Layer]:
-    """Layers directly inside this one."""
+def unwrapped(layer: Layer, done: set) -> list[Layer]:
+    """Layers directly inside this one; ``done``: stretches of base64 already decoded."""
     text, out = layer.text, []
     if "%" in text:
         out.append(swapped(layer, PERCENT, percent_value))
     if "\\" in text:
         out.append(swapped(layer, ESCAPED, escape_value))
-    out += [from_base64(layer, *m.span()) for m in BASE64.finditer(text)]
+    for m in BASE64.finditer(text):
+        a, b = m.span()
+        if b - a < LEAST_BASE64:
+            continue
+        # The same letters stand in every layer that differs from this one elsewhere.
+        key = (m[0], a) if layer.low is None else (m[0], int(layer.low[a])) if exact(layer, a, b) else Layer(m[0], layer.low[a:b], layer.high[a:b]).key()
+        if key not in done:
+            done.add(key)
+            out += from_base64(layer, a, b)
+    if layer.low is not None:
+        out += unpacked(layer)
     return [x for x in out if x is not None]
 
 
+def exact(layer: Layer, start: int, end: int) -> bool:
+    """Whether each character of the stretch is one of the original."""
+    low, high = layer.low[start:end], layer.high[start:end]
+    return bool((high - low == 1).all() and (np.diff(low) == 1).all())
+
+
 def scan(text: str) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, int]]]:
     """Spans of the text as it is, and these with the ones of all nested layers."""
-    base = base_spans(text)
-    found, seen, todo = set(base), set(), unwrapped(Layer(text))
+    base, done = base_spans(text), set()
+    found, seen, todo = set(base), set(), unwrapped(Layer(text), done)
     while todo:
         layer = todo.pop()
         # Another copy of a layer has its places elsewhere and is entered too; the same one again finds nothing new.
@@ -200,7 +221,7 @@ def scan(text: str) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, in
             continue
         seen.add(key)
         found.update(place(layer, nested) for nested in base_spans(layer.text))
-        todo += unwrapped(layer)
+        todo += unwrapped(layer, done)
     return base, sorted(found)
 
 

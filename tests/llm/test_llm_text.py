@@ -4,6 +4,7 @@ import base64
 import bz2
 import gzip
 import hashlib
+import lzma
 import random
 import re
 import urllib.parse
@@ -127,6 +128,44 @@ def test_secret_in_compressed_copies_is_found_at_each_place():
         assert [(a // (len(code) + 5), b <= a // (len(code) + 5) * (len(code) + 5) + len(code)) for a, _, b in spans] == [(0, True), (1, True), (2, True)]
 
 
+def b64(data):
+    return base64.b64encode(data).decode()
+
+
+@pytest.mark.parametrize(
+    "inside",
+    [
+        lambda s: b64(gzip.compress(zlib.compress(s))),
+        lambda s: b64(gzip.compress(gzip.compress(bz2.compress(zstandard.compress(lzma.compress(s)))))),
+        lambda s: b64(gzip.compress(b"first part\n") + gzip.compress(s)),
+        lambda s: b64(b"head" + zlib.compress(s) + b"tail"),
+        lambda s: "data=" + urllib.parse.quote(gzip.compress(s)),
+        lambda s: "".join(f"\\x{c:02x}" for c in zlib.compress(s)),
+        lambda s: b64(b"\0\x1b[1m" + s + b"\x7f"),
+        lambda s: b64(b"\xff\xfe" + s),
+        lambda s: base64.encodebytes(b"filler to the end of the line, as long as it must be" + s).decode(),
+        lambda s: base64.encodebytes(gzip.compress(random.Random(1).randbytes(300) + s)).decode().replace("\n", "\r\n> "),
+        lambda s: base64.encodebytes(gzip.compress(random.Random(1).randbytes(300) + s)).decode().replace("\n", "\\n"),
+        *(lambda s, k=k: "http://h/" + "com/cb/x"[:k] + "/" + b64(gzip.compress(s)) for k in range(4, 8)),
+        *(lambda s, k=k: "a-b_c"[:k] + "-" + base64.urlsafe_b64encode(s * 2).decode().rstrip("=") + "_end" for k in range(1, 5)),
+    ],
+)
+def test_secret_unwrapped_to_the_end(inside):
+    code = inside(SECRET.encode())
+    base, spans = secretscan.scan(f"é {code} z")
+    assert not base and spans and all(2 <= a < b <= 2 + len(code) for a, _, b in spans)
+    assert not secretscan.scan(secretscan.covered(f"é {code} z"))[1]
+
+
+def test_secret_layers_end():
+    quine = bytes.fromhex("1f8b080000000000000372656375727365")  # cut short: no layer
+    assert secretscan.scan(b64(quine))[1] == []
+    deep = SECRET.encode()
+    for _ in range(12):
+        deep = base64.b64encode(gzip.compress(deep)) + b" " + base64.b64encode(gzip.compress(deep))
+    assert len(secretscan.scan(deep.decode())[1]) == 2
+
+
 @pytest.mark.parametrize("text", ['"api_key": "\\u0061bcdef12"', '"pass\\u0077ord": "hunter22"', "token: %61bcdefgh", "%73ecret = \\x61bcdefgh", "secret%20= abcdefgh"])
 def test_secret_key_and_value_in_two_runs(text):
     base, spans = secretscan.scan(f"é x {text} y")
