@@ -26,6 +26,7 @@ from pyspark.sql import types as T
 
 from docsynth.llm.arrays import U64, as_long, fresh, map_text, runs, slices, stir, windows, words_of
 from docsynth.llm.components import components
+from docsynth.llm.keys import numbered
 from docsynth.llm.sift import sifted, without
 from docsynth.session import materialise
 
@@ -363,13 +364,13 @@ def blocks(clustered: DataFrame) -> DataFrame:
 
 
 def join(docs: DataFrame) -> DataFrame:
-    """One row per row of ``docs`` (read from a table): row, doc_id, n_shingles, component_id, n_links."""
-    return grouped(docs).drop("root")
+    """One row per row of ``docs``: row, doc_id, n_shingles, component_id, n_links."""
+    return grouped(numbered(docs, "row", ["doc_id", "text"])).drop("root")
 
 
 def grouped(docs: DataFrame) -> DataFrame:
-    """Rows of ``join`` with the root of their group, which tells groups apart whatever their ids; null without words."""
-    docs = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", "text")
+    """Rows of ``join`` for numbered documents (row, doc_id, text), with the root of their group, which tells groups apart
+    whatever their ids; null without words."""
     common = docs.sparkSession.sparkContext.broadcast(common_words(docs))  # 2**TABLE bytes
     rows = materialise(sets(docs, common), "sets")
     classes = rows.where("n > 0").groupBy("set").agg(F.min("row").alias("row"), F.first("n").alias("n"), F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("copies"))
@@ -388,8 +389,9 @@ def grouped(docs: DataFrame) -> DataFrame:
 
 def representatives(docs: DataFrame) -> DataFrame:
     """The documents with one of each linked group: the row of smallest id, and of these the first."""
-    found = materialise(grouped(docs).where("n_shingles > 0").select("row", "doc_id", "root"), "joined")
-    first = found.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row")).alias("x")).select("x.row")
     key = fresh(docs, "row_key")
+    rows = numbered(docs, key)
+    found = materialise(grouped(rows.select(F.col(key).alias("row"), "doc_id", "text")).where("n_shingles > 0").select("row", "doc_id", "root"), "joined")
+    first = found.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row")).alias("x")).select("x.row")
     gone = materialise(found.join(first, "row", "left_anti").select(F.col("row").alias(key)), "gone")
-    return without(docs.withColumn(key, F.monotonically_increasing_id()), gone, key).drop(key)
+    return without(rows, gone, key).drop(key)

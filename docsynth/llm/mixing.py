@@ -16,6 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from docsynth.llm import keys
 from docsynth.llm.arrays import fresh
 
 WEIGHTS = (5, 2, 1)
@@ -57,7 +58,7 @@ def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, repeats: int =
 
 
 def numbered(docs: DataFrame) -> DataFrame:
-    """The documents with a key for each row, repeated ones too; it holds as long as the table is not written anew."""
+    """The documents with a key for each row, repeated ones too; it holds within one job, so it is not joined with."""
     return docs.withColumn("_row", F.monotonically_increasing_id())
 
 
@@ -109,14 +110,15 @@ def curriculum(docs: DataFrame, position: str | None = None) -> DataFrame:
     The last round ends inside one document of each source, which gives its first words only (joined by one space).
     The columns are those of ``docs``, with the time added if ``position`` names it.
     """
-    rows = placed(numbered(docs.select("doc_id", "source", "text"))).where("taken > 0")
+    key, other, mix = (fresh(docs, c) for c in ("row_key", "mix_row", "mix"))
+    keyed = keys.numbered(docs, key)
+    rows = placed(keyed.select(F.col(key).alias("_row"), "doc_id", "source", "text")).where("taken > 0")
     last = F.col("rounds") - F.when(F.col("part") > 0, F.lit(0)).otherwise(F.lit(1))
     rows = rows.withColumn("round", F.explode(F.sequence(F.lit(0).cast("long"), last)))
     rows = rows.withColumn("position", time_of(F.col("start") + F.col("round") * F.col("source_size")))
     part = F.when((F.col("round") == F.col("rounds")) & (F.col("part") < F.col("size")), F.col("part")).cast("int")
-    key, other, mix = (fresh(docs, c) for c in ("row_key", "mix_row", "mix"))
     rows = rows.select(F.col("_row").alias(other), F.struct("position", "round", part.alias("part")).alias(mix))
-    taken = docs.withColumn(key, F.monotonically_increasing_id()).join(rows, F.col(key) == F.col(other))
+    taken = keyed.join(rows, F.col(key) == F.col(other))
     taken = taken.repartitionByRange(F.col(f"{mix}.position"), F.col(key)).sortWithinPartitions(f"{mix}.position", key, f"{mix}.round")
     words = F.slice(F.regexp_extract_all("text", F.lit(f"({WORD})")), F.lit(1), F.col(f"{mix}.part"))
     first = F.array_join(words, " ")

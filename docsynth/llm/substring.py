@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from docsynth.llm.arrays import U64, as_long, map_text, slices, stir, windows, words_of
+from docsynth.llm.keys import numbered
 from docsynth.session import materialise
 
 LENGTH = 35
@@ -167,8 +168,8 @@ def by_row(found: DataFrame) -> DataFrame:
 
 
 def keyed(docs: DataFrame) -> DataFrame:
-    """Documents read from a table, with a number for each row."""
-    return docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", "text")
+    """Documents with a number for each row."""
+    return numbered(docs, "row", ["doc_id", "text"]).select("row", "doc_id", "text")
 
 
 def passages(docs: DataFrame) -> DataFrame:

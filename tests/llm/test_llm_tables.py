@@ -7,7 +7,7 @@ import helpers
 import numpy as np
 import pyarrow as pa
 import pytest
-from docsynth.llm import components, jaccard, mixing, neighbours, queries, sift, substring, warc
+from docsynth.llm import components, jaccard, keys, mixing, neighbours, queries, sift, substring, warc
 from pyspark.sql import functions as F
 
 import corpus_pipeline
@@ -99,6 +99,68 @@ def test_jaccard_groups_are_not_told_by_ids(spark, tmp_path):
     assert helpers.by_key((r.doc_id, r.text) for r in kept) == helpers.by_key({r[:2] for r in rows})
 
 
+@pytest.fixture
+def moving_splits(spark, monkeypatch):
+    """Each table that is written changes how the files of later jobs are split."""
+    name, turn = "spark.sql.files.minPartitionNum", [0]
+
+    def moved(module):
+        real = module.materialise
+
+        def written(df, of):
+            out = real(df, of)
+            turn[0] += 1
+            spark.conf.set(name, "18"[turn[0] % 2])
+            return out
+
+        monkeypatch.setattr(module, "materialise", written)
+
+    spark.conf.set(name, "8")
+    yield moved
+    spark.conf.unset(name)
+
+
+def in_files(spark, tmp_path, rows):
+    path = str(tmp_path / "many_files")
+    helpers.docs(spark, tmp_path, rows).repartition(7).write.parquet(path)
+    return spark.read.parquet(path)
+
+
+def test_rows_keep_their_numbers(spark, tmp_path):
+    table = in_files(spark, tmp_path, [(i, f"t {i}", "en", "s") for i in range(90)])
+    seen = []
+    for splits in ("1", "8"):
+        spark.conf.set("spark.sql.files.minPartitionNum", splits)
+        seen.append({r.doc_id: r.k for r in keys.numbered(table, "k").collect()})
+    spark.conf.unset("spark.sql.files.minPartitionNum")
+    assert seen[0] == seen[1] and len(set(seen[0].values())) == 90 and None not in seen[0].values()
+    twice = spark.read.parquet(*table.inputFiles(), *table.inputFiles())
+    for made in (table.union(table), twice, table.where("doc_id > 3"), spark.range(5).select(F.lit("x").alias("text"))):
+        got = keys.numbered(made, "k", ["text"])
+        assert got.columns == ["text", "k"] and got.select("k").distinct().count() == got.where("k IS NOT NULL").count() == made.count()
+
+
+def test_jaccard_while_splits_change(spark, tmp_path, moving_splits):
+    rows = near_copies(21, 60) + EDGES
+    moving_splits(jaccard)
+    want = helpers.jaccard([r[:2] for r in rows])
+    got = [tuple(r) for r in jaccard.join(in_files(spark, tmp_path, rows)).drop("row").collect()]
+    assert helpers.by_key(got) == helpers.by_key(want)
+
+
+def test_representatives_while_splits_change(spark, tmp_path, moving_splits):
+    rows = [(i, f"text number {i // 2} of these", "en", "s") for i in range(60)]
+    moving_splits(jaccard)
+    assert sorted(r.doc_id for r in jaccard.representatives(in_files(spark, tmp_path, rows)).collect()) == list(range(0, 60, 2))
+
+
+def test_passages_while_splits_change(spark, tmp_path, moving_splits):
+    rows = [(i, f"start {i} " + " ".join(f"w{i // 3}x{k}" for k in range(40 + i % 3)), "en", "s") for i in range(60)]
+    moving_splits(substring)
+    got = [tuple(r) for r in substring.report(in_files(spark, tmp_path, rows)).collect()]
+    assert helpers.by_key(got) == helpers.by_key(helpers.passages([r[:2] for r in rows]))
+
+
 def test_components(spark):
     rng = random.Random(2)
     links = [(i, i + 1) for i in range(40)] + [(100, 100 + i) for i in range(1, 50)] + [(rng.randrange(200, 260), rng.randrange(200, 260)) for _ in range(40)] + [(7, 7)]
