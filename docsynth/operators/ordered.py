@@ -13,6 +13,12 @@ from collections.abc import Callable, Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from docsynth.functions.binding import let
+from docsynth.session import materialise
+
+#: Neighbouring blocks that are combined into one at each level of a reduction tree.
+RUN = 64
+
 
 def scan(
     df: DataFrame,
@@ -125,3 +131,39 @@ def islands(
     )
     run = F.sum("__opens").over(inside.rowsBetween(Window.unboundedPreceding, 0)) + F.col("__upto")
     return flagged.join(per_chunk, keys + parts).select(*[c for c in df.columns if c != name], run.alias(name))
+
+
+def entry_states(
+    blocks: DataFrame,
+    group: Sequence[str],
+    index: str,
+    table: str,
+    start: Column,
+    apply: Callable[[Column, Column], Column],
+    chain: Callable[[Column, Column], Column],
+    run: int | None = None,
+) -> DataFrame:
+    """State in which each block of a group is entered (group, ``index``, ``state``), for steps that no sum can express.
+
+    A block is reduced to a ``table`` that says how any state before it becomes the state after it: ``apply(table,
+    state)``. ``chain(first, then)`` makes the table of two neighbours. Fixed runs of ``run`` neighbours become one row,
+    level after level, until each group has one; entry states then go down again through the same levels. No row holds
+    more than ``run`` (by default RUN) tables, however long the group. ``index`` counts the blocks of a group from 0; keys are not null.
+    """
+    keys, run = list(group), run or RUN
+    level = materialise(blocks.select(*keys, F.col(index).cast("bigint").alias("__i"), F.col(table).alias("__t")), "blocks")
+    last, levels = level.agg(F.max("__i")).first()[0] or 0, []
+    while last > 0:
+        runs = level.withColumn("__up", F.floor(F.col("__i") / run)).groupBy(*keys, "__up")
+        runs = runs.agg(F.array_sort(F.collect_list(F.struct("__i", "__t"))).alias("__m"))
+        rest = F.slice("__m", F.lit(2), F.size("__m"))
+        whole = F.aggregate(rest, F.get("__m", F.lit(0))["__t"], lambda t, x: chain(t, x["__t"]))
+        levels.append(materialise(runs.select(*keys, F.col("__up").alias("__i"), "__m", whole.alias("__t")), "levels"))
+        level, last = levels[-1].select(*keys, "__i", "__t"), last // run
+    states = level.select(*keys, "__i", start.alias("state"))
+    for runs in reversed(levels):
+        after = F.aggregate("__m", F.array("state"), lambda s, x: F.concat(s, F.array(apply(x["__t"], F.element_at(s, -1)))))
+        placed = let(after, lambda s: F.transform("__m", lambda x, i: F.struct(x["__i"].alias("__i"), F.get(s, i).alias("state"))))
+        states = runs.select(*keys, "__i", "__m").join(states, [*keys, "__i"]).select(*keys, F.explode_outer(placed).alias("__x"))
+        states = states.select(*keys, "__x.*")
+    return states.select(*keys, F.col("__i").alias(index), "state")

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from docsynth.functions.text import BODY_SPLIT, display_width
-from docsynth.operators.ordered import number_rows, scan
+from docsynth.operators.ordered import entry_states, number_rows, scan
 
 LINE_BLOCK = 1024
 
@@ -145,8 +145,9 @@ def paginate(records: DataFrame, limit: int) -> DataFrame:
     """Page number (from 1) of records of mixed heights: a page ends before the record that finds it full.
 
     A record's page depends on all before it, but only through the fill of the open page, which has ``limit`` + 1
-    states. Every block of records is therefore reduced to a short table "fill before -> fill after and pages begun";
-    these tables are folded per document, and each block is then numbered on its own from its known start.
+    states. Every block of records is therefore reduced to a short table "fill before -> fill after and pages begun".
+    The tables of a document are combined in a tree of fixed runs, and each block is then numbered on its own from the
+    state in which the tree says it is entered.
     """
     blocks = (
         records.withColumns(block("row_no"))
@@ -164,21 +165,15 @@ def paginate(records: DataFrame, limit: int) -> DataFrame:
     def start(fill: Column) -> Column:
         return F.struct(fill.cast("int").alias("fill"), F.lit(0).cast("bigint").alias("pages"))
 
-    ends = F.transform(F.sequence(F.lit(0), F.lit(limit)), lambda f: F.aggregate("recs", start(f), step))
-    tables = blocks.select("table_id", "block", ends.alias("ends"))
-    per_doc = tables.groupBy("table_id").agg(F.array_sort(F.collect_list(F.struct("block", "ends"))).alias("all"))
+    def after(table: Column, state: Column) -> Column:
+        end = F.element_at(table, state["fill"] + 1)
+        return F.struct(end["fill"].alias("fill"), (state["pages"] + end["pages"]).alias("pages"))
 
-    def chain(s: Column, b: Column) -> Column:
-        end = F.element_at(b["ends"], s["fill"] + 1)
-        here = F.struct(b["block"].alias("block"), s["fill"].alias("fill"), s["pages"].alias("pages"))
-        return F.struct(
-            end["fill"].alias("fill"), (s["pages"] + end["pages"]).alias("pages"), F.concat(s["seen"], F.array(here)).alias("seen")
-        )
-
-    none = F.array().cast("array<struct<block:bigint,fill:int,pages:bigint>>")
-    zero = F.struct(F.lit(0).alias("fill"), F.lit(0).cast("bigint").alias("pages"), none.alias("seen"))
-    starts = per_doc.select("table_id", F.explode_outer(F.aggregate("all", zero, chain, lambda s: s["seen"])).alias("s"))
-    starts = starts.select("table_id", "s.*")
+    ends = F.transform(F.sequence(F.lit(0), F.lit(limit)), lambda f: F.aggregate("recs", start(f), step))
+    starts = entry_states(
+        blocks.select("table_id", "block", ends.alias("ends")),
+        ["table_id"], "block", "ends", start(F.lit(0)), after, lambda one, two: F.transform(one, lambda s: after(two, s)),
+    )
 
     def number(s: Column, r: Column) -> Column:
         nxt = step(s["at"], r)
@@ -186,7 +181,7 @@ def paginate(records: DataFrame, limit: int) -> DataFrame:
         return F.struct(nxt.alias("at"), F.concat(s["out"], F.array(mark)).alias("out"))
 
     blank = F.array().cast("array<struct<row_no:bigint,page:bigint>>")
-    first = F.struct(F.struct(F.col("fill").alias("fill"), F.col("pages").alias("pages")).alias("at"), blank.alias("out"))
+    first = F.struct(F.col("state").alias("at"), blank.alias("out"))
     numbered = blocks.join(starts, ["table_id", "block"])
     marks = F.aggregate("recs", first, number, lambda s: s["out"])
     return numbered.select("table_id", F.explode_outer(marks).alias("m")).select("table_id", "m.row_no", (F.col("m.page") + 1).alias("page"))

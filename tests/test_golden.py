@@ -12,7 +12,7 @@ from docsynth import rng
 from docsynth.functions import geometry as g
 from docsynth.functions import text
 from docsynth.operators import annotations as ann
-from docsynth.operators import corpus, curate, overlap, pixels, records, structure, tables, web
+from docsynth.operators import corpus, curate, ordered, overlap, pixels, records, structure, tables, web
 from docsynth.operators.ordered import scan
 from docsynth.plans import forms
 from docsynth.sources import dataset, labels, markup
@@ -193,10 +193,12 @@ def test_largest_gap_brute_force(spark):
         assert got.get(image) == best
 
 
-def test_paginate_many_blocks(spark, monkeypatch):
-    monkeypatch.setattr(tables, "LINE_BLOCK", 8)
+@pytest.mark.parametrize(("block", "run"), [(8, 64), (1, 3), (5, 2)])
+def test_paginate_many_blocks(spark, monkeypatch, block, run):
+    monkeypatch.setattr(tables, "LINE_BLOCK", block)
+    monkeypatch.setattr(ordered, "RUN", run)
     r = random.Random(2)
-    rows = [(k, i, r.randrange(1, 4)) for k in range(3) for i in range(1, 70)]
+    rows = [(k, i, r.randrange(1, 4)) for k, n in enumerate((70, 4, 25)) for i in range(1, n)]
     df = spark.createDataFrame(rows, "table_id BIGINT, row_no BIGINT, height BIGINT")
     got = {(x["table_id"], x["row_no"]): x["page"] for x in tables.paginate(df, 9).collect()}
     for k in range(3):
