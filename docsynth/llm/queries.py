@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docsynth.llm import bpe, jaccard, langid, mixing, neighbours, packing, quality, secretscan, substring, warc
+from docsynth.llm import bpe, jaccard, langid, mixing, negatives, neighbours, packing, quality, secretscan, substring, warc
 from docsynth.llm.arrays import reachable
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -130,3 +130,27 @@ FROM r"""
 @query
 def op10_packing(spark: SparkSession, path: str) -> DataFrame:
     return packing.pack(table(spark, path, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+@query
+def op11_hard_negatives(spark: SparkSession, path: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.mine(table(spark, path, "embeddings"), F.col("id") % 100 == 0, label=label)
+
+
+ORACLE["op11_hard_negatives"] = """
+WITH v AS (
+  SELECT CAST(vec_id AS BIGINT) AS id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT a.id AS anchor_id, c.id, a.label = c.label AS same, CAST(list_inner_product(a.v, c.v) AS BIGINT) AS score
+  FROM v a JOIN v c ON a.id % 100 = 0 AND a.id <> c.id AND len(a.v) = len(c.v)),
+p AS (SELECT anchor_id, id AS positive_id, score AS positive_score FROM s WHERE same
+      QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5)
+SELECT anchor_id, positive_id, CAST(row_number() OVER w AS INTEGER) AS rank, s.id AS negative_id, positive_score, s.score AS negative_score
+FROM p JOIN s USING (anchor_id)
+WHERE NOT s.same AND 30 * positive_score <= 100 * s.score AND 100 * s.score <= 90 * positive_score
+WINDOW w AS (PARTITION BY anchor_id, positive_id ORDER BY s.score DESC, s.id)
+QUALIFY row_number() OVER w <= 10"""
