@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docsynth.llm import bpe, jaccard, langid, mixing, negatives, neighbours, packing, quality, secretscan, substring, warc
+from docsynth.llm import bpe, dialogue, jaccard, langid, mixing, negatives, neighbours, packing, quality, secretscan, substring, warc
 from docsynth.llm.arrays import reachable
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -154,3 +154,8 @@ FROM p JOIN s USING (anchor_id)
 WHERE NOT s.same AND 30 * positive_score <= 100 * s.score AND 100 * s.score <= 90 * positive_score
 WINDOW w AS (PARTITION BY anchor_id, positive_id ORDER BY s.score DESC, s.id)
 QUALIFY row_number() OVER w <= 10"""
+
+
+@query
+def op12_conversation_repair(spark: SparkSession, path: str) -> DataFrame:
+    return dialogue.report(table(spark, path, "conversations"))
