@@ -6,6 +6,7 @@ the slice (a few MB of text, or one text if that is longer), never the partition
 
 from __future__ import annotations
 
+import hashlib
 import os
 from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
@@ -19,19 +20,17 @@ from pyspark.sql import types as T
 
 #: Bytes of text handled at once.
 SLICE = 2_000_000
-#: Bytes hashed at once; sized for the processor's cache.
-BLOCK = 1 << 17
+#: Longest word hashed in lanes of eight bytes; longer ones are hashed one by one.
+LANES = 64
+#: Words hashed at once; sized for the processor's cache.
+GROUP = 1 << 13
 
 #: Folder of the package.
 ROOT = str(Path(__file__).resolve().parent.parent.parent)
 
 U64 = np.uint64
-_SEED = np.random.Generator(np.random.PCG64(20_240_607))
-_CODES = _SEED.integers(1, 1 << 64, 256, dtype=U64)
-_LOWER = _CODES.copy()
-_LOWER[65:91] = _CODES[97:123]
-_BASE = 0x9E3779B97F4A7C15
-_UNBASE = pow(_BASE, -1, 1 << 64)
+FOLD = np.arange(256, dtype=np.uint8)
+FOLD[65:91] += 32
 _LEFT, _RIGHT, _STIR, _STIR2 = (U64(x) for x in (0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xFF51AFD7ED558CCD, 0xC4CEB9FE1A85EC53))
 SPACE = np.zeros(256, bool)
 SPACE[[32, 9, 10, 11, 12, 13]] = True
@@ -108,35 +107,41 @@ class Words:
         return np.repeat(np.arange(len(self.first) - 1), self.counts())
 
     def hashes(self, lower: bool = False) -> np.ndarray:
-        """64-bit hash of each word; ``lower`` folds A-Z."""
-        codes, out, n, at = (_LOWER if lower else _CODES), np.empty(len(self.starts), U64), len(self.starts), 0
-        while at < n:
-            low = int(self.starts[at])
-            stop = max(at + 1, int(np.searchsorted(self.ends, low + BLOCK, "right")))
-            width = int(self.ends[stop - 1]) - low
-            power, back = powers(width)
-            sums = np.empty(width + 1, U64)
-            sums[0] = 0
-            np.cumsum(codes[self.data[low : low + width]] * power[:width], out=sums[1:])
-            s = self.starts[at:stop] - low
-            out[at:stop] = (sums[self.ends[at:stop] - low] - sums[s]) * back[s]
-            at = stop
-        return stir(out)
-
-
-_POWERS: list[np.ndarray] = []
-
-
-def powers(n: int) -> list[np.ndarray]:
-    """Powers of the base and of its inverse modulo 2**64, at least ``n``."""
-    if not _POWERS or len(_POWERS[0]) < n:
-        size = max(n, 2 * BLOCK)
-        _POWERS[:] = []
-        for base in (_BASE, _UNBASE):
-            out = np.full(size, U64(base))
-            out[0] = 1
-            _POWERS.append(np.cumprod(out, dtype=U64))
-    return _POWERS
+        """64-bit hash of each word; ``lower`` folds A-Z.
+
+        Eight bytes at a time are mixed into the hash so far, which starts from the length, so words of the same length
+        up to eight bytes never share one. Longer words than ``LANES`` bytes get a digest.
+        """
+        data = FOLD[self.data] if lower else self.data
+        size = self.ends - self.starts
+        out = np.empty(len(size), U64)
+        padded = np.concatenate([data, np.zeros(8, np.uint8)])
+        lanes = np.ndarray((len(padded) - 7,), "<u8", padded, 0, (1,))
+        for a in range(0, len(size), GROUP):
+            starts, left = self.starts[a : a + GROUP], size[a : a + GROUP]
+            hashes, at = stir(left.astype(U64) * _LEFT + _RIGHT), None
+            while True:
+                mixed = lanes[starts] & _MASKS[np.minimum(left, 8)]
+                mixed ^= hashes if at is None else hashes[at]
+                mixed *= _RIGHT
+                mixed = stir(mixed)
+                if at is None:
+                    hashes = mixed
+                else:
+                    hashes[at] = mixed
+                more = np.flatnonzero((left > 8) & (left <= LANES))
+                if not len(more):
+                    break
+                at = more if at is None else at[more]
+                starts, left = starts[more] + 8, left[more] - 8
+            out[a : a + GROUP] = hashes
+        for i in np.flatnonzero(size > LANES).tolist():
+            word = data[self.starts[i] : self.ends[i]].tobytes()
+            out[i] = int.from_bytes(hashlib.blake2b(word, digest_size=8).digest(), "little")
+        return out
+
+
+_MASKS = np.array([(1 << 8 * n) - 1 for n in range(9)], U64)
 
 
 def stir(h: np.ndarray) -> np.ndarray:
