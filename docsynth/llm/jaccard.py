@@ -82,8 +82,16 @@ def gram_sets(col: pa.Array, common: np.ndarray) -> list[np.ndarray]:
     return out
 
 
-def set_id(grams: np.ndarray) -> int:
-    return int.from_bytes(hashlib.blake2b(grams.tobytes(), digest_size=8).digest(), "little", signed=True)
+def set_ids(grams: np.ndarray) -> tuple[int, int]:
+    """Two independent halves of a 128-bit digest of a set."""
+    digest = hashlib.blake2b(grams.tobytes(), digest_size=16).digest()
+    return int.from_bytes(digest[:8], "little", signed=True), int.from_bytes(digest[8:], "little", signed=True)
+
+
+def set_id(grams: np.ndarray, shared: frozenset[int]) -> int:
+    """The first half, or the second where different sets share the first."""
+    first, second = set_ids(grams)
+    return second if first in shared else first
 
 
 def more(n: np.ndarray) -> np.ndarray:
@@ -97,13 +105,20 @@ def first_grams(n: np.ndarray) -> np.ndarray:
 
 
 def sets(docs: DataFrame, common: Broadcast) -> DataFrame:
-    """(row, doc_id, n, set): number of n-grams and identity of the set of each row of ``docs`` (row, doc_id, text)."""
+    """(row, doc_id, n, set, check): number of n-grams and digest of the set of each row of ``docs`` (row, doc_id, text)."""
 
     def work(col: pa.Array) -> list:
         found = gram_sets(col, common.value)
-        return [np.array([len(g) for g in found], np.int64), np.array([set_id(g) for g in found], np.int64)]
+        ids = np.array([set_ids(g) for g in found], np.int64).reshape(-1, 2)
+        return [np.array([len(g) for g in found], np.int64), ids[:, 0].copy(), ids[:, 1].copy()]
+
+    return map_text(docs, "text", [T.StructField(c, T.LongType()) for c in ("n", "set", "check")], work, keep=False)
+
 
-    return map_text(docs, "text", [T.StructField("n", T.LongType()), T.StructField("set", T.LongType())], work, keep=False)
+def shared_ids(rows: DataFrame) -> frozenset[int]:
+    """First halves of a digest that different sets have in common: none among 10**9 sets, a handful among 10**10."""
+    twins = rows.groupBy("set").agg(F.min("check").alias("a"), F.max("check").alias("b")).where("a <> b").select("set").toArrow()
+    return frozenset(twins.column("set").to_pylist())
 
 
 def frequent(docs: DataFrame, common: Broadcast) -> np.ndarray:
@@ -125,7 +140,7 @@ def frequent(docs: DataFrame, common: Broadcast) -> np.ndarray:
     return np.sort(listed.column("gram").to_numpy().view(U64))
 
 
-def postings(docs: DataFrame, common: Broadcast, often: np.ndarray) -> DataFrame:
+def postings(docs: DataFrame, common: Broadcast, often: np.ndarray, twins: frozenset[int]) -> DataFrame:
     """(gram, set, n) for the first n-grams of each set; a task gives each set once."""
     shared = docs.sparkSession.sparkContext.broadcast(often)  # MOST_FREQUENT at most
 
@@ -134,7 +149,7 @@ def postings(docs: DataFrame, common: Broadcast, often: np.ndarray) -> DataFrame
         for part in slices(batches, "text"):
             grams, ids, sizes = [], [], []
             for g in gram_sets(part.column("text").fill_null(""), common.value):
-                if not len(g) or (ident := set_id(g)) in seen:
+                if not len(g) or (ident := set_id(g, twins)) in seen:
                     continue
                 if len(seen) < 200_000:
                     seen.add(ident)
@@ -373,8 +388,11 @@ def grouped(docs: DataFrame) -> DataFrame:
     whatever their ids; null without words."""
     common = docs.sparkSession.sparkContext.broadcast(common_words(docs))  # 2**TABLE bytes
     rows = materialise(sets(docs, common), "sets")
+    twins = shared_ids(rows)
+    if twins:
+        rows = rows.withColumn("set", F.when(F.col("set").isin(*twins), F.col("check")).otherwise(F.col("set")))
     classes = rows.where("n > 0").groupBy("set").agg(F.min("row").alias("row"), F.first("n").alias("n"), F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("copies"))
-    pairs = candidates(postings(docs, common, frequent(docs, common)))
+    pairs = candidates(postings(docs, common, frequent(docs, common), twins))
     clusters = components(pairs).select(F.col("node").alias("set"), F.col("root").alias("cluster"))
     members = blocks(classes.join(clusters, "set")).select("row", "set", "copies", "blocks")
     found = materialise(tile_links(docs, common, materialise(members, "members")), "found")
