@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docsynth.llm import bpe, dialogue, jaccard, langid, mixing, negatives, neighbours, packing, quality, secretscan, substring, warc
+from docsynth.llm import bpe, dialogue, jaccard, langid, minhash, mixing, negatives, neighbours, packing, quality, secretscan, substring, warc
 from docsynth.llm.arrays import reachable
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -159,3 +159,8 @@ QUALIFY row_number() OVER w <= 10"""
 @query
 def op12_conversation_repair(spark: SparkSession, path: str) -> DataFrame:
     return dialogue.report(table(spark, path, "conversations"))
+
+
+@query
+def op13_minhash(spark: SparkSession, path: str) -> DataFrame:
+    return minhash.groups(table(spark, path, "documents"))
