@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+import bisect
+from collections.abc import Iterable, Iterator
+
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from docsynth.functions.geometry import crossing, similar_area
-from docsynth.operators.spatial import cover
-from docsynth.session import materialise
+from docsynth.session import materialise, work_path
 
 BOX = ["l", "t", "r", "b"]
 
@@ -17,20 +21,45 @@ def distinct_boxes(boxes: DataFrame) -> DataFrame:
     return boxes.groupBy("image_id", *BOX).agg(F.count(F.lit(1)).alias("copies"), F.min("ann_id").alias("ann_id"))
 
 
-def near_pairs(boxes: DataFrame, tile: int = 64) -> DataFrame:
-    """Different boxes that cross or touch, found on shared tiles; the other one's columns start with ``o_``.
+def level_of() -> Column:
+    """Level of a box: its cells are as wide as the next power of two above its longer side."""
+    return F.ceil(F.log2(F.greatest(F.col("r") - F.col("l"), F.col("b") - F.col("t"), F.lit(1)).cast("double"))).cast("int")
+
+
+def cells(boxes: DataFrame, level: str) -> DataFrame:
+    """One row per touched cell of a level, columns ``tx`` and ``ty``; the far edges count."""
+    size = F.pow(F.lit(2.0), F.col(level))
+    for low, high, name in (("l", "r", "tx"), ("t", "b", "ty")):
+        span = F.sequence(F.floor(F.col(low) / size).cast("long"), F.floor(F.col(high) / size).cast("long"))
+        boxes = boxes.select("*", F.explode_outer(span).alias(name))
+    return boxes
+
 
-    A pair that shares several tiles is reported on each of them, so callers reduce with idempotent aggregates.
+def near_pairs(boxes: DataFrame) -> DataFrame:
+    """Different boxes that cross or touch, found on a hierarchical grid; the other one's columns start with ``o_``.
+
+    A box lies in at most four cells of its own level, whatever its size, and is looked up in at most four cells of each
+    larger level that its image has boxes on. So a page-wide box is a few rows, and where many small boxes lie close
+    together they are told apart by cells of their own size. A pair that shares several cells is reported on each of
+    them, so callers reduce with idempotent aggregates.
     """
-    a = cover(boxes, *BOX, size=tile)
-    b = a.select(
-        "image_id", "tx", "ty", *[F.col(c).alias(f"o_{c}") for c in boxes.columns if c != "image_id"]
-    )
+    own = boxes.withColumn("level", level_of())
+    levels = own.groupBy("image_id").agg(F.collect_set("level").alias("levels"))
+    home = cells(own, "level")
+    asked = own.withColumnRenamed("level", "o_level").join(levels, "image_id")
+    asked = asked.select("image_id", "o_level", *[F.col(c).alias(f"o_{c}") for c in boxes.columns if c != "image_id"], *BOX, F.explode(F.filter("levels", lambda x: x >= F.col("o_level"))).alias("level"))
+    asked = cells(asked, "level").drop(*BOX)
     same = (F.col("l") == F.col("o_l")) & (F.col("t") == F.col("o_t")) & (F.col("r") == F.col("o_r")) & (F.col("b") == F.col("o_b"))
     touch = (
         (F.col("l") <= F.col("o_r")) & (F.col("o_l") <= F.col("r")) & (F.col("t") <= F.col("o_b")) & (F.col("o_t") <= F.col("b"))
     )
-    return a.join(b, ["image_id", "tx", "ty"]).where(touch & ~same)
+    names = [c for c in boxes.columns if c != "image_id"]
+    found = home.join(asked, ["image_id", "level", "tx", "ty"]).where(touch & ~same)
+    # A box of a smaller level is only looked up among the larger ones, so such a pair is turned round as well.
+    ways = F.array(F.lit(False), F.when(F.col("o_level") < F.col("level"), True))
+    turned = found.select("*", F.explode(F.filter(ways, lambda x: x.isNotNull())).alias("turn"))
+    either = lambda c, d: F.when(F.col("turn"), F.col(c)).otherwise(F.col(d))
+    return turned.select("image_id", *[either(f"o_{c}", c).alias(c) for c in names], *[either(c, f"o_{c}").alias(f"o_{c}") for c in names])
 
 
 def area(prefix: str = "") -> Column:
@@ -69,60 +98,117 @@ def overlaps(boxes: DataFrame) -> DataFrame:
 def dedupe_boxes(boxes: DataFrame, order: list[str]) -> DataFrame:
     """Greedy removal in ``order``: a text goes if its exact box was kept or it crosses a kept one of similar area.
 
-    Equal boxes are merged first. What is left is decided in rounds on the conflict pairs: a box all of whose earlier
-    rivals are dropped stays, a box with a kept earlier rival is dropped. Every round decides at least the earliest
-    undecided box of each cluster of rivals; the pairs shrink each round and are written between rounds.
+    Equal boxes are merged first. Each box then waits on literals "that earlier rival is kept" (``kept`` true) or "is
+    dropped" (false): it stays if none of them holds. A round replaces every rival that is decided by its decision, and
+    every rival that itself waits on a single literal by the box this one is about, so a chain of rivals halves each
+    round. Boxes without an earlier rival are decided from the start; each round decides at least the earliest undecided
+    box of every cluster. Decisions are appended to one table, so no plan grows with the rounds.
     """
+    spark, key = boxes.sparkSession, ["image_id", "ann_id"]
     at = F.struct(*order, "ann_id")
     single = boxes.groupBy("image_id", *BOX).agg(F.min(at).alias("at")).withColumn("ann_id", F.col("at.ann_id"))
     single = materialise(single, "dedupe-boxes")
     rivals = (
         near_pairs(single)
         .where(crossing_pair() & similar_area(area(), area("o_")) & (F.col("o_at") < F.col("at")))
-        .select("image_id", "ann_id", F.col("o_ann_id").alias("earlier"))
+        .select(*key, F.col("o_ann_id").alias("on"), F.lit(True).alias("kept"))
         .distinct()
     )
-    open_pairs = materialise(rivals, "dedupe-pairs")
-    dropped = None
-    while not open_pairs.isEmpty():
-        undecided = open_pairs.select("image_id", "ann_id").distinct()
-        # An earlier rival without open pairs of its own is kept, so it drops all its later rivals.
-        kept = (
-            open_pairs.select("image_id", F.col("earlier").alias("ann_id"))
-            .distinct()
-            .join(undecided, ["image_id", "ann_id"], "left_anti")
+    waiting = materialise(rivals, "dedupe-waiting")
+    first = waiting.select("image_id", F.col("on").alias("ann_id")).distinct().join(waiting, key, "left_anti")
+    path = work_path(spark, "dedupe-decided")
+    decided = first.withColumn("stays", F.lit(True))
+    decided.write.parquet(path)
+    fresh = spark.read.schema(decided.schema).parquet(path)
+    while not waiting.isEmpty():
+        told = fresh.select("image_id", F.col("ann_id").alias("on"), "stays")
+        seen = waiting.join(told, ["image_id", "on"], "left").select(*key, "on", "kept", (F.col("stays") == F.col("kept")).alias("holds"))
+        open_ = F.col("holds").isNull()
+        alone = seen.where("holds IS NULL OR holds").groupBy(*key).agg(F.count(F.lit(1)).alias("n"), F.bool_or("holds").alias("lost"), F.first("on").alias("to"), F.first("kept").alias("to_kept"))
+        alone = alone.where("n = 1 AND lost IS NULL").select("image_id", F.col("ann_id").alias("on"), "to", "to_kept")
+        # A box that waits on one literal stays just if that does not hold, so the sign turns with a true one.
+        turns = open_ & F.col("to").isNotNull()
+        after = seen.join(alone, ["image_id", "on"], "left").select(
+            *key, F.when(turns, F.col("to")).otherwise(F.col("on")).alias("on"), F.when(turns, F.col("kept") != F.col("to_kept")).otherwise(F.col("kept")).alias("kept"), "holds"
+        ).distinct()
+        after = materialise(after, "dedupe-step")
+        per_rival = after.groupBy(*key, "on").agg(
+            F.bool_or("holds").alias("holds"), F.bool_or(open_ & F.col("kept")).alias("plus"), F.bool_or(open_ & ~F.col("kept")).alias("minus")
+        )
+        # Both signs of one rival: one of them holds.
+        per_box = per_rival.groupBy(*key).agg(
+            F.bool_or(F.coalesce("holds", F.lit(False)) | (F.col("plus") & F.col("minus"))).alias("lost"), F.bool_or(F.col("plus") | F.col("minus")).alias("open")
         )
-        lost = open_pairs.join(kept.withColumnRenamed("ann_id", "earlier"), ["image_id", "earlier"], "left_semi")
-        lost = materialise(lost.select("image_id", "ann_id").distinct(), "dedupe-lost")
-        dropped = lost if dropped is None else dropped.unionByName(lost)
-        left = open_pairs.join(lost, ["image_id", "ann_id"], "left_anti")
-        left = left.join(lost.withColumnRenamed("ann_id", "earlier"), ["image_id", "earlier"], "left_anti")
-        open_pairs = materialise(left, "dedupe-pairs")
-    out = single.select("image_id", "ann_id", *BOX)
-    return out if dropped is None else out.join(dropped, ["image_id", "ann_id"], "left_anti")
+        fresh = materialise(per_box.where("lost OR NOT open").select(*key, (~F.col("lost")).alias("stays")), "dedupe-fresh")
+        fresh.write.mode("append").parquet(path)
+        waiting = materialise(after.where(open_).drop("holds").join(fresh, key, "left_anti"), "dedupe-waiting")
+    lost = spark.read.schema(decided.schema).parquet(path).where("NOT stays")
+    return single.select("image_id", "ann_id", *BOX).join(lost, key, "left_anti")
+
+
+#: Left edges of a picture that one row sweeps from.
+EDGES = 64
+
+
+def sweep(edges: list, boxes: list[tuple], union: tuple) -> tuple | None:
+    """Largest (area, l, r, t, b) free of ``boxes`` (l, t, r, b; sorted) whose left edge is one of ``edges``.
+
+    From each left edge the boxes are met from left to right. The stretches of height that no box has closed yet stay
+    open, sorted and apart from each other; a box ends those it reaches into and leaves what is above and below it.
+    """
+    left, top, right, bottom = union
+    best = None
+    for edge in edges:
+        if best is not None and (right - edge) * (bottom - top) < best[0]:
+            continue
+        tops, bottoms = [top], [bottom]
+        for l, t, r, b in boxes:
+            if r <= edge:
+                continue
+            first, stop = bisect.bisect_right(bottoms, t), bisect.bisect_left(tops, b)
+            if first >= stop:
+                continue
+            for k in range(first, stop if l > edge else first):
+                found = ((l - edge) * (bottoms[k] - tops[k]), edge, l, tops[k], bottoms[k])
+                best = found if best is None or found > best else best
+            above = [(tops[first], t)] if t > tops[first] else []
+            below = [(b, bottoms[stop - 1])] if b < bottoms[stop - 1] else []
+            tops[first:stop], bottoms[first:stop] = [x for x, _ in above + below], [x for _, x in above + below]
+            if not tops:
+                break
+        for x, y in zip(tops, bottoms, strict=True):
+            found = ((right - edge) * (y - x), edge, right, x, y)
+            if right > edge and y > x and (best is None or found > best):
+                best = found
+    return best
 
 
 def largest_gap(boxes: DataFrame) -> DataFrame:
     """Largest rectangle inside the union box that crosses no box; of equal ones the last by left, right, top, bottom.
 
-    A largest rectangle reaches on the left to a box's right edge or the union's, and likewise on the right. Each such
-    vertical strip is its own key, so a page is spread over its strips; inside a strip the free spans are the gaps
-    between the boxes that reach into it.
+    A largest rectangle reaches on the left to a box's right edge or the union's. Each left edge is swept once over the
+    boxes of its picture, so the work is about the square of a picture's distinct boxes; the edges of a large picture are
+    dealt out in runs of ``EDGES``. A picture's boxes are one array.
     """
-    single = boxes.select("image_id", *BOX).distinct()
-    union = single.groupBy("image_id").agg(
-        F.min("l").alias("ul"), F.min("t").alias("ut"), F.max("r").alias("ur"), F.max("b").alias("ub")
-    )
-    lefts = single.select("image_id", F.col("r").alias("sl")).unionByName(union.select("image_id", F.col("ul").alias("sl"))).distinct()
-    rights = single.select("image_id", F.col("l").alias("sr")).unionByName(union.select("image_id", F.col("ur").alias("sr"))).distinct()
-    strips = lefts.join(rights, "image_id").where(F.col("sl") < F.col("sr"))
-    blocks = strips.join(single, "image_id").where((F.col("l") < F.col("sr")) & (F.col("r") > F.col("sl")))
-    blocks = blocks.select("image_id", "sl", "sr", "t", "b")
-    floor = strips.join(union, "image_id").select("image_id", "sl", "sr", F.col("ub").alias("t"), F.col("ub").alias("b"))
-    w = Window.partitionBy("image_id", "sl", "sr").orderBy("t", "b").rowsBetween(Window.unboundedPreceding, -1)
-    spans = blocks.unionByName(floor).withColumn("above", F.max("b").over(w)).join(union, "image_id")
-    top = F.coalesce("above", "ut")
-    free = spans.withColumn("gt", top).where(F.col("t") > F.col("gt"))
-    size = (F.col("sr") - F.col("sl")) * (F.col("t") - F.col("gt"))
-    best = F.max(F.struct(size.alias("area"), F.col("sl").alias("l"), F.col("sr").alias("r"), F.col("gt").alias("t"), F.col("t").alias("b")))
-    return free.groupBy("image_id").agg(best.alias("s")).select("image_id", "s.*")
+    box = F.array_sort(F.collect_set(F.struct(*BOX)))
+    union = F.struct(F.min("l").alias("l"), F.min("t").alias("t"), F.max("r").alias("r"), F.max("b").alias("b"))
+    pictures = boxes.groupBy("image_id").agg(box.alias("boxes"), union.alias("u"))
+    lefts = F.array_sort(F.array_union(F.transform("boxes", lambda x: x["r"]), F.array(F.col("u.l"))))
+    runs = F.transform(F.sequence(F.lit(1), F.size("lefts"), F.lit(EDGES)), lambda i: F.slice("lefts", i, F.lit(EDGES)))
+    dealt = pictures.withColumn("lefts", lefts).select("image_id", "boxes", "u", F.posexplode(runs).alias("run", "edges"))
+    kind = boxes.schema["l"].dataType.simpleString()
+    fields = ", ".join(f"{c} {kind}" for c in ("area", "l", "r", "t", "b"))
+
+    def task(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = [[batch.column(c)[i].as_py() for c in ("image_id", "edges", "boxes", "u")] for i in range(len(batch))]
+            found = [(r[0], sweep(r[1], [tuple(x[c] for c in BOX) for x in r[2]], tuple(r[3][c] for c in BOX))) for r in rows]
+            found = [{"image_id": i, **dict(zip(("area", "l", "r", "t", "b"), x, strict=True))} for i, x in found if x]
+            yield pa.RecordBatch.from_pylist(found, schema=schema)
+
+    ident = boxes.schema["image_id"].dataType
+    out_fields = f"image_id {ident.simpleString()}, {fields}"
+    schema = to_arrow_schema(boxes.select("image_id", *[F.lit(None).cast(kind).alias(c) for c in ("area", "l", "r", "t", "b")]).schema)
+    spread = dealt.repartition("image_id", "run").select("image_id", "edges", "boxes", "u")
+    best = F.max(F.struct("area", "l", "r", "t", "b"))
+    return spread.mapInArrow(task, out_fields).groupBy("image_id").agg(best.alias("s")).select("image_id", "s.*")

@@ -177,10 +177,52 @@ def test_dedupe_is_greedy(spark):
     assert got == want
 
 
-def test_largest_gap_brute_force(spark):
+def test_dedupe_chain_ends_in_few_rounds(spark, monkeypatch):
+    """Each box crosses the one before it: every second one stays, found in rounds that grow like the logarithm."""
+    rows = [(0, f"{i:04d}", 0, 10 * i, 20, 10 * i + 14, "x") for i in range(600)] + [(1, "a", 0, 0, 5, 5, "x")]
+    rounds, real = [], overlap.materialise
+    monkeypatch.setattr(overlap, "materialise", lambda df, name: rounds.append(name) or real(df, name))
+    got = {(r["image_id"], r["ann_id"]) for r in overlap.dedupe_boxes(boxes_frame(spark, rows).drop("content"), ["t", "l"]).collect()}
+    assert got == {(0, f"{i:04d}") for i in range(0, 600, 2)} | {(1, "a")}
+    assert rounds.count("dedupe-step") <= 13
+
+
+def test_overlaps_of_boxes_of_all_sizes(spark):
+    """Page-wide boxes beside small ones, touching and nested ones, lines and points."""
+    r = random.Random(11)
+    rows = []
+    for i in range(150):
+        w, h = (r.choice([0, 1, 3, 16, 64, 700, 100_000]) for _ in range(2))
+        l, t = r.randrange(-50, 900), r.randrange(900)
+        rows.append((i % 2, f"a{i}", l, t, l + w, t + h, "x"))
+    rows.append((0, "twin", *rows[0][2:6], "x"))
+    got = {(x["image_id"], x["l"], x["t"], x["r"], x["b"]): (x["any"], x["similar"], x["nested"]) for x in overlap.overlaps(boxes_frame(spark, rows)).collect()}
+    for image in range(2):
+        boxes = [x[2:6] for x in rows if x[0] == image]
+        for box in set(boxes):
+            others = [o for o in set(boxes) if o != box]
+            hits = [o for o in others if crosses(box, o)]
+            area = lambda q: (q[2] - q[0]) * (q[3] - q[1])
+            like = [o for o in hits if abs(area(o) - area(box)) <= 0.1 * max(area(o), area(box))]
+            holds = lambda a, b: a[0] <= b[0] and a[2] >= b[2] and a[1] <= b[1] and a[3] >= b[3]
+            within = [o for o in others if o in hits or holds(o, box) or holds(box, o)]
+            twin = boxes.count(box) > 1
+            assert got[(image, *box)] == (twin or bool(hits), twin or bool(like), twin or bool(within))
+
+
+def test_page_wide_box_is_a_few_rows(spark):
+    rows = [(0, "wide", 0, 0, 100_000, 100_000, "x")] + [(0, f"s{i}", 7 * i, 7 * i, 7 * i + 5, 7 * i + 5, "x") for i in range(50)]
+    frame = boxes_frame(spark, rows).withColumn("level", overlap.level_of())
+    assert overlap.cells(frame, "level").groupBy("ann_id").count().agg(F.max("count")).first()[0] <= 4
+
+
+@pytest.mark.parametrize("edges", [64, 3])
+def test_largest_gap_brute_force(spark, monkeypatch, edges):
+    monkeypatch.setattr(overlap, "EDGES", edges)
     rows = [x for s in range(6) for x in random_boxes(s, 7, 40)]
+    rows += [(6, "line", 0, 5, 30, 5, "x"), (6, "post", 9, 0, 9, 40, "x"), (6, "dot", 20, 20, 20, 20, "x"), (7, "one", 1, 1, 9, 9, "x")]
     got = {r["image_id"]: (r["l"], r["t"], r["r"], r["b"]) for r in overlap.largest_gap(boxes_frame(spark, rows)).collect()}
-    for image in range(6):
+    for image in range(8):
         rects = [x[2:6] for x in rows if x[0] == image]
         xs = sorted({v for q in rects for v in (q[0], q[2])})
         ys = sorted({v for q in rects for v in (q[1], q[3])})
