@@ -188,8 +188,10 @@ def read_hierarchy(t: Tables) -> DataFrame:
 def synth_source(t: Tables) -> DataFrame:
     from docsynth.sources import dataset
 
-    langs = F.explode_outer(F.array(*[F.lit(x) for x in ("en", "fr", "km")])).alias("lang")
-    samples = t.documents.select(C("doc_id").alias("index"), langs)
+    # Ranges of the table's ids and all languages are offered; the filter goes down into the source.
+    span = t.documents.agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).first()
+    offered = dataset.samples(t.spark, span.first or 0, -1 if span.last is None else span.last, ["de", "en", "fr", "km", "zh"])
+    samples = offered.where(C("lang").isin("en", "fr", "km")).join(t.documents.select(C("doc_id").alias("index")), "index")
     name = dataset.sample_name(F.lit("doc"), C("lang"), C("index"), F.lit(0))
     return samples.select("index", "lang", name.alias("name"), draw(C("index"), 50).alias("seed"))
 
@@ -266,6 +268,30 @@ def quad_warp_points(t: Tables) -> DataFrame:
     return spread(quads(t).select("ann_id", warped.alias("q")), C("q"), "ann_id")
 
 
+# A mock-up for each nation: where the corners of a page lie in it.
+SCENES = {"x0": (50, 3), "y0": (40, 1), "x1": (400, 2), "y1": (60, 5), "x2": (430, 1), "y2": (700, 4), "x3": (20, 2), "y3": (720, 3)}
+SCENE_SQL = f"""(SELECT n_nationkey AS scene, {", ".join(f"CAST({a} + {b} * n_nationkey AS DOUBLE) AS {c}" for c, (a, b) in SCENES.items())} FROM nation)"""
+WARPS_SQL = f"""(SELECT scene, x0, y0, (x1 - x0 + g * x1) / 420 AS ma, (x3 - x0 + h * x3) / 760 AS mb, (y1 - y0 + g * y1) / 420 AS md,
+    (y3 - y0 + h * y3) / 760 AS me, g / 420 AS mg, h / 760 AS mh FROM (SELECT *,
+      ((x0 - x1 + x2 - x3) * (y3 - y2) - (x3 - x2) * (y0 - y1 + y2 - y3)) / ((x1 - x2) * (y3 - y2) - (x3 - x2) * (y1 - y2)) AS g,
+      ((x1 - x2) * (y0 - y1 + y2 - y3) - (x0 - x1 + x2 - x3) * (y1 - y2)) / ((x1 - x2) * (y3 - y2) - (x3 - x2) * (y1 - y2)) AS h FROM {SCENE_SQL}))"""
+
+
+@query(
+    "SELECT ann_id, "
+    + spread_sql(lambda x, y: f"(ma * {x} + mb * {y} + x0) / (mg * {x} + mh * {y} + 1)", lambda x, y: f"(md * {x} + me * {y} + y0) / (mg * {x} + mh * {y} + 1)")
+    + f" FROM (SELECT w.*, ann_id, l - 3 AS l, t - 3 AS t, r + 3 AS r, b + 3 AS b FROM boxes JOIN {WARPS_SQL} w ON image_id % 25 = scene)"
+)
+def scene_warp_points(t: Tables) -> DataFrame:
+    """Every page in its own mock-up."""
+    scenes = t.nation.select(C("n_nationkey").alias("scene"), *[(a + b * C("n_nationkey")).cast("double").alias(c) for c, (a, b) in SCENES.items()])
+    warp = g.rectangle_to_quad(F.lit(420.0), F.lit(760.0), [(C(f"x{i}"), C(f"y{i}")) for i in range(4)])
+    scenes = scenes.select("scene", *[m.alias(f"m{i}") for i, m in enumerate(warp)])
+    placed = quads(t).join(scenes, C("image_id") % 25 == C("scene"))
+    warped = g.warp_points(g.inflate_quad(C("quad"), F.lit(3.0)), [C(f"m{i}") for i in range(8)])
+    return spread(placed.select("ann_id", warped.alias("q")), C("q"), "ann_id")
+
+
 @query(f"SELECT ann_id, {spread_sql(lambda x, y: x, lambda x, y: y, False)} FROM boxes")
 def order_clockwise(t: Tables) -> DataFrame:
     mixed = F.array(C("quad")[2], C("quad")[0], C("quad")[3], C("quad")[1])

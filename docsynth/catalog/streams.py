@@ -6,7 +6,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from docsynth.catalog.base import Tables, draw_sql, query
+from docsynth.rng import draw
 from docsynth.session import work_path
+from docsynth.sources.dataset import sample_name
 from docsynth.streaming import jobs
 
 
@@ -31,3 +33,17 @@ def resumable_ingest(t: Tables) -> DataFrame:
     for _ in range(2):  # the second run resumes from the checkpoint and finds nothing new
         jobs.append_available(names, out, checkpoint)
     return t.spark.read.schema(names.schema).parquet(out)
+
+
+@query(f"""SELECT doc_id AS "index", printf('%s_%s_%08d_%d', source, lang, doc_id, 0) AS name, {draw_sql('doc_id', 50)} AS seed, n_chars FROM documents""")
+def samples_on_demand(t: Tables) -> DataFrame:
+    """Batches of an endless stream of indexes, each joined with the documents as it comes; two batches reach them all."""
+    last = t.documents.agg(F.max("doc_id")).first()[0] or 0
+    indexes = jobs.sample_stream(t.spark, last // 2 + 1)
+    docs = t.documents.select(F.col("doc_id").alias("index"), "source", "lang", "n_chars")
+    name = sample_name(F.col("source"), F.col("lang"), F.col("index"), F.lit(0))
+    samples = indexes.join(docs, "index").select("index", name.alias("name"), draw(F.col("index"), 50).alias("seed"), "n_chars")
+    out, checkpoint = work_path(t.spark, "on-demand"), work_path(t.spark, "on-demand-checkpoint")
+    for _ in range(2):
+        jobs.keep_batches(samples, out, checkpoint)
+    return t.spark.read.schema(samples.schema).parquet(out).select(*samples.columns)

@@ -108,6 +108,57 @@ def edit_text_table(t: Tables) -> DataFrame:
     return kept.withColumn("line", merged)
 
 
+def body_sql(b: str, c: str) -> str:
+    return f"'║' || rpad(a, CAST(wa AS INTEGER), ' ') || '║' || {b} || '║' || {c} || '║'"
+
+
+PADDED_B, PADDED_C = "rpad(b, CAST(wb AS INTEGER), ' ')", "rpad(c, CAST(wc AS INTEGER), ' ')"
+
+
+def aligned_sql(side: str) -> str:
+    """The second cell drawn anew from its value: a rule of its own, not an edit of the line."""
+    half = "(wb - length(b)) // 2"
+    left = {"l": "1", "r": "wb - length(b) - 1", "c": half}[side]
+    return f"CASE WHEN length(b) < wb THEN rpad(repeat(' ', CAST({left} AS INTEGER)) || b, CAST(wb AS INTEGER), ' ') ELSE b END"
+
+
+@query(
+    "SELECT d.table_id, d.line_no, side, CASE WHEN d.line_no % 2 = 1 THEN d.line "
+    + " ".join(f"WHEN side = '{x}' THEN {body_sql(aligned_sql(x), PADDED_C)}" for x in "lrc")
+    + f""" END AS line FROM {DRAWN} d JOIN {WIDTHS} w ON d.table_id = w.table_id
+    LEFT JOIN {ROWS} r ON r.table_id = d.table_id AND r.row_no * 2 = d.line_no, (VALUES ('l'), ('r'), ('c')) AS v(side)"""
+)
+def align_column(t: Tables) -> DataFrame:
+    line = C("line")
+    sides = F.explode(F.array(*[F.struct(F.lit(x).alias("side"), tables.align_column(line, 1, x).alias("line")) for x in "lrc"]))
+    return drawn(t).select("table_id", "line_no", sides.alias("s")).select("table_id", "line_no", "s.*")
+
+
+@query(
+    f"""SELECT d.table_id, d.line_no, side, CASE WHEN d.line_no % 2 = 0 THEN {body_sql(PADDED_B, "repeat(' ', b4) || " + PADDED_C + " || repeat(' ', 5 - b4)")}
+    ELSE left(d.line, length(d.line) - 1) || '═════' || right(d.line, 1) END AS line FROM {DRAWN} d JOIN {WIDTHS} w ON d.table_id = w.table_id
+    LEFT JOIN {ROWS} r ON r.table_id = d.table_id AND r.row_no * 2 = d.line_no, (VALUES ('l', 0), ('r', 5), ('m', 2)) AS v(side, b4)"""
+)
+def widen_table(t: Tables) -> DataFrame:
+    line = C("line")
+    sides = F.explode(F.array(*[F.struct(F.lit(x).alias("side"), tables.widen(line, 5, x).alias("line")) for x in "lrm"]))
+    return drawn(t).select("table_id", "line_no", sides.alias("s")).select("table_id", "line_no", "s.*")
+
+
+BLANK = "'║' || repeat(' ', wa) || '║' || repeat(' ', wb) || '║' || repeat(' ', wc) || '║'"
+
+
+@query(
+    f"""SELECT table_id, 't' AS side, line_no + CASE WHEN line LIKE '╚%' THEN 2 ELSE 0 END AS line_no, line FROM {DRAWN} UNION ALL
+    SELECT table_id, 't', n * 2 + 1 + i, {BLANK} FROM {WIDTHS}, (VALUES (0), (1)) AS v(i) UNION ALL
+    SELECT table_id, 'b', line_no + CASE WHEN line LIKE '╔%' THEN 0 ELSE 2 END, line FROM {DRAWN} UNION ALL
+    SELECT table_id, 'b', 2 + i, {BLANK} FROM {WIDTHS}, (VALUES (0), (1)) AS v(i)"""
+)
+def heighten_table(t: Tables) -> DataFrame:
+    rows = [tables.heighten(drawn(t), 2, x).select("table_id", F.lit(x).alias("side"), "line_no", "line") for x in "tb"]
+    return rows[0].unionByName(rows[1])
+
+
 HEIGHT = "1 + c_custkey % 3"
 
 
@@ -265,6 +316,17 @@ def key_value_rows(t: Tables) -> DataFrame:
     return tables.key_value_rows(t.customer, ["c_custkey"], F.map_entries(record), 2)
 
 
+@query(
+    """SELECT c_custkey, CAST(0 AS BIGINT) AS line_no, 'name|segment|nation' AS line FROM customer UNION ALL
+    SELECT c_custkey, 1, c_name || '|' || c_mktsegment || '|' || c_nationkey FROM customer"""
+)
+def header_and_values(t: Tables) -> DataFrame:
+    record = F.create_map(
+        F.lit("name"), C("c_name"), F.lit("segment"), C("c_mktsegment"), F.lit("nation"), C("c_nationkey").cast("string")
+    )
+    return tables.header_and_values(t.customer, ["c_custkey"], F.map_entries(record))
+
+
 @query(
     """SELECT o_orderkey, CAST(i AS BIGINT) AS part, CASE i WHEN 0 THEN o_orderstatus || '|' || o_orderpriority || '|' || o_custkey ELSE
     strftime(o_orderdate, '%Y-%m-%d') || '| | ' END AS line FROM orders, (VALUES (0), (1)) AS v(i)"""
@@ -294,16 +356,24 @@ def alias_columns(t: Tables) -> DataFrame:
     return t.customer.select("c_custkey", *heads)
 
 
-@query('SELECT event_id, event_id AS "序号", CAST(1 AS BIGINT) AS "应用号", \'不转存\' AS "存期" FROM events')
+# What stands in the optional columns of a ledger row, in turn.
+LEDGER_VALUES = ["event_id", "user_id", "event_type", "props"]
+
+
+@query(
+    "SELECT event_id, k, array_to_string(list_filter(["
+    + ", ".join(f"CASE WHEN {i} < {len(OPTIONAL)} - k THEN '{c}=' || {LEDGER_VALUES[i % 4]} END" for i, c in enumerate(OPTIONAL))
+    + f""", '类型=' || event_type], lambda x: x IS NOT NULL), '|') AS record, CASE WHEN k < 14 THEN event_id END AS "应用号",
+    CASE WHEN k < 1 THEN user_id END AS "币种" FROM (SELECT *, {integer_sql('event_id', 68, 0, len(OPTIONAL))} AS k FROM events)"""
+)
 def drop_optional_columns(t: Tables) -> DataFrame:
-    wide = t.events.select(
-        "event_id",
-        F.lit(1).alias("应用号"),
-        C("event_id").alias("序号"),
-        F.lit("不转存").alias("存期"),
-        *[F.lit(0).alias(c) for c in OPTIONAL[3:]],
-    )
-    return records.drop_optional_columns(wide, 11)
+    """Each row is a record of its own set of columns; columns are read back by name."""
+    pairs = [x for i, c in enumerate(OPTIONAL) for x in (F.lit(c), C(LEDGER_VALUES[i % 4]).cast("string"))]
+    k = integer(C("event_id"), 68, 0, len(OPTIONAL))
+    record = records.drop_optional_columns(F.create_map(*pairs, F.lit("类型"), C("event_type")), k.cast("int"))
+    wide = t.events.select("event_id", k.alias("k"), record.alias("r"))
+    line = F.array_join(F.transform(F.map_entries("r"), lambda e: F.concat_ws("=", e["key"], e["value"])), "|")
+    return wide.select("event_id", "k", line.alias("record"), *[F.try_element_at("r", F.lit(c)).cast("bigint").alias(c) for c in ("应用号", "币种")])
 
 
 @query("SELECT p_partkey, p_name FROM part WHERE p_type = 'PROMO'")
@@ -314,23 +384,17 @@ def product_filter(t: Tables) -> DataFrame:
 @query(
     f"""WITH c AS (SELECT r_regionkey AS id, count(DISTINCT n_nationkey) + count(*) AS r, 3 + r_regionkey AS c FROM hierarchy h
       JOIN region ON r_regionkey = statement_no JOIN nation ON n_nationkey = section_no GROUP BY r_regionkey)
-    SELECT CAST(id AS BIGINT) AS id, r, CAST(c AS BIGINT) AS c, {uniform_sql('id', 64)} < 0.5 AND r > 30 AS hstack,
-      {uniform_sql('id', 65)} < 0.5 AND r > 15 AS vstack, r >= 30 AND c > 3 AND c < 6 AS paginate,
-      {uniform_sql('id', 66)} < 0.5 AND c >= 3 AS complex FROM c"""
+    SELECT CAST(id AS BIGINT) AS id, r, CAST(c AS BIGINT) AS c, zh, CASE WHEN zh THEN {uniform_sql('id', 64)} < 0.5 AND r > 30
+      ELSE {uniform_sql('id', 64)} < 0.5 END AS hstack, zh AND {uniform_sql('id', 65)} < 0.5 AND r > 15 AS vstack,
+      r >= 30 AND c > 3 AND c < 6 AS paginate, true AS truncate,
+      {uniform_sql('id', 66)} < CASE WHEN zh THEN 0.5 ELSE 0.9 END AND c >= 3 AS complex FROM c,
+      (VALUES (true), (false)) AS v(zh)"""
 )
 def layout_dispatch(t: Tables) -> DataFrame:
     per = hierarchy(t).groupBy("statement_no", "section_no").agg((F.count(F.lit(1)) + 1).alias("k"))
     sizes = per.groupBy(C("statement_no").alias("id")).agg(F.sum("k").alias("r")).withColumn("c", 3 + C("id"))
-    r, c = C("r"), C("c")
-    return sizes.select(
-        "id",
-        "r",
-        "c",
-        ((uniform(C("id"), 64) < 0.5) & (r > 30)).alias("hstack"),
-        ((uniform(C("id"), 65) < 0.5) & (r > 15)).alias("vstack"),
-        ((r >= 30) & (c > 3) & (c < 6)).alias("paginate"),
-        ((uniform(C("id"), 66) < 0.5) & (c >= 3)).alias("complex"),
-    )
+    both = sizes.withColumn("zh", F.explode(F.array(F.lit(True), F.lit(False))))
+    return both.select("id", "r", "c", "zh", *[v.alias(k) for k, v in records.layout(C("r"), C("c"), C("zh"), C("id"), 64).items()])
 
 
 @query(
@@ -342,12 +406,12 @@ def inject_missing(t: Tables) -> DataFrame:
     return t.customer.select("c_custkey", records.inject_missing(C("c_name"), C("c_custkey"), 67, 0.1, 0.2, 0.3).alias("cell"))
 
 
-HEADS = ["合计", "一、", "项目", ""]
+HEADS = ["合计", "一、", "项目一", ""]
 
 
 @query(
-    f"""SELECT s_suppkey, regexp_matches(i, '{BOLD}') AS bold, regexp_matches(i, '{SHADED}') AS shaded FROM (SELECT s_suppkey,
-    (['合计', '一、', '项目', ''])[s_suppkey % 4 + 1] || s_name AS i FROM supplier)"""
+    f"""SELECT s_suppkey, regexp_matches(i, '{BOLD}') AS bold, contains('一二三四五六七八九十', left(i, 1)) AND i <> '' AS shaded FROM (SELECT s_suppkey,
+    (['合计', '一、', '项目一', ''])[s_suppkey % 4 + 1] || s_name AS i FROM supplier)"""
 )
 def pattern_tags(t: Tables) -> DataFrame:
     head = F.element_at(F.array(*[F.lit(h) for h in HEADS]), (C("s_suppkey") % 4 + 1).cast("int"))

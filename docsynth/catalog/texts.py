@@ -117,6 +117,52 @@ def justify_lines(t: Tables) -> DataFrame:
     return pieces.select("doc_id", "line_no", (F.col("i") + 1).alias("piece_no"), justified.alias("line"))
 
 
+# A fold over the words in one string: finished lines end in a line feed, the open line stands last.
+TAIL = "string_split(a, chr(10))[-1]"
+REST = f"substr(w, greatest(22 - length({TAIL}), 0) + 1)"
+MORE = f"greatest((length({REST}) - 3) // 22, 0)"
+SPLIT = r"string_split_regex(trim(regexp_replace(line, '[\x09-\x0D ]+', ' ', 'g')), ' ')"
+
+
+@query(
+    f"""WITH f AS (SELECT doc_id, line_no, list_reduce(list_prepend('', {SPLIT}), lambda a, w:
+      CASE WHEN w = '' THEN a WHEN length({TAIL}) + length(w) < 24 THEN a || w || ' ' WHEN length({TAIL}) + length(w) = 24 THEN a || w || chr(10)
+      ELSE a || CASE WHEN length({TAIL}) < 22 THEN left(w, 22 - length({TAIL})) || '-' ELSE '' END || chr(10) ||
+        array_to_string(list_transform(range({MORE}), lambda i: substr({REST}, i * 22 + 1, 22) || '-' || chr(10)), '') ||
+        substr({REST}, {MORE} * 22 + 1) || CASE WHEN length({REST}) - {MORE} * 22 = 24 THEN chr(10) ELSE ' ' END END) AS text
+      FROM lines),
+    l AS (SELECT doc_id, line_no, list_filter(string_split(text, chr(10)), lambda x: x <> '') AS ls FROM f)
+    SELECT doc_id, line_no, unnest(list_transform(ls, lambda x: rtrim(x))) AS piece, generate_subscripts(ls, 1) AS piece_no FROM l"""
+)
+def wrap_hyphens(t: Tables) -> DataFrame:
+    pieces = F.posexplode_outer(text.wrap_hyphens(F.col("line"), 24)).alias("i", "piece")
+    found = lines(t).select("doc_id", "line_no", pieces).where(F.col("i").isNotNull())
+    return found.select("doc_id", "line_no", (F.col("i") + 1).alias("piece_no"), "piece")
+
+
+@query(
+    f"""WITH f AS (SELECT doc_id, line_no, list_reduce(list_prepend('', list_filter({SPLIT}, lambda x: x <> '')), lambda a, w: CASE
+      WHEN (length({TAIL}) + length(w)) * 8 <= 600 OR {TAIL} = '' THEN a || w || ' '
+      WHEN 10 * ((length({TAIL}) + length(w)) * 8 - 600) <= (length({TAIL}) - length(replace({TAIL}, ' ', ''))) * 8
+        THEN a || w || chr(1) || (600 - (length({TAIL}) + length(w)) * 8) || chr(10)
+      ELSE rtrim(a) || chr(1) || (608 - length({TAIL}) * 8) || chr(10) || w || ' ' END) AS text FROM lines),
+    l AS (SELECT doc_id, line_no, unnest(ls) AS piece, generate_subscripts(ls, 1) AS piece_no FROM
+      (SELECT doc_id, line_no, list_filter(string_split(text, chr(10)), lambda x: x <> '') AS ls FROM f)),
+    w AS (SELECT doc_id, line_no, piece_no, string_split(rtrim(string_split(piece, chr(1))[1]), ' ') AS ws,
+      coalesce(TRY_CAST(string_split(piece, chr(1))[2] AS BIGINT), 0) AS extra FROM l),
+    u AS (SELECT doc_id, line_no, piece_no, extra, len(ws) - 1 AS gaps, unnest(ws) AS word, generate_subscripts(ws, 1) AS i FROM w),
+    s AS (SELECT *, coalesce(sum(length(word)) OVER (PARTITION BY doc_id, line_no, piece_no ORDER BY i
+      ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM u)
+    SELECT doc_id, line_no, piece_no, i AS word_no, word, CAST(before * 8 + (i - 1) * 8 + CASE WHEN gaps > 0 THEN
+      sign(extra) * ((i - 1) * (abs(extra) // gaps) + least(i - 1, abs(extra) % gaps)) ELSE 0 END AS BIGINT) AS x FROM s"""
+)
+def justify_squeezed(t: Tables) -> DataFrame:
+    placed = F.posexplode_outer(text.justify_squeezed(F.col("line"), 600, 8)).alias("i", "ws")
+    found = lines(t).select("doc_id", "line_no", placed).where(F.col("i").isNotNull())
+    found = found.select("doc_id", "line_no", (F.col("i") + 1).alias("piece_no"), F.posexplode_outer("ws").alias("j", "w"))
+    return found.select("doc_id", "line_no", "piece_no", (F.col("j") + 1).alias("word_no"), "w.word", "w.x")
+
+
 @query(
     f"""SELECT o_orderkey, translate(d, '345678', ('345678345678')[k + 1 : k + 6]) AS like_date FROM (
     SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%d') AS d, CAST({draw_sql('o_orderkey', 10)} % 6 AS INTEGER) AS k FROM orders)"""

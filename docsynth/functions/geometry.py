@@ -186,6 +186,22 @@ def warp_points(q: Column, m: list[Column]) -> Column:
     )
 
 
+def rectangle_to_quad(width: Column, height: Column, corners: list[tuple[Column, Column]]) -> list[Column]:
+    """The eight numbers of the warp that takes the corners of a page (clockwise from the origin) to four points.
+
+    In closed form from the unit square, so every row can have its own scene; a quad of three points in line has none.
+    """
+    (x0, y0), (x1, y1), (x2, y2), (x3, y3) = corners
+    ax, ay, bx, by = x1 - x2, y1 - y2, x3 - x2, y3 - y2
+    sx, sy = x0 - x1 + x2 - x3, y0 - y1 + y2 - y3
+    turn = F.nullif(ax * by - bx * ay, F.lit(0.0))
+    g, h = (sx * by - bx * sy) / turn, (ax * sy - sx * ay) / turn
+    across = [x1 - x0 + g * x1, y1 - y0 + g * y1, g]
+    down = [x3 - x0 + h * x3, y3 - y0 + h * y3, h]
+    (a, d, g), (b, e, h) = [x / width for x in across], [x / height for x in down]
+    return [a, b, x0, d, e, y0, g, h]
+
+
 def inflate_quad(q: Column, offset: Column) -> Column:
     """Push every vertex away from the middle of the quad's box."""
     def push(box: Column) -> Column:

@@ -85,6 +85,90 @@ def wrap_words(line: Column, width: int) -> Column:
     return F.when(line.rlike(WIDE), wrap_chars(line, width)).otherwise(F.transform(pieces, lambda p: F.rtrim(p)))
 
 
+def words_of(line: Column) -> Column:
+    return F.regexp_extract_all(line, F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0))
+
+
+def wrap_hyphens(line: Column, width: int) -> Column:
+    """Greedy wrap that breaks a word with a hyphen where it does not fit.
+
+    A word goes on the open line if a column is left after it. One that ends exactly at the edge closes the line. Of a
+    longer one as many signs stay as leave two columns, with a hyphen if there are any; the rest opens the next line and
+    is broken again while it is too long. Text with wide signs wraps by character.
+    """
+    body = width - 2
+
+    def step(s: Column, word: Column) -> Column:
+        return let(F.struct(s.alias("s"), word.alias("w"), (F.length(s["open"]) + F.length(word)).alias("end"), F.greatest(F.lit(body) - F.length(s["open"]), F.lit(0)).alias("cut")), placed)
+
+    def placed(v: Column) -> Column:
+        # What does not fit of the word, as whole pieces and a last one of at most a line.
+        pieces = F.greatest(F.ceil((F.length(v["w"]) - v["cut"] - width) / body), F.lit(0)).cast("int")
+        return let(F.struct(v.alias("v"), pieces.alias("n"), F.substring(v["w"], v["cut"] + pieces * body + 1, F.lit(width)).alias("last")), chosen)
+
+    def chosen(m: Column) -> Column:
+        v = m["v"]
+        done, open_, word, cut = v["s"]["done"], v["s"]["open"], v["w"], v["cut"]
+        head = F.concat(open_, F.when(cut > 0, F.concat(F.substring(word, F.lit(1), cut), F.lit("-"))).otherwise(""))
+        between = F.when(m["n"] > 0, F.transform(F.sequence(F.lit(0), m["n"] - 1), lambda i: F.concat(F.substring(word, cut + i * body + 1, F.lit(body)), F.lit("-"))))
+        none = F.array().cast("array<string>")
+        full = F.length(m["last"]) == width
+        broken = F.concat(done, F.array(head), F.coalesce(between, none), F.when(full, F.array(m["last"])).otherwise(none))
+        return F.struct(
+            F.when(v["end"] < width, done).when(v["end"] == width, F.concat(done, F.array(F.concat(open_, word)))).otherwise(broken).alias("done"),
+            F.when(v["end"] < width, F.concat(open_, word, F.lit(" "))).when((v["end"] == width) | full, "").otherwise(F.concat(m["last"], F.lit(" "))).alias("open"),
+        )
+
+    start = F.struct(F.array().cast("array<string>").alias("done"), F.lit("").alias("open"))
+    lines = F.aggregate(words_of(line), start, step, lambda s: F.when(s["open"] == "", s["done"]).otherwise(F.concat(s["done"], F.array(s["open"]))))
+    return F.when(line.rlike(WIDE), wrap_chars(line, width)).otherwise(F.transform(lines, lambda x: F.rtrim(x)))
+
+
+def justify_squeezed(line: Column, slot: int, char_width: int) -> Column:
+    """Lines of words with their start in pixels, from edge to edge: ARRAY<ARRAY<STRUCT<word, x>>>.
+
+    A line takes one more word than fits if its gaps need to give up at most a tenth of a space for each of its words;
+    otherwise what is left over is shared out. The first gaps take the rest of a division. The last line is set plainly.
+    """
+    words = F.transform(words_of(line), lambda w: F.struct(w.alias("word"), (F.length(w) * char_width).cast("bigint").alias("width")))
+    kind = "array<struct<word:string,width:bigint>>"
+    none, zero = F.array().cast(kind), F.lit(0).cast("bigint")
+    start = F.struct(F.array().cast(f"array<struct<ws:{kind},extra:bigint>>").alias("done"), none.alias("ws"), zero.alias("used"))
+
+    def ended(ws: Column, extra: Column) -> Column:
+        return F.array(F.struct(ws.alias("ws"), extra.cast("bigint").alias("extra")))
+
+    def step(s: Column, w: Column) -> Column:
+        over = s["used"] + w["width"] - slot
+        fits, more = over <= 0, F.concat(s["ws"], F.array(w))
+        squeezed = ~fits & (F.size(s["ws"]) > 0) & (10 * over <= F.size(s["ws"]) * char_width)
+        left = slot - s["used"] + char_width
+        return F.struct(
+            F.when(fits | ((F.size(s["ws"]) == 0) & ~squeezed), s["done"]).when(squeezed, F.concat(s["done"], ended(more, -over))).otherwise(F.concat(s["done"], ended(s["ws"], left))).alias("done"),
+            F.when(fits, more).when(squeezed, none).otherwise(F.array(w)).alias("ws"),
+            F.when(fits, s["used"] + w["width"] + char_width).when(squeezed, zero).otherwise(w["width"] + char_width).alias("used"),
+        )
+
+    lines = F.aggregate(words, start, step, lambda s: F.when(F.size(s["ws"]) == 0, s["done"]).otherwise(F.concat(s["done"], ended(s["ws"], zero))))
+
+    def place(x: Column) -> Column:
+        gaps, size = F.size(x["ws"]) - 1, F.abs(x["extra"])
+        share, rest = F.when(gaps > 0, F.floor(size / gaps)).otherwise(0), F.when(gaps > 0, size % gaps).otherwise(0)
+        return let(F.struct(x["ws"].alias("ws"), F.signum(x["extra"].cast("double")).cast("bigint").alias("sign"), share.alias("share"), rest.alias("rest")), spread)
+
+    def spread(m: Column) -> Column:
+        def add(s: Column, w: Column) -> Column:
+            i = F.size(s["out"])
+            gap = char_width + m["sign"] * (m["share"] + F.when(i < m["rest"], 1).otherwise(0))
+            here = F.struct(w["word"].alias("word"), s["x"].alias("x"))
+            return F.struct(F.concat(s["out"], F.array(here)).alias("out"), (s["x"] + w["width"] + gap).cast("bigint").alias("x"))
+
+        blank = F.struct(F.array().cast("array<struct<word:string,x:bigint>>").alias("out"), zero.alias("x"))
+        return F.aggregate(m["ws"], blank, add, lambda s: s["out"])
+
+    return F.transform(lines, place)
+
+
 def justify_words(line: Column, slot: int, char_width: int) -> Column:
     """Word start positions in pixels so that the first and last word touch the slot: ARRAY<STRUCT<word, x>>."""
     words = F.filter(F.split(line, " +"), lambda w: w != "")

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from docsynth.functions.text import date_like_digits
 from docsynth.operators.ordered import number_rows, scan
 from docsynth.rng import draw
+from docsynth.session import materialise
 
 SALTS = 16
 #: A word in any script: letters with their marks.
@@ -77,7 +78,8 @@ def word_like(tokens: DataFrame, vocab: DataFrame, ident: Column, salt: int = 30
     anywhere = anywhere.select("lang", F.lit(0).cast("bigint").alias("n_chars"), "word", (F.col("idx") - 1).alias("idx"))
     vocab = vocab.select("lang", "n_chars", "word", "idx").unionByName(anywhere)
     sizes = vocab.groupBy("lang", "n_chars").agg(F.count(F.lit(1)).alias("__size"))
-    by_lang = sizes.groupBy("lang").agg(F.map_from_entries(F.collect_list(F.struct("n_chars", "__size"))).alias("__sizes"))
+    # Written, so that the planner knows how small it is and leaves the tokens where they are.
+    by_lang = materialise(sizes.groupBy("lang").agg(F.map_from_entries(F.collect_list(F.struct("n_chars", "__size"))).alias("__sizes")), "sizes")
     n = F.length("word").cast("bigint")
     if not exact:
         n = F.when(n <= 4, n).otherwise(n - draw(ident, salt + 1) % 3)
@@ -116,7 +118,7 @@ def sentence_like(docs: DataFrame, vocab: DataFrame, keep_ascii: bool = False) -
 def longest_word_that_fits(slots: DataFrame, vocab: DataFrame, char_width: int, ident: Column, salt: int = 32) -> DataFrame:
     """For ``slots(lang, budget, ..)`` add a word of the longest length that fits, or of the shortest if none does."""
     sizes = vocab.groupBy("lang", "n_chars").agg(F.count(F.lit(1)).alias("size"))
-    lengths = sizes.groupBy("lang").agg(F.collect_list(F.struct("n_chars", "size")).alias("__lengths"))
+    lengths = materialise(sizes.groupBy("lang").agg(F.collect_list(F.struct("n_chars", "size")).alias("__lengths")), "lengths")
     fits = F.array_max(F.filter("__lengths", lambda s: s["n_chars"] * char_width <= F.col("budget")))
     best = F.coalesce(fits, F.array_min("__lengths"))
     want = slots.join(lengths, "lang").withColumn("__b", best)
@@ -134,7 +136,7 @@ def fill_width(slots: DataFrame, numbered: DataFrame, salt: int = 34) -> DataFra
     ``numbered`` comes from :func:`number_words`. A slot takes at most one word per two signs, so the running width
     window is bounded by the slot.
     """
-    sizes = numbered.groupBy("lang").agg(F.count(F.lit(1)).alias("size"))
+    sizes = materialise(numbered.groupBy("lang").agg(F.count(F.lit(1)).alias("size")), "sizes")
     tries = slots.select("slot_id", "lang", "chars", F.explode_outer(F.sequence(F.lit(0), F.floor(F.col("chars") / 2).cast("int"))).alias("k"))
     picked = (
         tries.join(sizes, "lang")
@@ -158,11 +160,25 @@ def top_n(df: DataFrame, group: list[str], order: list[Column], n: int, salt: Co
     return near.drop("__salt").withColumn("rn", F.row_number().over(w2)).where(F.col("rn") <= n)
 
 
+#: Rows of a range of the random order.
+RANGE_ROWS = 1_000_000
+
+
 def shuffle(df: DataFrame, ident: str, salt: int = 36) -> DataFrame:
-    """Random order as a 1-based position, the same on every run."""
-    keyed = df.withColumns({"__all": F.lit(0), "__draw": draw(F.col(ident), salt)})
-    band = {"band": F.floor(F.col("__draw") / 1048576)}
-    return number_rows(keyed, ["__all"], band, ["__draw", ident], "position").drop("__all", "__draw")
+    """Random order as a 1-based position, the same on every run.
+
+    Rows are dealt out by ranges of their draw, as many ranges as the table needs, and written in order; a row's position
+    is its place in its range and the sizes of the ranges before, of which there is one number each.
+    """
+    ranges = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-df.count() // RANGE_ROWS))
+    keyed = df.withColumn("__draw", draw(F.col(ident), salt)).repartitionByRange(ranges, "__draw", ident).sortWithinPartitions("__draw", ident)
+    # The upper bits of the number are the range, the lower 33 the place in it.
+    placed = materialise(keyed.withColumns({"__range": F.spark_partition_id(), "__place": F.monotonically_increasing_id() % (1 << 33)}), "shuffled")
+    before = Window.orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = placed.groupBy("__range").agg(F.count(F.lit(1)).alias("__n"))
+    starts = sizes.select("__range", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__start"))
+    out = placed.join(starts, "__range")
+    return out.select(*df.columns, (F.col("__start") + F.col("__place") + 1).alias("position"))
 
 
 def sample_with_replacement(df: DataFrame, group: str, ident: str, n: int, salt: int = 38) -> DataFrame:

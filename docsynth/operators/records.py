@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from docsynth.functions.binding import let
 from docsynth.rng import draw, pick, uniform
 
 # Synonyms of ledger headings, and the order in which optional columns go.
@@ -34,9 +35,10 @@ def alias_columns(df: DataFrame, names: dict[str, str]) -> DataFrame:
     return df.withColumnsRenamed(names)
 
 
-def drop_optional_columns(df: DataFrame, k: int) -> DataFrame:
-    """Drop the last k of the optional ledger columns."""
-    return df.drop(*OPTIONAL[len(OPTIONAL) - k :])
+def drop_optional_columns(record: Column, k: Column) -> Column:
+    """A record (a map of column names) without the last ``k`` of the optional ledger columns; k may differ by row."""
+    gone = F.slice(F.array(*[F.lit(c) for c in OPTIONAL]), len(OPTIONAL) - k + 1, k)
+    return let(gone, lambda names: F.map_filter(record, lambda key, _: ~F.array_contains(names, key)))
 
 
 def inject_missing(text: Column, ident: Column, salt: int, blank: float, dash: float, brace: float) -> Column:
@@ -52,7 +54,20 @@ def inject_missing(text: Column, ident: Column, salt: int, blank: float, dash: f
 
 # Rows set in bold and rows shaded.
 BOLD = "^.*[其项合总年]*[中目计前额].*"
-SHADED = "^.*[一二三四五六七八九十].*"
+SHADED = "^[一二三四五六七八九十]+.*"
+
+
+def layout(rows: Column, cols: Column, chinese: Column, ident: Column, salt: int) -> dict[str, Column]:
+    """What may be done with a statement of so many rows and columns: Chinese ones are stacked by size, English ones may
+    always go side by side, are never put on top of each other and nearly always get a nested header."""
+    side, top, nested = (uniform(ident, salt + i) for i in range(3))
+    return {
+        "hstack": (side < 0.5) & (~chinese | (rows > 30)),
+        "vstack": chinese & (top < 0.5) & (rows > 15),
+        "paginate": (rows >= 30) & (cols > 3) & (cols < 6),
+        "truncate": F.lit(True),
+        "complex": (nested < F.when(chinese, 0.5).otherwise(0.9)) & (cols >= 3),
+    }
 
 
 def slot_action(label: Column) -> Column:

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from docsynth.functions.binding import let
 from docsynth.functions.text import BODY_SPLIT, display_width
 from docsynth.operators.ordered import entry_states, number_rows, scan
 
@@ -271,6 +272,63 @@ def fold_wide_rows(df: DataFrame, keep: list[str], cells: Column, max_cols: int)
     return df.select(*keep, F.posexplode_outer(padded).alias("part", "cells"))
 
 
+def header_and_values(df: DataFrame, keep: list[str], entries: Column) -> DataFrame:
+    """Dictionary as two lines: its keys, then its values."""
+    lines = [F.array_join(F.transform(entries, lambda e: e[part]), "|") for part in ("key", "value")]
+    return df.select(*keep, F.posexplode_outer(F.array(*lines)).alias("line_no", "line"))
+
+
+def is_body(line: Column) -> Column:
+    return line.startswith("║")
+
+
+def align_column(line: Column, col_no: int, side: str) -> Column:
+    """A drawn line with one cell set left (``l``), right (``r``) or in the middle (``c``); one blank stays on a set side.
+
+    A cell without a blank to spare, and a rule, stay as they are.
+    """
+
+    def moved(cell: Column) -> Column:
+        def place(m: Column) -> Column:
+            blanks = lambda n: F.repeat(F.lit(" "), n)
+            half = F.floor(m["free"] / 2).cast("int")
+            left = {"l": F.lit(1), "r": m["free"] - 1, "c": half}[side]
+            return F.when(m["free"] > 0, F.concat(blanks(left), m["text"], blanks(m["free"] - left))).otherwise(cell)
+
+        bare = F.trim(cell)
+        return let(F.struct(bare.alias("text"), (F.length(cell) - F.length(bare)).alias("free")), place)
+
+    cells = F.transform(F.split(line, "║"), lambda c, i: F.when(i == col_no + 1, moved(c)).otherwise(c))
+    return F.when(is_body(line), F.array_join(cells, "║")).otherwise(line)
+
+
+def widen(line: Column, by: int, side: str) -> Column:
+    """A drawn line ``by`` columns wider, in its last cell: the text keeps left, right or (``m``) halfway."""
+    end = F.substring(line, -1, 1)
+    before = {"l": 0, "r": by, "m": by // 2}[side]
+    last = F.substring_index(F.substring(line, F.lit(1), F.length(line) - 1), "║", -1)
+    head = F.substring(line, F.lit(1), F.length(line) - 1 - F.length(last))
+    body = F.concat(head, F.lit(" " * before), last, F.lit(" " * (by - before)), end)
+    ruled = F.concat(F.substring(line, F.lit(1), F.length(line) - 1), F.repeat(F.substring(line, -2, 1), F.lit(by)), end)
+    return F.when(is_body(line), body).otherwise(ruled)
+
+
+def heighten(lines: DataFrame, by: int, side: str) -> DataFrame:
+    """Drawn tables with ``by`` blank lines: before the last rule (``t``) or after the first (``b``).
+
+    Where a column ends is read off the joints of that rule; the lines behind are renumbered.
+    """
+    ends = lines.groupBy("table_id").agg(
+        F.max("line_no").alias("__last"), F.max_by("line", "line_no").alias("__bottom"), F.min_by("line", "line_no").alias("__top")
+    )
+    joints = F.regexp_replace(F.translate(F.col("__bottom" if side == "t" else "__top"), "═", " "), "[^ ]", "║")
+    at = F.col("__last") if side == "t" else F.lit(2)
+    blank = ends.select("table_id", F.explode(F.sequence(at.cast("bigint"), at.cast("bigint") + by - 1)).alias("line_no"), joints.alias("line"))
+    moved = lines.join(ends.select("table_id", at.cast("bigint").alias("__at")), "table_id")
+    number = F.col("line_no") + F.when(F.col("line_no") >= F.col("__at"), by).otherwise(0)
+    return moved.select("table_id", number.alias("line_no"), "line").unionByName(blank)
+
+
 def merge_row(line: Column) -> Column:
     """Inner separators of a line become blanks."""
     inner = F.substring(line, F.lit(2), F.length(line) - 2)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from docsynth.functions.binding import let
 
 # Named entities besides the ampersand.
 ENTITIES = {"lt": "<", "gt": ">", "quot": '"', "apos": "'", "nbsp": "\u00a0"}
@@ -29,18 +30,23 @@ def strip_markup(html: Column) -> Column:
 
 
 def unescape(text: Column) -> Column:
-    """Named entities of markup and numeric ones of the basic plane; ``&amp;`` last, so that nothing is decoded twice."""
-    for name, sign in ENTITIES.items():
-        text = F.replace(text, F.lit(f"&{name};"), F.lit(sign))
-    numbers = F.array_distinct(F.regexp_extract_all(text, F.lit("&#(?:[0-9]{1,5}|[xX][0-9A-Fa-f]{1,4});"), F.lit(0)))
+    """Named entities of markup and numeric ones of every plane; ``&amp;`` last, so that nothing is decoded twice.
+
+    A number that names no character (0, a surrogate, or beyond the last plane) stays as it is written.
+    """
 
     def decoded(acc: Column, one: Column) -> Column:
         body = F.regexp_extract(one, "([0-9A-Fa-f]+);", 1)
-        code = F.when(one.rlike("[xX]"), body).otherwise(F.hex(body.cast("bigint")))
-        return F.replace(acc, one, F.decode(F.unhex(F.lpad(code, 4, "0")), "UTF-16BE"))
+        code = F.when(one.rlike("[xX]"), F.conv(body, 16, 10)).otherwise(body)
+        return let(code.cast("bigint"), lambda n: F.when((n > 0) & (n < 0x110000) & ~n.between(0xD800, 0xDFFF), F.replace(acc, one, F.decode(F.unhex(F.lpad(F.hex(n), 8, "0")), "UTF-32"))).otherwise(acc))
+
+    def numbers(t: Column) -> Column:
+        found = F.array_distinct(F.regexp_extract_all(t, F.lit("&#(?:[0-9]{1,10}|[xX][0-9A-Fa-f]{1,8});"), F.lit(0)))
+        return F.when(F.contains(t, F.lit("&#")), F.aggregate(found, t, decoded)).otherwise(t)
 
-    text = F.when(F.contains(text, F.lit("&#")), F.aggregate(numbers, text, decoded)).otherwise(text)
-    return F.replace(text, F.lit("&amp;"), F.lit("&"))
+    for name, sign in ENTITIES.items():
+        text = F.replace(text, F.lit(f"&{name};"), F.lit(sign))
+    return F.replace(let(text, numbers), F.lit("&amp;"), F.lit("&"))
 
 
 def paragraphs(html: Column) -> Column:
@@ -53,10 +59,11 @@ def paragraphs(html: Column) -> Column:
 
 def article_text(html: Column) -> Column:
     """Paragraphs of the article element; where it has none, all its text, and without an article that of the body."""
-    article = F.regexp_extract(html, r"(?s)<article[^>]*>(.*)</article>", 1)
     body = F.regexp_extract(html, r"(?s)<body[^>]*>(.*)</body>", 1)
-    tries = (paragraphs(article), unescape(strip_markup(article)))
-    return F.coalesce(*[F.nullif(x, F.lit("")) for x in tries], unescape(strip_markup(body)))
+    found = lambda text, rest: let(text, lambda x: F.when(x != "", x).otherwise(rest))
+    whole = unescape(strip_markup(body))
+    article = F.regexp_extract(html, r"(?s)<article[^>]*>(.*)</article>", 1)
+    return let(article, lambda a: found(paragraphs(a), found(unescape(strip_markup(a)), whole)))
 
 
 def allowed(link: Column, pattern: str) -> Column:

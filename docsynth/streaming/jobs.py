@@ -34,3 +34,18 @@ def append_available(stream: DataFrame, out: str, checkpoint: str) -> StreamingQ
     )
     query.awaitTermination()
     return query
+
+
+def keep_batches(stream: DataFrame, out: str, checkpoint: str) -> StreamingQuery:
+    """Make the samples of the next batch of an endless stream and keep them under the batch's number.
+
+    A batch that is repeated after a failure overwrites its own folder, so each sample stands once however often the job
+    is killed and started again.
+    """
+
+    def keep(batch: DataFrame, number: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{out}/batch={number}")
+
+    query = stream.writeStream.foreachBatch(keep).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    query.awaitTermination()
+    return query

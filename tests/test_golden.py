@@ -403,6 +403,15 @@ def test_sample_source(spark):
     assert sorted((r["index"], r["lang"]) for r in df.collect()) == [(i, x) for i in range(10) for x in ("en", "fr")]
 
 
+def test_sample_source_takes_filters(spark):
+    offered = dataset.samples(spark, 5, 60, ["en", "fr", "km"])
+    kept = offered.where((F.col("index") >= 20) & (F.col("index") < 23) & F.col("lang").isin("fr", "km"))
+    assert sorted((r["index"], r["lang"]) for r in kept.collect()) == [(i, x) for i in (20, 21, 22) for x in ("fr", "km")]
+    assert "Filter (" not in kept._jdf.queryExecution().executedPlan().toString()
+    assert offered.where("index = 7 AND lang <> 'en'").count() == 2
+    assert dataset.samples(spark, 0, -1, ["en"]).count() == 0
+
+
 def test_list_by_extension(spark, tmp_path):
     for n in ("a.txt", "b.jpg", "c.txt"):
         (tmp_path / n).write_text("x")
@@ -478,3 +487,118 @@ def test_article_paragraphs_and_entities(spark):
     pages = [(html,), ("<article><div>only &amp;amp; text</div></article>",), ("<body>plain</body>",)]
     got = [r[0] for r in spark.createDataFrame(pages, "html STRING").select(web.article_text(F.col("html"))).collect()]
     assert got == ["a & b <x>\nc\u00e9\u4e2d", "only &amp; text", "plain"]
+
+
+def test_numeric_entities_of_every_plane(spark):
+    text = "&#128512;&#70000;&#x1F600; &#xD800; &#0; &#65;&#x41; &amp;#66; &#99999999; &#x10FFFF;&#0000000065;"
+    assert one(spark, web.unescape(F.col("t")), t=text) == "\U0001f600\U00011170\U0001f600 &#xD800; &#0; AA &#66; &#99999999; \U0010ffffA"
+
+
+def hyphenated(words, width):
+    """Letter by letter, as a typesetter would go along."""
+    lines, line = [], ""
+    for word in words:
+        while len(line) + len(word) > width:
+            kept = ""
+            while len(line) + len(kept) + 1 < width - 1 and len(kept) < len(word):
+                kept += word[len(kept)]
+            lines.append(line + kept + ("-" if kept else ""))
+            line, word = "", word[len(kept) :]
+        if len(line) + len(word) == width:
+            lines.append(line + word)
+            line = ""
+        else:
+            line += word + " "
+    return [x.rstrip() for x in lines + [line] if x.strip()]
+
+
+def squeezed(words, slot, char):
+    """Positions of the words of each line."""
+    lines, line, used = [], [], 0
+    for w in words:
+        size = len(w) * char
+        if used + size <= slot:
+            line, used = line + [w], used + size + char
+        elif line and used + size - slot <= len(line) * char / 10:
+            lines.append((line + [w], slot - used - size))
+            line, used = [], 0
+        else:
+            lines += [(line, slot - used + char)] if line else []
+            line, used = [w], size + char
+    out = []
+    for ws, extra in lines + ([(line, 0)] if line else []):
+        x, placed = 0, []
+        n, m = divmod(abs(extra), len(ws) - 1) if len(ws) > 1 else (0, 0)
+        for i, w in enumerate(ws):
+            placed.append((w, x))
+            x += len(w) * char + char + (1 if extra > 0 else -1) * (n + (i < m))
+        out.append(placed)
+    return out
+
+
+@pytest.mark.parametrize("width", [4, 9, 24])
+def test_hyphens_and_squeezed_lines(spark, width):
+    r = random.Random(width)
+    texts = [" ".join("".join(r.choice("abcde") for _ in range(r.choice([1, 2, 3, 5, 8, width - 1, width, width + 1, 2 * width - 2, 70]))) for _ in range(r.randrange(0, 40))) for _ in range(60)]
+    texts += ["", "  ", "a" * width, "\t two  words ", "x " * 400]
+    rows = spark.createDataFrame([(t,) for t in texts], "t string")
+    got = rows.select("t", text.wrap_hyphens(F.col("t"), width).alias("h"), text.justify_squeezed(F.col("t"), 8 * width + 3, 8).alias("s")).collect()
+    for x in got:
+        assert x["h"] == hyphenated(x["t"].split(), width)
+        assert [[tuple(w) for w in line] for line in x["s"]] == squeezed(x["t"].split(), 8 * width + 3, 8)
+    full = [line for x in got for line in x["s"][:-1] if len(line) > 1]
+    assert full and all(line[-1]["x"] + 8 * len(line[-1]["word"]) == 8 * width + 3 for line in full)
+
+
+def test_table_edits(spark):
+    drawn = ["╔════╦═══╗", "║ab  ║xyz║", "╠════╬═══╣", "║abcd║x  ║", "╚════╩═══╝"]
+    df = spark.createDataFrame([(1, i + 1, x) for i, x in enumerate(drawn)], "table_id BIGINT, line_no BIGINT, line STRING")
+    of = lambda frame: [x["line"] for x in frame.orderBy("line_no").collect()]
+    line = F.col("line")
+    assert of(df.withColumn("line", tables.align_column(line, 0, "r")))[1::2] == ["║ ab ║xyz║", "║abcd║x  ║"]
+    assert of(df.withColumn("line", tables.align_column(line, 1, "c")))[1::2] == ["║ab  ║xyz║", "║abcd║ x ║"]
+    assert of(df.withColumn("line", tables.widen(line, 3, "m"))) == ["╔════╦══════╗", "║ab  ║ xyz  ║", "╠════╬══════╣", "║abcd║ x    ║", "╚════╩══════╝"]
+    blank = "║    ║   ║"
+    assert of(tables.heighten(df, 2, "t")) == [*drawn[:4], blank, blank, drawn[4]]
+    assert of(tables.heighten(df, 1, "b")) == [drawn[0], blank, *drawn[1:]]
+
+
+def test_warp_of_each_scene(spark):
+    """The closed form equals the solved system, and takes the page's corners to the scene's."""
+    r = random.Random(7)
+    scenes = [[(x + r.random() * 90, y + r.random() * 90) for x, y in ((50, 40), (400, 60), (430, 700), (20, 720))] for _ in range(20)]
+    rows = spark.createDataFrame([tuple(v for p in s for v in p) for s in scenes], [f"{a}{i}" for i in range(4) for a in "xy"])
+    warp = g.rectangle_to_quad(F.lit(420.0), F.lit(760.0), [(F.col(f"x{i}"), F.col(f"y{i}")) for i in range(4)])
+    page = [(0.0, 0.0), (420.0, 0.0), (420.0, 760.0), (0.0, 760.0)]
+    for found, scene in zip(rows.select(F.array(*warp).alias("m")).collect(), scenes, strict=True):
+        assert found["m"] == pytest.approx(g.homography(page, scene), rel=1e-9, abs=1e-12)
+
+
+def test_shuffle_over_many_ranges(spark, monkeypatch):
+    monkeypatch.setattr(corpus, "RANGE_ROWS", 40)
+    df = spark.range(1000).select(F.col("id").alias("k"), (F.col("id") * 3).alias("v"))
+    got = {x["k"]: (x["v"], x["position"]) for x in corpus.shuffle(df, "k").collect()}
+    drawn = {x["k"]: x["d"] for x in df.select("k", rng.draw(F.col("k"), 36).alias("d")).collect()}
+    order = sorted(drawn, key=lambda k: (drawn[k], k))
+    assert got == {k: (3 * k, i + 1) for i, k in enumerate(order)}
+
+
+def test_optional_columns_by_row(spark):
+    names = records.OPTIONAL
+    rows = spark.createDataFrame([(k,) for k in range(len(names) + 1)], "k int")
+    record = F.create_map(*[F.lit(c) for c in names for c in (c, c)], F.lit("x"), F.lit("y"))
+    for x in rows.select("k", records.drop_optional_columns(record, F.col("k")).alias("r")).collect():
+        assert set(x["r"]) == {*names[: len(names) - x["k"]], "x"}
+
+
+def test_repeated_batch_stands_once(spark, tmp_path):
+    """Killed after a batch was written and before it was noted as done: the batch is made again over itself."""
+    out, state = str(tmp_path / "out"), str(tmp_path / "state")
+    samples = jobs.online_samples(jobs.sample_stream(spark, 7), "bank", "zh")
+    jobs.keep_batches(samples, out, state)
+    jobs.keep_batches(samples, out, state)
+    for f in [*(tmp_path / "state/commits").glob("1"), *(tmp_path / "state/commits").glob(".1.crc")]:
+        f.unlink()
+    jobs.keep_batches(samples, out, state)
+    seen = sorted(r["index"] for r in spark.read.parquet(out).collect())
+    assert seen == list(range(len(seen))) and len(seen) >= 14
