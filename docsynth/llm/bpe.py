@@ -6,6 +6,8 @@ left. Two neighbouring bytes that stand side by side in no vocabulary token can
 certain cut: the fragments on both sides are encoded apart (merging in the library's model, n log n steps) and put
 together again. Words and fragments come back often, so each task keeps those it has seen, within a bound.
 
+Texts of ASCII or Latin letters are normalised and split here, others by the file's own parts.
+
 Defined cases: a null or empty text, or one of white space alone, has no ids and decodes to "". Texts of any length are
 encoded whole. Equal rows give equal results; other columns are kept.
 """
@@ -20,21 +22,18 @@ from operator import add
 
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from tokenizers import models
+from tokenizers import Tokenizer, models
 
 from docsynth.llm.arrays import map_text
 
 #: Words kept by a task, twice at most: about 170 bytes each.
 KEPT = 150_000
 
-# Fixed values of the file format: white space of Unicode, words as the pre-tokenizer splits them, letters for bytes.
-_BLANK = r"\t-\r \x85\xa0  -     　"
+# Fixed values of the file format: words as the pre-tokenizer splits them, letters for bytes.
 _ENDINGS = "'s|'t|'re|'ve|'m|'ll|'d"
-_ANY = regex.compile(rf"\p{{L}}+|\p{{N}}|{_ENDINGS}|[^{_BLANK}\p{{L}}\p{{N}}]+")
 _ASCII = re.compile(rf"[a-z]+|[0-9]|{_ENDINGS}|[^\t-\r a-z0-9]+")
 #: For texts without a character above U+024F, where the letters are what ``\w`` has besides these digits and "_".
 _DIGITS = "0-9²³¹¼½¾"
@@ -75,6 +74,9 @@ class Bpe:
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         model = spec["model"]
+        library = Tokenizer.from_file(path)
+        # The library's own tables of Unicode decide where Python's are of another version.
+        self.normalise, self.split = library.normalizer.normalize_str, library.pre_tokenizer.pre_tokenize_str
         self.end = model["end_of_word_suffix"] or ""
         self.vocab: dict[str, int] = model["vocab"]
         merges = [tuple(m) if not isinstance(m, str) else tuple(m.split(" ")) for m in model["merges"]]
@@ -96,12 +98,7 @@ class Bpe:
         self.apart = re.compile("|".join(apart) or "(?!)").search
         self.inner = Kept(lambda f: self.merge(f, self.inner_model), kept // 8)
         self.words = Kept(self.encode_word, kept)
-
-    def normal(self, text: str) -> str:
-        """NFC, then lower case letter by letter (no rule for a sigma at a word's end)."""
-        if text.isascii():
-            return text.lower()
-        return unicodedata.normalize("NFC", text).replace("Σ", "σ").lower()
+        self.lettered = Kept(self.encode_letters, kept // 4)
 
     def cut(self, letters: str) -> list[str]:
         """Fragments between certain cuts; the last one carries the word's end."""
@@ -118,14 +115,20 @@ class Bpe:
         return b"".join([self.code[t.id] for t in model.tokenize(letters)])
 
     def encode_word(self, word: str) -> bytes:
-        letters = word if word.isascii() and word.isprintable() else word.encode().decode("latin-1").translate(self.table)
+        return self.encode_letters(word if word.isascii() and word.isprintable() else word.encode().decode("latin-1").translate(self.table))
+
+    def encode_letters(self, letters: str) -> bytes:
+        """Ids of a word whose bytes are written as letters."""
         found = self.cut(letters)
         return b"".join([*map(self.inner.__getitem__, found[:-1]), self.merge(found[-1], self.last_model)])
 
     def plain(self, text: str) -> bytes:
-        text = self.normal(text)
-        split = _ASCII if text.isascii() else _ANY if _ABOVE.search(text) else _LATIN
-        return b"".join(map(self.words.__getitem__, split.findall(text)))
+        if text.isascii():
+            return b"".join(map(self.words.__getitem__, _ASCII.findall(text.lower())))
+        if not _ABOVE.search(text):
+            text = unicodedata.normalize("NFC", text).lower()
+            return b"".join(map(self.words.__getitem__, _LATIN.findall(text)))
+        return b"".join([self.lettered[word] for word, _ in self.split(self.normalise(text))])
 
     def encode(self, text: str) -> bytes:
         """Ids of a text, 4 bytes each; added tokens are recognised in the raw text."""

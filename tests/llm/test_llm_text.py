@@ -56,6 +56,21 @@ def test_bpe_any_latin_text(text):
     assert np.frombuffer(bpe.loaded(PATH).encode(text), "<u4").tolist() == library.encode(text, add_special_tokens=False).ids
 
 
+def test_bpe_any_plane(library):
+    """Random strings of every script and plane, unassigned code points and marks in any order too."""
+    r = random.Random(12)
+    marks = [*range(0x300, 0x370), *range(0x1DC0, 0x1E00), *range(0x8D0, 0x900), 0x708, 0x1DCC, 0x1DF8]
+    odd = [0x558, 0x58B, 0xC5C, 0x3A3, 0x130, 0x1E9E, 0xFB01, 0x2126, 0x212B, 0x1F600, 0x2028, 0x3000, 0xFEFF, 0x200D]
+    picks = [lambda: r.randrange(0x20, 0x250), lambda: r.randrange(0x250, 0x3000), lambda: r.randrange(0x3000, 0xD800), lambda: r.randrange(0xE000, 0x110000), lambda: r.choice(marks), lambda: r.choice(odd)]
+    coder = bpe.loaded(PATH)
+    for _ in range(4000):
+        text = "".join(chr(r.choice(picks)()) for _ in range(r.randrange(1, 14)))
+        assert np.frombuffer(coder.encode(text), "<u4").tolist() == library.encode(text, add_special_tokens=False).ids, text
+    for start in range(0, 0x110000, 64):
+        text = " ".join(chr(c) + "a" for c in range(start, start + 64) if not 0xD800 <= c < 0xE000)
+        assert np.frombuffer(coder.encode(text), "<u4").tolist() == library.encode(text, add_special_tokens=False).ids, hex(start)
+
+
 def test_bpe_cuts_are_certain():
     coder = bpe.loaded(PATH)
     assert coder.cut("abzqcd") == ["abz", "qcd"]
