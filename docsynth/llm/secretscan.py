@@ -14,10 +14,12 @@ from __future__ import annotations
 
 import binascii
 import bz2
+import hashlib
 import lzma
 import operator
 import re
 import zlib
+from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import partial
 
@@ -40,16 +42,33 @@ HEX = re.compile(r"[0-9a-f]{24,}")
 LEAST_VALUE = 6
 
 PERCENT = re.compile(r"%([0-9A-Fa-f]{2})")
-ESCAPED = re.compile(r"\\u([0-9A-Fa-f]{4})|\\U([0-9A-Fa-f]{8})|\\x([0-9A-Fa-f]{2})")
+ESCAPED = re.compile(r"\\u([0-9A-Fa-f]{4})|\\U([0-9A-Fa-f]{8})|\\x([0-9A-Fa-f]{2})|\\u\{([0-9A-Fa-f]{1,6})\}")
 #: Base64 letters, also over line ends (written out or as \\n) with the indents and quote marks of mails.
 BREAK = re.compile(r"(?:\r?\n|(?:\\r)?\\n)[ \t>]*")
 BASE64 = re.compile(rf"(?<![A-Za-z0-9+/_-])(?:[A-Za-z0-9+/_-]{{16,}}+(?:{BREAK.pattern}[A-Za-z0-9+/_-]++)*+|[A-Za-z0-9+/_-]{{1,15}}+(?:{BREAK.pattern}[A-Za-z0-9+/_-]++)++)={{0,2}}")
 LEAST_BASE64 = 16
 URL_LETTERS = str.maketrans("-_", "+/")
+#: First two bytes of zlib data of any window and level: a multiple of 31, and no dictionary is asked for.
+_LEVELS = {c: bytes(f for f in range(256) if (c << 8 | f) % 31 == 0 and not f & 0x20) for c in range(0x08, 0x80, 0x10)}
+_ZLIB = b"|".join(re.escape(bytes([c])) + b"[" + re.escape(f) + b"]" for c, f in _LEVELS.items())
 #: How gzip, zlib, zstd, bzip2 and xz data begin.
-MAGIC = re.compile(rb"\x1f\x8b\x08|\x78[\x01\x5e\x9c\xda]|\x28\xb5\x2f\xfd|BZh[1-9]|\xfd7zXZ\x00")
-#: Bytes without any of these hold no secret and no further layer.
-TELLING = re.compile(rb"(?i:passw|secret|token|api_?key)|%[0-9A-Fa-f]{2}|\\[uUx]|[A-Za-z0-9+/_-]{16}|[A-Za-z0-9+/_-](?:\r?\n|(?:\\r)?\\n)|" + MAGIC.pattern)
+MAGIC = re.compile(rb"\x1f\x8b\x08|" + _ZLIB + rb"|\x28\xb5\x2f\xfd|BZh[1-9]|\xfd7zXZ\x00")
+_HINTS = (b"passw", b"secret", b"token", b"apikey", b"api_key", b"\\u", b"\\x", b"%", b"\n", b"\\n")
+_RUN, _WIDE = re.compile(rb"[A-Za-z0-9+/_-]{16}"), re.compile(rb"[!-~]\x00[!-~]\x00")
+
+
+def telling(data: bytes) -> bool:
+    """False for bytes that certainly hold no secret and no further layer; the tests go from quick to slow."""
+    low = data.lower()
+    return any(x in low for x in _HINTS) or (b"\0" in data and bool(_WIDE.search(data))) or bool(MAGIC.search(data) or _RUN.search(data))
+
+
+#: Bytes that inflated data may have to be held whole; more are read as a stream, in steps that overlap.
+WHOLE, STEP, OVERLAP = 8 << 20, 1 << 20, 1 << 18
+#: Bytes that no secret, escape or run of base64 goes across.
+BREAKS = re.compile(rb"[^A-Za-z0-9+/_.=\-\"':%\\ \t\r\n>{}]")
+#: What broken compressed data raise.
+BROKEN = (zlib.error, zstandard.ZstdError, OSError, lzma.LZMAError, ValueError, EOFError)
 
 
 @dataclass(frozen=True)
@@ -114,33 +133,122 @@ def percent_value(m: re.Match) -> str:
 def escape_value(m: re.Match) -> str | None:
     if m[3]:
         return byte(int(m[3], 16))
-    code = int(m[1] or m[2], 16)
+    code = int(m[1] or m[2] or m[4], 16)
     return None if code > 0x10FFFF or 0xD800 <= code < 0xE000 else chr(code)
 
 
-def inflated(data: bytes) -> tuple[bytes, int] | None:
-    """What the compressed data at the start of the bytes hold, with whole streams right behind, and the bytes these take."""
-    out, rest = [], data
-    while m := MAGIC.match(rest):
-        kind = m[0][:2]
-        reader = {b"\x28\xb5": lambda: zstandard.ZstdDecompressor().decompressobj(), b"BZ": bz2.BZ2Decompressor, b"\xfd7": lzma.LZMADecompressor}.get(kind, partial(zlib.decompressobj, 47))()
-        try:
-            got = reader.decompress(rest)
-        except (zlib.error, zstandard.ZstdError, OSError, lzma.LZMAError, ValueError, EOFError):
-            break
-        if not reader.eof:
+class Inflater:
+    """One compressed stream, read in bounded steps."""
+
+    def __init__(self, start: bytes):
+        makers = {b"\x28\xb5": lambda: zstandard.ZstdDecompressor().decompressobj(), b"BZ": bz2.BZ2Decompressor, b"\xfd7": lzma.LZMADecompressor, b"": partial(zlib.decompressobj, -15)}
+        self.reader = makers.get(start[:2], partial(zlib.decompressobj, 47))()
+        # A few bytes of zstd can stand for a block of 128 KB each, and its reader has no bound of its own.
+        self.bounded, self.step = start[:2] != b"\x28\xb5", 64 if start[:2] == b"\x28\xb5" else 1 << 12
+        self.eof = self.failed = False
+        self.taken = 0
+
+    def pieces(self, data: memoryview) -> Iterator[bytes]:
+        """What the next bytes hold; ``taken`` counts the bytes of the stream so far."""
+        for at in range(0, len(data), self.step):
+            part = bytes(data[at : at + self.step])
+            self.taken += len(part)
+            while True:
+                try:
+                    got = self.reader.decompress(part, STEP) if self.bounded else self.reader.decompress(part)
+                except BROKEN:
+                    self.failed = True
+                    return
+                if got:
+                    yield got
+                if self.reader.eof:
+                    self.eof = True
+                    self.taken -= len(self.reader.unused_data)
+                    return
+                part = getattr(self.reader, "unconsumed_tail", b"")
+                if not (part or (self.bounded and len(got) == STEP)):
+                    break
+
+
+class Stream:
+    """Scans inflated bytes as they come. All stand for the same stretch of the original, so the kinds found are all that
+    is kept; data packed inside go to a stream of their own."""
+
+    def __init__(self) -> None:
+        self.tail, self.kinds, self.open, self.seen = b"", set(), [], set()
+        self.waiting, self.size = [], 0
+
+    def feed(self, data: bytes) -> None:
+        if len(self.kinds) < len(KINDS):
+            self.waiting.append(data)
+            self.size += len(data)
+            if self.size >= STEP:
+                self.read()
+
+    def read(self) -> set[int]:
+        """Scan what has come; the kinds so far."""
+        data = b"".join(self.waiting)
+        self.waiting, self.size = [], 0
+        if len(self.kinds) == len(KINDS):
+            return self.kinds
+        self.open = [x for x in self.open if self.pass_on(*x, memoryview(data))]
+        window, old = self.tail + data, len(self.tail)
+        for m in MAGIC.finditer(window, max(0, old - 5)):
+            inner = Inflater(m[0]), Stream()
+            if m.end() > old and self.pass_on(*inner, memoryview(window)[m.start() :]):
+                self.open.append(inner)
+        # The same bytes again, as in data made to inflate, hold nothing new.
+        mark = hashlib.blake2b(window, digest_size=16).digest()
+        if mark not in self.seen and telling(window):
+            place = (np.broadcast_to(np.int32(x), len(window)) for x in (0, 1))
+            self.kinds.update(kind for _, kind, _ in explored(Layer(window.decode("ascii", "surrogateescape"), *place), set(), packed=False))
+        if len(self.seen) < 1 << 16:
+            self.seen.add(mark)
+        cut = max(0, len(window) - OVERLAP)
+        if m := BREAKS.search(window, cut):
+            cut = m.end()
+        self.tail = window[cut:]
+        return self.kinds
+
+    def pass_on(self, inflater: Inflater, inner: Stream, data: memoryview) -> bool:
+        """Whether the stream inside goes on; only one that ends as it should counts."""
+        for piece in inflater.pieces(data):
+            inner.feed(piece)
+        if inflater.eof:
+            self.kinds |= inner.read()
+        return not (inflater.eof or inflater.failed)
+
+
+def inflated(data: memoryview) -> tuple[bytes, set[int], int] | None:
+    """What the compressed data at the start of the bytes hold, with whole streams right behind, the kinds found in it if
+    it is too much to be held, and the bytes these streams take."""
+    out, size, taken, stream, kinds = [], 0, 0, None, set()
+    while m := MAGIC.match(data[taken : taken + 8]):
+        inflater, parts, n = Inflater(m[0]), [], 0
+        for piece in inflater.pieces(data[taken:]):
+            if stream is None:
+                parts.append(piece)
+                n += len(piece)
+                if size + n > WHOLE:
+                    stream = Stream()
+                    for held in out + parts:
+                        stream.feed(held)
+                    out, parts = [], []
+            else:
+                stream.feed(piece)
+        if not inflater.eof:
             break
-        out.append(got)
-        rest = reader.unused_data
-    return (b"".join(out), len(data) - len(rest)) if out else None
+        out, size, taken = out + parts, size + n, taken + inflater.taken
+        kinds = set(stream.read()) if stream else kinds
+    return (b"".join(out), kinds, taken) if taken else None
 
 
-def unpacked(layer: Layer) -> list[Layer]:
+def unpacked(layer: Layer, found: set) -> list[Layer]:
     """What compressed data anywhere in the bytes of a decoded layer hold; all of it comes from the whole data."""
     data = layer.text.encode("utf-8", "surrogateescape")
     out, at, ends = [], 0, None
     while m := MAGIC.search(data, at):
-        got = inflated(data[m.start() :])
+        got = inflated(memoryview(data)[m.start() :])
         at = m.start() + 1
         if got is None:
             continue
@@ -148,16 +256,36 @@ def unpacked(layer: Layer) -> list[Layer]:
             code = np.frombuffer(layer.text.encode("utf-32-le", "surrogatepass"), "<u4")
             # A byte beyond ASCII stands as a lone surrogate.
             ends = np.cumsum(np.where(code >> 7 == 0xDC80 >> 7, 1, 1 + (code >= 0x80) + (code >= 0x800) + (code >= 0x10000)))
-        held, taken = got
+        held, kinds, taken = got
         first, last = np.searchsorted(ends, [m.start(), m.start() + taken - 1], "right").tolist()
         a, b = layer.span(first, last + 1)
-        if TELLING.search(held):
+        found.update((a, kind, b) for kind in kinds)
+        if telling(held):
             out.append(Layer(held.decode("ascii", "surrogateescape"), *(np.broadcast_to(np.int32(x), len(held)) for x in (a, b))))
         at = m.start() + taken
     return out
 
 
-def from_base64(layer: Layer, start: int, end: int) -> list[Layer]:
+def deflated(data: bytes, low: int, high: int, found: set) -> list[Layer]:
+    """What raw deflate data hold, which have no mark of their own: all the bytes must be one stream."""
+    inflater, stream, parts, size = Inflater(b""), None, [], 0
+    for piece in inflater.pieces(memoryview(data)):
+        parts.append(piece)
+        size += len(piece)
+        if stream is None and size > WHOLE:
+            stream = Stream()
+        if stream is not None:
+            for held in parts:
+                stream.feed(held)
+            parts = []
+    if not inflater.eof or inflater.taken < len(data):
+        return []
+    found.update((low, kind, high) for kind in (stream.read() if stream else ()))
+    held = b"".join(parts)
+    return [Layer(held.decode("ascii", "surrogateescape"), *(np.broadcast_to(np.int32(x), len(held)) for x in (low, high)))] if telling(held) else []
+
+
+def from_base64(layer: Layer, start: int, end: int, found: set) -> list[Layer]:
     """Bytes of a stretch of base64 letters from each of its first four letters on, so that whatever stands before, behind
     or between is no hindrance; every byte comes from its group of four."""
     text, letter = layer.text[start:end], np.ones(end - start, bool)
@@ -173,7 +301,9 @@ def from_base64(layer: Layer, start: int, end: int) -> list[Layer]:
         n = len(body) - first
         n -= n % 4 == 1
         data = binascii.a2b_base64(body[first : first + n] + "=" * (-n % 4))
-        if not TELLING.search(data):
+        if first == 0:
+            out += deflated(data, *layer.span(start, end), found)
+        if not telling(data):
             continue
         if place is None:
             low, high = layer.places()
@@ -183,8 +313,16 @@ def from_base64(layer: Layer, start: int, end: int) -> list[Layer]:
     return out
 
 
-def unwrapped(layer: Layer, done: set) -> list[Layer]:
-    """Layers directly inside this one; ``done``: stretches of base64 already decoded."""
+def without_nulls(layer: Layer) -> Layer:
+    """Text of two bytes a letter as it reads."""
+    kept = np.frombuffer(layer.text.encode("utf-32-le", "surrogatepass"), "<u4") != 0
+    low, high = layer.places()
+    return Layer(layer.text.replace("\0", ""), low[kept], high[kept])
+
+
+def unwrapped(layer: Layer, done: set, found: set, packed: bool = True) -> list[Layer]:
+    """Layers directly inside this one; ``done``: stretches of base64 already decoded; ``found`` gets spans of data too
+    large to be a layer. Without ``packed`` compressed data are left to the caller."""
     text, out = layer.text, []
     if "%" in text:
         out.append(swapped(layer, PERCENT, percent_value))
@@ -198,9 +336,11 @@ def unwrapped(layer: Layer, done: set) -> list[Layer]:
         key = (m[0], a) if layer.low is None else (m[0], int(layer.low[a])) if exact(layer, a, b) else Layer(m[0], layer.low[a:b], layer.high[a:b]).key()
         if key not in done:
             done.add(key)
-            out += from_base64(layer, a, b)
-    if layer.low is not None:
-        out += unpacked(layer)
+            out += from_base64(layer, a, b, found)
+    if layer.low is not None and "\0" in text:
+        out.append(without_nulls(layer))
+    if layer.low is not None and packed:
+        out += unpacked(layer, found)
     return [x for x in out if x is not None]
 
 
@@ -212,8 +352,15 @@ def exact(layer: Layer, start: int, end: int) -> bool:
 
 def scan(text: str) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, int]]]:
     """Spans of the text as it is, and these with the ones of all nested layers."""
-    base, done = base_spans(text), set()
-    found, seen, todo = set(base), set(), unwrapped(Layer(text), done)
+    base, found = base_spans(text), set()
+    return base, sorted(explored(Layer(text), found) | set(base))
+
+
+def explored(first: Layer, found: set, packed: bool = True) -> set[tuple[int, int, int]]:
+    """Spans of the secrets of a layer and of all layers inside it."""
+    done, seen = set(), set()
+    found.update(place(first, nested) for nested in base_spans(first.text))
+    todo = unwrapped(first, done, found, packed)
     while todo:
         layer = todo.pop()
         # Another copy of a layer has its places elsewhere and is entered too; the same one again finds nothing new.
@@ -221,8 +368,8 @@ def scan(text: str) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, in
             continue
         seen.add(key)
         found.update(place(layer, nested) for nested in base_spans(layer.text))
-        todo += unwrapped(layer, done)
-    return base, sorted(found)
+        todo += unwrapped(layer, done, found)
+    return found
 
 
 def place(layer: Layer, nested: tuple[int, int, int]) -> tuple[int, int, int]:
