@@ -22,7 +22,8 @@ def components(links: DataFrame) -> DataFrame:
     while True:
         # Large step: neighbours above a node point to the smallest of its neighbours and itself.
         both = now.union(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
+        # Written, so that a node with very many neighbours is joined by a join Spark can split.
+        least = materialise(both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m")), "least")
         large = apart(both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")))
         # Small step: in (a, b) with b below a, all b of one a and a itself point to the smallest b.
         least = large.groupBy("a").agg(F.min("b").alias("m"))

@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from docsynth.llm.arrays import fresh
@@ -26,17 +25,20 @@ def numbered(docs: DataFrame, key: str, columns: list[str] | None = None) -> Dat
 
 
 def from_files(docs: DataFrame, key: str, kept: list[Column]) -> DataFrame | None:
-    """Numbers by file and position; None if ``docs`` is no plain scan of Parquet files or reads a file twice."""
+    """Numbers by file and position; None if ``docs`` is no plain scan of Parquet files or reads a file twice.
+
+    Files are numbered in the order of their paths, one row each; the numbers are written and joined like any table, so
+    its size decides how.
+    """
     plan = docs._jdf.queryExecution().analyzed()
     if plan.nodeName() != "LogicalRelation" or plan.relation().toString() != "parquet":
         return None
     meta = docs.metadataColumn("_metadata")
     path, at = meta["file_path"], meta["row_index"]
-    files = docs.select(path.alias("path"), at.alias("at")).groupBy("path").agg(F.count(F.lit(1)).alias("n"), F.max("at").alias("last")).collect()  # a row a file, as the scan itself lists them
-    if any(f.n != f.last + 1 for f in files):
+    name, number, position = (fresh(docs, c) for c in ("file_path", "file_number", "file_position"))
+    files = docs.select(path.alias(name), at.alias("at")).groupBy(name).agg(F.count(F.lit(1)).alias("n"), F.max("at").alias("last"))
+    numbers = materialise(files.select(name, "n", "last", (F.row_number().over(Window.orderBy(name)) - 1).cast("long").alias(number)), "files")
+    if not numbers.where("n <> last + 1").isEmpty():
         return None
-    name, number = fresh(docs, "file_path"), fresh(docs, "file_number")
-    numbers = docs.sparkSession.createDataFrame(pa.table({name: pa.array(sorted(f.path for f in files), pa.string()), number: pa.array(range(len(files)), pa.int64())}))
-    position = fresh(docs, "file_position")
-    rows = docs.select(*kept, path.alias(name), at.alias(position)).join(F.broadcast(numbers), name, "left")
+    rows = docs.select(*kept, path.alias(name), at.alias(position)).join(numbers.select(name, number), name, "left")
     return rows.select(*kept, F.expr(f"shiftleft(`{number}`, {POSITION}) + `{position}`").alias(key))
