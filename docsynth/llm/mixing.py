@@ -3,12 +3,12 @@
 Sources get shares of all words by weight, at most REPEATS times their own size; what is above that is shared out again.
 Each source's weight changes over training time; its schedule is integrated to a cumulative demand for words, and the
 inverse of the demand gives every word taken from the source its time. Documents of a source stand in an order set by
-a digest of their id; the words the mix takes are whole rounds over the source and then a last, partial round that
+a digest of id and text; the words the mix takes are whole rounds over the source and then a last, partial round that
 ends within one document. Sorting all placements by time gives the order of training.
 
 Defined cases: a null text has size 0 and nothing is taken of it; a null source is a source of its own, last in order;
-without any word all targets are 0. Repeated rows count each. Equal ids are ordered by text; the order of rows equal in
-both cannot show. Other columns are kept by :func:`curriculum`.
+without any word all targets are 0. Repeated rows count each; the order of rows equal in id and text cannot show, and
+documents without id are spread by their texts. Other columns are kept by :func:`curriculum`.
 """
 
 from __future__ import annotations
@@ -65,17 +65,18 @@ def numbered(docs: DataFrame) -> DataFrame:
 def placed(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, repeats: int = REPEATS) -> DataFrame:
     """One narrow row for each of ``numbered(docs)``: size, source_size, target, taken, rounds (whole ones), part (words
     of the last round), start (words of the source before it), total (of the source) and position (time of its start)."""
-    digest = F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary"))
+    text = F.md5(F.coalesce(F.col("text"), F.lit("")).cast("binary"))
+    digest = F.md5(F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("")), text).cast("binary"))
     rows = docs.select(
         "_row", "doc_id", F.col("source").isNull().alias("missing"), F.coalesce("source", F.lit("")).alias("source"),
-        size_of("text").alias("size"), F.xxhash64("text").alias("same"), digest.alias("digest"), F.substring(digest, 1, DIGITS).alias("bucket"),
+        size_of("text").alias("size"), digest.alias("digest"), F.substring(digest, 1, DIGITS).alias("bucket"),
     )
     key = ["missing", "source"]
     sums = rows.groupBy(*key, "bucket").agg(F.sum("size").alias("words"))
     before = Window.partitionBy(*key).orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     firsts = sums.select(*key, "bucket", F.coalesce(F.sum("words").over(before), F.lit(0)).alias("before"))
     goals = targets(sums.groupBy(*key).agg(F.sum("words").alias("source_size")), weights, repeats)
-    inside = Window.partitionBy(*key, "bucket").orderBy("digest", "doc_id", "same").rowsBetween(Window.unboundedPreceding, -1)
+    inside = Window.partitionBy(*key, "bucket").orderBy("digest", "doc_id").rowsBetween(Window.unboundedPreceding, -1)
     rows = rows.withColumn("within", F.coalesce(F.sum("size").over(inside), F.lit(0)))
     rows = rows.join(firsts.join(goals, key), [*key, "bucket"])
     total = F.floor(F.col("target") + 0.5).cast("long")

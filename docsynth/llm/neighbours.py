@@ -7,8 +7,8 @@ K-th best lower bound) is dropped; the others are computed again from the origin
 dimension after the other, and go through a heap of K for each query.
 
 Defined cases: vectors that are null, empty or zero, or hold null or non-finite components, take no part, nor do rows
-without id. Vectors of different length are never compared. Of several rows with one id and length, the one whose
-vector sorts first counts. Ties go to the smaller id.
+without id. Vectors of different length are never compared. Rows that share an id are different rows: each is a candidate
+of the other, and each that is a query has its own ranks from 1. Ties go to the smaller id. Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -20,6 +20,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from docsynth.llm.arrays import fresh
+from docsynth.llm.keys import numbered
 from docsynth.session import materialise
 
 NEAREST = 20
@@ -33,8 +35,10 @@ SINGLE = (1 << 24) // (127 * 127)
 
 
 def usable(vectors: DataFrame, ident: str, vector: str) -> DataFrame:
-    """(id, v, dim) of the vectors that take part."""
-    rows = vectors.select(F.col(ident).cast("long").alias("id"), F.transform(F.col(vector), lambda x: x.cast("double")).alias("v"))
+    """(row, id, v, dim) of the vectors that take part."""
+    key = fresh(vectors, "row")
+    rows = numbered(vectors, key, [ident, vector])
+    rows = rows.select(F.col(key).alias("row"), F.col(ident).cast("long").alias("id"), F.transform(F.col(vector), lambda x: x.cast("double")).alias("v"))
     finite = F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
     rows = rows.where(F.col("id").isNotNull() & F.col("v").isNotNull())
     return rows.where(finite & F.exists("v", lambda x: x != 0)).withColumn("dim", F.size("v"))
@@ -42,20 +46,19 @@ def usable(vectors: DataFrame, ident: str, vector: str) -> DataFrame:
 
 def packed(rows: DataFrame, counts: DataFrame, blocks: str) -> DataFrame:
     """(dim, block, rows): lists of vectors; ``counts`` names for each length the number of blocks."""
-    dealt = rows.join(counts.select("dim", F.col(blocks).alias("n")), "dim").withColumn("block", F.pmod(F.xxhash64("id"), "n"))
-    return dealt.groupBy("dim", "block").agg(F.collect_list(F.struct("id", "v")).alias("rows"))
+    dealt = rows.join(counts.select("dim", F.col(blocks).alias("n")), "dim").withColumn("block", F.pmod(F.xxhash64("row"), "n"))
+    return dealt.groupBy("dim", "block").agg(F.collect_list(F.struct("row", "id", "v")).alias("rows"))
 
 
 class Block:
-    """Vectors of a block with their quantised form: one row for each id."""
+    """Vectors of a block with their quantised form, in the order of their rows."""
 
     def __init__(self, table: pa.Table):
         rows = table.column("rows").combine_chunks().flatten()
         ids = rows.field("id").to_numpy()
         vectors = rows.field("v").flatten().to_numpy().reshape(len(ids), -1)
-        order = np.lexsort((*vectors.T[::-1], ids))
-        order = order[np.concatenate([[True], ids[order][1:] != ids[order][:-1]])]
-        self.ids, self.vectors = ids[order], vectors[order]
+        order = np.argsort(rows.field("row").to_numpy())
+        self.rows, self.ids, self.vectors = rows.field("row").to_numpy()[order], ids[order], vectors[order]
         self.scale = np.abs(self.vectors).max(1) / 127
         self.small = np.rint(self.vectors / self.scale[:, None]).astype(np.int8)
         near = self.small * self.scale[:, None]
@@ -80,9 +83,9 @@ def exact(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return out
 
 
-def nearest(q: Block, c: Block, k: int) -> list[list[tuple[float, int]]]:
-    """For each query of a tile its k best (score, minus id)."""
-    heaps: list[list[tuple[float, int]]] = [[] for _ in q.ids]
+def nearest(q: Block, c: Block, k: int) -> list[list[tuple[float, int, int]]]:
+    """For each query of a tile its k best (score, minus id, minus row)."""
+    heaps: list[list[tuple[float, int, int]]] = [[] for _ in q.ids]
     with np.errstate(over="ignore", invalid="ignore"):
         for a in range(0, len(q.ids), STEP):
             qs = slice(a, min(a + STEP, len(q.ids)))
@@ -90,19 +93,19 @@ def nearest(q: Block, c: Block, k: int) -> list[list[tuple[float, int]]]:
             for b in range(0, len(c.ids), STEP):
                 cs = slice(b, min(b + STEP, len(c.ids)))
                 product, error = bounds(q, c, qs, cs)
-                own = q.ids[qs, None] == c.ids[cs]
+                own = q.rows[qs, None] == c.rows[cs]
                 floor = least
                 if cs.stop - b > k:
                     low = np.where(own, -np.inf, product - error)
                     floor = np.fmax(least, np.partition(low, -k, axis=1)[:, -k])
                 left, right = np.nonzero(~(product + error < floor[:, None]) & ~own)
                 scores = exact(q.vectors[a + left], c.vectors[b + right])
-                for i, j, s in zip(left.tolist(), c.ids[b + right].tolist(), scores.tolist(), strict=True):
+                for i, j, row, s in zip(left.tolist(), c.ids[b + right].tolist(), c.rows[b + right].tolist(), scores.tolist(), strict=True):
                     heap = heaps[a + i]
                     if len(heap) < k:
-                        heapq.heappush(heap, (s, -j))
-                    elif (s, -j) > heap[0]:
-                        heapq.heapreplace(heap, (s, -j))
+                        heapq.heappush(heap, (s, -j, -row))
+                    elif (s, -j, -row) > heap[0]:
+                        heapq.heapreplace(heap, (s, -j, -row))
                 least = np.array([h[0][0] if len(h) == k else -np.inf for h in heaps[qs]])
     return heaps
 
@@ -129,11 +132,12 @@ def search(vectors: DataFrame, is_query: Column, ident: str = "vec_id", vector:
         out = []
         if len(left) and len(right):
             q, c = Block(left), Block(right)
-            out = [(i, -j, s) for i, heap in zip(q.ids.tolist(), nearest(q, c, k), strict=True) for s, j in heap]
-        columns = list(zip(*out, strict=True)) or [[], [], []]
-        return pa.table([pa.array(columns[0], pa.int64()), pa.array(columns[1], pa.int64()), pa.array(columns[2], pa.float64())], ["query_id", "vec_id", "score"])
+            out = [(r, i, -j, -n, s) for r, i, heap in zip(q.rows.tolist(), q.ids.tolist(), nearest(q, c, k), strict=True) for s, j, n in heap]
+        columns = list(zip(*out, strict=True)) or [[]] * 5
+        kinds = [pa.int64()] * 4 + [pa.float64()]
+        return pa.table([pa.array(x, t) for x, t in zip(columns, kinds, strict=True)], ["query_row", "query_id", "vec_id", "row", "score"])
 
     key = ["dim", "q", "c"]
-    best = queries.groupBy(*key).cogroup(found.groupBy(*key)).applyInArrow(tile, "query_id long, vec_id long, score double")
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    best = queries.groupBy(*key).cogroup(found.groupBy(*key)).applyInArrow(tile, "query_row long, query_id long, vec_id long, row long, score double")
+    order = Window.partitionBy("query_row").orderBy(F.desc("score"), "vec_id", "row")
     return best.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

@@ -46,7 +46,7 @@ def op8_mixing(spark: SparkSession, path: str) -> DataFrame:
 
 ORACLE["op8_mixing"] = r"""
 WITH d AS (
-  SELECT doc_id, source, md5(CAST(doc_id AS VARCHAR)) AS digest,
+  SELECT doc_id, source, md5(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || md5(coalesce(text, ''))) AS digest,
          CAST(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS BIGINT) AS size
   FROM documents),
 s AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS place FROM d GROUP BY source),
@@ -89,14 +89,14 @@ def op6_nearest_neighbours(spark: SparkSession, path: str) -> DataFrame:
 
 
 ORACLE["op6_nearest_neighbours"] = """
-WITH v AS (
-  SELECT CAST(vec_id AS BIGINT) AS id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
+WITH v AS MATERIALIZED (
+  SELECT row_number() OVER () AS n, CAST(vec_id AS BIGINT) AS id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
   WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
     AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
 p AS (
-  SELECT q.id AS query_id, c.id AS vec_id, list_inner_product(q.v, c.v) AS score
-  FROM v q JOIN v c ON q.id % 20 = 0 AND q.id <> c.id AND len(q.v) = len(c.v)),
-r AS (SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score FROM p)
+  SELECT q.n, q.id AS query_id, c.id AS vec_id, list_inner_product(q.v, c.v) AS score
+  FROM v q JOIN v c ON q.id % 20 = 0 AND q.n <> c.n AND len(q.v) = len(c.v)),
+r AS (SELECT query_id, CAST(row_number() OVER (PARTITION BY n ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score FROM p)
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20"""
 
 
