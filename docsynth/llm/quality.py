@@ -23,8 +23,8 @@ from pyspark.sql import types as T
 from docsynth.llm.arrays import map_text, windows, words_of
 from docsynth.session import materialise
 
-#: Most good documents that one signal may reject, and the chance that any cutoff breaks this.
-ALPHA, DELTA = 0.01, 0.05
+#: Share of a stratum's good documents that all its cutoffs together may reject, and the chance that any stratum breaks this.
+ALPHA, DELTA = 0.05, 0.05
 #: Base rules: least words, most words in repeated windows (percent), words a window.
 LEAST_WORDS, MOST_REPEATED, WINDOW = 10, 20, 5
 SYMBOLS = b"#*$%&|<>"
@@ -104,6 +104,9 @@ def tail(k: int, n: int, p: float) -> float:
 def choose(rows: list[tuple[str, dict[str, list[int]]]], alpha: float = ALPHA, delta: float = DELTA) -> dict[str, dict[str, int]]:
     """Place of the chosen cutoff for each stratum and signal.
 
+    Each signal gets an equal share of ``alpha``, so a stratum's cutoffs reject ``alpha`` together at most; ``delta`` is
+    shared over all tests.
+
     ``rows``: for each stratum and signal the number of good documents by how many cutoffs reject them.
     """
     tests = sum(len(SIGNALS[s][1]) for _, found in rows for s in found)
@@ -112,7 +115,7 @@ def choose(rows: list[tuple[str, dict[str, list[int]]]], alpha: float = ALPHA, d
         for signal, counts in found.items():
             n = sum(counts)
             for place in range(len(SIGNALS[signal][1])):
-                if n and tail(sum(counts[place + 1 :]), n, alpha) <= delta / tests:
+                if n and tail(sum(counts[place + 1 :]), n, alpha / len(SIGNALS)) <= delta / tests:
                     out.setdefault(stratum, {})[signal] = place
                     break
     return out

@@ -220,15 +220,15 @@ def test_neighbours_odd_vectors(spark):
     rng = np.random.default_rng(1)
     rows = [(i, rng.normal(size=8).tolist()) for i in range(120)]
     rows += [(200, rows[3][1]), (201, rows[3][1]), (202, [0.0] * 8), (203, None), (204, [1.0, None] * 4), (205, [math.nan] * 8), (206, [math.inf] * 8), (None, [1.0] * 8), (208, [1.0, 2.0]), (220, [3.0, 1.0]), (240, []), (260, [1e200] * 8), (280, [1e-200] * 8)]
-    rows += [rows[4]]
+    rows += [rows[4], (40, rows[7][1]), (4, rows[9][1])]
     got = neighbours.search(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), F.col("id") % 20 == 0, k=5).collect()
-    good = {i: v for i, v in rows if i is not None and v and any(v) and all(x is not None and math.isfinite(x) for x in v)}
+    good = [(i, v) for i, v in rows if i is not None and v and any(v) and all(x is not None and math.isfinite(x) for x in v)]
     want = []
-    for q, u in good.items():
+    for a, (q, u) in enumerate(good):
         if q % 20 == 0:
             scores = []
-            for c, v in good.items():
-                if c != q and len(u) == len(v):
+            for b, (c, v) in enumerate(good):
+                if a != b and len(u) == len(v):
                     s = 0.0
                     for x, y in zip(u, v, strict=True):
                         s += x * y
@@ -237,6 +237,14 @@ def test_neighbours_odd_vectors(spark):
     assert sorted(tuple(r) for r in got) == sorted(want)
 
 
+def test_neighbours_that_share_an_id(spark):
+    """Rows of one id are candidates of their own, of each other too, and ranked apart as queries."""
+    rows = [(1, [0.5, 0.0], "a"), (1, [0.9, 0.1], "b"), (20, [1.0, 0.0], "c"), (20, [0.0, 2.0], "d")]
+    got = neighbours.search(spark.createDataFrame(rows, "vec_id long, embedding array<double>, row string"), F.col("id") % 20 == 0, k=3).collect()
+    want = [(20, 1, 1, 0.9), (20, 2, 1, 0.5), (20, 3, 20, 0.0), (20, 1, 1, 0.2), (20, 2, 1, 0.0), (20, 3, 20, 0.0)]
+    assert sorted(tuple(r) for r in got) == sorted(want)
+
+
 def test_neighbours_small_blocks(spark, monkeypatch):
     for name, value in (("QUERIES", 7), ("CANDIDATES", 11), ("STEP", 8)):
         monkeypatch.setattr(neighbours, name, value)

@@ -2,11 +2,14 @@
 
 import base64
 import bz2
+import functools
 import gzip
 import hashlib
 import lzma
 import random
 import re
+import subprocess
+import sys
 import urllib.parse
 import zlib
 
@@ -49,10 +52,15 @@ def test_bpe_decode_of_stored_ids(spark, tmp_path, library):
     assert [r.decoded for r in bpe.decode(coded, PATH).orderBy("doc_id").collect()] == [library.decode(library.encode(t or "", add_special_tokens=False).ids, skip_special_tokens=False) for _, t, _, _ in ROWS[:3]]
 
 
+@functools.cache
+def plain_library():
+    return Tokenizer.from_file(PATH)
+
+
 @settings(max_examples=300, deadline=None)
 @given(st.text(st.characters(max_codepoint=0x24F, exclude_categories=["Cs"]), max_size=60))
 def test_bpe_any_latin_text(text):
-    library = Tokenizer.from_file(PATH)
+    library = plain_library()
     assert np.frombuffer(bpe.loaded(PATH).encode(text), "<u4").tolist() == library.encode(text, add_special_tokens=False).ids
 
 
@@ -199,6 +207,11 @@ def plain_spans(text):
     return sorted(found)
 
 
+@functools.cache
+def plain_library():
+    return Tokenizer.from_file(PATH)
+
+
 @settings(max_examples=300, deadline=None)
 @given(st.lists(st.sampled_from(["token", "Secret", "API_KEY", "passwd", "=", ":", " ", '"', "abc", "AKIA", "ABCDEFGH12345678", "0123456789abcdef", "é", "%20", "\\u0041", "\n"]), max_size=25).map("".join))
 def test_secret_base(text):
@@ -232,6 +245,63 @@ def test_quality_counts(spark, tmp_path):
         assert not (r.kept and r.base_failed)
 
 
+def spans_of(text):
+    return {(k, a, b) for a, k, b in secretscan.scan(text)[1]}
+
+
+@pytest.mark.parametrize("window", range(9, 16))
+def test_secret_in_zlib_of_any_window(window):
+    for level in (1, 6, 9):
+        maker = zlib.compressobj(level, zlib.DEFLATED, window)
+        packed = base64.b64encode(maker.compress(b"some text and api_key = abcdef123 and more") + maker.flush()).decode()
+        assert spans_of(f"x {packed} y") == {(0, 2, 2 + len(packed))}
+
+
+def test_secret_in_other_wrappings():
+    raw = zlib.compressobj(6, zlib.DEFLATED, -15)
+    packed = base64.b64encode(raw.compress(b"words, password: hunter2222 words") + raw.flush()).decode()
+    assert spans_of(f"a {packed} z") == {(0, 2, 2 + len(packed))}
+    for kind in ("utf-16-le", "utf-16-be", "utf-16"):
+        wide = base64.b64encode("my secret = abcdefgh now".encode(kind)).decode()
+        assert {k for k, _, _ in spans_of(f"a {wide} z")} == {0}
+    assert spans_of(r"\u{74}oken=abcdefg") == {(0, 0, 18)}
+
+
+@pytest.mark.parametrize("pack", [gzip.compress, zlib.compress, bz2.compress, zstandard.compress, lambda d: lzma.compress(d, preset=0)])
+def test_secret_in_much_inflated_data(pack):
+    """What inflates to far more than may be held is read as a stream, also where a secret lies across its steps."""
+    body = bytearray(b"no thing here, " * 1_000_000)
+    assigned = lambda t: {x for x in spans_of(t) if x[0] == 0}
+    for at in (len(body) - 40, secretscan.WHOLE + 5 * secretscan.STEP - 11):
+        data = bytearray(body)
+        data[at : at + 23] = b" password = hunter2222 "
+        packed = base64.b64encode(pack(bytes(data))).decode()
+        assert (0, 2, 2 + len(packed)) in assigned(f"x {packed} y")
+    packed = base64.b64encode(pack(bytes(body))).decode()
+    assert assigned(f"x {packed} y") == set()
+    inner = base64.b64encode(b"token: abcdefgh")
+    both = base64.b64encode(pack(bytes(body) + pack(bytes(body[:3_000_000]) + inner + b" " * 10_000_000) + bytes(body[:1000]))).decode()
+    assert (0, 2, 2 + len(both)) in assigned(f"x {both} y")
+
+
+def test_inflated_data_take_little_memory():
+    """About 200 MB of inflated text from less than 1 MB of base64."""
+    script = """
+import base64, resource, zlib
+from docsynth.llm import secretscan
+maker = zlib.compressobj(9)
+block = b"some words, " * 80_000 + b"\\n"
+packed = b"".join(maker.compress(block) for _ in range(200)) + maker.compress(b" token = abcdefghij ") + maker.flush()
+text = base64.b64encode(packed).decode()
+before = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
+assert (0, 0, len(text)) in secretscan.scan(text)[1]
+print((resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before) // 1024)
+"""
+    out = subprocess.run([sys.executable, "-c", script], capture_output=True, text=True, cwd=str(arrays.ROOT), timeout=120)
+    assert out.returncode == 0, out.stderr
+    assert int(out.stdout.split()[-1]) < 120
+
+
 def test_quality_cutoffs_keep_their_promise():
     grid = len(quality.SIGNALS["symbol_share"][1])
     # 2000 good documents, 10 above the first cutoff: the bound rules out a share above 1%.
