@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -58,6 +60,17 @@ def text_size(c: Column) -> Column:
     return F.struct(F.array_max(F.transform(lines, display_width)).alias("width"), F.size(lines).alias("height"))
 
 
+def with_starts(items: Column, size: Callable[[Column], Column], gap: int = 0) -> Column:
+    """Texts with the sum of the sizes and gaps before each: ARRAY<STRUCT<item, x>>, in one pass."""
+    zero = F.struct(F.array().cast("array<struct<item:string,x:bigint>>").alias("out"), F.lit(0).cast("bigint").alias("x"))
+
+    def step(s: Column, item: Column) -> Column:
+        here = F.struct(item.alias("item"), s["x"].alias("x"))
+        return F.struct(F.concat(s["out"], F.array(here)).alias("out"), (s["x"] + size(item) + gap).cast("bigint").alias("x"))
+
+    return F.aggregate(items, zero, step, lambda s: s["out"])
+
+
 def wrap_chars(line: Column, width: int) -> Column:
     """Pieces of at most ``width`` columns; a wide sign that would overflow starts the next piece."""
     plain = F.regexp_extract_all(line, F.lit(f"(?s).{{1,{width}}}"), F.lit(0))
@@ -178,13 +191,11 @@ def justify_words(line: Column, slot: int, char_width: int) -> Column:
         free = F.lit(slot) - F.length(F.array_join(ws, "")) * char_width
         share = F.when(gaps > 0, F.floor(free / gaps)).otherwise(0)
         extra = F.when(gaps > 0, F.pmod(free, gaps)).otherwise(0)
-        sizes = F.transform(ws, lambda w: F.length(w))
-        return F.struct(ws.alias("ws"), share.alias("share"), extra.alias("extra"), sizes.alias("sizes"))
+        return F.struct(with_starts(ws, lambda w: F.length(w) * char_width).alias("ws"), share.alias("share"), extra.alias("extra"))
 
     def place(m: Column) -> Column:
         def at(w: Column, i: Column) -> Column:
-            before = F.aggregate(F.slice(m["sizes"], F.lit(1), i), F.lit(0), lambda a, n: a + n) * char_width
-            return F.struct(w.alias("word"), (before + i * m["share"] + F.least(i, m["extra"])).cast("bigint").alias("x"))
+            return F.struct(w["item"].alias("word"), (w["x"] + i * m["share"] + F.least(i, m["extra"])).cast("bigint").alias("x"))
 
         return F.transform(m["ws"], at)
 
@@ -323,13 +334,8 @@ def split_on_gaps(line: Column) -> Column:
     """Pieces parted by two or more spaces with their start column: ARRAY<STRUCT<piece, x>>."""
     runs = F.regexp_extract_all(line, F.lit(r"(\S(?:\S| (?=\S))*)|( +)"), F.lit(0))
 
-    def place(rs: Column) -> Column:
-        def at(p: Column, i: Column) -> Column:
-            return F.struct(p.alias("piece"), display_width(F.array_join(F.slice(rs, F.lit(1), i), "")).alias("x"))
-
-        return F.filter(F.transform(rs, at), lambda s: F.trim(s["piece"]) != "")
-
-    return let(runs, place)
+    pieces = F.filter(with_starts(runs, display_width), lambda s: F.trim(s["item"]) != "")
+    return F.transform(pieces, lambda s: F.struct(s["item"].alias("piece"), s["x"].alias("x")))
 
 
 def shuangpin(syllable: Column) -> Column:

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from docsynth.functions.binding import let
-from docsynth.functions.text import BODY_SPLIT, display_width
+from docsynth.functions.text import BODY_SPLIT, display_width, with_starts
 from docsynth.operators.ordered import entry_states, number_rows, scan
 
 LINE_BLOCK = 1024
@@ -119,16 +119,15 @@ def cell_positions(lines: DataFrame, font: int, line_height: int) -> DataFrame:
     )
     pieces = F.split("line", BODY_SPLIT)
     near = near.where(~is_rule).withColumn("cells", F.slice(pieces, F.lit(2), F.size(pieces) - 2))
-    near = near.withColumn("ws", F.transform("cells", display_width))
+    near = near.withColumn("cells", with_starts(F.col("cells"), display_width, 1))
 
-    def box(text: Column, i: Column) -> Column:
-        before = F.aggregate(F.slice(F.col("ws"), F.lit(1), i), F.lit(0), lambda a, w: a + w + 1) + 1
-        width = F.get(F.col("ws"), i)
+    def box(cell: Column, i: Column) -> Column:
+        left = cell["x"] + 1
         return F.struct(
             i.alias("col_no"),
-            text.alias("text"),
-            (before * (font // 2)).cast("bigint").alias("l"),
-            ((before + width) * (font // 2)).cast("bigint").alias("r"),
+            cell["item"].alias("text"),
+            (left * (font // 2)).cast("bigint").alias("l"),
+            ((left + display_width(cell["item"])) * (font // 2)).cast("bigint").alias("r"),
         )
 
     placed = near.select("table_id", "line_no", "above", "below", F.explode_outer(F.transform("cells", box)).alias("c")).where(F.col("c").isNotNull())
