@@ -320,7 +320,19 @@ def scale_boxes(t: Tables) -> DataFrame:
     return boxes(t).join(page, "image_id").select("ann_id", *[(C(k) * scale).cast("bigint").alias(k) for k in "ltrb"])
 
 
-@query()
+@query(
+    f"""WITH a AS (SELECT c_custkey, length(c_name) AS n, {integer_sql('c_custkey', 52, 150, 400)} AS radius FROM customer),
+    d AS (SELECT *, 2 * asin(CAST(0.7 AS DOUBLE) * 24 * sqrt(CAST(2 AS DOUBLE)) / 2 / radius) AS d FROM a),
+    v AS (SELECT c_custkey, n, edge, k, -d * (n - 1) / 2 AS turn, radius, radius + edge AS far,
+        CASE WHEN k = 0 THEN -d / 2 WHEN k = n + 1 THEN d * (n - 1) + d / 2 ELSE d * (k - 1) END AS angle
+      FROM d, (VALUES (12), (-12)) AS e(edge), range(0, n + 2) AS r(k)),
+    w AS (SELECT *, far * sin(angle) AS dx, radius - far * cos(angle) AS dy FROM v),
+    p AS (SELECT c_custkey, edge, CASE WHEN edge > 0 THEN k ELSE 2 * n + 3 - k END AS place,
+      CASE WHEN dx = 0 THEN 0 ELSE CAST(trunc(dx * cos(turn) - dy * sin(turn)) AS BIGINT) END AS x,
+      CAST(trunc(CASE WHEN dx = 0 THEN dy ELSE dx * sin(turn) + dy * cos(turn) END) AS BIGINT) AS y FROM w),
+    o AS (SELECT *, x - min(x) OVER (PARTITION BY c_custkey) AS ox, y - min(y) OVER (PARTITION BY c_custkey) AS oy FROM p)
+    SELECT c_custkey, count(*) AS n, string_agg(ox || ',' || oy, ';' ORDER BY place) AS outline FROM o GROUP BY c_custkey"""
+)
 def arc_polygon(t: Tables) -> DataFrame:
     arcs = t.customer.withColumns({"n": F.length("c_name"), "size": F.lit(24), "radius": integer(C("c_custkey"), 52, 150, 400)})
     outlines = ann.arc_outlines(arcs, "n", "size", "radius")

@@ -150,15 +150,54 @@ def _blocks_sql() -> str:
     return " UNION ALL ".join(one)
 
 
-@query(
-    f"""SELECT id, row_number() OVER w AS pos, kind, copy, CASE WHEN (row_number() OVER w - 1) * 2 < count(*) OVER (PARTITION BY id)
-    THEN 'first' ELSE 'second' END AS half FROM ({_blocks_sql()}) WINDOW w AS (PARTITION BY id ORDER BY ord, kind, copy)"""
-)
+BLOCKS = f"""(SELECT id, row_number() OVER w AS pos, kind, copy, CASE WHEN (row_number() OVER w - 1) * 2 < count(*) OVER (PARTITION BY id)
+    THEN 'first' ELSE 'second' END AS half FROM ({_blocks_sql()}) WINDOW w AS (PARTITION BY id ORDER BY ord, kind, copy))"""
+
+
+@query(f"SELECT * FROM {BLOCKS}")
 def form_blocks(t: Tables) -> DataFrame:
     return forms.form_blocks(t.customer.select(C("c_custkey").alias("id")))
 
 
-@query()
+def _word_sql(j: int | str, salt: int) -> str:
+    return "(" + " || ".join(f"chr(CAST(((s{salt} >> {5 * m}) + ({j}) * {m + 3}) % 26 + 97 AS INTEGER))" for m in range(5)) + ")"
+
+
+def _value_sql(j: int | str) -> str:
+    return f"CASE WHEN (s445 + ({j}) * 7) % 10 < 2 THEN ' ' ELSE {_word_sql(j, 442)} END"
+
+
+def _joined_sql(sign: str, *parts: str) -> str:
+    return "(" + f" || '{sign}' || ".join(parts) + ")"
+
+
+def _heads_sql() -> str:
+    """Lines that a block has besides its numbered ones, at places from -1 on."""
+    head = _joined_sql("|", "''", *[_word_sql(j, 443) for j in (301, 302, 303)])
+    over = _joined_sql("|", "''", _word_sql(311, 443), "''", "''")
+    marks = _joined_sql(" ", _word_sql(1, 441), f"(SELECT string_agg('[x]' || {_word_sql('j', 442)}, ' ' ORDER BY j) FROM range(1, n + 1) AS r(j))")
+    return f"""SELECT id, pos, kind, -1 AS j, {over} AS line FROM d WHERE kind = 'nested'
+      UNION ALL SELECT id, pos, kind, 0, {head} FROM d WHERE kind IN ('grid', 'nested')
+      UNION ALL SELECT id, pos, kind, 0, {_joined_sql(': ', _word_sql(1, 441), _word_sql(2, 442))} FROM d WHERE kind = 'single'
+      UNION ALL SELECT id, pos, kind, 0, {marks} FROM d WHERE kind = 'options'"""
+
+
+BODIES = {
+    "multi": _joined_sql(" ", _word_sql("j", 441), _word_sql("j + 10", 442), _word_sql("j + 20", 443)),
+    "pairs": _joined_sql("|", _word_sql("j", 441), _value_sql("j"), _word_sql("j + 50", 441), _value_sql("j + 50")),
+    "grid": _joined_sql("|", _word_sql("j", 441), _value_sql("j"), _value_sql("j + 100"), _value_sql("j + 200")),
+    "beside": f"rpad({_word_sql('j', 441)}, 12, ' ') || rpad({_word_sql('j', 442)}, 12, ' ')",
+}
+BODIES["nested"] = BODIES["grid"]
+
+
+@query(
+    f"""WITH d AS MATERIALIZED (SELECT id, pos, kind, {', '.join(f"{draw_sql('id * 1009 + pos', k)} AS s{k}" for k in (441, 442, 443, 445))},
+      {integer_sql('id * 1009 + pos', 440, 2, 5)} AS n FROM {BLOCKS}),
+    x AS (SELECT id, pos, kind, j, CASE kind {' '.join(f"WHEN '{k}' THEN {v}" for k, v in BODIES.items())} END AS line
+      FROM d, range(1, 6) AS r(j) WHERE j <= n AND kind NOT IN ('single', 'options') UNION ALL {_heads_sql()})
+    SELECT id, pos, kind, row_number() OVER (PARTITION BY id, pos ORDER BY j) - 1 AS line_no, line FROM x"""
+)
 def form_block_bodies(t: Tables) -> DataFrame:
     return forms.block_lines(forms.form_blocks(t.customer.select(C("c_custkey").alias("id"))))
 
@@ -186,7 +225,25 @@ def template_fill(t: Tables) -> DataFrame:
     return forms.template_fill(ids, corpus.number_words(words(t)))
 
 
-@query()
+KINDS = ", ".join(
+    f"({mode}, {c}, {len(kinds)}, {k}, '{kind}')" for mode, columns in enumerate(forms.PAGES) for c, kinds in enumerate(columns) for k, kind in enumerate(kinds)
+)
+
+
+@query(
+    f"""WITH kinds(mode, col_no, n, k, kind) AS (VALUES {KINDS}),
+    e AS (SELECT c_custkey AS id, kinds.*, CASE col_no WHEN 0 THEN {draw_sql('c_custkey', 450)} ELSE {draw_sql('c_custkey', 451)} END AS seed
+      FROM customer JOIN kinds ON mode = c_custkey % 5),
+    b AS (SELECT id, col_no, j, kind, CASE kind WHEN 'title' THEN 30 WHEN 'text' THEN 60 ELSE 120 + (seed + j * 7919) % 5 * 20 END AS height
+      FROM e, range(0, 30) AS r(j) WHERE j % n = k),
+    s AS (SELECT *, sum(height + 12) OVER (PARTITION BY id, col_no ORDER BY j) - height - 12 AS top FROM b),
+    f AS (SELECT *, min(CASE WHEN top + height > 900 THEN j END) OVER (PARTITION BY id, col_no) AS stop FROM s),
+    kept AS (SELECT * FROM f WHERE j < stop),
+    z AS (SELECT id, col_no, max(top + height + 12) AS used, max(stop) - CASE WHEN arg_max(kind, j) = 'title' THEN 1 ELSE 0 END AS size
+      FROM kept GROUP BY id, col_no)
+    SELECT id, CAST(col_no AS BIGINT) AS col_no, j AS pos, kind, CAST(top AS BIGINT) AS top, CAST(height AS BIGINT) AS height FROM kept WHERE kind <> 'title' OR j < stop - 1
+    UNION ALL SELECT id, col_no, size + q, 'text', CAST(used + q * 72 AS BIGINT), 60 FROM z, range(0, 13) AS r(q) WHERE used + q * 72 + 60 <= 900"""
+)
 def page_layout(t: Tables) -> DataFrame:
     return forms.page_layout(t.customer.select(C("c_custkey").alias("id")))
 
