@@ -5,18 +5,26 @@ decreasing: longest first, each into the open row with the least room that still
 the amounts of room. A shard is a run of SHARD_TOKENS of one partition, so memory is bounded and no row depends on
 another partition.
 
+:func:`write` stores each shard as two binary files, made by the task that packs it: the id matrix for training to map
+into memory, and the arrays that describe its rows. :func:`read` gives the rows back.
+
 Defined cases: a null or empty text has no ids and is in no row. Repeated rows are packed each. A document without id is
-listed with a null. Other columns are ignored.
+listed with a null. Other columns are ignored. An empty table, and one without any id, gives no rows and no files.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import hashlib
+import uuid
+from collections.abc import Iterable, Iterator
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
+from pyarrow import fs
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from docsynth.llm import bpe
 from docsynth.llm.arrays import slices
@@ -31,6 +39,12 @@ PAD = 49_407
 SCHEMA = (
     "shard long, row long, n_tokens int, ids binary, cumulative array<int>, position_resets array<int>, doc_ids array<long>, doc_starts array<long>"
 )
+#: Lists of a row that stand beside its ids.
+SCHEMA_LISTS = ("cumulative", "position_resets", "doc_ids", "doc_starts")
+
+MANIFEST = "shard long, name string, row_tokens int, n_rows long, n_tokens long, n_segments long, ids_sha256 string"
+#: Shards that a task of the reader takes on average, and rows in a batch of it.
+READ_SHARDS, READ_ROWS = 8, 512
 
 
 class Room:
@@ -143,3 +157,89 @@ def pack(docs: DataFrame, path: str, row: int = ROW_TOKENS, shard: int = SHARD_T
         yield from flush()
 
     return docs.select("doc_id", "text").mapInArrow(task, SCHEMA)
+
+
+def place_of(folder: str) -> tuple[fs.FileSystem, str]:
+    """File system and path of a folder: any that pyarrow opens by its URI, or a mounted path."""
+    return fs.FileSystem.from_uri(folder if "://" in folder else folder.removeprefix("file:"))
+
+
+def rows_in(batches: Iterable[pa.RecordBatch]) -> Iterator[dict]:
+    for batch in batches:
+        for at in range(0, len(batch), 64):
+            yield from batch.slice(at, 64).to_pylist()
+
+
+def store(where: fs.FileSystem, folder: str, shard: int, rows: Iterable[dict]) -> tuple:
+    """Files of one shard; a row of the manifest.
+
+    ``.ids``: n_rows x row_tokens ids, little-endian unsigned 32-bit. ``.segments``: an Arrow file with
+    the cumulative lengths, resets and origins of each row. The ids are written as they come,
+    and both files get their names when they are whole, so a task that is lost or runs twice leaves no half file.
+    """
+    name, made = f"{shard:016x}", uuid.uuid4().hex
+    digest, n_rows, n_tokens, n_segments, wide = hashlib.sha256(), 0, 0, 0, 0
+    kinds = pa.schema([("row", pa.int64()), ("n_tokens", pa.int32()), ("cumulative", pa.list_(pa.int32())), ("position_resets", pa.list_(pa.int32())), ("doc_ids", pa.list_(pa.int64())), ("doc_starts", pa.list_(pa.int64()))])
+    held: list[dict] = []
+    ids_at, segments_at = f"{folder}/{name}-{made}.ids.part", f"{folder}/{name}-{made}.segments.part"
+    with where.open_output_stream(ids_at) as ids, where.open_output_stream(segments_at) as side, pa.ipc.new_file(side, kinds) as segments:
+        for r in rows:
+            matrix = r.pop("ids")
+            ids.write(matrix)
+            digest.update(matrix)
+            wide = len(matrix) // 4
+            n_rows, n_tokens, n_segments = n_rows + 1, n_tokens + r["n_tokens"], n_segments + len(r["doc_ids"])
+            held.append(r)
+            if len(held) == READ_ROWS:
+                segments.write_batch(pa.RecordBatch.from_pylist(held, kinds))
+                held = []
+        if held:
+            segments.write_batch(pa.RecordBatch.from_pylist(held, kinds))
+    where.move(ids_at, f"{folder}/{name}.ids")
+    where.move(segments_at, f"{folder}/{name}.segments")
+    return shard, name, wide, n_rows, n_tokens, n_segments, digest.hexdigest()
+
+
+def write(docs: DataFrame, path: str, folder: str, row: int = ROW_TOKENS, shard: int = SHARD_TOKENS, pad: int = PAD) -> DataFrame:
+    """Packs ``docs`` as :func:`pack` does and stores the shards under ``folder``; returns their manifest.
+
+    ``folder`` must be new, shared by driver and executors, and known to Spark and to pyarrow under this name. The
+    manifest is written last: a folder without one is not whole.
+    """
+    columns = [f.split()[0] for f in MANIFEST.split(", ")]
+
+    def task(batches):
+        where, at = place_of(folder)
+        where.create_dir(f"{at}/shards", recursive=True)
+        for number, rows in groupby(rows_in(batches), lambda r: r["shard"]):
+            made = store(where, f"{at}/shards", number, ({k: v for k, v in r.items() if k != "shard"} for r in rows))
+            yield pa.RecordBatch.from_pylist([dict(zip(columns, made, strict=True))], kinds)
+
+    kinds = pa.schema([(c, pa.string() if c in ("name", "ids_sha256") else pa.int32() if c == "row_tokens" else pa.int64()) for c in columns])
+    pack(docs, path, row, shard, pad).mapInArrow(task, MANIFEST).write.parquet(f"{folder}/manifest")
+    return docs.sparkSession.read.schema(MANIFEST).parquet(f"{folder}/manifest")
+
+
+def read(spark: SparkSession, folder: str) -> DataFrame:
+    """The rows that :func:`write` stored; ids that do not have the digest of the manifest are an error."""
+    manifest = spark.read.schema(MANIFEST).parquet(f"{folder}/manifest")
+
+    def task(batches):
+        where, at = place_of(folder)
+        for m in rows_in(batches):
+            digest, size = hashlib.sha256(), 4 * m["row_tokens"]
+            with where.open_input_stream(f"{at}/shards/{m['name']}.ids") as ids, where.open_input_file(f"{at}/shards/{m['name']}.segments") as side:
+                segments = pa.ipc.open_file(side)
+                for k in range(segments.num_record_batches):
+                    part = segments.get_batch(k)
+                    data = ids.read(size * len(part))
+                    digest.update(data)
+                    matrix = pa.array([data[i : i + size] for i in range(0, len(data), size)], pa.binary())
+                    number = pa.array([m["shard"]] * len(part), pa.int64())
+                    yield pa.RecordBatch.from_arrays([number, part["row"], part["n_tokens"], matrix, *(part[c] for c in SCHEMA_LISTS)], names)
+                if digest.hexdigest() != m["ids_sha256"] or ids.read(1):
+                    raise ValueError(f"shard {m['name']} is not as it was written")
+
+    names = [f.split()[0] for f in SCHEMA.split(", ")]
+    tasks = manifest.count() // READ_SHARDS + 1
+    return manifest.repartition(tasks, F.col("shard")).mapInArrow(task, SCHEMA)

@@ -355,6 +355,52 @@ def test_packing_round_trip(spark, tmp_path):
     assert not any(parts.values())
 
 
+def test_packing_files(spark, tmp_path):
+    rows = [*ROWS, (8, "many words " * 9_000, "en", "a"), *[(100 + i, "word " * (i * 7 % 300), "en", "a") for i in range(60)]]
+    table, folder = helpers.docs(spark, tmp_path, rows), str(tmp_path / "packed")
+    manifest = packing.write(table, PATH, folder, row=128, shard=2000).collect()
+    want = {(r.shard, r.row): r for r in packing.pack(table, PATH, row=128, shard=2000).collect()}
+    got = packing.read(spark, folder).collect()
+    assert len(got) == len(want) and {(r.shard, r.row): r for r in got} == want
+    assert sum(m.n_tokens for m in manifest) == sum(r.n_tokens for r in got) and sum(m.n_segments for m in manifest) == sum(len(r.doc_ids) for r in got)
+    # Another program maps the matrix into memory, without Spark.
+    for m in manifest:
+        matrix = np.memmap(f"{folder}/shards/{m.name}.ids", "<u4", "r").reshape(m.n_rows, m.row_tokens)
+        for k in (0, m.n_rows - 1):
+            assert matrix[k].tobytes() == want[m.shard, k].ids
+    assert sorted(p.name for p in (tmp_path / "packed/shards").iterdir()) == sorted(f"{m.name}.{x}" for m in manifest for x in ("ids", "segments"))
+    with pytest.raises(Exception, match="already exists|ALREADY_EXISTS"):
+        packing.write(table, PATH, folder)
+    changed = tmp_path / f"packed/shards/{manifest[0].name}.ids"
+    changed.write_bytes(b"\1\2\3\4" + changed.read_bytes()[4:])
+    with pytest.raises(Exception, match="is not as it was written"):
+        packing.read(spark, folder).collect()
+
+
+def test_packing_files_written_again_and_cut_off(tmp_path):
+    """A task that dies leaves no file under a name; the one that runs again takes its place."""
+    where, folder = packing.place_of(f"file:{tmp_path}")
+    row = lambda k: {"row": k, "n_tokens": 2, "ids": b"\0" * 8, "cumulative": [0, 2], "position_resets": [0], "doc_ids": [None], "doc_starts": [0]}
+
+    def dying():
+        yield row(0)
+        raise OSError("lost")
+
+    with pytest.raises(OSError, match="lost"):
+        packing.store(where, folder, 5, dying())
+    assert not (tmp_path / f"{5:016x}.ids").exists()
+    first = packing.store(where, folder, 5, [row(0), row(1)])
+    assert packing.store(where, folder, 5, [row(0), row(1)]) == first
+    assert (tmp_path / f"{5:016x}.ids").stat().st_size == 16
+
+
+def test_packing_files_of_nothing(spark, tmp_path):
+    for k, rows in enumerate(([], [(1, None, "en", "a"), (2, "", "en", "a")])):
+        folder = str(tmp_path / f"none{k}")
+        assert packing.write(helpers.docs(spark, tmp_path, rows), PATH, folder).collect() == []
+        assert packing.read(spark, folder).collect() == []
+
+
 @pytest.mark.parametrize("make", [lambda d: bpe.digest(d, PATH), langid.predict, secretscan.report, lambda d: packing.pack(d, PATH)])
 def test_empty_table(spark, tmp_path, make):
     assert make(helpers.docs(spark, tmp_path, [])).collect() == []
