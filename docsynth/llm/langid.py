@@ -5,7 +5,8 @@ For each language a raw-content dictionary is made from a bounded sample of labe
 the language with the fewest bytes wins. Where the runner-up needs hardly more bytes the answer is marked as rejected.
 
 Defined cases: a null text or one without a letter is ``und`` with score 0 and rejected, as is every text where nothing
-was learned. Ties go to the language that sorts first, and are rejected. Other columns are kept.
+was learned. Ties go to the language that sorts first, and are rejected. Other columns are kept, repeated rows get the
+same answer, and an empty table gives an empty one. A text is compressed once for each language, so cost grows with them.
 """
 
 from __future__ import annotations
@@ -39,15 +40,15 @@ class Model:
     content: tuple[bytes, ...]
 
 
-def fit(labelled: DataFrame, text: str = "text", lang: str = "lang", ident: str = "doc_id") -> Model:
-    """Dictionaries from rows with text and language.
+def fit(labelled: DataFrame, text: str = "text", lang: str = "lang") -> Model:
+    """Dictionaries from text and language alone.
 
-    The sample is the row of smallest hash in each of SAMPLE_ROWS buckets of a language: the same for every order and
-    partitioning, merged before the shuffle, at most SAMPLE_ROWS rows a language. Rows up to SAMPLE_CHARS characters
-    are preferred, longer ones give their first SAMPLE_CHARS.
+    The sample is the text of smallest hash in each of SAMPLE_ROWS buckets of a language: the same for every order and
+    partitioning, merged before the shuffle, at most SAMPLE_ROWS texts a language. Texts up to SAMPLE_CHARS characters
+    are preferred, longer ones give their first SAMPLE_CHARS. Repeated rows count once.
     """
-    rows = labelled.where(F.col(text).isNotNull() & F.col(lang).isNotNull()).select(F.col(lang).alias("lang"), F.col(text).alias("text"), F.col(ident).alias("id"))
-    order = F.xxhash64("id", "text")
+    rows = labelled.where(F.col(text).isNotNull() & F.col(lang).isNotNull()).select(F.col(lang).alias("lang"), F.col(text).alias("text"))
+    order = F.xxhash64("text")
     short = F.length("text") > F.lit(SAMPLE_CHARS)
     bucket = F.pmod(F.shiftright(order, 20), F.lit(SAMPLE_ROWS))
     rows = rows.select("lang", bucket.alias("bucket"), F.struct(short.alias("long"), order.alias("order"), F.substring("text", 1, SAMPLE_CHARS).alias("text")).alias("row"))

@@ -17,6 +17,7 @@ import helpers
 import numpy as np
 import public_tokenizers
 import pytest
+import xxhash
 import zstandard
 from docsynth.llm import arrays, bpe, langid, packing, quality, secretscan
 from hypothesis import given, settings
@@ -103,6 +104,50 @@ def test_language_rows(spark, tmp_path):
     assert all(got[d].held_out == (zlib.crc32(str(d).encode()) % 3 == 1) for d in got if d is not None)
 
 
+def plain_languages(rows):
+    """(doc_id, language, score) of each (doc_id, text, lang): dictionaries from texts of smallest hash, all pieces compressed."""
+    best = {}
+    for d, text, lang in rows:
+        if text is None or lang is None or (d is not None and zlib.crc32(str(d).encode()) % 3 == 1):
+            continue
+        order = xxhash.xxh64(text.encode(), seed=42).intdigest()
+        order -= (order >> 63) << 64
+        at, mine = (lang, (order >> 20) % langid.SAMPLE_ROWS), (len(text) > langid.SAMPLE_CHARS, order, text[: langid.SAMPLE_CHARS])
+        best[at] = min(best.get(at, mine), mine)
+    content = {}
+    for (lang, _), (_, _, text) in sorted(best.items()):
+        content[lang] = content[lang] + "\n" + text if lang in content else text
+    coders = {}
+    for lang, text in sorted(content.items()):
+        d = zstandard.ZstdCompressionDict(text.lower().encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+        d.precompute_compress(level=langid.LEVEL)
+        coders[lang] = zstandard.ZstdCompressor(dict_data=d, write_content_size=False, write_checksum=False, write_dict_id=False)
+    out = []
+    for d, text, _ in rows:
+        low = (text or "").lower()
+        if not re.search(r"[^\W\d_]", low):
+            out.append((d, "und", 0.0))
+            continue
+        sizes = sorted((sum(len(c.compress(low[i : i + langid.PIECE].encode())) for i in range(0, len(low), langid.PIECE)), lang) for lang, c in coders.items())
+        out.append((d, sizes[0][1], round((sizes[1][0] - sizes[0][0]) / sizes[1][0], 12)))
+    return out
+
+
+def test_language_as_in_plain_version(spark, tmp_path):
+    table = [(r.doc_id, r.text, r.lang) for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()]
+    long = " ".join(t for _, t, lang in table if lang == table[0][2] and t)[:300_000]
+    table += [(None, table[0][1], table[0][2]), (90_000, long, table[0][2]), (90_001, None, "en"), (90_002, "", "en"), (90_003, "12 3", None), table[1], table[1]]
+    docs = helpers.docs(spark, tmp_path, [(d, t, lang, "s") for d, t, lang in table])
+    got = [(r.doc_id, r.lang_pred, round(r.score, 12)) for r in langid.predict(docs).collect()]
+    assert helpers.by_key(got) == helpers.by_key(plain_languages(table))
+
+
+def test_language_does_not_learn_from_ids(spark, tmp_path):
+    rows = [(3 * i, f"text {i} of the house" if i % 2 else f"texte {i} de la maison", "en" if i % 2 else "fr", "s") for i in range(400)]
+    other = [(7 * d + 5, t, lang, "z") for d, t, lang, _ in rows[::-1]]
+    assert langid.fit(helpers.docs(spark, tmp_path, rows)) == langid.fit(helpers.docs(spark, tmp_path, other + other[:50]))
+
+
 def test_language_learns_nothing(spark, tmp_path):
     made = langid.predict(helpers.docs(spark, tmp_path, [(1, "some text", None, "a")])).collect()
     assert [(r.lang_pred, r.score, r.rejected) for r in made] == [("und", 0.0, True)]
