@@ -1,6 +1,7 @@
 """Operators over many rows: joins, passages, neighbours, archives, mixing and the pipeline, against plain versions."""
 
 import math
+import hashlib
 import random
 
 import helpers
@@ -284,6 +285,55 @@ def test_warc_record_can_be_read(spark):
     assert head.startswith("WARC/1.0") and fields["Content-Length"] == "4" and body == "<é>\r\n\r\n" and fields["WARC-Target-URI"] == "http://a"
 
 
+def warc_folders(spark, tmp_path):
+    """Two equal folders of WARC files, the pages they hold, and the bytes of each file."""
+    rows = [(i, f"http://h/{i}", "<p>" + "é" * (i % 300) + "</p>", "f") for i in range(2300)]
+    rows += [(None, "u", "x", "f"), (None, "u", "x", "f"), (5000, None, None, "f"), (5001, "", "a\r\n\r\nWARC/1.0\r\nb", "f"), (5002, "big", "y" * 3_000_000, "f"), (7, "http://h/7", "again", "f"), (8, "http://h/8", rows[8][2], "f")]
+    pages = spark.createDataFrame(rows, PAGE)
+    folders = [str(tmp_path / x) for x in ("left", "right")]
+    for folder in folders:
+        warc.write(pages, folder)
+    return pages, folders
+
+
+def test_warc_files_hold_the_manifest(spark, tmp_path):
+    pages, (folder, _) = warc_folders(spark, tmp_path)
+    want = sorted((f"{r.file}.warc", r.offset, r.length, r.digest) for r in warc.manifest(pages).collect())
+    got = [tuple(r) for r in warc.scan(spark, folder).select("file", "offset", "length", "digest").collect()]
+    assert sorted(got) == want
+    assert not list((tmp_path / "left").glob("*.part"))
+    for r in spark.read.parquet(f"{folder}/manifest").collect():
+        data = (tmp_path / "left" / f"{r.file}.warc").read_bytes()
+        assert (r.length, r.sha256) == (len(data), hashlib.sha256(data).hexdigest())
+
+
+def test_warc_replicas_with_damage_in_their_bytes(spark, tmp_path):
+    _, folders = warc_folders(spark, tmp_path)
+    assert warc.compare(spark, *folders).collect() == []
+    at = {(r.file, r.offset): r for r in warc.scan(spark, folders[0]).collect()}
+    of = lambda file: sorted(r.offset for r in at.values() if r.file == file)
+    right = tmp_path / "right"
+
+    def edit(name, change):
+        (right / name).write_bytes(change((right / name).read_bytes()))
+
+    body = at["0.warc", of("0.warc")[500]]
+    header = at["0.warc", of("0.warc")[700]]
+    edit("0.warc", lambda d: d[: body.offset + body.length - 6] + b"?" + d[body.offset + body.length - 5 :])
+    edit("0.warc", lambda d: d[: header.offset + 3] + b"?" + d[header.offset + 4 :])
+    gone = at["1.warc", of("1.warc")[990]]
+    edit("1.warc", lambda d: d[: gone.offset] + d[gone.offset + gone.length :])
+    length = at["2.warc", of("2.warc")[3]]
+    edit("2.warc", lambda d: d[: length.offset] + d[length.offset :].replace(b"Content-Length: ", b"Content-Length: 9", 1))
+    (right / "5.warc").unlink()
+    want = {("0.warc", "damaged", x.offset, x.offset) for x in (body, header)} | {("2.warc", "damaged", length.offset, length.offset), ("1.warc", "missing", gone.offset, None)}
+    want |= {("1.warc", "moved", x, x - gone.length) for x in of("1.warc") if x > gone.offset} | {("2.warc", "moved", x, x + 1) for x in of("2.warc") if x > length.offset}
+    want |= {("5.warc", "missing", x, None) for x in of("5.warc")}
+    got = [(r.file, r.state, r.offset, r.copy_offset) for r in warc.compare(spark, *folders).collect()]
+    assert len(got) == len(want) and set(got) == want
+    assert {(r.file, r.state) for r in warc.compare(spark, *folders[::-1]).where("file = '5.warc'").collect()} == {("5.warc", "extra")}
+
+
 def test_warc_empty(spark):
     assert warc.report(spark.createDataFrame([], PAGE), F.col("html")).collect() == []
 
