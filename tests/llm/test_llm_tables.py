@@ -334,6 +334,16 @@ def test_warc_replicas_with_damage_in_their_bytes(spark, tmp_path):
     assert {(r.file, r.state) for r in warc.compare(spark, *folders[::-1]).where("file = '5.warc'").collect()} == {("5.warc", "extra")}
 
 
+def test_warc_folders_without_records(spark, tmp_path):
+    folders = [str(tmp_path / x) for x in ("left", "right")]
+    for folder in folders:
+        assert warc.write(spark.createDataFrame([], PAGE), folder).collect() == []
+    (tmp_path / "right" / "0.warc").write_bytes(b"")
+    assert warc.scan(spark, folders[1]).collect() == [] and warc.compare(spark, *folders).collect() == []
+    (tmp_path / "right" / "1.warc").write_bytes(b"no archive")
+    assert [(r.file, r.record_id, r.state, r.copy_offset) for r in warc.compare(spark, *folders).collect()] == [("1.warc", None, "extra", 0)]
+
+
 def test_warc_empty(spark):
     assert warc.report(spark.createDataFrame([], PAGE), F.col("html")).collect() == []
 
