@@ -5,12 +5,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from docsynth.functions.binding import let
 from docsynth.functions.text import date_like_digits
 from docsynth.operators.ordered import number_rows, scan
 from docsynth.rng import draw
 from docsynth.session import materialise
 
-SALTS = 16
+#: A length with few words is offered under this many keys at least, so that no word is joined by all who want it.
+SALTS = 64
 #: A word in any script: letters with their marks.
 WORD = r"\p{L}[\p{L}\p{M}]*"
 
@@ -65,36 +67,56 @@ def match_case(word: Column, like: Column) -> Column:
     )
 
 
+def copies_of(size: Column) -> Column:
+    """Keys each word of a length with ``size`` words is offered under: one, unless there are few words."""
+    return F.greatest(F.ceil(F.lit(SALTS) / size), F.lit(1)).cast("bigint")
+
+
+def offered(vocab: DataFrame, sizes: DataFrame) -> DataFrame:
+    """``vocab`` with ``__salt``; ``sizes(lang, n_chars, size)``. Only words of short lists are repeated, so it stays as large as it is."""
+    salts = F.explode(F.sequence(F.lit(0).cast("bigint"), copies_of(F.col("size")) - 1)).alias("__salt")
+    return vocab.join(sizes, ["lang", "n_chars"]).select(*vocab.columns, salts)
+
+
 def word_like(tokens: DataFrame, vocab: DataFrame, ident: Column, salt: int = 30, exact: bool = True, only: Column | None = None) -> DataFrame:
     """Add ``fake``: a vocabulary word of the same language, length and letter case.
 
     ``exact=False`` lets words longer than four be replaced by one up to two letters shorter. A bucket with no words
     takes any word of the language. The few words of a short bucket are wanted by very many tokens, so the picked word is joined on a
-    salted key; bucket sizes are one short map per language. Tokens for which ``only`` does not hold stay as they are.
-    ``vocab`` is read three times: write it once where it is dear.
+    salted key; bucket sizes are one short list per language. Tokens for which ``only`` does not hold stay as they are.
+    ``vocab`` is read twice: write it once where it is dear.
     """
-    # Length 0 stands for the whole language, for lengths that have no word.
-    anywhere = number_rows(vocab.select("lang", "word", "n_chars"), ["lang"], {"n": F.col("n_chars"), "head": F.substring("word", 1, 2)}, ["n_chars", "word"], "idx")
-    anywhere = anywhere.select("lang", F.lit(0).cast("bigint").alias("n_chars"), "word", (F.col("idx") - 1).alias("idx"))
-    vocab = vocab.select("lang", "n_chars", "word", "idx").unionByName(anywhere)
-    sizes = vocab.groupBy("lang", "n_chars").agg(F.count(F.lit(1)).alias("__size"))
-    # Written, so that the planner knows how small it is and leaves the tokens where they are.
-    by_lang = materialise(sizes.groupBy("lang").agg(F.map_from_entries(F.collect_list(F.struct("n_chars", "__size"))).alias("__sizes")), "sizes")
+    sizes = materialise(vocab.groupBy("lang", "n_chars").agg(F.count(F.lit(1)).alias("size")), "sizes")
+    # Written, so that the planner knows how small it is and leaves the tokens where they are. A length's words are a
+    # run of the language's words, shorter ones first.
+    runs = F.array_sort(F.collect_list(F.struct("n_chars", "size")))
+    by_lang = sizes.groupBy("lang").agg(runs.alias("__runs"), F.sum("size").alias("__all"))
+    starts = F.aggregate("__runs", F.array(F.lit(0).cast("bigint")), lambda s, r: F.concat(s, F.array(F.element_at(s, -1) + r["size"])))
+    placed = let(starts, lambda s: F.transform("__runs", lambda r, i: F.struct(r["n_chars"].alias("n_chars"), r["size"].alias("size"), F.get(s, i).alias("start"))))
+    lengths = F.map_from_entries(F.transform("__runs", lambda r: F.struct(r["n_chars"], r["size"])))
+    by_lang = materialise(by_lang.select("lang", "__all", lengths.alias("__sizes"), placed.alias("__runs")), "languages")
     n = F.length("word").cast("bigint")
     if not exact:
         n = F.when(n <= 4, n).otherwise(n - draw(ident, salt + 1) % 3)
+    chosen = F.lit(True) if only is None else only
     want = tokens.withColumns({"n_chars": n, "__draw": draw(ident, salt)}).join(by_lang, ["lang"], "left")
-    known = F.coalesce(F.array_contains(F.map_keys("__sizes"), F.col("n_chars")), F.lit(False))
-    want = want.withColumn("n_chars", F.when(known, F.col("n_chars")).otherwise(0))
-    size = F.try_element_at("__sizes", F.col("n_chars"))
+    want = want.withColumn("__known", F.when(chosen, F.try_element_at("__sizes", F.col("n_chars"))))
+    # A length without words takes any of the language: its number there is the start of a run and a place in it.
+    any_word = F.when(chosen & F.col("__known").isNull(), let(F.col("__draw") % F.col("__all"), lambda k: let(F.element_at(F.filter("__runs", lambda r: r["start"] <= k), -1), lambda r: F.struct(r["n_chars"].alias("n_chars"), r["size"].alias("size"), (k - r["start"]).alias("idx")))))
+    want = want.withColumn("__any", any_word)
+    size = F.coalesce("__known", F.col("__any.size"))
     # What is not to be replaced has no key, and its salt spreads it over all partitions.
-    chosen = F.lit(True) if only is None else only
-    want = want.withColumns({"idx": F.when(chosen, F.col("__draw") % size), "__salt": F.when(chosen, F.col("__draw") % 997 % SALTS).otherwise(F.col("__draw"))}).drop("__sizes")
-    copies = F.explode_outer(F.sequence(F.lit(0).cast("bigint"), F.lit(SALTS - 1).cast("bigint"))).alias("__salt")
-    offered = vocab.select("lang", "n_chars", "idx", F.col("word").alias("__word"), copies)
-    out = want.join(offered, ["lang", "n_chars", "idx", "__salt"], "left")
+    want = want.withColumns(
+        {
+            "n_chars": F.coalesce(F.col("__any.n_chars"), F.col("n_chars")),
+            "idx": F.coalesce(F.col("__any.idx"), F.when(chosen, F.col("__draw") % F.col("__known"))),
+            "__salt": F.when(size.isNotNull(), F.col("__draw") % 997 % copies_of(size)).otherwise(F.col("__draw")),
+        }
+    ).drop("__sizes", "__runs", "__all", "__known", "__any", "__draw")
+    picks = offered(vocab.select("lang", "n_chars", "idx", F.col("word").alias("__word")), sizes)
+    out = want.join(picks, ["lang", "n_chars", "idx", "__salt"], "left")
     fake = F.coalesce(match_case(F.col("__word"), F.col("word")), F.col("word"))
-    return out.withColumn("fake", fake).drop("n_chars", "idx", "__salt", "__draw", "__word")
+    return out.withColumn("fake", fake).drop("n_chars", "idx", "__salt", "__word")
 
 
 def sentence_like(docs: DataFrame, vocab: DataFrame, keep_ascii: bool = False) -> DataFrame:
@@ -117,17 +139,15 @@ def sentence_like(docs: DataFrame, vocab: DataFrame, keep_ascii: bool = False) -
 
 def longest_word_that_fits(slots: DataFrame, vocab: DataFrame, char_width: int, ident: Column, salt: int = 32) -> DataFrame:
     """For ``slots(lang, budget, ..)`` add a word of the longest length that fits, or of the shortest if none does."""
-    sizes = vocab.groupBy("lang", "n_chars").agg(F.count(F.lit(1)).alias("size"))
+    sizes = materialise(vocab.groupBy("lang", "n_chars").agg(F.count(F.lit(1)).alias("size")), "sizes")
     lengths = materialise(sizes.groupBy("lang").agg(F.collect_list(F.struct("n_chars", "size")).alias("__lengths")), "lengths")
     fits = F.array_max(F.filter("__lengths", lambda s: s["n_chars"] * char_width <= F.col("budget")))
     best = F.coalesce(fits, F.array_min("__lengths"))
     want = slots.join(lengths, "lang").withColumn("__b", best)
-    drawn = draw(ident, salt)
-    want = want.withColumns({"n_chars": F.col("__b.n_chars"), "idx": drawn % F.col("__b.size"), "__salt": drawn % 997 % SALTS})
+    drawn, size = draw(ident, salt), F.col("__b.size")
     # A wide budget always lands in the few longest words, so the pick is salted.
-    copies = F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(SALTS - 1).cast("bigint"))).alias("__salt")
-    offered = vocab.select("*", copies)
-    return want.drop("__lengths", "__b").join(offered, ["lang", "n_chars", "idx", "__salt"]).drop("idx", "__salt")
+    want = want.withColumns({"n_chars": F.col("__b.n_chars"), "idx": drawn % size, "__salt": drawn % 997 % copies_of(size)})
+    return want.drop("__lengths", "__b").join(offered(vocab, sizes), ["lang", "n_chars", "idx", "__salt"]).drop("idx", "__salt")
 
 
 def fill_width(slots: DataFrame, numbered: DataFrame, salt: int = 34) -> DataFrame:
@@ -193,6 +213,6 @@ def sample_with_replacement(df: DataFrame, group: str, ident: str, n: int, salt:
 
 
 __all__ = [
-    "classify_corpus", "fill_width", "longest_word_that_fits", "match_case", "number_words", "sample_with_replacement",
+    "classify_corpus", "fill_width", "longest_word_that_fits", "match_case", "number_words", "offered", "sample_with_replacement",
     "scan", "sentence_like", "shuffle", "token_counts", "top_n", "vocab_by_length", "word_like",
 ]

@@ -602,3 +602,19 @@ def test_repeated_batch_stands_once(spark, tmp_path):
     jobs.keep_batches(samples, out, state)
     seen = sorted(r["index"] for r in spark.read.parquet(out).collect())
     assert seen == list(range(len(seen))) and len(seen) >= 14
+
+
+def test_offered_words_stay_as_many_as_the_vocabulary(spark):
+    words = [("en", f"w{i:04d}") for i in range(500)] + [("en", "ab"), ("en", "cd")]
+    vocab = corpus.vocab_by_length(spark.createDataFrame(words, "lang STRING, word STRING"))
+    sizes = vocab.groupBy("lang", "n_chars").agg(F.count(F.lit(1)).alias("size"))
+    got = {r["n_chars"]: r["n"] for r in corpus.offered(vocab, sizes).groupBy("n_chars").agg(F.count(F.lit(1)).alias("n")).collect()}
+    assert got == {5: 500, 2: 64}
+
+
+def test_word_of_an_unknown_length_is_drawn_from_the_whole_language(spark):
+    words = sorted((f"{'x' * n}{c}" for n in (1, 3, 6) for c in "abcdefg"[: n + 1]), key=lambda w: (len(w), w))
+    vocab = corpus.vocab_by_length(spark.createDataFrame([("en", w) for w in words], "lang STRING, word STRING"))
+    tokens = spark.range(200).select(F.lit("en").alias("lang"), F.lit("unknown length").alias("word"), "id")
+    got = corpus.word_like(tokens, vocab, F.col("id")).select("fake", rng.draw(F.col("id"), 30).alias("d")).collect()
+    assert len(got) == 200 and all(r["fake"] == words[r["d"] % len(words)] for r in got)
