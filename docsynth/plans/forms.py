@@ -129,56 +129,56 @@ PAGE_HEIGHT, PAGE_GAP, TEXT_HEIGHT = 900, 12, 60
 def page_layout(pages: DataFrame) -> DataFrame:
     """Blocks of every page ``id`` with kind and top: composition by id % 5, each column filled as in ``page_fill``.
 
-    A column holds at most as many blocks as fit a page, so it is folded in the page's own row.
+    A column holds at most as many blocks as fit a page, so it is folded in the page's own row. Only the columns of the
+    page's own composition are folded. The table of ids is small beside that work, so it is dealt out first.
     """
     i = F.col("id")
     most = PAGE_HEIGHT // (30 + PAGE_GAP) + 1
+    parts = int(pages.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
-    def column(mode: int, c: int, kinds: list[str]) -> Column:
-        names = F.array(*[F.lit(k) for k in kinds])
-        blocks = F.transform(
-            F.sequence(F.lit(0), F.lit(most)),
-            lambda j: F.struct(
-                F.element_at(names, (j % len(kinds) + 1).cast("int")).alias("kind"),
-                ((rng.draw(i, 450 + c) + j * 7919) % 5 * 20).alias("extra"),
-            ),
-        )
-        return F.struct(F.lit(mode).alias("mode"), F.lit(c).alias("col_no"), blocks.alias("blocks"))
+    def composition(columns: list[list[str]]) -> Column:
+        return F.array(*[F.struct(F.lit(c).alias("col_no"), F.array(*[F.lit(k) for k in kinds]).alias("kinds")) for c, kinds in enumerate(columns)])
 
-    cols = [column(mode, c, kinds) for mode, columns in enumerate(PAGES) for c, kinds in enumerate(columns)]
-    rows = pages.select("id", F.explode_outer(F.filter(F.array(*cols), lambda s: s["mode"] == i % 5)).alias("s")).select("id", "s.*")
+    # An id that is negative or null has no composition.
+    own = F.when(i % len(PAGES) >= 0, F.get(F.array(*[composition(columns) for columns in PAGES]), (i % len(PAGES)).cast("int")))
+    rows = pages.select("id").repartition(parts, "id").select("id", F.explode_outer(own).alias("s")).select("id", "s.*")
+    seed = F.coalesce(*[F.when(F.col("col_no") == c, rng.draw(i, 450 + c)) for c in range(max(len(columns) for columns in PAGES))]) % 5
+    rows = rows.withColumns({"seed": seed, "n": F.size("kinds")})
 
-    def height(b: Column) -> Column:
-        return F.when(b["kind"] == "title", 30).when(b["kind"] == "text", TEXT_HEIGHT).otherwise(120 + b["extra"]).cast("bigint")
+    def height(kind: Column, j: Column) -> Column:
+        return F.when(kind == "title", 30).when(kind == "text", TEXT_HEIGHT).otherwise(120 + (F.col("seed") + j * 7919) % 5 * 20).cast("bigint")
+
+    def block(j: Column) -> Column:
+        return let(F.get("kinds", j % F.col("n")), lambda kind: F.struct(kind.alias("kind"), height(kind, j).alias("height")))
 
     none = F.array().cast("array<struct<kind:string,top:bigint,height:bigint>>")
     zero = F.struct(F.lit(0).cast("bigint").alias("used"), F.lit(False).alias("full"), none.alias("kept"))
 
     def put(s: Column, b: Column) -> Column:
-        fits = ~s["full"] & (s["used"] + height(b) <= PAGE_HEIGHT)
-        one = F.array(F.struct(b["kind"].alias("kind"), s["used"].alias("top"), height(b).alias("height")))
-        return F.struct(
-            F.when(fits, s["used"] + height(b) + PAGE_GAP).otherwise(s["used"]).alias("used"),
-            (~fits).alias("full"),
-            F.when(fits, F.concat(s["kept"], one)).otherwise(s["kept"]).alias("kept"),
-        )
-
-    rows = rows.withColumn("f", F.aggregate("blocks", zero, put)).select("id", "col_no", "f.used", "f.kept")
-    last_title = F.try_element_at(F.col("kept"), F.lit(-1))["kind"] == "title"
-    rows = rows.withColumn("kept", F.when(last_title, F.slice("kept", F.lit(1), F.size("kept") - 1)).otherwise(F.col("kept")))
-    more = F.greatest(F.floor((PAGE_HEIGHT - F.col("used") + PAGE_GAP) / (TEXT_HEIGHT + PAGE_GAP)), F.lit(0)).cast("int")
-    texts = F.when(
-        more > 0,
-        F.transform(
-            F.sequence(F.lit(0), F.greatest(more, F.lit(1)) - 1),
-            lambda j: F.struct(
-                F.lit("text").alias("kind"),
-                (F.col("used") + j * (TEXT_HEIGHT + PAGE_GAP)).alias("top"),
-                F.lit(TEXT_HEIGHT).cast("bigint").alias("height"),
+        one = F.array(F.struct(b["kind"].alias("kind"), s["used"].alias("top"), b["height"].alias("height")))
+        more = F.struct((s["used"] + b["height"] + PAGE_GAP).alias("used"), F.lit(False).alias("full"), F.concat(s["kept"], one).alias("kept"))
+        stop = F.struct(s["used"].alias("used"), F.lit(True).alias("full"), s["kept"].alias("kept"))
+        return F.when(~s["full"] & (s["used"] + b["height"] <= PAGE_HEIGHT), more).otherwise(stop)
+
+    def filled(f: Column) -> Column:
+        last_title = F.try_element_at(f["kept"], F.lit(-1))["kind"] == "title"
+        more = F.greatest(F.floor((PAGE_HEIGHT - f["used"] + PAGE_GAP) / (TEXT_HEIGHT + PAGE_GAP)), F.lit(0)).cast("int")
+        texts = F.when(
+            more > 0,
+            F.transform(
+                F.sequence(F.lit(0), F.greatest(more, F.lit(1)) - 1),
+                lambda j: F.struct(
+                    F.lit("text").alias("kind"),
+                    (f["used"] + j * (TEXT_HEIGHT + PAGE_GAP)).alias("top"),
+                    F.lit(TEXT_HEIGHT).cast("bigint").alias("height"),
+                ),
             ),
-        ),
-    ).otherwise(none)
-    return rows.select("id", "col_no", F.posexplode_outer(F.concat("kept", texts)).alias("pos", "b")).where(F.col("pos").isNotNull()).select("id", "col_no", "pos", "b.*")
+        ).otherwise(none)
+        return F.concat(F.when(last_title, F.slice(f["kept"], F.lit(1), F.size(f["kept"]) - 1)).otherwise(f["kept"]), texts)
+
+    blocks = F.transform(F.sequence(F.lit(0), F.lit(most)), block)
+    rows = rows.where(F.col("kinds").isNotNull()).select("id", "col_no", F.posexplode_outer(let(F.aggregate(blocks, zero, put), filled)).alias("pos", "b"))
+    return rows.where(F.col("pos").isNotNull()).select("id", "col_no", "pos", "b.*")
 
 
 def waybill_extras(bills: DataFrame) -> DataFrame:

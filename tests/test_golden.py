@@ -618,3 +618,25 @@ def test_word_of_an_unknown_length_is_drawn_from_the_whole_language(spark):
     tokens = spark.range(200).select(F.lit("en").alias("lang"), F.lit("unknown length").alias("word"), "id")
     got = corpus.word_like(tokens, vocab, F.col("id")).select("fake", rng.draw(F.col("id"), 30).alias("d")).collect()
     assert len(got) == 200 and all(r["fake"] == words[r["d"] % len(words)] for r in got)
+
+
+def test_page_layout_is_dealt_out(spark):
+    pages = forms.page_layout(spark.range(0, 100, 1, 1))
+    assert pages.rdd.getNumPartitions() == int(spark.conf.get("spark.sql.shuffle.partitions")) > 1
+    kinds = {(r["id"] % 5, r["col_no"]): r["kind"] for r in pages.where("pos = 0").collect()}
+    assert kinds == {(mode, c): names[0] for mode, columns in enumerate(forms.PAGES) for c, names in enumerate(columns)}
+
+
+def test_rule_segments_are_merged_in_as_many_parts_as_the_boxes_need(spark, monkeypatch):
+    monkeypatch.setattr(ann, "PART_BOXES", 10)
+    rows = [(i % 3, f"{i}", 10 * (i % 7), 5, 10 * (i % 7) + 10, 9, "x") for i in range(90)]
+    got = ann.rule_segments(boxes_frame(spark, rows), F.lit("all"))
+    spread = got.select(F.spark_partition_id().alias("p")).distinct().count()
+    want = {(g, *e) for g, _, l, t, r, b, _ in rows for e in (("h", l, t, r, t), ("h", l, b, r, b), ("v", l, t, l, b), ("v", r, t, r, b))}
+    assert sorted(tuple(r) for r in got.collect()) == sorted(want) and spread > 4
+
+
+def test_words_that_fit_are_not_broken(spark):
+    plan = spark.range(1).select(text.wrap_hyphens(F.lit("a b"), 24).alias("x"), text.justify_squeezed(F.lit("a b"), 600, 8).alias("y"))._jdf.queryExecution().analyzed().toString()
+    # The remainder of a word is worked out in the last branch only, and the words of a line are folded once.
+    assert plan.count("aggregate(") <= 3
