@@ -56,12 +56,17 @@ def container_size(blocks: DataFrame, group: str, along: str, across: str, gap:
     return blocks.groupBy(group).agg(total.alias("along"), F.max(across).alias("across"))
 
 
+#: Boxes whose lines one task merges.
+PART_BOXES = 500_000
+
+
 def rule_segments(boxes: DataFrame, mode: Column) -> DataFrame:
     """Lines drawn around boxes; equal lines once.
 
     ``all`` four edges, ``rows`` top and bottom, ``cols`` left and right, ``header`` top and bottom of the first row,
     ``border`` the upper edge of the first row and the lower edge of the last one.
     """
+    parts = max(int(boxes.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-boxes.count() // PART_BOXES))
     ends = boxes.groupBy("image_id").agg(F.min("t").alias("__first"), F.max("b").alias("__last"))
     boxes = boxes.withColumn("__mode", mode).join(ends, "image_id")
     mode, first, last = F.col("__mode"), F.col("t") == F.col("__first"), F.col("b") == F.col("__last")
@@ -78,8 +83,11 @@ def rule_segments(boxes: DataFrame, mode: Column) -> DataFrame:
         border = across & ((first & top) | (last & ~top))
         return (mode == "all") | ((mode == "rows") & across) | ((mode == "cols") & ~across) | ((mode == "header") & first & across) | ((mode == "border") & border)
 
-    wanted = F.filter(edges, drawn)
-    return boxes.select("image_id", F.explode_outer(wanted).alias("e")).where(F.col("e").isNotNull()).select("image_id", "e.*").distinct()
+    wanted, line = F.filter(edges, drawn), ["image_id", "axis", "x1", "y1", "x2", "y2"]
+    found = boxes.select("image_id", F.explode_outer(wanted).alias("e")).where(F.col("e").isNotNull()).select("image_id", "e.*")
+    # Dealt out before they are merged, in as many parts as the boxes need: merged in the scan, the lines of a whole file
+    # split would be held by one task. A line drawn many times is held once.
+    return found.repartition(parts, *line).distinct()
 
 
 def arc_outlines(df: DataFrame, n: str, size: str, radius: str, clockwise: bool = True, degrees: Column | None = None) -> DataFrame:
