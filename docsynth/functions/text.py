@@ -112,7 +112,14 @@ def wrap_hyphens(line: Column, width: int) -> Column:
     body = width - 2
 
     def step(s: Column, word: Column) -> Column:
-        return let(F.struct(s.alias("s"), word.alias("w"), (F.length(s["open"]) + F.length(word)).alias("end"), F.greatest(F.lit(body) - F.length(s["open"]), F.lit(0)).alias("cut")), placed)
+        # Most words fit, and for those nothing else is worked out.
+        end = F.length(s["open"]) + F.length(word)
+        fits = F.struct(s["done"].alias("done"), F.concat(s["open"], word, F.lit(" ")).alias("open"))
+        closes = F.struct(F.concat(s["done"], F.array(F.concat(s["open"], word))).alias("done"), F.lit("").alias("open"))
+        return F.when(end < width, fits).when(end == width, closes).otherwise(broken(s, word))
+
+    def broken(s: Column, word: Column) -> Column:
+        return let(F.struct(s.alias("s"), word.alias("w"), F.greatest(F.lit(body) - F.length(s["open"]), F.lit(0)).alias("cut")), placed)
 
     def placed(v: Column) -> Column:
         # What does not fit of the word, as whole pieces and a last one of at most a line.
@@ -126,10 +133,9 @@ def wrap_hyphens(line: Column, width: int) -> Column:
         between = F.when(m["n"] > 0, F.transform(F.sequence(F.lit(0), m["n"] - 1), lambda i: F.concat(F.substring(word, cut + i * body + 1, F.lit(body)), F.lit("-"))))
         none = F.array().cast("array<string>")
         full = F.length(m["last"]) == width
-        broken = F.concat(done, F.array(head), F.coalesce(between, none), F.when(full, F.array(m["last"])).otherwise(none))
         return F.struct(
-            F.when(v["end"] < width, done).when(v["end"] == width, F.concat(done, F.array(F.concat(open_, word)))).otherwise(broken).alias("done"),
-            F.when(v["end"] < width, F.concat(open_, word, F.lit(" "))).when((v["end"] == width) | full, "").otherwise(F.concat(m["last"], F.lit(" "))).alias("open"),
+            F.concat(done, F.array(head), F.coalesce(between, none), F.when(full, F.array(m["last"])).otherwise(none)).alias("done"),
+            F.when(full, "").otherwise(F.concat(m["last"], F.lit(" "))).alias("open"),
         )
 
     start = F.struct(F.array().cast("array<string>").alias("done"), F.lit("").alias("open"))
@@ -144,22 +150,27 @@ def justify_squeezed(line: Column, slot: int, char_width: int) -> Column:
     otherwise what is left over is shared out. The first gaps take the rest of a division. The last line is set plainly.
     """
     words = F.transform(words_of(line), lambda w: F.struct(w.alias("word"), (F.length(w) * char_width).cast("bigint").alias("width")))
-    kind = "array<struct<word:string,width:bigint>>"
+    kind = "array<struct<word:string,x:bigint>>"
     none, zero = F.array().cast(kind), F.lit(0).cast("bigint")
     start = F.struct(F.array().cast(f"array<struct<ws:{kind},extra:bigint>>").alias("done"), none.alias("ws"), zero.alias("used"))
 
     def ended(ws: Column, extra: Column) -> Column:
         return F.array(F.struct(ws.alias("ws"), extra.cast("bigint").alias("extra")))
 
+    def state(done: Column, ws: Column, used: Column) -> Column:
+        return F.struct(done.alias("done"), ws.alias("ws"), used.alias("used"))
+
     def step(s: Column, w: Column) -> Column:
-        over = s["used"] + w["width"] - slot
-        fits, more = over <= 0, F.concat(s["ws"], F.array(w))
-        squeezed = ~fits & (F.size(s["ws"]) > 0) & (10 * over <= F.size(s["ws"]) * char_width)
+        # Most words fit, and for those nothing else is worked out.
+        # What a line has used before a word is where the word starts if no gap is changed.
+        over, more = s["used"] + w["width"] - slot, F.concat(s["ws"], F.array(F.struct(w["word"].alias("word"), s["used"].alias("x"))))
+        squeezed = (F.size(s["ws"]) > 0) & (10 * over <= F.size(s["ws"]) * char_width)
         left = slot - s["used"] + char_width
-        return F.struct(
-            F.when(fits | ((F.size(s["ws"]) == 0) & ~squeezed), s["done"]).when(squeezed, F.concat(s["done"], ended(more, -over))).otherwise(F.concat(s["done"], ended(s["ws"], left))).alias("done"),
-            F.when(fits, more).when(squeezed, none).otherwise(F.array(w)).alias("ws"),
-            F.when(fits, s["used"] + w["width"] + char_width).when(squeezed, zero).otherwise(w["width"] + char_width).alias("used"),
+        plain = F.when(F.size(s["ws"]) == 0, s["done"]).otherwise(F.concat(s["done"], ended(s["ws"], left)))
+        return (
+            F.when(over <= 0, state(s["done"], more, s["used"] + w["width"] + char_width))
+            .when(squeezed, state(F.concat(s["done"], ended(more, -over)), none, zero))
+            .otherwise(state(plain, F.array(F.struct(w["word"].alias("word"), zero.alias("x"))), w["width"] + char_width))
         )
 
     lines = F.aggregate(words, start, step, lambda s: F.when(F.size(s["ws"]) == 0, s["done"]).otherwise(F.concat(s["done"], ended(s["ws"], zero))))
@@ -167,17 +178,15 @@ def justify_squeezed(line: Column, slot: int, char_width: int) -> Column:
     def place(x: Column) -> Column:
         gaps, size = F.size(x["ws"]) - 1, F.abs(x["extra"])
         share, rest = F.when(gaps > 0, F.floor(size / gaps)).otherwise(0), F.when(gaps > 0, size % gaps).otherwise(0)
-        return let(F.struct(x["ws"].alias("ws"), F.signum(x["extra"].cast("double")).cast("bigint").alias("sign"), share.alias("share"), rest.alias("rest")), spread)
+        sign = F.signum(x["extra"].cast("double")).cast("bigint")
+        return let(F.struct(x["ws"].alias("ws"), (sign * share).alias("share"), (sign * rest).alias("rest"), sign.alias("sign")), spread)
 
     def spread(m: Column) -> Column:
-        def add(s: Column, w: Column) -> Column:
-            i = F.size(s["out"])
-            gap = char_width + m["sign"] * (m["share"] + F.when(i < m["rest"], 1).otherwise(0))
-            here = F.struct(w["word"].alias("word"), s["x"].alias("x"))
-            return F.struct(F.concat(s["out"], F.array(here)).alias("out"), (s["x"] + w["width"] + gap).cast("bigint").alias("x"))
-
-        blank = F.struct(F.array().cast("array<struct<word:string,x:bigint>>").alias("out"), zero.alias("x"))
-        return F.aggregate(m["ws"], blank, add, lambda s: s["out"])
+        def at(w: Column, i: Column) -> Column:
+            first = F.when(i < F.abs(m["rest"]), m["sign"] * i).otherwise(m["rest"])
+            return F.struct(w["word"].alias("word"), (w["x"] + i * m["share"] + first).cast("bigint").alias("x"))
+
+        return F.when(m["sign"] == 0, m["ws"]).otherwise(F.transform(m["ws"], at))
 
     return F.transform(lines, place)
 
