@@ -14,7 +14,7 @@ from docsynth.functions import text
 from docsynth.operators import annotations as ann
 from docsynth.operators import corpus, curate, ordered, overlap, pixels, records, structure, tables, web
 from docsynth.operators.ordered import scan
-from docsynth.plans import forms
+from docsynth.plans import forms, recovery
 from docsynth.sources import dataset, labels, markup
 from docsynth.streaming import jobs
 
@@ -640,3 +640,27 @@ def test_words_that_fit_are_not_broken(spark):
     plan = spark.range(1).select(text.wrap_hyphens(F.lit("a b"), 24).alias("x"), text.justify_squeezed(F.lit("a b"), 600, 8).alias("y"))._jdf.queryExecution().analyzed().toString()
     # The remainder of a word is worked out in the last branch only, and the words of a line are folded once.
     assert plan.count("aggregate(") <= 3
+
+
+def test_recovery_deals_small_pages_out_once(spark, monkeypatch):
+    r = random.Random(5)
+    rows = [(i, f"{i}-{k:03d}", 100 * (k % 4) + r.randrange(7), 40 * (k // 4) + r.randrange(5), 100 * (k % 4) + 50 + r.randrange(40), 40 * (k // 4) + 20 + r.randrange(5), f"c{k % 3}")
+            for i in range(8) for k in range(12 + 10 * i) if r.random() < 0.9]
+    boxes = boxes_frame(spark, rows)
+    steps = {
+        "table": lambda p: p.table,
+        "outside": lambda p: structure.texts_outside_cells(p.boxes, p.full_cells, p.whole).select("image_id", "ann_id"),
+        "lines": lambda p: structure.cells_to_rows_text(p.full_cells, p.assigned, p.boxes, p.whole),
+        "cells": lambda p: structure.cell_texts(p.assigned, p.boxes, p.whole).select("image_id", "ann_id", "row_no", "col_no", "line_no"),
+    }
+    got = {}
+    for most in (0, 45):
+        monkeypatch.setattr(recovery, "PAGE_TEXTS", most)
+        for name, step in steps.items():
+            df = recovery.over_pages(boxes, step)
+            got[name, most] = sorted((tuple(x) for x in df.select(sorted(df.columns)).collect()), key=repr)
+    for name in steps:
+        assert got[name, 0] == got[name, 45] and got[name, 0]
+    page = recovery.Recovery(boxes, True)
+    for df in (page.column_texts, page.padded_columns, page.final_rows, page.table):
+        assert "Exchange hashpartitioning" not in df._jdf.queryExecution().executedPlan().toString()
