@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from docsynth.functions.geometry import crossing, similar_area
-from docsynth.session import materialise, work_path
+from docsynth.operators.spatial import buckets_of, page_join, split_pages
+from docsynth.session import materialise, materialise_by, work_path
 
 BOX = ["l", "t", "r", "b"]
 
@@ -62,6 +63,12 @@ def near_pairs(boxes: DataFrame) -> DataFrame:
     return turned.select("image_id", *[either(f"o_{c}", c).alias(c) for c in names], *[either(c, f"o_{c}").alias(f"o_{c}") for c in names])
 
 
+def page_pairs(boxes: DataFrame) -> DataFrame:
+    """Pairs of boxes of a page, for pages that are small; the other one's columns start with ``o_``."""
+    other = boxes.select("image_id", *[F.col(c).alias(f"o_{c}") for c in boxes.columns if c != "image_id"])
+    return boxes.join(other, "image_id")
+
+
 def area(prefix: str = "") -> Column:
     return (F.col(f"{prefix}r") - F.col(f"{prefix}l")) * (F.col(f"{prefix}b") - F.col(f"{prefix}t"))
 
@@ -106,14 +113,22 @@ def dedupe_boxes(boxes: DataFrame, order: list[str]) -> DataFrame:
     """
     spark, key = boxes.sparkSession, ["image_id", "ann_id"]
     at = F.struct(*order, "ann_id")
-    single = boxes.groupBy("image_id", *BOX).agg(F.min(at).alias("at")).withColumn("ann_id", F.col("at.ann_id"))
-    single = materialise(single, "dedupe-boxes")
-    rivals = (
-        near_pairs(single)
-        .where(crossing_pair() & similar_area(area(), area("o_")) & (F.col("o_at") < F.col("at")))
-        .select(*key, F.col("o_ann_id").alias("on"), F.lit(True).alias("kept"))
-        .distinct()
-    )
+
+    def merged(part: DataFrame) -> DataFrame:
+        return part.groupBy("image_id", *BOX).agg(F.min(at).alias("at"))
+
+    def literals(pairs: DataFrame) -> DataFrame:
+        found = pairs.where(crossing_pair() & similar_area(area(), area("o_")) & (F.col("o_at") < F.col("at")))
+        return found.select("image_id", F.col("at.ann_id").alias("ann_id"), F.col("o_at.ann_id").alias("on"), F.lit(True).alias("kept")).distinct()
+
+    # Small pages are dealt out once, by page, and compared there; large ones meet on the grid.
+    small, large = split_pages(boxes)
+    buckets = buckets_of(small)
+    single = materialise_by(merged(small.repartition(buckets, "image_id")), "dedupe-boxes", "image_id", buckets)
+    rivals = literals(page_pairs(single))
+    if large is not None:
+        spread = materialise(merged(large), "dedupe-boxes")
+        rivals = rivals.unionByName(literals(near_pairs(spread)))
     waiting = materialise(rivals, "dedupe-waiting")
     first = waiting.select("image_id", F.col("on").alias("ann_id")).distinct().join(waiting, key, "left_anti")
     path = work_path(spark, "dedupe-decided")
@@ -142,8 +157,10 @@ def dedupe_boxes(boxes: DataFrame, order: list[str]) -> DataFrame:
         fresh = materialise(per_box.where("lost OR NOT open").select(*key, (~F.col("lost")).alias("stays")), "dedupe-fresh")
         fresh.write.mode("append").parquet(path)
         waiting = materialise(after.where(open_).drop("holds").join(fresh, key, "left_anti"), "dedupe-waiting")
-    lost = spark.read.schema(decided.schema).parquet(path).where("NOT stays")
-    return single.select("image_id", "ann_id", *BOX).join(lost, key, "left_anti")
+    lost = spark.read.schema(decided.schema).parquet(path).where("NOT stays").select(*key)
+    columns = ["image_id", F.col("at.ann_id").alias("ann_id"), *BOX]
+    out = page_join(single.select(*columns), lost, ["ann_id"], "left_anti")
+    return out if large is None else out.unionByName(spread.select(*columns).join(lost, key, "left_anti"))
 
 
 #: Left edges of a picture that one row sweeps from.

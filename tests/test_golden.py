@@ -12,7 +12,7 @@ from docsynth import rng
 from docsynth.functions import geometry as g
 from docsynth.functions import text
 from docsynth.operators import annotations as ann
-from docsynth.operators import corpus, curate, ordered, overlap, pixels, records, structure, tables, web
+from docsynth.operators import corpus, curate, ordered, overlap, pixels, records, spatial, structure, tables, web
 from docsynth.operators.ordered import scan
 from docsynth.plans import forms, recovery
 from docsynth.sources import dataset, labels, markup
@@ -655,7 +655,7 @@ def test_recovery_deals_small_pages_out_once(spark, monkeypatch):
     }
     got = {}
     for most in (0, 45):
-        monkeypatch.setattr(recovery, "PAGE_TEXTS", most)
+        monkeypatch.setattr(spatial, "PAGE_BOXES", most)
         for name, step in steps.items():
             df = recovery.over_pages(boxes, step)
             got[name, most] = sorted((tuple(x) for x in df.select(sorted(df.columns)).collect()), key=repr)
@@ -664,3 +664,15 @@ def test_recovery_deals_small_pages_out_once(spark, monkeypatch):
     page = recovery.Recovery(boxes, True)
     for df in (page.column_texts, page.padded_columns, page.final_rows, page.table):
         assert "Exchange hashpartitioning" not in df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_dedupe_of_small_and_large_pages(spark, monkeypatch):
+    rows = [(i, f"{k:03d}", *box, "x") for i in (1, 2) for k, box in enumerate(x[2:6] for x in random_boxes(i, 30 * i))]
+    boxes, got, near_pairs = boxes_frame(spark, rows).drop("content"), {}, overlap.near_pairs
+    for most in (0, 40, 4096):
+        monkeypatch.setattr(spatial, "PAGE_BOXES", most)
+        pairs = []
+        monkeypatch.setattr(overlap, "near_pairs", lambda x, near=near_pairs, pairs=pairs: (pairs.append(x), near(x))[1])
+        got[most] = sorted(tuple(x) for x in overlap.dedupe_boxes(boxes, ["t", "l"]).collect())
+        assert bool(pairs) == (most < 4096)
+    assert got[0] == got[40] == got[4096] and got[0]
