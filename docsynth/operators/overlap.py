@@ -218,10 +218,16 @@ def largest_gap(boxes: DataFrame) -> DataFrame:
 
     def task(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = [[batch.column(c)[i].as_py() for c in ("image_id", "edges", "boxes", "u")] for i in range(len(batch))]
-            found = [(r[0], sweep(r[1], [tuple(x[c] for c in BOX) for x in r[2]], tuple(r[3][c] for c in BOX))) for r in rows]
-            found = [{"image_id": i, **dict(zip(("area", "l", "r", "t", "b"), x, strict=True))} for i, x in found if x]
-            yield pa.RecordBatch.from_pylist(found, schema=schema)
+            # Columns as flat lists once a batch; a row's lists are slices of them.
+            near, lefts, union = batch.column("boxes"), batch.column("edges"), batch.column("u")
+            flat = list(zip(*[near.values.field(c).to_pylist() for c in BOX], strict=True))
+            unions = zip(*[union.field(c).to_pylist() for c in BOX], strict=True)
+            ends, edges, stops = near.offsets.to_pylist(), lefts.values.to_pylist(), lefts.offsets.to_pylist()
+            found = [sweep(edges[stops[i] : stops[i + 1]], flat[ends[i] : ends[i + 1]], u) for i, u in enumerate(unions)]
+            kept = [i for i, x in enumerate(found) if x]
+            columns = zip(*[found[i] for i in kept], strict=True) if kept else [[]] * 5
+            arrays = [batch.column("image_id").take(pa.array(kept, pa.int64())), *[pa.array(c, f.type) for c, f in zip(columns, list(schema)[1:], strict=True)]]
+            yield pa.RecordBatch.from_arrays([x.cast(f.type) for x, f in zip(arrays, schema, strict=True)], schema=schema)
 
     ident = boxes.schema["image_id"].dataType
     out_fields = f"image_id {ident.simpleString()}, {fields}"
