@@ -2,8 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from docsynth.functions.binding import let
 from docsynth.functions.text import date_like_digits
@@ -13,6 +19,8 @@ from docsynth.session import materialise
 
 #: A length with few words is offered under this many keys at least, so that no word is joined by all who want it.
 SALTS = 64
+#: Words broadcast by word_like and sentence_like; a word counts for 32 bytes and four for each of its letters.
+NEAR_BYTES = 64 << 20
 #: A word in any script: letters with their marks.
 WORD = r"\p{L}[\p{L}\p{M}]*"
 
@@ -39,16 +47,22 @@ def classify_corpus(counts: DataFrame, word: str = "word", threshold: Column | N
     return counts.withColumn("kind", kind)
 
 
+def distinct_words(tokens: DataFrame) -> DataFrame:
+    """Distinct words per language with their length, written once: they are read twice to be numbered, the tokens once."""
+    distinct = tokens.select("lang", "word").distinct()
+    return materialise(distinct.withColumn("n_chars", F.length("word").cast("bigint")), "distinct-words")
+
+
 def vocab_by_length(tokens: DataFrame) -> DataFrame:
     """Distinct words per language with their length and 0-based place in the (language, length) bucket."""
-    distinct = tokens.select("lang", "word").distinct().withColumn("n_chars", F.length("word").cast("bigint"))
+    distinct = distinct_words(tokens)
     placed = number_rows(distinct, ["lang", "n_chars"], {"head": F.substring("word", 1, 2)}, ["word"], "idx")
     return placed.withColumn("idx", F.col("idx") - 1)
 
 
 def number_words(tokens: DataFrame) -> DataFrame:
     """Distinct words per language with their 0-based place in the whole language (shorter words first)."""
-    distinct = tokens.select("lang", "word").distinct().withColumn("n_chars", F.length("word").cast("bigint"))
+    distinct = distinct_words(tokens)
     placed = number_rows(distinct, ["lang"], {"n": F.col("n_chars"), "head": F.substring("word", 1, 2)}, ["n_chars", "word"], "idx")
     return placed.withColumn("idx", F.col("idx") - 1)
 
@@ -56,13 +70,13 @@ def number_words(tokens: DataFrame) -> DataFrame:
 def match_case(word: Column, like: Column) -> Column:
     """Title, upper or lower case of ``like``; anything else leaves the word as it is."""
     head, tail = F.substring(like, 1, 1), F.substring(like, 2, 2147483647)
-    has_case = F.upper(like) != F.lower(like)
     title = (head == F.upper(head)) & (F.upper(head) != F.lower(head)) & (tail == F.lower(tail))
     cased = F.concat(F.upper(F.substring(word, 1, 1)), F.lower(F.substring(word, 2, 2147483647)))
+    # Most words are lower case, which excludes the two others: asked first.
     return (
-        F.when(title, cased)
-        .when(has_case & (like == F.upper(like)), F.upper(word))
-        .when(has_case & (like == F.lower(like)), F.lower(word))
+        F.when((like == F.lower(like)) & (like != F.upper(like)), F.lower(word))
+        .when(title, cased)
+        .when((like == F.upper(like)) & (like != F.lower(like)), F.upper(word))
         .otherwise(word)
     )
 
@@ -78,6 +92,52 @@ def offered(vocab: DataFrame, sizes: DataFrame) -> DataFrame:
     return vocab.join(sizes, ["lang", "n_chars"]).select(*vocab.columns, salts)
 
 
+def word_lists(vocab: DataFrame) -> DataFrame:
+    """One row per language and length: ``__size``, ``__start``, the number of its first word, and ``__near``.
+
+    Words are numbered through all lists, those of a language one after another and shorter ones first. Near are the
+    smallest lists, as many as ``NEAR_BYTES`` hold. The lists are few: one per length that occurs.
+    """
+    sizes = vocab.groupBy("lang", F.col("n_chars").alias("__n")).agg(F.count(F.lit(1)).alias("__size"))
+    cost = F.col("__size") * (F.col("__n") * 4 + 32)
+    before = Window.orderBy("lang", "__n").rowsBetween(Window.unboundedPreceding, -1)
+    smaller = Window.orderBy(cost, "lang", "__n").rowsBetween(Window.unboundedPreceding, 0)
+    placed = {"__start": F.coalesce(F.sum("__size").over(before), F.lit(0).cast("bigint")), "__near": F.sum(cost).over(smaller) <= NEAR_BYTES}
+    return materialise(sizes.withColumns(placed), "lists")
+
+
+def picks(tokens: DataFrame, vocab: DataFrame, ident: Column, salt: int, exact: bool, chosen: Column) -> tuple[DataFrame, DataFrame, DataFrame | None]:
+    """Tokens with ``__num``, the number of the word picked, and ``__away`` if its list may not be near; near words; all words.
+
+    All words are left out where every list is near. Nothing is shuffled here: the lists are broadcast. A token that stays
+    as it is has no number.
+    """
+    lists = word_lists(vocab)
+    langs = lists.groupBy("lang").agg(F.min("__start").alias("__base"), F.sum("__size").alias("__all"))
+    words = vocab.withColumnRenamed("n_chars", "__n").join(F.broadcast(lists), ["lang", "__n"])
+    words = words.select((F.col("__start") + F.col("idx")).alias("__num"), F.col("word").alias("__word"), "__near")
+    near = materialise(words.where("__near").drop("__near"), "near-words")
+    spread = not lists.where(~F.col("__near")).isEmpty()
+    n = F.length("word").cast("bigint")
+    if not exact:
+        n = F.when(n <= 4, n).otherwise(n - draw(ident, salt + 1) % 3)
+    # A length without words takes any of the language: the numbers of a language follow one another.
+    num = F.when(chosen, F.coalesce("__start", "__base") + draw(ident, salt) % F.coalesce("__size", "__all"))
+    away = (F.col("__num").isNotNull() & ~F.coalesce("__near", F.lit(False))) if spread else F.lit(False)
+    want = tokens.withColumn("__n", n).join(F.broadcast(lists), ["lang", "__n"], "left").join(F.broadcast(langs), "lang", "left")
+    want = want.select(*tokens.columns, "__near", num.alias("__num")).withColumn("__away", away).drop("__near")
+    return want, near, words.drop("__near") if spread else None
+
+
+def far_words(tokens: DataFrame, words: DataFrame) -> DataFrame:
+    """``__word`` by ``__num``, for the tokens whose list is not near: the only ones that are shuffled, with each word once.
+
+    Lists that are not near are long, so no word is wanted by many; the words of a partition are hashed, and the tokens,
+    which are many more, need not be sorted.
+    """
+    return tokens.join(words.hint("shuffle_hash"), "__num", "left")
+
+
 def word_like(tokens: DataFrame, vocab: DataFrame, ident: Column, salt: int = 30, exact: bool = True, only: Column | None = None) -> DataFrame:
     """Add ``fake``: a vocabulary word of the same language, length and letter case.
 
@@ -119,22 +179,60 @@ def word_like(tokens: DataFrame, vocab: DataFrame, ident: Column, salt: int = 30
     return out.withColumn("fake", fake).drop("n_chars", "idx", "__salt", "__word")
 
 
+def join_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Neighbouring runs of a document as one, but for those that still want a word (``__num``) or stand alone (``__alone``)."""
+    for b in batches:
+        if not b.num_rows:
+            continue
+        doc, pos, text, num = (b.column(c) for c in ("doc_id", "pos", "text", "__num"))
+        at, single = pos.to_numpy(), num.is_valid().to_numpy(zero_copy_only=False)
+        if "__alone" in b.schema.names:
+            single = single | b.column("__alone").is_valid().to_numpy(zero_copy_only=False)
+        same = pc.fill_null(pc.equal(doc[1:], doc[:-1]), False).to_numpy(zero_copy_only=False)
+        first = np.flatnonzero(np.append(True, ~same | (at[1:] != at[:-1] + 1) | single[1:] | single[:-1]))
+        # The text of neighbours is contiguous: only the offsets between them go.
+        _, offsets, data = text.buffers()
+        width = np.int64 if pa.types.is_large_string(text.type) else np.int32
+        ends = np.frombuffer(offsets, width)[text.offset : text.offset + b.num_rows + 1]
+        joined = pa.Array.from_buffers(text.type, len(first), [None, pa.py_buffer(np.append(ends[first], ends[-1])), data or pa.py_buffer(b"")])
+        kept = pa.array(first)
+        yield pa.RecordBatch.from_arrays([doc.take(kept), pos.take(kept), joined, num.take(kept)], ["doc_id", "pos", "text", "__num"])
+
+
 def sentence_like(docs: DataFrame, vocab: DataFrame, keep_ascii: bool = False) -> DataFrame:
     """Rewrite ``text``: signs and spaces stay, digits look like digits, every word run is replaced by one alike.
 
-    ``docs(doc_id, lang, text)``; one document is one group again at the end, never more than it was as a row.
+    ``docs(doc_id, lang, text)``; one document is one group again at the end, never more than it was as a row. Runs that
+    are settled where the document is read are joined there again, so a document is shuffled in few pieces. ``docs`` is
+    read more than once: write it once where it is dear.
     """
+    docs = docs.select("doc_id", "lang", "text")
+    # Runs of documents that share an id are put in one order, so theirs are not joined.
+    shared = docs.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(F.col("doc_id").alias("__id"), F.lit(True).alias("__alone"))
+    shared = materialise(shared, "shared-ids")
+    alone = [] if shared.isEmpty() else ["__alone"]
+    if alone:
+        docs = docs.join(shared, F.col("doc_id").eqNullSafe(F.col("__id")), "left").drop("__id")
     runs = F.regexp_extract_all("text", F.lit(WORD + r"|[0-9]+|[^\p{L}0-9]+"), F.lit(0))
-    tokens = docs.select("doc_id", "lang", F.posexplode_outer(runs).alias("pos", "word"))
+    tokens = docs.select("doc_id", "lang", *alone, F.posexplode_outer(runs).alias("pos", "word"))
     # A document without text is one empty run, so it stays.
     tokens = tokens.withColumns({"pos": F.coalesce("pos", F.lit(0)), "word": F.coalesce("word", F.lit(""))})
     ident = F.col("doc_id") * 100003 + F.col("pos")
-    is_word = F.col("word").rlike(r"^\p{L}") & F.lit(not keep_ascii)
-    changed = word_like(tokens, vocab, ident, only=is_word)
-    digits = F.when(F.col("word").rlike("^[0-9]"), date_like_digits(F.col("word"), ident)).otherwise(F.col("fake"))
-    parts = changed.select("doc_id", "pos", digits.alias("fake"))
-    ordered = F.array_sort(F.collect_list(F.struct("pos", "fake")))
-    return parts.groupBy("doc_id").agg(F.array_join(F.transform(ordered, lambda p: p["fake"]), "").alias("text"))
+    # Worked out ahead of the joins: in one step with the letter case the code is too long to be compiled by the JVM.
+    is_number = F.substring("word", 1, 1).between("0", "9")
+    digits = F.when(is_number, F.coalesce(date_like_digits(F.col("word"), ident), F.col("word"))).otherwise(F.col("word"))
+    tokens = tokens.withColumns({"__plain": digits, "__chosen": F.col("word").rlike(r"^\p{L}") & F.lit(not keep_ascii)})
+    want, near, words = picks(tokens, vocab, ident, 30, True, F.col("__chosen"))
+    own = want.withColumn("__own", F.when(~F.col("__away"), F.col("__num"))).join(F.broadcast(near.withColumnRenamed("__num", "__own")), "__own", "left")
+    text = F.when(F.col("__word").isNotNull(), match_case(F.col("__word"), F.col("word"))).otherwise(F.col("__plain"))
+    parts = own.select("doc_id", "pos", text.alias("text"), F.when(F.col("__away"), F.col("__num")).alias("__num"), *alone)
+    parts = parts.mapInArrow(join_runs, parts.drop(*alone).schema)
+    if words is not None:
+        parts = materialise(parts, "runs")
+        wanted = far_words(parts.where(F.col("__num").isNotNull()), words)
+        parts = parts.where(F.col("__num").isNull()).unionByName(wanted.withColumn("text", F.coalesce(match_case(F.col("__word"), F.col("text")), F.col("text"))).drop("__word"))
+    ordered = F.array_sort(F.collect_list(F.struct("pos", "text")))
+    return parts.groupBy("doc_id").agg(F.array_join(F.transform(ordered, lambda p: p["text"]), "").alias("text"))
 
 
 def longest_word_that_fits(slots: DataFrame, vocab: DataFrame, char_width: int, ident: Column, salt: int = 32) -> DataFrame:

@@ -5,6 +5,7 @@ import math
 import random
 import re
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -676,3 +677,37 @@ def test_dedupe_of_small_and_large_pages(spark, monkeypatch):
         got[most] = sorted(tuple(x) for x in overlap.dedupe_boxes(boxes, ["t", "l"]).collect())
         assert bool(pairs) == (most < 4096)
     assert got[0] == got[40] == got[4096] and got[0]
+
+
+def test_words_near_and_far_are_the_same(spark, monkeypatch):
+    r = random.Random(9)
+    words = ["".join(r.choice("abcdeß") for _ in range(r.randrange(1, 9))) for _ in range(400)]
+    text = [" ".join(r.choice([w, w.title(), w.upper(), "2024-05", "élan", "Unknownlength"]) for w in r.sample(words, 40)) for _ in range(12)]
+    rows = [(i if i < 10 else None, r.choice(["en", "de", "xx", None]), x) for i, x in enumerate(text)] + [(3, "en", "ab 77 Cd."), (20, "en", None)]
+    docs = spark.createDataFrame(rows, "doc_id BIGINT, lang STRING, text STRING")
+    vocab = corpus.vocab_by_length(spark.createDataFrame([(k, w) for k in ("en", "de") for w in words[:: 2 - (k == "en")]], "lang STRING, word STRING"))
+    tokens = docs.where("text IS NOT NULL").select("lang", F.posexplode(F.split("text", " ")).alias("id", "word"))
+    got = {}
+    for most in (0, 9000, 64 << 20):
+        monkeypatch.setattr(corpus, "NEAR_BYTES", most)
+        got["text", most] = sorted((tuple(x) for x in corpus.sentence_like(docs, vocab).collect()), key=repr)
+        got["word", most] = sorted((tuple(x) for x in corpus.word_like(tokens, vocab, F.col("id"), exact=False).select("lang", "id", "word", "fake").collect()), key=repr)
+        sizes = [x["__near"] for x in corpus.word_lists(vocab).collect()]
+        assert all(sizes) == (most > 9000) and any(sizes) == (most > 0)
+    for kind in ("text", "word"):
+        assert got[kind, 0] == got[kind, 9000] == got[kind, 64 << 20] and got[kind, 0]
+    assert len(got["text", 0]) == 12
+
+
+def test_runs_are_joined_where_a_document_is_read(spark):
+    names = ["doc_id", "pos", "text", "__num"]
+    rows = [(1, 0, "ab", None), (1, 1, " ", None), (1, 2, "far", 7), (1, 3, "-", None), (1, 4, "ü", None), (1, 6, "x", None), (2, 0, "", None), (2, 1, "y", None), (None, 0, "n", None), (None, 1, "m", None)]
+    batch = pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), (pa.int64(), pa.int32(), pa.string(), pa.int64()), strict=True)], names)
+    for b in (batch, batch.slice(1)):
+        got = [tuple(x.values()) for x in next(corpus.join_runs(iter([b]))).to_pylist()]
+        head = [(1, 0, "ab ", None)] if b is batch else [(1, 1, " ", None)]
+        assert got == head + [(1, 2, "far", 7), (1, 3, "-ü", None), (1, 6, "x", None), (2, 0, "y", None), (None, 0, "n", None), (None, 1, "m", None)]
+    docs = spark.createDataFrame([(1, "en", "ab cd"), (1, "en", "xy-zw"), (2, "en", "one 2")], "doc_id BIGINT, lang STRING, text STRING")
+    vocab = corpus.vocab_by_length(spark.createDataFrame([("en", "ab")], "lang STRING, word STRING"))
+    got = {x["doc_id"]: x["text"] for x in corpus.sentence_like(docs.where("doc_id = 1").unionByName(docs.where("doc_id = 2")), vocab, keep_ascii=True).collect()}
+    assert got[1] == "abxy -cdzw" and got[2][:4] == "one "
