@@ -11,7 +11,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from docsynth.functions.binding import let
 from docsynth.functions.text import date_like_digits
 from docsynth.operators.ordered import number_rows, scan
 from docsynth.rng import draw
@@ -142,41 +141,16 @@ def word_like(tokens: DataFrame, vocab: DataFrame, ident: Column, salt: int = 30
     """Add ``fake``: a vocabulary word of the same language, length and letter case.
 
     ``exact=False`` lets words longer than four be replaced by one up to two letters shorter. A bucket with no words
-    takes any word of the language. The few words of a short bucket are wanted by very many tokens, so the picked word is joined on a
-    salted key; bucket sizes are one short list per language. Tokens for which ``only`` does not hold stay as they are.
-    ``vocab`` is read twice: write it once where it is dear.
+    takes any word of the language. Words of short lists are broadcast up to ``NEAR_BYTES``, tokens that want another one
+    are shuffled. Tokens for which ``only`` does not hold stay as they are. ``vocab`` and ``tokens`` are read more than
+    once: write them once where they are dear.
     """
-    sizes = materialise(vocab.groupBy("lang", "n_chars").agg(F.count(F.lit(1)).alias("size")), "sizes")
-    # Written, so that the planner knows how small it is and leaves the tokens where they are. A length's words are a
-    # run of the language's words, shorter ones first.
-    runs = F.array_sort(F.collect_list(F.struct("n_chars", "size")))
-    by_lang = sizes.groupBy("lang").agg(runs.alias("__runs"), F.sum("size").alias("__all"))
-    starts = F.aggregate("__runs", F.array(F.lit(0).cast("bigint")), lambda s, r: F.concat(s, F.array(F.element_at(s, -1) + r["size"])))
-    placed = let(starts, lambda s: F.transform("__runs", lambda r, i: F.struct(r["n_chars"].alias("n_chars"), r["size"].alias("size"), F.get(s, i).alias("start"))))
-    lengths = F.map_from_entries(F.transform("__runs", lambda r: F.struct(r["n_chars"], r["size"])))
-    by_lang = materialise(by_lang.select("lang", "__all", lengths.alias("__sizes"), placed.alias("__runs")), "languages")
-    n = F.length("word").cast("bigint")
-    if not exact:
-        n = F.when(n <= 4, n).otherwise(n - draw(ident, salt + 1) % 3)
-    chosen = F.lit(True) if only is None else only
-    want = tokens.withColumns({"n_chars": n, "__draw": draw(ident, salt)}).join(by_lang, ["lang"], "left")
-    want = want.withColumn("__known", F.when(chosen, F.try_element_at("__sizes", F.col("n_chars"))))
-    # A length without words takes any of the language: its number there is the start of a run and a place in it.
-    any_word = F.when(chosen & F.col("__known").isNull(), let(F.col("__draw") % F.col("__all"), lambda k: let(F.element_at(F.filter("__runs", lambda r: r["start"] <= k), -1), lambda r: F.struct(r["n_chars"].alias("n_chars"), r["size"].alias("size"), (k - r["start"]).alias("idx")))))
-    want = want.withColumn("__any", any_word)
-    size = F.coalesce("__known", F.col("__any.size"))
-    # What is not to be replaced has no key, and its salt spreads it over all partitions.
-    want = want.withColumns(
-        {
-            "n_chars": F.coalesce(F.col("__any.n_chars"), F.col("n_chars")),
-            "idx": F.coalesce(F.col("__any.idx"), F.when(chosen, F.col("__draw") % F.col("__known"))),
-            "__salt": F.when(size.isNotNull(), F.col("__draw") % 997 % copies_of(size)).otherwise(F.col("__draw")),
-        }
-    ).drop("__sizes", "__runs", "__all", "__known", "__any", "__draw")
-    picks = offered(vocab.select("lang", "n_chars", "idx", F.col("word").alias("__word")), sizes)
-    out = want.join(picks, ["lang", "n_chars", "idx", "__salt"], "left")
+    want, near, words = picks(tokens, vocab, ident, salt, exact, F.lit(True) if only is None else only)
+    found = want.where(~F.col("__away")).join(F.broadcast(near), "__num", "left")
+    if words is not None:
+        found = found.unionByName(far_words(want.where("__away"), words))
     fake = F.coalesce(match_case(F.col("__word"), F.col("word")), F.col("word"))
-    return out.withColumn("fake", fake).drop("n_chars", "idx", "__salt", "__word")
+    return found.withColumn("fake", fake).drop("__num", "__away", "__word")
 
 
 def join_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

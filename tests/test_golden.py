@@ -679,6 +679,18 @@ def test_dedupe_of_small_and_large_pages(spark, monkeypatch):
     assert got[0] == got[40] == got[4096] and got[0]
 
 
+def test_near_words_are_not_shuffled(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        vocab = corpus.vocab_by_length(spark.createDataFrame([("en", "one"), ("en", "three")], "lang STRING, word STRING"))
+        tokens = spark.range(50).select(F.lit("en").alias("lang"), F.lit("Two").alias("word"), "id")
+        got = corpus.word_like(tokens, vocab, F.col("id"))
+        assert {r["fake"] for r in got.collect()} == {"One"}
+        assert "Exchange hashpartitioning" not in got._jdf.queryExecution().executedPlan().toString().split("BroadcastExchange")[0]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_words_near_and_far_are_the_same(spark, monkeypatch):
     r = random.Random(9)
     words = ["".join(r.choice("abcdeß") for _ in range(r.randrange(1, 9))) for _ in range(400)]
