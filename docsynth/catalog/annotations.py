@@ -374,10 +374,10 @@ def select_label_keys(t: Tables) -> DataFrame:
     SELECT ann_id, max(n) OVER (PARTITION BY image_id) AS corners, l AS last_x, b + CAST(content[2] AS BIGINT) AS last_y FROM p"""
 )
 def pad_polygons(t: Tables) -> DataFrame:
-    extra = F.transform(
-        F.sequence(F.lit(1), F.substring("content", 2, 1).cast("int")), lambda i: g.point(C("l"), C("b") + i)
-    )
-    padded = ann.pad_polygons(quads(t).withColumn("quad", F.concat("quad", extra)), "image_id", "quad")
+    steps = F.sequence(F.lit(1), F.substring("content", 2, 1).cast("int"))
+    extra = F.transform(steps, lambda i: g.point(C("l"), C("b") + i))
+    polygon = F.concat(g.box_to_quad(C("l"), C("t"), C("r"), C("b")), extra)
+    padded = ann.pad_polygons(boxes(t), "image_id", polygon, corners=F.size(steps) + 4)
     last = F.element_at("quad", -1)
     return padded.select(
         "ann_id", F.size("quad").alias("corners"), last["x"].cast("bigint").alias("last_x"), last["y"].cast("bigint").alias("last_y")

@@ -26,12 +26,20 @@ def encode_labels(df: DataFrame) -> DataFrame:
     )
 
 
-def pad_polygons(df: DataFrame, group: str, quad: str) -> DataFrame:
-    """Repeat the last corner up to the longest polygon of the group."""
-    longest = df.groupBy(group).agg(F.max(F.size(quad)).alias("__n"))
-    last = F.element_at(F.col(quad), -1)
-    padded = F.concat(F.col(quad), F.array_repeat(last, F.col("__n") - F.size(quad)))
-    return df.join(longest, group).withColumn(quad, padded).drop("__n")
+def pad_polygons(df: DataFrame, group: str, quad: str | Column, name: str = "quad", corners: Column | None = None) -> DataFrame:
+    """Repeat the last corner up to the longest polygon of the group.
+
+    A polygon given as an expression is made after the rows are dealt by group, as column ``name``: what it is made of is
+    smaller to shuffle. ``corners`` is its number of corners, where that is known without the polygon. The groups of a
+    partition are hashed, so the rows, which are many more, are not sorted.
+    """
+    if isinstance(quad, str):
+        quad, name = F.col(quad), quad
+    longest = df.groupBy(group).agg(F.max(F.size(quad) if corners is None else corners).alias("__n"))
+    dealt = df.join(longest.hint("shuffle_hash"), group).withColumn(name, quad)
+    last = F.element_at(F.col(name), -1)
+    padded = F.concat(F.col(name), F.array_repeat(last, F.col("__n") - F.size(name)))
+    return dealt.withColumn(name, padded).drop("__n")
 
 
 def merge_annotations(*parts: tuple[str, DataFrame]) -> DataFrame:

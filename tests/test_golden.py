@@ -723,3 +723,19 @@ def test_runs_are_joined_where_a_document_is_read(spark):
     vocab = corpus.vocab_by_length(spark.createDataFrame([("en", "ab")], "lang STRING, word STRING"))
     got = {x["doc_id"]: x["text"] for x in corpus.sentence_like(docs.where("doc_id = 1").unionByName(docs.where("doc_id = 2")), vocab, keep_ascii=True).collect()}
     assert got[1] == "abxy -cdzw" and got[2][:4] == "one "
+
+
+def test_polygons_are_made_after_their_rows_are_dealt(spark):
+    rows = [(i % 3, i, i % 5) for i in range(30)]
+    df = spark.createDataFrame(rows, "image_id BIGINT, ann_id BIGINT, n INT")
+    polygon = F.transform(F.sequence(F.lit(0), F.col("n")), lambda k: F.struct((F.col("ann_id") + k).alias("x"), k.alias("y")))
+    got = {}
+    for kind, quad, src in (("made", polygon, df), ("given", "quad", df.withColumn("quad", polygon))):
+        padded = ann.pad_polygons(src, "image_id", quad)
+        got[kind] = {r["ann_id"]: [tuple(p) for p in r["quad"]] for r in padded.collect()}
+    longest = {g: max(n for k, _, n in rows if k == g) for g in range(3)}
+    want = {i: [(i + min(k, n), min(k, n)) for k in range(longest[g] + 1)] for g, i, n in rows}
+    assert got["made"] == got["given"] == want
+    plan = ann.pad_polygons(df, "image_id", polygon, corners=F.col("n") + 1)._jdf.queryExecution().optimizedPlan().toString()
+    # Below the join there are only the columns a polygon is made of.
+    assert "transform(" in plan.split("Join")[0] and "transform(" not in plan.split("Join")[1]
