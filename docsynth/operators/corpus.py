@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from docsynth.functions.text import date_like_digits
 from docsynth.operators.ordered import number_rows, scan
@@ -153,24 +152,31 @@ def word_like(tokens: DataFrame, vocab: DataFrame, ident: Column, salt: int = 30
     return found.withColumn("fake", fake).drop("__num", "__away", "__word")
 
 
-def join_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Neighbouring runs of a document as one, but for those that still want a word (``__num``) or stand alone (``__alone``)."""
-    for b in batches:
-        if not b.num_rows:
-            continue
-        doc, pos, text, num = (b.column(c) for c in ("doc_id", "pos", "text", "__num"))
-        at, single = pos.to_numpy(), num.is_valid().to_numpy(zero_copy_only=False)
-        if "__alone" in b.schema.names:
-            single = single | b.column("__alone").is_valid().to_numpy(zero_copy_only=False)
-        same = pc.fill_null(pc.equal(doc[1:], doc[:-1]), False).to_numpy(zero_copy_only=False)
-        first = np.flatnonzero(np.append(True, ~same | (at[1:] != at[:-1] + 1) | single[1:] | single[:-1]))
-        # The text of neighbours is contiguous: only the offsets between them go.
-        _, offsets, data = text.buffers()
-        width = np.int64 if pa.types.is_large_string(text.type) else np.int32
-        ends = np.frombuffer(offsets, width)[text.offset : text.offset + b.num_rows + 1]
-        joined = pa.Array.from_buffers(text.type, len(first), [None, pa.py_buffer(np.append(ends[first], ends[-1])), data or pa.py_buffer(b"")])
-        kept = pa.array(first)
-        yield pa.RecordBatch.from_arrays([doc.take(kept), pos.take(kept), joined, num.take(kept)], ["doc_id", "pos", "text", "__num"])
+def join_runs() -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Neighbouring runs of a document as one, but for those that still want a word (``__num``) or stand alone (``__alone``).
+
+    A function made here goes to the workers with its code, so they need not have this package.
+    """
+
+    def task(batches):
+        for b in batches:
+            if not b.num_rows:
+                continue
+            doc, pos, text, num = (b.column(c) for c in ("doc_id", "pos", "text", "__num"))
+            at, single = pos.to_numpy(), num.is_valid().to_numpy(zero_copy_only=False)
+            if "__alone" in b.schema.names:
+                single = single | b.column("__alone").is_valid().to_numpy(zero_copy_only=False)
+            same = pc.fill_null(pc.equal(doc[1:], doc[:-1]), False).to_numpy(zero_copy_only=False)
+            first = np.flatnonzero(np.append(True, ~same | (at[1:] != at[:-1] + 1) | single[1:] | single[:-1]))
+            # The text of neighbours is contiguous: only the offsets between them go.
+            _, offsets, data = text.buffers()
+            width = np.int64 if pa.types.is_large_string(text.type) else np.int32
+            ends = np.frombuffer(offsets, width)[text.offset : text.offset + b.num_rows + 1]
+            joined = pa.Array.from_buffers(text.type, len(first), [None, pa.py_buffer(np.append(ends[first], ends[-1])), data or pa.py_buffer(b"")])
+            kept = pa.array(first)
+            yield pa.RecordBatch.from_arrays([doc.take(kept), pos.take(kept), joined, num.take(kept)], ["doc_id", "pos", "text", "__num"])
+
+    return task
 
 
 def sentence_like(docs: DataFrame, vocab: DataFrame, keep_ascii: bool = False) -> DataFrame:
@@ -200,7 +206,7 @@ def sentence_like(docs: DataFrame, vocab: DataFrame, keep_ascii: bool = False) -
     own = want.withColumn("__own", F.when(~F.col("__away"), F.col("__num"))).join(F.broadcast(near.withColumnRenamed("__num", "__own")), "__own", "left")
     text = F.when(F.col("__word").isNotNull(), match_case(F.col("__word"), F.col("word"))).otherwise(F.col("__plain"))
     parts = own.select("doc_id", "pos", text.alias("text"), F.when(F.col("__away"), F.col("__num")).alias("__num"), *alone)
-    parts = parts.mapInArrow(join_runs, parts.drop(*alone).schema)
+    parts = parts.mapInArrow(join_runs(), parts.drop(*alone).schema)
     if words is not None:
         parts = materialise(parts, "runs")
         wanted = far_words(parts.where(F.col("__num").isNotNull()), words)

@@ -716,7 +716,7 @@ def test_runs_are_joined_where_a_document_is_read(spark):
     rows = [(1, 0, "ab", None), (1, 1, " ", None), (1, 2, "far", 7), (1, 3, "-", None), (1, 4, "ü", None), (1, 6, "x", None), (2, 0, "", None), (2, 1, "y", None), (None, 0, "n", None), (None, 1, "m", None)]
     batch = pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), (pa.int64(), pa.int32(), pa.string(), pa.int64()), strict=True)], names)
     for b in (batch, batch.slice(1)):
-        got = [tuple(x.values()) for x in next(corpus.join_runs(iter([b]))).to_pylist()]
+        got = [tuple(x.values()) for x in next(corpus.join_runs()(iter([b]))).to_pylist()]
         head = [(1, 0, "ab ", None)] if b is batch else [(1, 1, " ", None)]
         assert got == head + [(1, 2, "far", 7), (1, 3, "-ü", None), (1, 6, "x", None), (2, 0, "y", None), (None, 0, "n", None), (None, 1, "m", None)]
     docs = spark.createDataFrame([(1, "en", "ab cd"), (1, "en", "xy-zw"), (2, "en", "one 2")], "doc_id BIGINT, lang STRING, text STRING")
