@@ -1,9 +1,10 @@
 """Exact Jaccard join of word n-grams.
 
 A document is the set of the hashes of its n-grams. Equal sets are one class. Two classes can only reach the least
-similarity if they share several n-grams among the first of each, in an order that puts n-grams of common words and
-n-grams known to be frequent last: those first n-grams are dealt out by value, and classes that share enough of them form tiles. A tile is read
-by size: a class is held against those whose size allows a link, first by bitmaps of hashed n-grams, whose bit counts
+similarity if they share several n-grams among the first of each, in an order that puts n-grams last the more common
+their words are, and n-grams known to be frequent after all others: those first n-grams are dealt out by value. Where few
+classes hold one, their pairs are counted; where many do, each is tied to one of them, and the tie only counts for a class
+that has enough such n-grams to reach a link by them. Classes that share enough first n-grams form tiles. A tile is read by size: a class is held against those whose size allows a link, first by bitmaps of hashed n-grams, whose bit counts
 bound the overlap from above, then by intersection of the sorted arrays. A large tile is split into blocks of bounded
 size within bands of set size, and only pairs of blocks from the same or neighbouring bands are compared. Links are
 counted where they are found and handed on as spanning trees, so no pair ever becomes a row.
@@ -28,25 +29,31 @@ from docsynth.llm.arrays import U64, as_long, fresh, map_text, runs, slices, sti
 from docsynth.llm.components import components
 from docsynth.llm.keys import numbered
 from docsynth.llm.sift import sifted, without
-from docsynth.session import materialise
+from docsynth.session import materialise, release
 
 WORDS = 5
 #: Least similarity as a fraction.
 OVER, UNDER = 3, 4
 #: A word is common if it makes up this share of all words, so the list has at most 1 / COMMON words.
-COMMON = 1 / 4000
+COMMON = 1 / 16384
+#: Levels of common words, each for words twice as common as the one below; an n-gram's sum of levels has RANK bits.
+LEVELS, RANK = 12, 6
 #: Bits of the table in which common words are looked up.
 TABLE = 20
-#: n-grams found so often within slices of text count as frequent; at most so many are listed (8 bytes each).
+#: First n-grams found so often within slices of text count as frequent; at most so many are listed (8 bytes each).
 FREQUENT, MOST_FREQUENT = 8, 1 << 20
-#: Classes sharing one n-gram, up to which pairs are counted; more become one tile.
-FEW = 48
+#: Classes sharing one n-gram, up to which pairs are counted; more are tied to one of them. A first n-gram stands in
+#: FEW / 2 pairs at most, so pairs grow with the texts whatever they have in common.
+FEW = 8
+#: First n-grams that a task packs at once, and those of a part on average, if that takes more parts than PARTS times the
+#: shuffle's partitions; of a part, so many are unpacked at once.
+PACK, PART, PARTS, UNPACK = 1_500_000, 500_000, 3, 2_000_000
 #: n-grams of a block, and of a task's read of small tiles.
 BLOCK_GRAMS = 1_500_000
 
 
 def common_words(docs: DataFrame) -> np.ndarray:
-    """Table over the low bits of word hashes, true for common words; counted over all texts."""
+    """Table over the low bits of word hashes: the level of common words, 0 for others; counted over all texts."""
 
     def task(batches):
         for part in slices(batches, "text"):
@@ -58,17 +65,18 @@ def common_words(docs: DataFrame) -> np.ndarray:
 
     counts = materialise(docs.select("text").mapInArrow(task, "word long, times long").groupBy("word").agg(F.sum("times").alias("times")), "words")
     total = counts.agg(F.sum("times")).first()[0] or 0
-    listed = counts.where((F.col("word") != 0) & (F.col("times") >= COMMON * total)).select("word").toArrow()
-    table = np.zeros(1 << TABLE, bool)
-    table[(listed.column("word").to_numpy().view(U64) & U64((1 << TABLE) - 1)).astype(np.int64)] = True
+    listed = counts.where((F.col("word") != 0) & (F.col("times") >= COMMON * total)).toArrow()
+    level = np.minimum(LEVELS, 1 + np.log2(listed.column("times").to_numpy() / max(1, COMMON * total)).astype(np.int64))
+    table = np.zeros(1 << TABLE, np.uint8)
+    np.maximum.at(table, (listed.column("word").to_numpy().view(U64) & U64((1 << TABLE) - 1)).astype(np.int64), level.astype(np.uint8))
     return table
 
 
 def gram_sets(col: pa.Array, common: np.ndarray) -> list[np.ndarray]:
-    """Sorted distinct hashes of the n-grams of each text; their top three bits say how many words are common."""
+    """Sorted distinct hashes of the n-grams of each text; their top bits add up how common the words are."""
     w = words_of(col)
     hashes = w.hashes(lower=True)
-    flags = np.concatenate([[0], np.cumsum(common[(hashes & U64((1 << TABLE) - 1)).astype(np.int64)])])
+    flags = np.concatenate([[0], np.cumsum(common[(hashes & U64((1 << TABLE) - 1)).astype(np.int64)], dtype=np.int64)])
     out = []
     for a, b in zip(w.first[:-1].tolist(), w.first[1:].tolist(), strict=True):
         k = min(WORDS, b - a)
@@ -77,7 +85,7 @@ def gram_sets(col: pa.Array, common: np.ndarray) -> list[np.ndarray]:
             grams = stir(grams + U64(k))
         if k:
             rank = (flags[a + k : b + 1] - flags[a : b - k + 1]).astype(U64)
-            grams = (grams >> U64(3)) | (rank << U64(61))
+            grams = (grams >> U64(RANK)) | (rank << U64(64 - RANK))
         out.append(np.unique(grams))
     return out
 
@@ -99,9 +107,14 @@ def more(n: np.ndarray) -> np.ndarray:
     return n // 16
 
 
+def least_partner(n: np.ndarray) -> np.ndarray:
+    """n-grams of the smallest set that one of n can be linked with."""
+    return (OVER * n + UNDER - 1) // UNDER
+
+
 def first_grams(n: np.ndarray) -> np.ndarray:
     """A linked pair shares at least 3/4 of the larger set, so it shares 1 + more among this many first n-grams."""
-    return np.minimum(n, n - (OVER * n + UNDER - 1) // UNDER + 1 + more(n))
+    return np.minimum(n, n - least_partner(n) + 1 + more(n))
 
 
 def sets(docs: DataFrame, common: Broadcast) -> DataFrame:
@@ -124,12 +137,14 @@ def shared_ids(rows: DataFrame) -> frozenset[int]:
 def frequent(docs: DataFrame, common: Broadcast) -> np.ndarray:
     """Hashes of frequent n-grams, sorted: counted over all texts, from those that a slice of texts has at least twice.
 
-    They only steer the order of n-grams, on which the result does not depend.
+    n-grams beyond twice the first ones of a set stand late anyhow and are not counted. The list only steers the order
+    of n-grams, on which the result does not depend.
     """
 
     def task(batches):
         for part in slices(batches, "text", 4_000_000):
-            seen = {g.tobytes(): g for g in gram_sets(part.column("text").fill_null(""), common.value)}
+            early = (g[: 2 * int(first_grams(np.int64(len(g))))] for g in gram_sets(part.column("text").fill_null(""), common.value))
+            seen = {g.tobytes(): g for g in early}
             if seen:
                 grams, times = np.unique(np.concatenate(list(seen.values())), return_counts=True)
                 often = times > 1
@@ -140,14 +155,48 @@ def frequent(docs: DataFrame, common: Broadcast) -> np.ndarray:
     return np.sort(listed.column("gram").to_numpy().view(U64))
 
 
-def postings(docs: DataFrame, common: Broadcast, often: np.ndarray, twins: frozenset[int]) -> DataFrame:
-    """(gram, set, n) for the first n-grams of each set; a task gives each set once."""
+def planes(values: np.ndarray) -> bytes:
+    """First bytes of all values, then second bytes and so on, which packs well where values are close."""
+    return values.view(np.uint8).reshape(len(values), -1).T.tobytes()
+
+
+def from_planes(data: memoryview, kind: type, n: int) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(-1, n).T).view(kind).ravel()
+
+
+def packed(gram: np.ndarray, ident: np.ndarray, n: np.ndarray, parts: int) -> pa.RecordBatch:
+    """A row (part, rows, data) for each part of the range of hashes of n-grams; within it, n-grams ascend."""
+    key = stir(gram)
+    order = np.argsort(key)
+    key, ident, n = key[order], ident[order], n[order]
+    part = ((key >> U64(32)) * U64(parts)) >> U64(32)
+    starts = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1]]))
+    steps = np.diff(key, prepend=U64(0))
+    steps[starts] = key[starts]
+    data = []
+    for a, b in zip(starts.tolist(), [*starts[1:].tolist(), len(key)], strict=True):
+        data.append(pa.compress(planes(steps[a:b]) + planes(ident[a:b]) + planes(n[a:b]), codec="zstd", asbytes=True))
+    rows = np.diff(np.append(starts, len(key)))
+    return pa.RecordBatch.from_arrays([pa.array(part[starts].astype(np.int64)), pa.array(rows), pa.array(data, pa.binary())], PACKED)
+
+
+PACKED = ["part", "rows", "data"]
+WIDTH = 8 + 8 + 4
+
+
+def unpacked(data: bytes, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Ascending hashes of n-grams, sets and sizes, as they were packed."""
+    raw = memoryview(pa.decompress(data, n * WIDTH, codec="zstd", asbytes=True))
+    return np.cumsum(from_planes(raw[: 8 * n], U64, n), dtype=U64), from_planes(raw[8 * n : 16 * n], np.int64, n), from_planes(raw[16 * n :], np.int32, n)
+
+
+def postings(docs: DataFrame, common: Broadcast, often: np.ndarray, twins: frozenset[int], parts: int) -> DataFrame:
+    """Packed (gram, set, n) for the first n-grams of each set; a task gives each set once."""
     shared = docs.sparkSession.sparkContext.broadcast(often)  # MOST_FREQUENT at most
 
     def task(batches):
-        often, seen = shared.value, set()
+        often, seen, held, size = shared.value, set(), [], 0
         for part in slices(batches, "text"):
-            grams, ids, sizes = [], [], []
             for g in gram_sets(part.column("text").fill_null(""), common.value):
                 if not len(g) or (ident := set_id(g, twins)) in seen:
                     continue
@@ -156,26 +205,82 @@ def postings(docs: DataFrame, common: Broadcast, often: np.ndarray, twins: froze
                 if len(often):
                     late = often[np.minimum(np.searchsorted(often, g), len(often) - 1)] == g
                     g = np.concatenate([g[~late], g[late]]) if late.any() else g
-                first = g[: int(first_grams(np.int64(len(g))))]
-                grams.append(first)
-                ids.append(np.full(len(first), ident))
-                sizes.append(np.full(len(first), len(g)))
-            if grams:
-                yield pa.RecordBatch.from_arrays([pa.array(as_long(np.concatenate(grams))), pa.array(np.concatenate(ids)), pa.array(np.concatenate(sizes).astype(np.int32))], ["gram", "set", "n"])
+                first = g[: int(first_grams(np.int64(len(g))))].copy()
+                held.append((first, np.full(len(first), ident), np.full(len(first), len(g), np.int32)))
+                size += len(first)
+            if size >= PACK:
+                yield packed(*map(np.concatenate, zip(*held, strict=True)), parts)
+                held, size = [], 0
+        if held:
+            yield packed(*map(np.concatenate, zip(*held, strict=True)), parts)
+
+    return docs.select("text").mapInArrow(task, "part long, rows long, data binary")
+
+
+def unpacked_batches(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(gram, set, n) sorted by gram, n and set, without n-grams of one row, from packed rows sorted by part."""
+    for table in runs(batches, "part", 1):
+        part, rows, data = table.column("part").to_numpy(), table.column("rows").to_pylist(), table.column("data").to_pylist()
+        starts = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1]])).tolist()
+        for a, b in zip(starts, [*starts[1:], len(part)], strict=True):
+            yield from by_gram(list(zip(data[a:b], rows[a:b], strict=True)))
+
+
+def by_gram(of: list[tuple[bytes, int]], low: int = 0, high: int = (1 << 64) - 1) -> Iterator[pa.RecordBatch]:
+    """Rows of a part with hashes from ``low`` to ``high``. Of too many, those below, at and above a middle one come in
+    turn, and those of a single hash as they were packed, so memory does not grow with the sets that hold an n-gram."""
+
+    def cut(data: bytes, n: int) -> tuple[np.ndarray, ...]:
+        found = unpacked(data, n)
+        a, b = np.searchsorted(found[0], U64(low)), np.searchsorted(found[0], U64(high), "right")
+        return tuple(x[a:b] for x in found)
+
+    if sum(n for _, n in of) <= UNPACK:
+        yield from repeated(*map(np.concatenate, zip(*(cut(*x) for x in of), strict=True)))
+    elif low == high:
+        for x in of:
+            yield batch_of(*cut(*x))
+    else:
+        found = [(x, cut(*x)[0]) for x in of]
+        # Rows of which nothing is in the range are left out from here on.
+        inside = [(x, int(key[len(key) // 2]), len(key)) for x, key in found if len(key)]
+        if sum(n for *_, n in inside) <= UNPACK:
+            yield from repeated(*map(np.concatenate, zip(*(cut(*x) for x, *_ in inside), strict=True))) if inside else ()
+            return
+        del found
+        middle = sorted(m for _, m, _ in inside)[len(inside) // 2]
+        for a, b in ((low, middle - 1), (middle, middle), (middle + 1, high)):
+            if a <= b:
+                yield from by_gram([x for x, *_ in inside], a, b)
+
 
-    return docs.select("text").mapInArrow(task, "gram long, set long, n int")
+def batch_of(key: np.ndarray, ident: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+    """The sign is turned, so that hashes ascend as signed numbers too."""
+    return pa.RecordBatch.from_arrays([pa.array(as_long(key ^ U64(1 << 63))), pa.array(ident), pa.array(n)], ["gram", "set", "n"])
 
 
-PAIRS = ["a", "b", "need", "times"]
+def repeated(key: np.ndarray, ident: np.ndarray, n: np.ndarray) -> Iterator[pa.RecordBatch]:
+    order = np.argsort(key, kind="stable")
+    key = key[order]
+    same = key[1:] == key[:-1]
+    kept = np.concatenate([same, [False]]) | np.concatenate([[False], same])
+    key, ident, n = key[kept], ident[order[kept]], n[order[kept]]
+    if len(key):
+        order = np.lexsort((ident, n, key))
+        yield batch_of(key[order], ident[order], n[order])
 
 
-def tied(center: int, to: np.ndarray) -> pa.RecordBatch:
-    none = pa.nulls(len(to), pa.int64())
-    return pa.RecordBatch.from_arrays([pa.array(np.full(len(to), center)), pa.array(to), none, none], PAIRS)
+PAIRS = ["a", "b", "need", "times", "least"]
+
+
+def tied(centers: np.ndarray, to: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+    """Ties of sets to the center of an n-gram that many hold; ``least`` is what a set must share with any partner."""
+    least = (1 + more(least_partner(n.astype(np.int64)))).astype(np.int64)
+    return pa.RecordBatch.from_arrays([pa.array(centers), pa.array(to), pa.nulls(len(to), pa.int64()), pa.array(np.ones(len(to), np.int64)), pa.array(least)], PAIRS)
 
 
 def group_pairs(gram: np.ndarray, ident: np.ndarray, n: np.ndarray) -> Iterator[pa.RecordBatch]:
-    """Pairs of the sets of each n-gram if they are few, ties of all to the first if they are many."""
+    """Pairs of the sets of each n-gram if they are few, ties of all to the smallest, which is the first, if they are many."""
     starts = np.flatnonzero(np.concatenate([[True], gram[1:] != gram[:-1]]))
     sizes = np.diff(np.concatenate([starts, [len(gram)]]))
     left, right = [], []
@@ -189,13 +294,14 @@ def group_pairs(gram: np.ndarray, ident: np.ndarray, n: np.ndarray) -> Iterator[
     if any(map(len, left)):
         left, right = np.concatenate(left), np.concatenate(right)
         need = (1 + np.minimum(more(n[left]), more(n[right]))).astype(np.int64)
-        yield pa.RecordBatch.from_arrays([pa.array(x) for x in (ident[left], ident[right], need, np.ones(len(left), np.int64))], PAIRS)
-    for start, size in zip(starts[sizes > FEW], sizes[sizes > FEW], strict=True):
-        yield tied(int(ident[start]), ident[start + 1 : start + size])
+        yield pa.RecordBatch.from_arrays([*(pa.array(x) for x in (ident[left], ident[right], need, np.ones(len(left), np.int64))), pa.nulls(len(left), pa.int64())], PAIRS)
+    many = np.repeat(sizes > FEW, sizes)
+    if many.any():
+        yield tied(np.repeat(ident[starts], sizes)[many], ident[many], n[many])
 
 
 def candidate_batches(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs and ties from (gram, set, n) sorted by gram and set. Of an n-gram that runs on over many batches only the
+    """Pairs and ties from (gram, set, n) sorted by gram, n and set. Of an n-gram that runs on over many batches only the
     set that the others are tied to is remembered."""
     gram, ident, n = np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.int32)
     many: tuple[int, int] | None = None
@@ -204,7 +310,7 @@ def candidate_batches(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBa
         if many is not None:
             go = int(np.searchsorted(gram, many[0], "right"))
             if go:
-                yield tied(many[1], ident[:go])
+                yield tied(np.full(go, many[1]), ident[:go], n[:go])
             gram, ident, n = gram[go:], ident[go:], n[go:]
         if not len(gram):
             continue
@@ -223,10 +329,24 @@ def candidate_batches(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBa
 
 
 def candidates(rows: DataFrame) -> DataFrame:
-    """(a, b): sets that share enough first n-grams that few others hold, and ties of all sets that share one with many."""
-    found = rows.repartition("gram").sortWithinPartitions("gram", "set").mapInArrow(candidate_batches, "a long, b long, need long, times long")
-    found = found.groupBy("a", "b").agg(F.min("need").alias("need"), F.sum("times").alias("times"), F.max(F.col("need").isNull()).alias("tie"))
-    return found.where("tie OR times >= need").select("a", "b")
+    """(a, b): pairs of sets that may share enough first n-grams, and ties that stand for such pairs.
+
+    Of the first n-grams that a pair shares, those held by few are counted for the pair, and those held by many for each
+    set alone, which bounds them for its pairs. So a pair without a count needs two sets that hold enough n-grams of
+    many, and they are tied to the same center; a pair with a count needs what it lacks from what both hold of many.
+    A center that holds too few itself is no part of the tile: sets are tied to a number made from the center's.
+    """
+    found = rows.repartition("part").sortWithinPartitions("part").mapInArrow(lambda x: candidate_batches(unpacked_batches(x)), "a long, b long, need long, times long, least long")
+    found = found.select("a", "b", F.col("need").isNull().alias("tie"), F.coalesce("need", "least").alias("need"), "times")
+    shared = materialise(found.groupBy("a", "b", "tie").agg(F.min("need").alias("need"), F.sum("times").alias("times")), "shared")
+    ties, pairs = shared.where("tie"), shared.where("NOT tie")
+    held = materialise(ties.groupBy("b").agg(F.sum("times").alias("many"), F.min("need").alias("least")), "held")
+    tied_to = ties.join(held.where("many >= least").select("b"), "b").select(F.xxhash64("a").alias("a"), "b")
+    lacking = pairs.where("times < need")
+    for side in ("a", "b"):
+        lacking = lacking.join(held.select(F.col("b").alias(side), F.col("many").alias(f"many_{side}")), side)
+    lacking = lacking.where("times + least(many_a, many_b) >= need")
+    return pairs.where("times >= need").select("a", "b").union(lacking.select("a", "b")).union(tied_to)
 
 
 def bitmap(grams: np.ndarray, bits: int) -> np.ndarray:
@@ -392,7 +512,10 @@ def grouped(docs: DataFrame) -> DataFrame:
     if twins:
         rows = rows.withColumn("set", F.when(F.col("set").isin(*twins), F.col("check")).otherwise(F.col("set")))
     classes = rows.where("n > 0").groupBy("set").agg(F.min("row").alias("row"), F.first("n").alias("n"), F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("copies"))
-    pairs = candidates(postings(docs, common, frequent(docs, common), twins))
+    grams = rows.agg(F.sum("n")).first()[0] or 0
+    parts = max(PARTS * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), grams // (3 * PART))  # about a third are first ones
+    pairs = candidates(postings(docs, common, frequent(docs, common), twins, parts))
+    release(docs.sparkSession)
     clusters = components(pairs).select(F.col("node").alias("set"), F.col("root").alias("cluster"))
     members = blocks(classes.join(clusters, "set")).select("row", "set", "copies", "blocks")
     found = materialise(tile_links(docs, common, materialise(members, "members")), "found")

@@ -55,6 +55,55 @@ def test_jaccard_pairs_do_not_depend_on_batches(monkeypatch):
     assert want[0] and want[1]
 
 
+def test_jaccard_sets_that_share_little_with_many_are_no_candidates(spark, tmp_path, monkeypatch):
+    """A passage that many quote ties no sets that cannot be linked, also where it was not found to be frequent."""
+    monkeypatch.setattr(jaccard, "FREQUENT", 10**9)
+    real, members = jaccard.materialise, []
+
+    def written(df, name):
+        out = real(df, name)
+        if name == "members":
+            members.append(out.count())
+        return out
+
+    monkeypatch.setattr(jaccard, "materialise", written)
+    rows = [(i, " ".join([*(f"w{i}x{k}" for k in range(200)), *"a passage of twelve words that all of these texts quote here".split()]), "en", "s") for i in range(60)]
+    rows.append((70, " ".join(map(str, range(1_200_000))), "en", "s"))  # so no word of the passage is common
+    copies = [(100 + i, " ".join([*(f"v{k}" for k in range(100)), f"end{i}"]), "en", "s") for i in range(12)]
+    got = {r.doc_id: (r.component_id, r.n_links) for r in jaccard.join(helpers.docs(spark, tmp_path, rows + copies)).collect()}
+    assert got == {i: (i, 0) for i in [*range(60), 70]} | {100 + i: (100, 11) for i in range(12)}
+    assert members == [12]
+
+
+def test_jaccard_levels_of_common_words(spark, tmp_path):
+    """n-grams of the most common words come last, not just after those without common words."""
+    rows = [(0, "the " * 4000 + "less " * 100 + " ".join(f"w{i}" for i in range(40_000)), "en", "s")]
+    table = jaccard.common_words(helpers.docs(spark, tmp_path, rows))
+    the, less = (int(jaccard.gram_sets(pa.array([t]), table)[0][0] >> np.uint64(64 - jaccard.RANK)) for t in ("the the the the the", "less less less less less"))
+    assert the > less > 0
+    assert len(jaccard.gram_sets(pa.array(["the " * 9]), np.full(1 << jaccard.TABLE, jaccard.LEVELS, np.uint8))[0]) == 1
+
+
+def test_jaccard_packed_grams(monkeypatch):
+    """What more than one row holds comes out sorted, in whatever pieces; n-grams of a single row stay out."""
+    rng = np.random.default_rng(8)
+    gram = rng.integers(0, 2**64, 3000, np.uint64)
+    gram[:500], gram[500:900] = gram[1000:1500], gram[2000]
+    ident, n = rng.integers(-(2**62), 2**62, 3000), rng.integers(1, 70_000, 3000).astype(np.int32)
+    key, of, times = np.unique(jaccard.stir(gram), return_inverse=True, return_counts=True)
+    want = sorted(zip(key[of].tolist(), ident.tolist(), n.tolist(), times[of].tolist(), strict=True))
+    rows = pa.Table.from_batches([jaccard.packed(*(x[k::4].copy() for x in (gram, ident, n)), 5) for k in range(4)]).sort_by("part")
+    for most in (10**6, 200, 1):
+        monkeypatch.setattr(jaccard, "UNPACK", most)
+        for size in (1, 3, 100):
+            out = pa.Table.from_batches(list(jaccard.unpacked_batches(rows.to_batches(max_chunksize=size))))
+            got = list(zip((out["gram"].to_numpy().view(np.uint64) ^ np.uint64(1 << 63)).tolist(), out["set"].to_pylist(), out["n"].to_pylist(), strict=True))
+            assert [x[0] for x in got] == sorted(x[0] for x in got)
+            assert {x[:3] for x in want if x[3] > 1} <= set(got) <= {x[:3] for x in want} and len(set(got)) == len(got)
+            if most == 10**6:
+                assert set(got) == {x[:3] for x in want if x[3] > 1}
+
+
 def test_passages_do_not_depend_on_batches():
     rng = np.random.default_rng(4)
     value = np.sort(rng.zipf(1.3, 300) % 90)
